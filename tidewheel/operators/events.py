@@ -14,12 +14,13 @@ CLEAN_COLUMNS = ["user_id", "item_id", "rating", "event_time", "kafka_ts"]
 
 
 def parse_events(envelope: DataFrame) -> DataFrame:
-    """Messages ``(value, timestamp)`` to the raw text, its fields and the arrival time."""
-    return envelope.select(
-        F.col("value").cast("string").alias("raw"),
-        F.col("timestamp").alias("kafka_ts"),
-        parse_event_json(F.col("value")).alias("d"),
-    ).select("raw", "kafka_ts", "d.*")
+    """Messages ``(value, timestamp)`` to the raw text, its fields and the arrival time.
+
+    The fields come out of a generator, which filters are not moved through: a plain
+    projection would be copied into every later condition and parse each message anew.
+    """
+    texts = envelope.select(F.col("value").cast("string").alias("raw"), F.col("timestamp").alias("kafka_ts"))
+    return texts.select("raw", "kafka_ts", F.inline(F.array(parse_event_json(F.col("raw")))))
 
 
 def validate_events(parsed: DataFrame, lowest: float = LOWEST, highest: float = HIGHEST) -> DataFrame:
