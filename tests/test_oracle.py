@@ -1,0 +1,38 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import pytest
+from harness import duck_rows, spark_rows
+
+import __spark_entry__ as entry_point
+
+FOLDER = "/root/testdata/sf0.001"
+QUERIES = entry_point.queries()
+SQL = entry_point.oracle_sql()
+ROWS_ONLY = {
+    "assign_segments",
+    "bernoulli_sample",
+    "fit_als",
+    "nest_recommendations",
+    "top_k_by_model",
+    "train_test_split",
+    "training_summary",
+}
+
+
+def test_every_query_has_sql_but_the_listed_ones():
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_same_rows(spark, name):
+    names, rows = spark_rows(QUERIES[name](spark, FOLDER))
+    sql_names, sql_rows = duck_rows(FOLDER, SQL[name])
+    assert names == sql_names
+    assert rows == sql_rows
+
+
+def test_entry_returns_five_items_per_segment(spark):
+    best = entry_point.entry(spark).collect()
+    assert len(best) == 25
+    assert {(r["segment"], r["rank"]) for r in best} == {(s, n) for s in range(5) for n in range(1, 6)}

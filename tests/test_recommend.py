@@ -1,0 +1,97 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidewheel.operators import recommend
+from tidewheel.sources import files
+
+TOP = "segment int, item_idx int, avg_rating double, n_ratings long, rank int"
+FACTORS = "id int, features array<float>"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return {
+        "user_factors": spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], FACTORS),
+        "item_factors": spark.createDataFrame([(10 + n, [float(n), -float(n)]) for n in range(7)], FACTORS),
+        "segments": spark.createDataFrame(
+            [(1, 3, "Explorer"), (7, 1, "Critic")], "user_idx int, segment int, segment_label string"
+        ),
+        "segment_top": spark.createDataFrame(
+            [(0, 50, 4.9, 12, 1), (0, 51, 4.8, 12, 2), (1, 60, 4.0, 10, 1)], TOP
+        ),
+        "window_metrics": spark.createDataFrame(
+            [(n, n * 1.0) for n in range(8)], "item_id long, engagement_score double"
+        ),
+    }
+
+
+@pytest.fixture(scope="module")
+def users(spark):
+    return spark.createDataFrame([(-1,), (-1,), (1,), (2,), (7,), (9,), (9,)], "user_id long")
+
+
+def paths(df):
+    return {r["user_id"]: r["path"] for r in df.select("user_id", "path").distinct().collect()}
+
+
+def items(df, user):
+    rows = df.filter(F.col("user_id") == user).orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+    return [r["item_id"] for r in rows]
+
+
+def test_every_path(tables, users):
+    got = recommend.recommend(users, **tables)
+    assert paths(got) == {
+        -1: "cold_start_global",
+        1: "als_segment_Explorer",
+        2: "als_segment_Unknown",
+        7: "segment_fallback_1",
+        9: "default_fallback",
+    }
+    assert items(got, -1) == [7, 6, 5, 4, 3]
+    assert items(got, 1) == [16, 15, 14, 13, 12]
+    assert items(got, 2) == [10, 11, 12, 13, 14]
+    assert items(got, 7) == [60]
+    assert items(got, 9) == [50, 51]
+
+
+def test_nothing_trends(spark, tables, users):
+    got = recommend.recommend(users, **{**tables, "window_metrics": tables["window_metrics"].limit(0)})
+    assert paths(got)[-1] == "default_fallback"
+    assert items(got, -1) == [50, 51]
+
+
+def test_no_model_serves_everybody_as_cold(spark, tables, users):
+    missing = files.read_optional(spark, "/tmp/no-such-table", files.FACTOR_SCHEMA)
+    got = recommend.recommend(users, **{**tables, "user_factors": missing, "item_factors": missing})
+    assert set(paths(got).values()) == {"cold_start_global"}
+    assert items(got, 7) == [7, 6, 5, 4, 3]
+
+
+def test_no_lists_at_all_keep_the_user(tables, users):
+    got = recommend.recommend(users, **{**tables, "segment_top": tables["segment_top"].limit(0)})
+    row = got.filter("user_id = 9").collect()
+    assert [(r["path"], r["rank"], r["item_id"]) for r in row] == [("default_fallback", None, None)]
+    nested = recommend.nest_recommendations(got).filter("user_id = 9").first()
+    assert nested["recommendations"] == []
+
+
+def test_nested_lists_are_in_order(tables, users):
+    nested = recommend.nest_recommendations(recommend.recommend(users, **tables)).collect()
+    assert len(nested) == 5
+    for row in nested:
+        assert [e["rank"] for e in row["recommendations"]] == list(range(1, len(row["recommendations"]) + 1))
+
+
+def test_shorter_lists(tables, users):
+    got = recommend.recommend(users, **tables, k=2)
+    assert got.groupBy("user_id").count().filter("count > 2").count() == 0
+    assert items(got, 1) == [16, 15]
+
+
+def test_fallbacks_alone(tables, users):
+    by_segment = recommend.segment_fallback(users, tables["segments"], tables["segment_top"])
+    assert {(r["user_id"], r["path"], r["item_id"]) for r in by_segment.collect()} == {(7, "segment_fallback_1", 60)}
+    default = recommend.default_fallback(users, tables["segment_top"])
+    assert default.count() == 5 * 2

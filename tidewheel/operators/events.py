@@ -40,7 +40,8 @@ def validate_events(parsed: DataFrame, lowest: float = LOWEST, highest: float =
     for name in FIELDS:
         nothing = nothing & F.col(f"_{name}").isNull()
         something_missing = something_missing | F.col(f"_{name}").isNull()
-    unreadable = F.col("raw").isNull() | (nothing & F.col(CORRUPT).isNotNull())
+    empty = F.col("raw").isNull() | (F.trim("raw") == "")
+    unreadable = empty | (nothing & F.col(CORRUPT).isNotNull())
     reason = (
         F.when(unreadable, "unparseable_json")
         .when(something_missing, "missing_field")
