@@ -47,8 +47,7 @@ def test_empty_index(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, skewed, how):
     names = skewed.select("user_id").distinct().filter("user_id <> 'u7'").withColumn("x", F.length("user_id"))
-    heavy = skew.heavy_by_sketch(skewed, "user_id")
-    salted = skew.salted_join(skewed, names, "user_id", heavy, how, salts=16)
+    salted = skew.salted_join(skewed, names, "user_id", skew.salts_by_sketch(skewed, "user_id"), how)
     plain = skewed.join(names, "user_id", how)
     assert salted.columns == plain.columns
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
@@ -57,7 +56,7 @@ def test_salted_join_equals_plain_join(spark, skewed, how):
 def test_salted_join_keeps_repeated_rows_and_null_keys(spark):
     left = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (2, "c")], "k int, v string")
     right = spark.createDataFrame([(1, "x"), (1, "y")], "k int, w string")
-    rows = skew.salted_join(left, right, "k", F.col("k") == 1, "left", salts=8).collect()
+    rows = skew.salted_join(left, right, "k", F.when(F.col("k") == 1, 8), "left").collect()
     assert sorted((r["v"], r["w"] or "") for r in rows) == [
         ("a", "x"), ("a", "x"), ("a", "y"), ("a", "y"), ("b", ""), ("c", "")
     ]
@@ -66,25 +65,34 @@ def test_salted_join_keeps_repeated_rows_and_null_keys(spark):
 def test_right_joins_cannot_be_salted(spark):
     df = spark.range(3)
     with pytest.raises(ValueError):
-        skew.salted_join(df, df, "id", F.lit(False), "right")
+        skew.salted_join(df, df, "id", F.lit(1), "right")
 
 
-def test_sketch_finds_the_heavy_key_only(skewed):
-    marked = skewed.select("user_id", skew.heavy_by_sketch(skewed, "user_id").alias("heavy")).distinct()
-    assert [r["user_id"] for r in marked.filter("heavy").collect()] == ["hot"]
+def test_sketch_cuts_the_heavy_key_only(skewed):
+    parts = skewed.select("user_id", skew.salts_by_sketch(skewed, "user_id").alias("parts")).distinct()
+    # A third of the rows over 8 tasks.
+    assert [tuple(r) for r in parts.filter("parts > 1").collect()] == [("hot", 3)]
+
+
+def test_dense_ids_are_cut_by_the_share_they_can_have(spark):
+    df = spark.createDataFrame([(-1,), (0,), (1,), (2,), (7,), (99,), (None,)], "k int")
+    parts = [r[0] for r in df.select(skew.salts_by_dense_id(df, "k")).collect()]
+    assert parts == [8, 8, 4, 3, 1, 1, 8]
 
 
 def test_heavy_key_is_spread_over_tasks(spark, skewed):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
         names = skewed.select("user_id").distinct()
-        heavy = skew.heavy_by_sketch(skewed, "user_id")
-        joined = skew.salted_join(skewed, names, "user_id", heavy)
+        joined = skew.salted_join(skewed, names, "user_id", skew.salts_by_sketch(skewed, "user_id"))
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert len(sizes) == 8
-        assert max(r["count"] for r in sizes) < 0.25 * 30_000
+        # A third of the rows in one task without salts; an even share is one in 64.
+        assert len(sizes) > 50
+        assert max(r["count"] for r in sizes) < 30_000 / 10
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 

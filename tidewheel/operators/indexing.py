@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import label_column, short_title
 from tidewheel.functions.scalars import SEGMENT_LABELS
-from tidewheel.operators.skew import dense_head, heavy_by_sketch, salted_join, with_position
+from tidewheel.operators.skew import (
+    salted_join,
+    salts_by_count,
+    salts_by_dense_id,
+    salts_by_sketch,
+    with_position,
+)
+from tidewheel.session import written
 
 # Factor models take 32-bit ids.
 MAX_ID = 2**31 - 1
@@ -19,7 +26,7 @@ def fit_dense_index(df: DataFrame, column: str, out: str = "idx") -> DataFrame:
     """Table ``(column, n, out)``: ids by falling frequency from 0, equal ones by name.
 
     The same numbering a frequency-ordered string indexer gives, but the label list is a
-    table on the executors and never one array on the driver.
+    stored table and never one array on the driver.
     """
     counts = (
         df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -28,17 +35,14 @@ def fit_dense_index(df: DataFrame, column: str, out: str = "idx") -> DataFrame:
     fits = F.when(F.col(out) <= MAX_ID, F.col(out).cast("int")).otherwise(
         F.raise_error(F.lit(f"more than {MAX_ID} different values of {column}"))
     )
-    return placed.select(column, "n", fits.alias(out))
+    return written(placed.select(column, "n", fits.alias(out)), "index")
 
 
 def apply_dense_index(df: DataFrame, mapping: DataFrame, column: str, out: str) -> DataFrame:
     """Adds the dense id; rows whose value was not seen in fitting are left out."""
-    total = mapping.agg(F.sum("n")).scalar()
-    # At most 255 values can hold more than one row in 256.
-    heavy = mapping.filter(F.col("n") * 256 > total).agg(F.collect_list(column)).scalar()
-    is_heavy = F.coalesce(F.array_contains(heavy, F.col(column)), F.lit(False))
+    salts = salts_by_count(mapping, column, "n", mapping.agg(F.sum("n")).scalar())
     ids = mapping.select(column, F.col("idx").alias(out))
-    return salted_join(df, ids, column, is_heavy).select(*df.columns, out)
+    return salted_join(df, ids, column, salts).select(*df.columns, out)
 
 
 def item_titles(items: DataFrame, metadata: DataFrame, record_order: str | None = None) -> DataFrame:
@@ -62,17 +66,17 @@ def item_titles(items: DataFrame, metadata: DataFrame, record_order: str | None
 
 
 def with_titles(
-    rows: DataFrame, titles: DataFrame, item: str = "item_id", heavy: Column | None = None
+    rows: DataFrame, titles: DataFrame, item: str = "item_id", salts: Column | None = None
 ) -> DataFrame:
     """Adds a short display title, ``Item #<id>`` where the item has none.
 
     One item may stand in a large part of all lists, so its rows are spread; give ``rows``
-    as a stored table, or say which items are heavy, since otherwise they are read twice.
+    as a stored table, or the parts per item, since otherwise they are computed twice.
     """
     names = titles.select(F.col("item_idx").alias(item), short_title(F.col("title")).alias("title"))
-    if heavy is None:
-        heavy = heavy_by_sketch(rows, item)
-    joined = salted_join(rows, names, item, heavy, "left")
+    if salts is None:
+        salts = salts_by_sketch(rows, item)
+    joined = salted_join(rows, names, item, salts, "left")
     fallback = F.concat(F.lit("Item #"), F.col(item).cast("string"))
     return joined.select(*rows.columns, F.coalesce("title", fallback).alias("title"))
 
@@ -80,18 +84,18 @@ def with_titles(
 def ratings_with_segment(ratings: DataFrame, segments: DataFrame) -> DataFrame:
     """Ratings of users that have a segment, with its number."""
     numbers = segments.select("user_idx", "segment")
-    return salted_join(ratings, numbers, "user_idx", dense_head("user_idx"))
+    return salted_join(ratings, numbers, "user_idx", salts_by_dense_id(ratings, "user_idx"))
 
 
 def known_users(users: DataFrame, table: DataFrame, user: str = "user_id", key: str = "id") -> DataFrame:
     """The users that a factor or segment table knows."""
     ids = table.select(F.col(key).alias(user)).distinct()
-    return salted_join(users, ids, user, heavy_by_sketch(users, user), "left_semi")
+    return salted_join(users, ids, user, salts_by_sketch(users, user), "left_semi")
 
 
 def unknown_users(users: DataFrame, table: DataFrame, user: str = "user_id", key: str = "id") -> DataFrame:
     ids = table.select(F.col(key).alias(user)).distinct()
-    return salted_join(users, ids, user, heavy_by_sketch(users, user), "left_anti")
+    return salted_join(users, ids, user, salts_by_sketch(users, user), "left_anti")
 
 
 def segment_label(df: DataFrame, labels: Mapping[int, str] = SEGMENT_LABELS) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewheel.functions import dot_product, features_to_vector, label_column
 from tidewheel.functions.scalars import SEGMENT_LABELS
 from tidewheel.operators.indexing import ratings_with_segment
-from tidewheel.operators.skew import dense_head, salted_join
+from tidewheel.operators.skew import salted_join, salts_by_dense_id
 from tidewheel.session import checkpoint_root
 
 # Seed, number of segments, error above which models are tuned, and the grid.
@@ -74,9 +74,8 @@ def predict(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame)
     """Adds a prediction to pairs whose user and item both have factors; drops the others."""
     users = user_factors.select(F.col("id").alias("user_idx"), F.col("features").alias("_user"))
     items = item_factors.select(F.col("id").alias("item_idx"), F.col("features").alias("_item"))
-    both = salted_join(pairs, users, "user_idx", dense_head("user_idx")).transform(
-        lambda df: salted_join(df, items, "item_idx", dense_head("item_idx"))
-    )
+    with_user = salted_join(pairs, users, "user_idx", salts_by_dense_id(pairs, "user_idx"))
+    both = salted_join(with_user, items, "item_idx", salts_by_dense_id(pairs, "item_idx"))
     return both.select(*pairs.columns, dot_product(F.col("_user"), F.col("_item")).alias("prediction"))
 
 
@@ -184,11 +183,11 @@ def segment_by_history(ratings: DataFrame, segments: DataFrame) -> DataFrame:
         ratings.select("user_idx", "item_idx"),
         segments.select("user_idx"),
         "user_idx",
-        dense_head("user_idx"),
+        salts_by_dense_id(ratings, "user_idx"),
         "left_anti",
     )
     votes = (
-        salted_join(without, votes_per_item, "item_idx", dense_head("item_idx"))
+        salted_join(without, votes_per_item, "item_idx", salts_by_dense_id(ratings, "item_idx"))
         .groupBy("user_idx", "segment")
         .agg(F.sum("n").alias("votes"))
     )

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators.scoring import top_k_by_factors
-from tidewheel.operators.skew import salted_join
+from tidewheel.operators.skew import salted_join, salts_for_all
 from tidewheel.operators.summary import COLD_USER
+from tidewheel.session import written
 
 # Fixed value: the segment whose list everybody else gets.
 DEFAULT_SEGMENT = 0
@@ -65,7 +66,7 @@ def segment_fallback(users: DataFrame, segments: DataFrame, segment_top: DataFra
         _one_segment_per_user(segments).select("user_id", "segment"), "user_id"
     )
     # Few segments, each with many users: all of them are spread.
-    lists = salted_join(numbered, segment_lists(segment_top, k), "segment", F.lit(True))
+    lists = salted_join(numbered, segment_lists(segment_top, k), "segment", salts_for_all(numbered))
     path = F.concat(F.lit("segment_fallback_"), F.col("segment").cast("string"))
     return lists.select("user_id", path.alias("path"), F.explode("list").alias("e")).select(
         "user_id", "path", "e.*"
@@ -138,7 +139,8 @@ def recommend(
     trending = _trending_list(window_metrics, k).scalar()
     default_rows = _segment_rows(segment_top, k).filter(F.col("segment") == DEFAULT_SEGMENT)
     default = _as_list(default_rows).scalar()
-    tagged = _tag(users, user_factors, segments, F.size(trending) > 0)
+    # Read by both branches below, so the joins of the tags run once.
+    tagged = written(_tag(users, user_factors, segments, F.size(trending) > 0), "tagged")
     by_factors = F.col("path").startswith("als_segment_")
 
     of_segment = F.when(F.col("path").startswith("segment_fallback_"), F.col("segment"))
@@ -149,14 +151,16 @@ def recommend(
         .otherwise(F.col("list"))
     )
     from_lists = (
-        salted_join(listed, segment_lists(segment_top, k), "segment", F.lit(True), "left")
+        salted_join(listed, segment_lists(segment_top, k), "segment", salts_for_all(listed), "left")
         .select("user_id", "path", F.explode_outer(chosen).alias("e"))
         .select("user_id", "path", "e.*")
     )
 
     vectors = user_factors.select(F.col("id").cast("bigint").alias("id"), "features").dropDuplicates(["id"])
-    scored = tagged.filter(by_factors).select(F.col("user_id").alias("id"), "path").join(vectors, "id")
-    from_factors = top_k_by_factors(scored, item_factors, k, carry=["path"], n_users=users.count())
+    asking = tagged.filter(by_factors).select(F.col("user_id").alias("id"), "path")
+    from_factors = top_k_by_factors(
+        asking.join(vectors, "id"), item_factors, k, carry=["path"], n_users=asking.count()
+    )
     return from_factors.select(*OUT).unionByName(from_lists.select(*OUT))
 
 

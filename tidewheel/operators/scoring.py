@@ -17,15 +17,16 @@ CELL_ROWS = 1 << 18
 TILE_SCORES = 1 << 22
 
 
-def _best_rows(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of each row's ``k`` largest scores; the lower column wins a tie."""
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, rank and column of each row's ``k`` largest scores; the lower column wins a tie."""
     k = min(k, scores.shape[1])
     kth = np.partition(scores, -k, axis=1)[:, -k]
     rows, cols = np.nonzero(scores >= kth[:, None])
     order = np.lexsort((cols, -scores[rows, cols], rows))
     rows, cols = rows[order], cols[order]
     place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    return rows[place < k], cols[place < k]
+    chosen = place < k
+    return rows[chosen], place[chosen] + 1, cols[chosen]
 
 
 def top_k_by_factors(
@@ -76,7 +77,11 @@ def top_k_by_factors(
     out = T.StructType(
         [T.StructField("user_id", T.LongType())]
         + [user_factors.schema[c] for c in carry]
-        + [T.StructField("item_id", T.LongType()), T.StructField("score", T.DoubleType())]
+        + [
+            T.StructField("rank", T.IntegerType()),
+            T.StructField("item_id", T.LongType()),
+            T.StructField("score", T.DoubleType()),
+        ]
     )
     names = out.names
     carried = list(carry)
@@ -92,12 +97,14 @@ def top_k_by_factors(
         parts = []
         for start in range(0, len(user_matrix), step):
             scores = user_matrix[start : start + step] @ item_matrix
-            rows, cols = _best_rows(scores, k)
+            rows, ranks, cols = _best(scores, k)
             part = cell_users.iloc[start + rows][["user_id", *carried]].reset_index(drop=True)
-            parts.append(part.assign(item_id=item_ids[cols], score=scores[rows, cols]))
+            parts.append(part.assign(rank=ranks, item_id=item_ids[cols], score=scores[rows, cols]))
         return pd.concat(parts, ignore_index=True)[names]
 
     best = users.groupBy(*cell).cogroup(items.groupBy(*cell)).applyInPandas(best_of_cell, out)
+    if item_cells == 1:
+        return best
     order = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id"))
     return (
         best.withColumn("rank", F.row_number().over(order))

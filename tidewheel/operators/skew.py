@@ -2,56 +2,82 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewheel.session import written
 
-# Dense ids are given out by falling frequency, so a key that holds more than one row in
-# HEAD has an id below HEAD.
-HEAD = 1024
-SALTS = 256
+# Keys the sketch follows; one with fewer rows than one in this many is not split.
+SKETCH_KEYS = 1024
 
 
-def dense_head(key: str) -> Column:
-    """Marks the keys that can be heavy when ``key`` is a dense id."""
-    return F.col(key) < HEAD
+def fan_out(spark: SparkSession) -> int:
+    """Tasks a shuffle is planned for, and so the parts a key with all rows should be cut into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def heavy_by_sketch(df: DataFrame, key: str, one_in: int = 256) -> Column:
-    """Marks keys that hold more than one row in ``one_in`` of ``df``.
+def salts_by_dense_id(df: DataFrame, key: str) -> Column:
+    """Parts for each key when ``key`` is a dense id, without looking at the data.
 
-    One pass with a bounded sketch per task; only the sketches travel. A missed or an extra
-    key changes how the work is spread, never the result.
+    Dense ids are given out by falling frequency, so id k holds at most one row in k + 1;
+    cut into tasks / (k + 1) parts, none exceeds an even share. The parts of all ids add up
+    to little more than tasks * ln(tasks).
+    """
+    tasks = fan_out(df.sparkSession)
+    return F.ceil(F.lit(tasks) / (F.greatest(F.col(key), F.lit(0)) + 1)).cast("int")
+
+
+def salts_by_count(counts: DataFrame, key: str, n: str, total: Column | str) -> Column:
+    """Parts for each key from a table of counts, of which only the heavy keys are used.
+
+    Fewer than SKETCH_KEYS keys can be heavy, so the lookup is small however long the table.
+    """
+    tasks = fan_out(counts.sparkSession)
+    share = F.col(n) / total
+    heavy = counts.filter(share * SKETCH_KEYS > 1).select(
+        F.struct(F.col(key).alias("key"), F.ceil(share * tasks).cast("int").alias("parts")).alias("entry")
+    )
+    parts = heavy.agg(F.map_from_entries(F.collect_list("entry"))).scalar()
+    return F.coalesce(parts[F.col(key)], F.lit(1))
+
+
+def salts_by_sketch(df: DataFrame, key: str) -> Column:
+    """Parts for each key from one pass with a bounded sketch per task.
+
+    Only the sketches travel. A key whose frequency is misjudged changes how the work is
+    spread, never the result.
     """
     top = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {one_in}, {16 * one_in})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
+        F.expr(f"approx_top_k(`{key}`, {SKETCH_KEYS}, {16 * SKETCH_KEYS})").alias("top"),
+        F.count(F.lit(1)).alias("total"),
+    )
+    counts = top.select(F.explode("top").alias("t"), "total").select(
+        F.col("t.item").alias(key), F.col("t.count").alias("n"), "total"
     )
-    heavy = top.select(
-        F.transform(
-            F.filter("top", lambda t: t["count"] * one_in > F.col("n")), lambda t: t["item"]
-        )
-    ).scalar()
-    return F.coalesce(F.array_contains(heavy, F.col(key)), F.lit(False))
-
-
-def salted_join(
-    left: DataFrame, right: DataFrame, on: str, heavy: Column, how: str = "inner", salts: int = SALTS
-) -> DataFrame:
-    """Equi-join that spreads the rows of heavy keys over ``salts`` tasks.
-
-    ``heavy`` is a condition on the key that both sides can evaluate. Left rows of a heavy
-    key get a salt from their own content, so a recomputed task gives the same one; the few
-    right rows of that key are repeated once per salt. Other keys join as usual. Right and
-    full outer joins are not offered, as repeated right rows would show.
+    return salts_by_count(counts.filter(F.col(key).isNotNull()), key, "n", F.col("total"))
+
+
+def salts_for_all(df: DataFrame) -> Column:
+    """Every key cut into as many parts as there are tasks; for a handful of keys."""
+    return F.lit(fan_out(df.sparkSession))
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, salts: Column, how: str = "inner") -> DataFrame:
+    """Equi-join that cuts the left rows of a key into ``salts`` parts.
+
+    ``salts`` is computed from the key alone, on both sides. Left rows take a part by their
+    content, so a recomputed task gives the same one; right rows of a key are repeated
+    once per part. Keys with one part join as usual; rows without a key never match and are
+    spread over all tasks. Right and full outer joins are not offered, as repeated right
+    rows would show.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    salted = left.withColumn("_salt", F.when(heavy, spread).otherwise(F.lit(0)))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = right.withColumn("_salt", F.explode(F.when(heavy, every).otherwise(F.array(F.lit(0)))))
+    parts = F.greatest(salts, F.lit(1))
+    spread = F.when(F.col(on).isNull(), F.lit(fan_out(left.sparkSession))).otherwise(parts)
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), spread).cast("int"))
+    keyed = right.filter(F.col(on).isNotNull())
+    repeated = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
     return salted.join(repeated, [on, "_salt"], how).drop("_salt")
 
 

@@ -25,20 +25,20 @@ def dataset_summary(ratings: DataFrame) -> DataFrame:
     return counts.withColumn("sparsity", 1 - F.col("records") / cells)
 
 
-def _with_percent(counts: DataFrame, of: DataFrame) -> DataFrame:
-    """Adds each row's part of all rows of ``of``, a total that needs no shuffle of its own."""
-    total = of.agg(F.count(F.lit(1))).scalar()
+def _with_percent(counts: DataFrame) -> DataFrame:
+    """Adds each row's part of all rows; the total reads the counts' own shuffle again."""
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("percent", F.col("n") * 100.0 / total)
 
 
 def rating_distribution(ratings: DataFrame) -> DataFrame:
     counts = ratings.groupBy("rating").agg(F.count(F.lit(1)).alias("n"))
-    return _with_percent(counts, ratings).orderBy("rating")
+    return _with_percent(counts).orderBy("rating")
 
 
 def segment_distribution(segments: DataFrame) -> DataFrame:
     counts = segments.groupBy("segment", "segment_label").agg(F.count(F.lit(1)).alias("n"))
-    return _with_percent(counts, segments).orderBy("segment", "segment_label")
+    return _with_percent(counts).orderBy("segment", "segment_label")
 
 
 def segment_item_stats(ratings: DataFrame, segments: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
@@ -118,4 +118,4 @@ def event_mix(validated: DataFrame) -> DataFrame:
         F.when(malformed, "malformed").when(F.col("user_id") == COLD_USER, "cold_start").otherwise("normal")
     )
     counts = validated.groupBy(kind.alias("event_class")).agg(F.count(F.lit(1)).alias("n"))
-    return _with_percent(counts, validated)
+    return _with_percent(counts)

@@ -53,3 +53,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_if_few(df: DataFrame, key: str) -> DataFrame:
+    """Spreads a stored table over the cores if its files make fewer tasks than that.
+
+    A small table may be a single block, and everything up to the next shuffle would then
+    run in one task. Tables with enough blocks are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
