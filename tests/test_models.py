@@ -1,7 +1,11 @@
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
@@ -117,6 +121,16 @@ def test_grid_scoring_equals_brute_force(spark, cell_rows):
     assert rows == brute_force(users, items, 5)
 
 
+def test_scoring_runs_where_the_package_is_not_installed(tmp_path):
+    script = "import sys, pickle; print(pickle.load(open(sys.argv[1], 'rb')).__name__)"
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(scoring._cell_scorer(5, ["path"], ["user_id"])))
+    done = subprocess.run(
+        [sys.executable, "-c", script, str(tmp_path / "f")], cwd="/", capture_output=True, text=True,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+    )
+    assert done.stdout.strip() == "score", done.stderr
+
+
 def test_fewer_items_than_k_and_no_items(spark):
     schema = "id int, features array<float>"
     users = spark.createDataFrame([(1, [1.0])], schema)
@@ -126,6 +140,12 @@ def test_fewer_items_than_k_and_no_items(spark):
     assert scoring.top_k_by_factors(users.limit(0), items).count() == 0
 
 
+def test_one_frame_as_users_and_items(spark):
+    factors = spark.createDataFrame([(n, [float(n), 1.0]) for n in range(6)], "id int, features array<float>")
+    best = scoring.top_k_by_factors(factors, factors, 1).collect()
+    assert sorted((r["user_id"], r["item_id"]) for r in best) == [(0, 0)] + [(n, 5) for n in range(1, 6)]
+
+
 def test_model_lists_agree_with_factor_lists(parts, model):
     users = parts[0].select("user_idx").distinct()
     by_model = scoring.top_k_by_model(model, users)

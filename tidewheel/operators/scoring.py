@@ -17,16 +17,41 @@ CELL_ROWS = 1 << 18
 TILE_SCORES = 1 << 22
 
 
-def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, rank and column of each row's ``k`` largest scores; the lower column wins a tie."""
-    k = min(k, scores.shape[1])
-    kth = np.partition(scores, -k, axis=1)[:, -k]
-    rows, cols = np.nonzero(scores >= kth[:, None])
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    chosen = place < k
-    return rows[chosen], place[chosen] + 1, cols[chosen]
+def _cell_scorer(k: int, carried: list[str], names: list[str]):
+    """The function that scores one cell of the grid.
+
+    It refers to nothing of this package, so executors need not have it installed.
+    """
+    tile_scores = TILE_SCORES
+
+    def best(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, rank and column of each row's k largest scores; the lower column wins a tie."""
+        last = min(k, scores.shape[1])
+        kth = np.partition(scores, -last, axis=1)[:, -last]
+        rows, cols = np.nonzero(scores >= kth[:, None])
+        order = np.lexsort((cols, -scores[rows, cols], rows))
+        rows, cols = rows[order], cols[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        chosen = place < last
+        return rows[chosen], place[chosen] + 1, cols[chosen]
+
+    def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        if users.empty or items.empty:
+            return pd.DataFrame(columns=names)
+        by_id = items.sort_values("item_id")
+        item_ids = by_id["item_id"].to_numpy()
+        item_matrix = np.array(by_id["features"].tolist(), dtype=np.float64).T
+        user_matrix = np.array(users["features"].tolist(), dtype=np.float64)
+        step = max(1, tile_scores // len(item_ids))
+        parts = []
+        for start in range(0, len(user_matrix), step):
+            scores = user_matrix[start : start + step] @ item_matrix
+            rows, ranks, cols = best(scores)
+            part = users.iloc[start + rows][["user_id", *carried]].reset_index(drop=True)
+            parts.append(part.assign(rank=ranks, item_id=item_ids[cols], score=scores[rows, cols]))
+        return pd.concat(parts, ignore_index=True)[names]
+
+    return score
 
 
 def top_k_by_factors(
@@ -69,7 +94,8 @@ def top_k_by_factors(
     ).repartition(item_cells * user_cells, *cell)
     items = item_factors.select(
         F.col("id").cast("bigint").alias("item_id"),
-        "features",
+        # A column of its own, as both tables may be the same frame.
+        F.col("features").alias("features"),
         one_of(item_cells, "_item_cell"),
         every(user_cells, "_user_cell"),
     ).repartition(item_cells * user_cells, *cell)
@@ -83,33 +109,15 @@ def top_k_by_factors(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    names = out.names
-    carried = list(carry)
-
-    def best_of_cell(cell_users: pd.DataFrame, cell_items: pd.DataFrame) -> pd.DataFrame:
-        if cell_users.empty or cell_items.empty:
-            return pd.DataFrame(columns=names)
-        by_id = cell_items.sort_values("item_id")
-        item_ids = by_id["item_id"].to_numpy()
-        item_matrix = np.array(by_id["features"].tolist(), dtype=np.float64).T
-        user_matrix = np.array(cell_users["features"].tolist(), dtype=np.float64)
-        step = max(1, TILE_SCORES // len(item_ids))
-        parts = []
-        for start in range(0, len(user_matrix), step):
-            scores = user_matrix[start : start + step] @ item_matrix
-            rows, ranks, cols = _best(scores, k)
-            part = cell_users.iloc[start + rows][["user_id", *carried]].reset_index(drop=True)
-            parts.append(part.assign(rank=ranks, item_id=item_ids[cols], score=scores[rows, cols]))
-        return pd.concat(parts, ignore_index=True)[names]
-
-    best = users.groupBy(*cell).cogroup(items.groupBy(*cell)).applyInPandas(best_of_cell, out)
+    score = _cell_scorer(k, list(carry), out.names)
+    best = users.groupBy(*cell).cogroup(items.groupBy(*cell)).applyInPandas(score, out)
     if item_cells == 1:
         return best
     order = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id"))
     return (
         best.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .select("user_id", *carried, "rank", "item_id", "score")
+        .select(*out.names)
     )
 
 

@@ -441,8 +441,11 @@ def default_fallback(v: Views) -> DataFrame:
 
 
 def _recommendations(v: Views) -> DataFrame:
+    # Stored tables, as the batch and the stream leave them.
+    best = written(segment_top(v), "segment-top")
+    metrics = written(_window_metrics(v), "window-metrics")
     return recommend.recommend(
-        v.router_users(), v.factors(), v.factors(), v.partial_segments(), segment_top(v), _window_metrics(v)
+        v.router_users(), v.factors(), v.factors(), v.partial_segments(), best, metrics
     )
 
 
