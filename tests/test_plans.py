@@ -1,0 +1,116 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from test_streaming import message, write_batches
+
+from tidewheel.operators import cleaning, models, ranking, summary, windows
+from tidewheel.plans import batch, live
+from tidewheel.plans.views import Views
+from tidewheel.sources import messages
+
+
+@pytest.fixture(scope="module")
+def store(spark, tmp_path_factory):
+    """All tables of a run over review and metadata files."""
+    folder = tmp_path_factory.mktemp("run")
+    v = Views(spark, "/root/testdata/sf0.001")
+    v.ratings_raw().select("user_id", "parent_asin", "rating", "timestamp").write.json(str(folder / "reviews"))
+    v.item_metadata().filter("record_order = 0").drop("record_order").coalesce(1).write.json(str(folder / "meta"))
+    with open(folder / "meta" / "broken.json", "w") as extra:
+        extra.write("{broken\n" + json.dumps({"parent_asin": "P0"}) + "\n")
+    store = batch.Store(str(folder / "tables"))
+    batch.prepare(spark, store, str(folder / "reviews"), str(folder / "meta"))
+    small = models.AlsParams(rank=4, iterations=3, blocks=2)
+    summary_row = batch.train(spark, store, params=small, threshold=100.0).first()
+    assert summary_row["rank"] == 4
+    batch.segment(spark, store, min_ratings=2)
+    return store
+
+
+def table(spark, store, name):
+    return spark.read.parquet(store.path(name))
+
+
+def test_stored_ratings(spark, store):
+    ratings = table(spark, store, "ratings")
+    assert ratings.columns == ["user_id", "item_id", "rating", "timestamp", "user_idx", "item_idx"]
+    assert ratings.count() == 3909
+    most = ratings.groupBy("user_idx").count().orderBy(F.desc("count"), "user_idx").first()
+    assert most["user_idx"] == 0
+
+
+def test_stored_titles_cover_the_items(spark, store):
+    titles = table(spark, store, "item_titles")
+    assert titles.count() == table(spark, store, "item_index").count()
+    assert titles.filter("title IS NULL").count() == 0
+
+
+def test_stored_segments_and_lists(spark, store):
+    segments = table(spark, store, "user_segments")
+    assert segments.count() == table(spark, store, "user_factors").count()
+    top = table(spark, store, "segment_top")
+    assert top.groupBy("segment").agg(F.max("rank").alias("m")).filter("m > 5").count() == 0
+
+
+def test_serving_a_table_of_users(spark, store):
+    users = spark.createDataFrame([(-1,), (0,), (999_999,)], "user_id long")
+    trending = windows.windowed_item_metrics(Views(spark, "/root/testdata/sf0.001").events(), "24 hours", "8 hours")
+    got = batch.serve(spark, store, users, trending)
+    paths = {r["user_id"]: r["path"] for r in got.collect()}
+    assert paths[-1] == "cold_start_global" and paths[999_999] == "default_fallback"
+    assert paths[0].startswith("als_segment_") and paths[0] != "als_segment_Unknown"
+    assert got.filter("user_id = 0").count() == 5
+
+
+def test_serving_before_anything_is_stored(spark, tmp_path):
+    users = spark.createDataFrame([(-1,), (5,)], "user_id long")
+    rows = batch.serve(spark, batch.Store(str(tmp_path)), users).collect()
+    assert sorted((r["user_id"], r["path"], r["rank"]) for r in rows) == [
+        (-1, "default_fallback", None), (5, "default_fallback", None)
+    ]
+
+
+def test_live_queries(spark, tmp_path):
+    topic, out = tmp_path / "topic", tmp_path / "out"
+    trending = [message(s, user=s, item=4, rating=4.9) for s in range(5)]
+    write_batches(spark, topic, [trending, [message(100), ("{bad", trending[0][1])], [message(200)]])
+    started = live.start(messages.file_event_source(spark, str(topic)), str(out), str(tmp_path / "check"), None)
+    for query in started.values():
+        query.awaitTermination()
+    metrics = spark.read.parquet(str(out / "window_metrics"))
+    alerts = spark.read.parquet(str(out / "trending"))
+    # Item 4 in three sliding windows, item 2 in the three of the second batch.
+    assert metrics.count() == 6
+    assert sorted((r["item_id"], r["interaction_count"]) for r in alerts.collect()) == [(4, 5)] * 3
+    assert spark.read.parquet(str(out / "clean_events")).count() == 7
+    assert spark.read.parquet(str(out / "dead_letters")).count() == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_are_limited_before_the_shuffle(spark):
+    stats = summary.segment_item_stats(
+        Views(spark, "/root/testdata/sf0.001").ratings(), Views(spark, "/root/testdata/sf0.001").segments()
+    )
+    text = plan(ranking.segment_top_n(stats))
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+
+
+def test_only_needed_columns_are_read(spark):
+    text = plan(cleaning.clean_ratings(Views(spark, "/root/testdata/sf0.001").ratings_raw()))
+    assert "l_extendedprice" not in text and "o_totalprice" not in text
+
+
+@pytest.mark.parametrize("name", ["clean_ratings", "recommend_users", "segment_by_history", "trailing_snapshot"])
+def test_no_cross_joins(spark, name):
+    import __spark_entry__ as entry_point
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(entry_point.queries()[name](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "CartesianProduct" not in text and "NestedLoop" not in text

@@ -30,11 +30,13 @@ def cap_rows(df: DataFrame, n: int = ROW_CAP, order: Sequence[Column] | None = N
     """At most ``n`` rows: any of them, or the first in ``order`` for a repeatable cap.
 
     The ordered form finds positions by range, so that a cap of many rows does not pass
-    through one task.
+    through one task. Rows equal in ``order`` are told apart by their content, which also
+    lets them lie in several ranges.
     """
     if order is None:
         return df.limit(n)
-    return with_position(df, list(order), "_position").filter(F.col("_position") < n).drop("_position")
+    total = [*order, F.xxhash64(*df.columns)]
+    return with_position(df, total, "_position").filter(F.col("_position") < n).drop("_position")
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

@@ -53,6 +53,27 @@ def alerts_csv_sink(
     return _csv_sink(alerts, path, checkpoint, interval)
 
 
+def windows_sink(
+    metrics: DataFrame, metrics_path: str, alerts_path: str, checkpoint: str, interval: str | None = INTERVAL
+) -> StreamingQuery:
+    """Closed windows and the trending ones among them, as two tables from one query.
+
+    Two queries would read the source and keep the window state twice. Each batch has a
+    folder of its own, as in ``dead_letter_sink``.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{metrics_path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        closed = batch.sparkSession.read.schema(batch.schema).parquet(folder)
+        trending_alerts(closed).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+
+    writer = (
+        metrics.writeStream.outputMode("append").foreachBatch(store).option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, interval).start()
+
+
 def register_window_metrics(df: DataFrame, name: str = VIEW) -> None:
     """Makes a metrics table available to SQL under a name."""
     df.createOrReplaceTempView(name)
