@@ -97,6 +97,28 @@ def test_heavy_key_is_spread_over_tasks(spark, skewed):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_ratings_of_a_heavy_user_are_spread(spark):
+    user = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997 + 1).cast("int")
+    ratings = spark.range(30_000).select(user.alias("user_idx"), F.col("id").alias("item_idx"))
+    segments = spark.range(998).selectExpr("CAST(id AS int) AS user_idx", "CAST(id % 5 AS int) AS segment")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = indexing.ratings_with_segment(ratings, segments)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 30_000
+        assert max(sizes) < 30_000 / 10
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_positions_follow_the_order(spark):
     df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("key")).repartition(9)
     placed = skew.with_position(df, [F.col("key").desc()])

@@ -12,7 +12,6 @@ ROWS_ONLY = {
     "assign_segments",
     "bernoulli_sample",
     "fit_als",
-    "nest_recommendations",
     "top_k_by_model",
     "train_test_split",
     "training_summary",

@@ -141,6 +141,17 @@ _VIEWS = {
         SELECT item_id, engagement_score AS score,
                row_number() OVER (ORDER BY engagement_score DESC, item_id) AS rank
         FROM item_windows QUALIFY rank <= 5""",
+    "served": """
+        SELECT t.user_id, t.path, l.rank, l.item_id, l.score
+        FROM tagged t LEFT JOIN (
+            SELECT user_id, rank, item_id, score FROM best_by_factors
+            WHERE user_id IN (SELECT user_id FROM tagged WHERE path LIKE 'als%')
+            UNION ALL SELECT -1, rank, item_id, score FROM trending_items
+            UNION ALL SELECT user_id, rank, item_idx, avg_rating
+            FROM tagged JOIN segment_top ON segment_top.segment = tagged.segment AND path LIKE 'segment%'
+            UNION ALL SELECT user_id, rank, item_idx, avg_rating
+            FROM tagged JOIN segment_top ON segment_top.segment = 0 AND path LIKE 'default%'
+        ) l ON l.user_id = t.user_id""",
 }
 
 
@@ -340,17 +351,10 @@ _BODIES = {
         SELECT user_id, 'default_fallback' AS path, rank, item_idx AS item_id, round(avg_rating, 4) AS score
         FROM router_users CROSS JOIN (SELECT * FROM segment_top WHERE segment = 0)
         WHERE user_id NOT IN (SELECT user_idx FROM partial_segments )""",
-    "recommend_users": """
-        SELECT t.user_id, t.path, l.rank, l.item_id, round(l.score, 4) AS score
-        FROM tagged t LEFT JOIN (
-            SELECT user_id, rank, item_id, score FROM best_by_factors
-            WHERE user_id IN (SELECT user_id FROM tagged WHERE path LIKE 'als%')
-            UNION ALL SELECT -1, rank, item_id, score FROM trending_items
-            UNION ALL SELECT user_id, rank, item_idx, avg_rating
-            FROM tagged JOIN segment_top ON segment_top.segment = tagged.segment AND path LIKE 'segment%'
-            UNION ALL SELECT user_id, rank, item_idx, avg_rating
-            FROM tagged JOIN segment_top ON segment_top.segment = 0 AND path LIKE 'default%'
-        ) l ON l.user_id = t.user_id""",
+    "recommend_users": "SELECT * REPLACE (round(score, 4) AS score) FROM served",
+    "nest_recommendations": """
+        SELECT user_id, path, coalesce(string_agg(rank || ':' || item_id, ',' ORDER BY rank), '') AS list
+        FROM served GROUP BY user_id, path""",
 }
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,7 +133,7 @@ def with_titles(v: Views) -> DataFrame:
     return indexing.with_titles(shown, titles)
 
 
-def _item_number():
+def _item_number() -> Column:
     return F.expr("substring(parent_asin, 2)").cast("int")
 
 
@@ -456,4 +456,12 @@ def recommend_users(v: Views) -> DataFrame:
 
 @_query
 def nest_recommendations(v: Views) -> DataFrame:
-    return recommend.nest_recommendations(_recommendations(v))
+    """The nested lists, written as text so that any engine can compare them."""
+
+    def entry(e: Column) -> Column:
+        return F.concat_ws(":", e["rank"].cast("string"), e["item_id"].cast("string"))
+
+    nested = recommend.nest_recommendations(_recommendations(v))
+    return nested.select(
+        "user_id", "path", F.concat_ws(",", F.transform("recommendations", entry)).alias("list")
+    )
