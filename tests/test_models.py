@@ -4,6 +4,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -107,8 +108,10 @@ def brute_force(users, items, k):
     return sorted(best)
 
 
-@pytest.mark.parametrize("cell_rows", [7, 40, 1 << 18])
-def test_grid_scoring_equals_brute_force(spark, cell_rows):
+@pytest.mark.parametrize("cell_rows, tile", [(7, 4096), (40, 3), (None, 8), (None, 4096)])
+def test_grid_scoring_equals_brute_force(spark, monkeypatch, cell_rows, tile):
+    monkeypatch.setattr(scoring, "ITEM_TILE", tile)
+    monkeypatch.setattr(scoring, "USER_TILE", 2 * tile)
     rng = np.random.default_rng(3)
     # Small whole numbers make many equal scores.
     users = [(n, rng.integers(0, 3, 4).astype(float).tolist()) for n in range(60)]
@@ -121,9 +124,23 @@ def test_grid_scoring_equals_brute_force(spark, cell_rows):
     assert rows == brute_force(users, items, 5)
 
 
+@pytest.mark.parametrize("low", [-1.0, 0.0])
+def test_stopping_early_loses_nothing(low):
+    rng = np.random.default_rng(11)
+    items = rng.uniform(low, 1, (400, 6)) * rng.pareto(1.0, (400, 1))
+    users = rng.uniform(low, 1, (90, 6)).round(1)
+    score = scoring._cell_scorer(5, [], ["user_id", "rank", "item_id", "score"], 32, 16)
+    got = score(
+        pd.DataFrame({"user_id": range(90), "features": list(users)}),
+        pd.DataFrame({"item_id": range(400), "features": list(items)}),
+    )
+    rows = sorted((r.user_id, r.rank, r.item_id, round(r.score, 6)) for r in got.itertuples(index=False))
+    assert rows == brute_force(list(enumerate(users)), list(enumerate(items)), 5)
+
+
 def test_scoring_runs_where_the_package_is_not_installed(tmp_path):
     script = "import sys, pickle; print(pickle.load(open(sys.argv[1], 'rb')).__name__)"
-    (tmp_path / "f").write_bytes(cloudpickle.dumps(scoring._cell_scorer(5, ["path"], ["user_id"])))
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(scoring._cell_scorer(5, ["path"], ["user_id"], 8, 8)))
     done = subprocess.run(
         [sys.executable, "-c", script, str(tmp_path / "f")], cwd="/", capture_output=True, text=True,
         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},

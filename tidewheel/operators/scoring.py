@@ -8,47 +8,78 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Users and items per cell of the grid, and scores held at once inside a task.
-CELL_ROWS = 1 << 18
-TILE_SCORES = 1 << 22
+# Factor values per side of a grid cell, and rows of each side scored at once in a task.
+CELL_VALUES = 1 << 23
+USER_TILE = 1024
+ITEM_TILE = 4096
 
 
-def _cell_scorer(k: int, carried: list[str], names: list[str]):
+def _cell_scorer(k: int, carried: list[str], names: list[str], user_tile: int, item_tile: int):
     """The function that scores one cell of the grid.
 
-    It refers to nothing of this package, so executors need not have it installed.
+    Items are taken by falling length. An inner product is at most the product of both
+    lengths, so a user is done once that bound falls below the k-th best score; the slack
+    covers rounding. The function refers to nothing of this package, so executors need not
+    have it installed.
     """
-    tile_scores = TILE_SCORES
+    slack = 1 + 1e-9
 
-    def best(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, rank and column of each row's k largest scores; the lower column wins a tie."""
+    def best(scores: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's k largest scores in order, with their ids; the lower id wins a tie."""
         last = min(k, scores.shape[1])
         kth = np.partition(scores, -last, axis=1)[:, -last]
         rows, cols = np.nonzero(scores >= kth[:, None])
-        order = np.lexsort((cols, -scores[rows, cols], rows))
+        order = np.lexsort((ids[rows, cols], -scores[rows, cols], rows))
         rows, cols = rows[order], cols[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        chosen = place < last
-        return rows[chosen], place[chosen] + 1, cols[chosen]
+        chosen = np.arange(len(rows)) - np.searchsorted(rows, rows) < last
+        rows, cols = rows[chosen].reshape(-1, last), cols[chosen].reshape(-1, last)
+        return scores[rows, cols], ids[rows, cols]
+
+    def score_tile(users: np.ndarray, items: np.ndarray, lengths: np.ndarray, ids: np.ndarray):
+        reach = np.linalg.norm(users, axis=1) * slack
+        top, top_ids = np.empty((len(users), 0)), np.empty((len(users), 0), dtype=np.int64)
+        for start in range(0, len(ids), item_tile):
+            if top.shape[1] < k:
+                open_rows = np.arange(len(users))
+            else:
+                open_rows = np.nonzero(reach * lengths[start] >= top[:, -1])[0]
+                if not len(open_rows):
+                    break
+            part = slice(start, start + item_tile)
+            scores = users[open_rows] @ items[part].T
+            ids_here = np.broadcast_to(ids[part], scores.shape)
+            merged = best(
+                np.hstack([top[open_rows], scores]), np.hstack([top_ids[open_rows], ids_here])
+            )
+            if merged[0].shape[1] == top.shape[1]:
+                top[open_rows], top_ids[open_rows] = merged
+            else:
+                top, top_ids = merged
+        return top, top_ids
 
     def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         if users.empty or items.empty:
             return pd.DataFrame(columns=names)
-        by_id = items.sort_values("item_id")
-        item_ids = by_id["item_id"].to_numpy()
-        item_matrix = np.array(by_id["features"].tolist(), dtype=np.float64).T
-        user_matrix = np.array(users["features"].tolist(), dtype=np.float64)
-        step = max(1, tile_scores // len(item_ids))
+        ids = items["item_id"].to_numpy(dtype=np.int64)
+        vectors = np.array(items["features"].tolist(), dtype=np.float64)
+        lengths = np.linalg.norm(vectors, axis=1)
+        falling = np.argsort(-lengths)
+        ids, vectors, lengths = ids[falling], vectors[falling], lengths[falling]
+        user_vectors = np.array(users["features"].tolist(), dtype=np.float64)
         parts = []
-        for start in range(0, len(user_matrix), step):
-            scores = user_matrix[start : start + step] @ item_matrix
-            rows, ranks, cols = best(scores)
-            part = users.iloc[start + rows][["user_id", *carried]].reset_index(drop=True)
-            parts.append(part.assign(rank=ranks, item_id=item_ids[cols], score=scores[rows, cols]))
+        for start in range(0, len(user_vectors), user_tile):
+            top, top_ids = score_tile(user_vectors[start : start + user_tile], vectors, lengths, ids)
+            n, width = top.shape
+            who = users.iloc[np.repeat(np.arange(start, start + n), width)][["user_id", *carried]]
+            parts.append(
+                who.reset_index(drop=True).assign(
+                    rank=np.tile(np.arange(1, width + 1), n), item_id=top_ids.ravel(), score=top.ravel()
+                )
+            )
         return pd.concat(parts, ignore_index=True)[names]
 
     return score
@@ -60,28 +91,31 @@ def top_k_by_factors(
     k: int = 5,
     carry: Sequence[str] = (),
     n_users: int | None = None,
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """``(user_id, rank, item_id, score)`` and the ``carry`` columns of the users.
 
-    Every user is scored against every item, as a matrix product cut into a grid: items go
-    into cells of bounded size by hash of their id, users likewise, and each pair of cells is one group,
-    scored by numpy tile by tile. A group hands on only ``k`` items per user, and neither
-    table is broadcast or gathered in one place. ``n_users`` may give an upper bound of the
-    rows of ``user_factors`` where counting them is costly.
+    The scores are a matrix product cut into a grid: items go into cells of bounded size by
+    hash of their id, users likewise, and each pair of cells is one group, scored by numpy
+    tile by tile. A group hands on only ``k`` items per user, and neither table is broadcast
+    or gathered in one place. ``n_users`` may give an upper bound of the rows of
+    ``user_factors`` where counting them is costly.
     """
     spark = user_factors.sparkSession
-    n_items = item_factors.count()
+    size = item_factors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("rank")).first()
+    n_items = size["n"]
+    if cell_rows is None:
+        cell_rows = max(1, CELL_VALUES // max(1, size["rank"] or 1))
     n_users = user_factors.count() if n_users is None else n_users
     item_cells = max(1, math.ceil(n_items / cell_rows))
     for_memory = math.ceil(n_users / cell_rows)
     for_cores = min(4 * spark.sparkContext.defaultParallelism, math.ceil(n_users / 256))
     user_cells = max(1, for_memory, math.ceil(for_cores / item_cells))
 
-    def every(cells: int, name: str):
+    def every(cells: int, name: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias(name)
 
-    def one_of(cells: int, name: str):
+    def one_of(cells: int, name: str) -> Column:
         return F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int").alias(name)
 
     cell = ["_item_cell", "_user_cell"]
@@ -109,7 +143,7 @@ def top_k_by_factors(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    score = _cell_scorer(k, list(carry), out.names)
+    score = _cell_scorer(k, list(carry), out.names, USER_TILE, ITEM_TILE)
     best = users.groupBy(*cell).cogroup(items.groupBy(*cell)).applyInPandas(score, out)
     if item_cells == 1:
         return best

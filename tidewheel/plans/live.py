@@ -41,7 +41,14 @@ def start(
             metrics, at("window_metrics"), at("trending"), check("windows"), interval
         ),
         "snapshot": sinks.snapshot_sink(
-            clean, at("live_events"), at("live_metrics"), at("live_alerts"), check("snapshot"), interval, lateness, window
+            clean,
+            at("live_events"),
+            at("live_metrics"),
+            at("live_alerts"),
+            check("snapshot"),
+            interval,
+            lateness,
+            window,
         ),
         "messages": sinks.dead_letter_sink(
             validated, at("clean_events"), at("dead_letters"), check("messages"), interval

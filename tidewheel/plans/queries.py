@@ -128,8 +128,9 @@ def short_title(v: Views) -> DataFrame:
 def with_titles(v: Views) -> DataFrame:
     titles = indexing.item_titles(v.items(), v.item_metadata(), "record_order")
     rated = v.ratings_raw().select("l_orderkey", "l_linenumber", _item_number().alias("item_id"))
-    # Events name items that no part stands for, such as -1.
-    shown = rated.withColumn("item_id", F.when(F.col("l_linenumber") == 7, -F.col("item_id")).otherwise(F.col("item_id")))
+    # Some lines name items that no part stands for.
+    item = F.when(F.col("l_linenumber") == 7, -F.col("item_id")).otherwise(F.col("item_id"))
+    shown = rated.withColumn("item_id", item)
     return indexing.with_titles(shown, titles)
 
 
