@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.operators import recommend
 from tidewheel.sources import files
+from tidewheel.streaming import sinks
 
 TOP = "segment int, item_idx int, avg_rating double, n_ratings long, rank int"
 FACTORS = "id int, features array<float>"
@@ -56,6 +57,12 @@ def test_every_path(tables, users):
     assert items(got, 9) == [50, 51]
 
 
+def test_trending_items_from_a_named_view(spark, tables):
+    sinks.register_window_metrics(tables["window_metrics"])
+    best = recommend.global_trending_top_k(spark.table("window_metrics"), 3).collect()
+    assert [(r["item_id"], r["score"]) for r in best] == [(7, 7.0), (6, 6.0), (5, 5.0)]
+
+
 def test_nothing_trends(spark, tables, users):
     got = recommend.recommend(users, **{**tables, "window_metrics": tables["window_metrics"].limit(0)})
     assert paths(got)[-1] == "default_fallback"

@@ -156,11 +156,7 @@ def top_k_by_factors(
 
 
 def top_k_by_model(model: ALSModel, users: DataFrame, k: int = 5) -> DataFrame:
-    """The same list from a fitted model, for ``users`` with a ``user_idx`` column."""
-    lists = model.recommendForUserSubset(users.select("user_idx"), k)
-    return lists.select("user_idx", F.posexplode("recommendations").alias("place", "item")).select(
-        F.col("user_idx").alias("user_id"),
-        (F.col("place") + 1).alias("rank"),
-        F.col("item.item_idx").alias("item_id"),
-        F.col("item.rating").cast("double").alias("score"),
-    )
+    """The same list from a fitted model, for the ``users`` with a ``user_idx`` that it knows."""
+    asking = users.select(F.col("user_idx").alias("id")).distinct()
+    factors = model.userFactors.join(asking, "id", "left_semi")
+    return top_k_by_factors(factors, model.itemFactors, k)

@@ -169,8 +169,12 @@ def snapshot_sink(
             return spark.read.schema(schema).parquet(folder)
 
         before = read_snapshot(spark, events_path, EVENTS_SNAPSHOT, batch_id)
-        recent = trailing_snapshot(before.unionByName(batch), lateness, window)
-        events = store(recent, events_path, EVENTS_SNAPSHOT)
+        # The newest time and the rows are two passes over the batch.
+        joined = before.unionByName(batch).persist()
+        try:
+            events = store(trailing_snapshot(joined, lateness, window), events_path, EVENTS_SNAPSHOT)
+        finally:
+            joined.unpersist()
         metrics = store(item_metrics(events), metrics_path, METRICS_SNAPSHOT)
         newest = events.agg(F.max("event_time")).scalar()
         fresh = alert_feed(trending_alerts(metrics), spike_alerts(user_activity(events)), newest)
