@@ -4,10 +4,12 @@ import pytest
 from harness import duck_rows, spark_rows
 
 import __spark_entry__ as entry_point
+from tidewheel.plans import oracle
+from tidewheel.plans import queries as plans
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = plans.queries()
+SQL = oracle.oracle_sql()
 ROWS_ONLY = {
     "assign_segments",
     "bernoulli_sample",
@@ -31,6 +33,11 @@ def test_same_rows(spark, name):
     assert rows == sql_rows
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
+
+
 def test_entry_returns_five_items_per_segment(spark):
     best = entry_point.entry(spark).collect()
     assert len(best) == 25

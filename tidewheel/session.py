@@ -43,15 +43,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. ``options`` go to the writer.
 
     Later plans start from the stored files, so they neither repeat the work above nor
     depend on executors staying alive.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
