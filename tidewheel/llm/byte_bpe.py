@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
+from tidewheel.llm.workers import importable
+
 # First of the 256 letters that stand for bytes.
 LETTERS = 0x100
 TO_LETTERS = {b: LETTERS + b for b in range(256)}
@@ -131,6 +133,7 @@ def coders(path: str, pattern: str) -> tuple[Callable[[Column], Column], Callabl
 
 def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of ``text``; a column that is called ``out`` already is replaced."""
+    importable(docs.sparkSession)
     encode, _ = coders(path, pattern)
     return docs.withColumn(out, encode(F.col(text)))
 

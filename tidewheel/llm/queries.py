@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import byte_bpe
+from tidewheel.llm import byte_bpe, context_mixing
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -16,13 +16,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model score of every document."""
+    return context_mixing.score(table(spark, folder, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     return byte_bpe.digests(table(spark, folder, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_byte_bpe,)}
+    return {f.__name__: f for f in (op1_context_mixing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
