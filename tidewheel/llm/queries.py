@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import byte_bpe, context_mixing
+from tidewheel.llm import byte_bpe, context_mixing, quality_rules
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,13 +21,19 @@ def op1_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return context_mixing.score(table(spark, folder, "documents"))
 
 
+def op6_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base measures and verdict of every document."""
+    trusted = quality_rules.trusted_ids(table(spark, folder, "labels"))
+    return quality_rules.judged(table(spark, folder, "documents").select("doc_id", "text"), trusted)
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     return byte_bpe.digests(table(spark, folder, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op6_likelihood_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
