@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, quality_rules
+from tidewheel.llm import byte_bpe, context_mixing, mixing, quality_rules, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -21,6 +22,18 @@ def op1_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return context_mixing.score(table(spark, folder, "documents"))
 
 
+def op2_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of every document."""
+    return sharding.sharded(table(spark, folder, "documents"))
+
+
+def op3_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pass of every document in the mixture of sources."""
+    taken = mixing.mixed(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    whole = taken.drop("text").withColumn("source", F.coalesce("source", F.lit("")))
+    return whole.withColumn("mix_weight", F.round("mix_weight", 9))
+
+
 def op6_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and verdict of every document."""
     trusted = quality_rules.trusted_ids(table(spark, folder, "labels"))
@@ -33,8 +46,8 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op6_likelihood_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op6_likelihood_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_extendible_shards": sharding.SQL, "op3_temperature_mix": mixing.SQL}
