@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, mixing, quality_rules, sharding
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, mixing, quality_rules, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -34,6 +34,11 @@ def op3_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
     return whole.withColumn("mix_weight", F.round("mix_weight", 9))
 
 
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document under links of similar n-grams."""
+    return jaccard.joined(table(spark, folder, "documents"))
+
+
 def op6_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and verdict of every document."""
     trusted = quality_rules.trusted_ids(table(spark, folder, "labels"))
@@ -46,7 +51,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op6_likelihood_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op6_likelihood_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
