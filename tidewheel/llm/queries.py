@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, jaccard, mixing, quality_rules, sharding
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, mixing, multi_index, quality_rules, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -39,6 +39,11 @@ def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.joined(table(spark, folder, "documents"))
 
 
+def op5_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return multi_index.nearest(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op6_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and verdict of every document."""
     trusted = quality_rules.trusted_ids(table(spark, folder, "labels"))
@@ -51,7 +56,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op6_likelihood_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
