@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, jaccard, mixing, multi_index, quality_rules, sharding
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, mixing, multi_index, quality_rules, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -50,14 +50,20 @@ def op6_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents").select("doc_id", "text"), trusted)
 
 
+def op9_line_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines removed from every document, and a digest of what is left."""
+    left = line_dedup.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     return byte_bpe.digests(table(spark, folder, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op9_line_neighbours, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_extendible_shards": sharding.SQL, "op3_temperature_mix": mixing.SQL}
+    return {"op2_extendible_shards": sharding.SQL, "op3_temperature_mix": mixing.SQL, "op9_line_neighbours": line_dedup.SQL}
