@@ -49,7 +49,7 @@ def _downward(edges: DataFrame) -> DataFrame:
 def _mark(edges: DataFrame) -> tuple:
     """Equal for equal sets of edges, and one row whatever their number."""
     mixed = F.xxhash64("big", "small").cast("decimal(20)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed), F.sum("small")).first())
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed), F.sum(F.col("small").cast("decimal(20)"))).first())
 
 
 #: Leader rounds go on while the pairs left to look at are more than so many times the bucket rows.
