@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.links import linked
-from tidewheel.llm.shingles import Shingler
+from tidewheel.llm.shingles import sets as sets_of
 from tidewheel.llm.sized import broadcast_if_few
 from tidewheel.llm.workers import importable
 from tidewheel.session import written
@@ -42,9 +42,9 @@ CHUNK = 1 << 16
 
 def _count(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, shingler = np.zeros(1 << TABLE_BITS, np.int64), Shingler(width)
+        counts = np.zeros(1 << TABLE_BITS, np.int64)
         for batch in batches:
-            for one in shingler.sets(text.as_py() for text in batch.column("text")):
+            for one in sets_of((text.as_py() for text in batch.column("text")), width):
                 # Places of one set may meet in the table.
                 np.add.at(counts, (one >> np.uint64(64 - TABLE_BITS)).astype(np.int64), 1)
         for number, chunk in enumerate(counts.reshape(-1, CHUNK)):
@@ -98,10 +98,10 @@ def _node(digest: bytes) -> int:
 
 def _sets(order: Broadcast, width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, own = Shingler(width), Order(order.value)
+        own = Order(order.value)
         for batch in batches:
             rows = {"doc_id": batch.column("doc_id").to_pylist(), "n": [], "node": [], "leading": []}
-            for one in shingler.sets(text.as_py() for text in batch.column("text")):
+            for one in sets_of((text.as_py() for text in batch.column("text")), width):
                 n = len(one)
                 # Two sets that are alike share one of these, whichever the partner's size.
                 leading = n - -(-n * percent // 100) + 1 if n else 0
@@ -123,11 +123,11 @@ def _sets(order: Broadcast, width: int, percent: int):
 
 def _segments(order: Broadcast, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, own = Shingler(width), Order(order.value)
+        own = Order(order.value)
         for batch in batches:
             nodes, fragments, segments = [], [], []
             wanted = batch.column("node").to_pylist()
-            for node, one in zip(wanted, shingler.sets(text.as_py() for text in batch.column("text")), strict=True):
+            for node, one in zip(wanted, sets_of((text.as_py() for text in batch.column("text")), width), strict=True):
                 if _node(_digest(one)) != node:
                     continue  # another row with the same doc_id
                 members, places = own.ordered(one)
