@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, mixing, multi_index, quality_rules, sharding
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, mixing, multi_index, quality_rules, resampling, sharding
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -50,6 +50,14 @@ def op6_likelihood_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents").select("doc_id", "text"), trusted)
 
 
+def op7_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight and verdict of every document, drawn towards the ones labelled good."""
+    labels = table(spark, folder, "labels")
+    # As many documents as the labels call good; those that are not toxic are the target.
+    share = labels.agg(F.avg((F.col("quality") == 1).cast("int"))).first()[0] or 0.0
+    return resampling.resampled(table(spark, folder, "documents"), quality_rules.trusted_ids(labels), share)
+
+
 def op9_line_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """Lines removed from every document, and a digest of what is left."""
     left = line_dedup.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
@@ -62,7 +70,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op9_line_neighbours, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op9_line_neighbours, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
