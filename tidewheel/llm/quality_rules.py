@@ -29,25 +29,29 @@ MOST_REPEATED = 30  # percent
 GAP = r"[\x20\x09-\x0D]+"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
+SPACES = " \t\n\x0b\x0c\r"
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def with_words(docs: DataFrame) -> DataFrame:
-    """``docs`` with the words of the text (``_words``), their hashes (``_hashes``) and number (``_n``)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    words = docs.withColumn("_words", F.filter(F.split(text, GAP), lambda w: w != ""))
-    hashed = words.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    return hashed.withColumn("_n", F.size("_words"))
+    """``docs`` with the words of the text (``_words``), their number (``_n``), and the hashes of
+    words (``_hashes``) and of pairs of neighbours (``_pairs``)."""
+    text = F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES))
+    df = docs.withColumn("_trimmed", text)
+    words = F.when(F.col("_trimmed") == "", F.array().cast("array<string>")).otherwise(F.split("_trimmed", GAP))
+    df = df.withColumn("_words", words).drop("_trimmed")
+    df = df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w))).withColumn("_n", F.size("_words"))
+    first = F.slice("_hashes", F.lit(1), F.greatest(F.col("_n") - 1, F.lit(0)))
+    return df.withColumn("_pairs", F.transform(first, lambda h, i: F.xxhash64(h, F.col("_hashes")[i + 1])))
 
 
-def _bucket(hashed: Column) -> Column:
-    return hashed.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int")
+def ngrams() -> Column:
+    """Hashes of all words and of all pairs of neighbours."""
+    return F.concat("_hashes", "_pairs")
 
 
-def buckets() -> Column:
-    """Buckets of all words and of all pairs of neighbours."""
-    first = F.slice("_hashes", F.lit(1), F.greatest(F.col("_n") - 1, F.lit(0)))
-    pairs = F.transform(first, lambda h, i: _bucket(F.xxhash64(h, F.col("_hashes")[i + 1])))
-    return F.concat(F.transform("_hashes", _bucket), pairs)
+def bucket() -> Column:
+    return F.col("_hash").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int")
 
 
 def weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -56,8 +60,8 @@ def weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     marked = docs.select("doc_id", "text").join(ids.withColumn("_trusted", F.lit(True)), "doc_id", "left")
     counts = (
         with_words(marked)
-        .select("_trusted", F.explode(buckets()).alias("bucket"))
-        .groupBy("bucket")
+        .select("_trusted", F.explode(ngrams()).alias("_hash"))
+        .groupBy(bucket().alias("bucket"))
         .agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target"))
     )
     # The totals of both multinomials; the two smoothing terms are the same number of expected n-grams.
@@ -71,7 +75,7 @@ def weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def repeated_words(df: DataFrame) -> DataFrame:
     """``df`` with the number of words in windows that occur twice or more (``n_repeat_words``)."""
     at = F.when(F.col("_n") >= WINDOW, F.sequence(F.lit(0), F.col("_n") - WINDOW)).otherwise(F.array().cast("array<int>"))
-    window = F.transform(at, lambda i: F.xxhash64(*(F.col("_hashes")[i + k] for k in range(WINDOW))))
+    window = F.transform(at, lambda i: F.xxhash64(*(F.col("_pairs")[i + k] for k in range(0, WINDOW, 2))))
     df = df.withColumn("_windows", window)
     # Most texts repeat no window; only the others are sorted.
     some = F.size(F.array_distinct("_windows")) < F.size("_windows")
@@ -103,18 +107,20 @@ def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     df = df.withColumn("_lines", F.filter("_lines", lambda line: line.rlike(HAS_WORD)))
     df = (
         df.withColumn("n_words", F.col("_n").cast("long"))
-        .withColumn("word_chars", F.aggregate("_words", F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)))
+        .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
         .withColumn("n_symbols", F.coalesce(F.regexp_count("text", F.lit(SYMBOLS)), F.lit(0)).cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
         .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_bucket", F.explode_outer(buckets()))
-        .drop("text", "_words", "_hashes", "_n", "_lines")
+        .withColumn("_hash", F.explode_outer(ngrams()))
+        .drop("text", "_words", "_hashes", "_pairs", "_n", "_lines")
     )
     # At most 1 << BUCKET_BITS rows, whatever the corpus.
-    weighed = df.join(F.broadcast(weights(docs, trusted)), F.col("_bucket") == F.col("bucket"), "left")
-    kept = [name for name in df.columns if name not in ("_bucket", "_row")]
-    # The n-grams of a row lie in one task, so that one partial sum of each row is shuffled.
-    df = weighed.groupBy("_row", *kept).agg(F.avg("weight").alias("llr")).drop("_row")
+    weighed = df.join(F.broadcast(weights(docs, trusted)), bucket() == F.col("bucket"), "left")
+    # The n-grams of a row lie in one task, so that one partial sum of each row is shuffled. The
+    # measures are the same on all of them.
+    others = [name for name in df.columns if name not in ("_hash", "_row", "doc_id", *MEASURES)]
+    same = [F.max(name).alias(name) for name in ("doc_id", *MEASURES)]
+    df = weighed.groupBy("_row", *others).agg(*same, F.avg("weight").alias("llr")).drop("_row")
     few = F.col("n_words") < LEAST_WORDS
     failed = few | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     df = df.withColumn("base_failed", failed)
