@@ -27,7 +27,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.links import linked
+from tidewheel.llm.links import linked, shared_keys
 from tidewheel.llm.shingles import sets as sets_of
 from tidewheel.llm.sized import broadcast_if_few
 from tidewheel.llm.workers import importable
@@ -164,8 +164,7 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     buckets = nodes.select(F.explode("leading").alias("key"), "node", F.col("n").alias("size"))
 
     # Only documents that share a leading n-gram with another are cut into segments.
-    several = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
-    shared = written(buckets.join(several, "key"), "buckets")
+    shared = shared_keys(buckets)
     partners = shared.select("node").distinct()
     wanted = nodes.join(partners, "node").select("node", F.col("doc_id").alias("_id"))
     again = texts.join(broadcast_if_few(wanted), F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.sized import broadcast_if_few
 from tidewheel.session import written
 
 
@@ -57,15 +58,23 @@ MANY = 2
 MOST_ROUNDS = 6
 
 
+def shared_keys(buckets: DataFrame) -> DataFrame:
+    """Rows of ``buckets`` (key, node, size) whose key several nodes have, stored."""
+    ends = buckets.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    several = written(ends.filter("least <> most").select("key"), "keys")
+    return written(buckets.join(broadcast_if_few(several), "key").distinct(), "buckets")
+
+
 def linked(
-    buckets: DataFrame,
+    shared: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     may: Callable[[Column, Column], Column] = lambda a, b: F.lit(True),
 ) -> DataFrame:
     """Components of all nodes that share a bucket and that ``verify`` links.
 
-    ``buckets`` has key, node and size; ``verify`` takes pairs (a, b) and returns those that are
-    links; ``may`` tells from two sizes whether a link is possible.
+    ``shared`` has key, node and size of buckets that several nodes have, and is read often;
+    ``verify`` takes pairs (a, b) and returns those that are links; ``may`` tells from two sizes
+    whether a link is possible.
 
     A group of k nodes that share buckets has k * k pairs, but most links say nothing new. So each
     bucket first compares its members with one of them, the leader, and components are formed.
@@ -73,9 +82,7 @@ def linked(
     the end all pairs of a bucket whose ends lie in different components are compared. Then every
     pair has been compared or is connected already: the components are those of all links.
     """
-    spark = buckets.sparkSession
-    several = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    shared = written(buckets.join(several, "key"), "shared")
+    spark = shared.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, component long")
     rows = shared.count()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, mixing, multi_index, quality_rules, resampling, sharding
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, mixing, multi_index, quality_rules, resampling, sharding, substring_dedup
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -58,6 +58,11 @@ def op7_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.resampled(table(spark, folder, "documents"), quality_rules.trusted_ids(labels), share)
 
 
+def op8_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages that several documents share."""
+    return substring_dedup.repeated(table(spark, folder, "documents"))
+
+
 def op9_line_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """Lines removed from every document, and a digest of what is left."""
     left = line_dedup.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
@@ -70,7 +75,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op9_line_neighbours, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op8_paragraph_minhash, op9_line_neighbours, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
