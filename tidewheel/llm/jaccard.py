@@ -169,14 +169,16 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     wanted = nodes.join(partners, "node").select("node", F.col("doc_id").alias("_id"))
     again = texts.join(broadcast_if_few(wanted), F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
     cut = again.mapInArrow(_segments(order, width), "node long, fragment int, segment array<bigint>")
-    segments = written(cut.dropDuplicates(["node", "fragment"]), "segments")
+    segments = written(cut, "segments")
     sizes = nodes.select("node", "n")
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = segments.select(F.col("node").alias("a"), "fragment", F.col("segment").alias("of_a"))
         two = segments.select(F.col("node").alias("b"), "fragment", F.col("segment").alias("of_b"))
         met = pairs.join(one, "a").join(two, ["b", "fragment"])
-        partial = met.select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("overlap"))
+        overlap = F.size(F.array_intersect("of_a", "of_b"))
+        # A repeated row has its segments twice, with the same overlap.
+        partial = met.groupBy("a", "b", "fragment").agg(F.max(overlap).alias("overlap"))
         total = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
         total = total.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
         total = total.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
