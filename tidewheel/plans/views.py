@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewheel.functions import label_column
 from tidewheel.operators.cleaning import clean_ratings
 from tidewheel.operators.events import clean_events, parse_events, validate_events
-from tidewheel.session import spread_if_few, use_utc
+from tidewheel.session import use_utc
 
 # Events lie minutes apart, so windows are wider here than the defaults; window and slide
 # keep their ratio of three to one.
@@ -30,7 +30,7 @@ class Views:
     # Reviews
 
     def ratings_raw(self) -> DataFrame:
-        lines = spread_if_few(self.table("lineitem"), "l_orderkey")
+        lines = self.table("lineitem")
         orders = self.table("orders")
         rating = F.when(F.col("l_quantity") == 50, F.lit(None)).otherwise(F.col("l_quantity") % 7)
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
@@ -121,7 +121,7 @@ class Views:
             )
         )
         arrival = F.col("ts").cast("timestamp") + F.make_dt_interval(secs=F.col("event_id") % 7)
-        return spread_if_few(self.table("events"), "event_id").select(
+        return self.table("events").select(
             F.when(F.col("event_type") == "error", bad).otherwise(good).alias("value"),
             arrival.alias("timestamp"),
         )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,15 +33,12 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local session without one gets its own."""
+    """The shared folder the cluster names; without one, a folder in the warehouse, shared as well."""
     root = spark.conf.get(CHECKPOINT_SETTING, None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tidewheel-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        spark.conf.set(CHECKPOINT_SETTING, root)
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -47,19 +46,73 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back. ``options`` go to the writer.
 
     Later plans start from the stored files, so they neither repeat the work above nor
-    depend on executors staying alive.
+    depend on executors staying alive. The table lasts until ``discard`` or the end of the
+    application.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for log in _logs:
+        log.append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
 
 
-def spread_if_few(df: DataFrame, key: str) -> DataFrame:
-    """Spreads a stored table over the cores if its files make fewer tasks than that.
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing will read any more."""
+    for table in tables:
+        path = getattr(table, "_stored_at", None)
+        if path:
+            _delete(table.sparkSession, path)
 
-    A small table may be a single block, and everything up to the next shuffle would then
-    run in one task. Tables with enough blocks are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of all tables written meanwhile."""
+    log: list[str] = []
+    _logs.append(log)
+    try:
+        yield log
+    finally:
+        _logs.remove(log)
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        _delete(spark, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes all tables written meanwhile; for work whose results are stored elsewhere at the end."""
+    with recorded() as paths:
+        try:
+            yield
+        finally:
+            delete_tables(spark, paths)
+
+
+_logs: list[list[str]] = []
+_folders: set[str] = set()
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder, which goes when the application ends."""
+    folder = f"{checkpoint_root(spark).rstrip('/')}/tidewheel-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_at_end, spark, folder)
+    return folder
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _at_end(spark: SparkSession, folder: str) -> None:
+    # A session that was stopped has left its tables; the next cleaning of the shared folder takes them.
+    if spark.sparkContext._jsc is not None:
+        _delete(spark, folder)
