@@ -31,7 +31,7 @@ from tidewheel.llm.links import linked, shared_keys
 from tidewheel.llm.shingles import sets as sets_of
 from tidewheel.llm.sized import broadcast_if_few
 from tidewheel.llm.workers import importable
-from tidewheel.session import written
+from tidewheel.session import discard, written
 
 # Parameters.
 WIDTH = 3
@@ -185,6 +185,7 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
         return total.filter(F.expr(f"100 * overlap >= {percent} * (n_a + n_b - overlap)")).select("a", "b")
 
     labels = linked(shared, verify, _alike(percent))
+    discard(segments, shared)
     ids = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = ids.join(least, "component").select("node", "component_id")

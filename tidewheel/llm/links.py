@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.sized import broadcast_if_few
-from tidewheel.session import written
+from tidewheel.session import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,14 +32,16 @@ def components(edges: DataFrame) -> DataFrame:
         hung = large.join(smallest, "big").filter("small <> least").select(
             F.col("small").alias("big"), F.col("least").alias("small")
         )
-        now = written(hung.unionByName(smallest.withColumnRenamed("least", "small")).distinct(), "edges")
+        older, now = now, written(hung.unionByName(smallest.withColumnRenamed("least", "small")).distinct(), "edges")
+        discard(older)
         before, mark = mark, _mark(now)
         if before == mark:
             break
     roots = now.select(F.col("small").alias("node")).distinct()
-    return now.select(F.col("big").alias("node"), F.col("small").alias("component")).unionByName(
-        roots.withColumn("component", F.col("node"))
-    )
+    stars = now.select(F.col("big").alias("node"), F.col("small").alias("component"))
+    out = written(stars.unionByName(roots.withColumn("component", F.col("node"))), "components")
+    discard(now)
+    return out
 
 
 def _downward(edges: DataFrame) -> DataFrame:
@@ -62,7 +64,9 @@ def shared_keys(buckets: DataFrame) -> DataFrame:
     """Rows of ``buckets`` (key, node, size) whose key several nodes have, stored."""
     ends = buckets.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     several = written(ends.filter("least <> most").select("key"), "keys")
-    return written(buckets.join(broadcast_if_few(several), "key").distinct(), "buckets")
+    shared = written(buckets.join(broadcast_if_few(several), "key").distinct(), "buckets")
+    discard(several)
+    return shared
 
 
 def linked(
@@ -94,24 +98,27 @@ def linked(
         leaders = now.groupBy("key").agg(F.min(rank).alias("leader"))
         found = now.join(leaders, "key").filter("component <> leader.component")
         found = found.filter(may(F.col("size"), F.col("leader.size")))
-        pairs = _pairs(found.select(F.col("leader.node").alias("x"), F.col("node").alias("y")))
-        edges = written(edges.unionByName(verify(written(pairs, "pairs"))), "links")
-        labels = written(components(edges), "labels")
+        edges, labels = _grown(edges, labels, found.select(F.col("leader.node").alias("x"), F.col("node").alias("y")), verify)
         if _left(_labelled(shared, labels)) <= MANY * rows:
             break
     now = written(_labelled(shared, labels), "labelled")
     inside = now.select("key", "component").distinct()
     open_keys = inside.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    now = now.join(open_keys, "key")
-    other = now.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("apart"))
-    across = now.join(other, "key").filter("component < apart").filter(may(F.col("size"), F.col("other_size")))
-    pairs = _pairs(across.select(F.col("node").alias("x"), F.col("other").alias("y")))
-    rest = written(verify(written(pairs, "pairs")), "links")
-    return written(components(edges.unionByName(rest)), "labels")
-
-
-def _pairs(found: DataFrame) -> DataFrame:
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    some = now.join(open_keys, "key")
+    other = some.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("apart"))
+    across = some.join(other, "key").filter("component < apart").filter(may(F.col("size"), F.col("other_size")))
+    edges, labels = _grown(edges, labels, across.select(F.col("node").alias("x"), F.col("other").alias("y")), verify)
+    discard(now, edges)
+    return labels
+
+
+def _grown(edges: DataFrame, labels: DataFrame, found: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
+    """Edges and labels after the pairs that were found have been compared."""
+    pairs = written(found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+    grown = written(edges.unionByName(verify(pairs)), "links")
+    again = components(grown)
+    discard(pairs, edges, labels)
+    return grown, again
 
 
 def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
