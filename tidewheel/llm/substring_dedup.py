@@ -30,7 +30,7 @@ from tidewheel.llm.links import linked, shared_keys
 from tidewheel.llm.shingles import STEP, Text, finished, gathered
 from tidewheel.llm.sized import broadcast_if_few
 from tidewheel.llm.workers import importable
-from tidewheel.session import written
+from tidewheel.session import discard, written
 
 # Parameters.
 WIDTH = 5
@@ -186,6 +186,7 @@ def classes(docs: DataFrame) -> DataFrame:
         return met.filter(F.col("overlap") * 100 >= both * SIMILAR).select("a", "b")
 
     labels = linked(shared, verify)
+    discard(shared, sets, wanted)
     named = units.drop("keys").join(broadcast_if_few(labels), "node", "left")
     return named.withColumn("component", F.coalesce("component", "node"))
 
