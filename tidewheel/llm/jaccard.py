@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.links import linked, shared_keys
+from tidewheel.llm.shingles import gathered
 from tidewheel.llm.shingles import sets as sets_of
 from tidewheel.llm.sized import broadcast_if_few
 from tidewheel.llm.workers import importable
@@ -125,21 +126,24 @@ def _segments(order: Broadcast, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Order(order.value)
         for batch in batches:
-            nodes, fragments, segments = [], [], []
-            wanted = batch.column("node").to_pylist()
-            for node, one in zip(wanted, sets_of((text.as_py() for text in batch.column("text")), width), strict=True):
-                if _node(_digest(one)) != node:
-                    continue  # another row with the same doc_id
-                members, places = own.ordered(one)
-                cuts = np.flatnonzero(np.diff(places)) + 1
-                for part, place in zip(np.split(members, cuts), places[np.concatenate([[0], cuts])], strict=True):
-                    nodes.append(node)
-                    fragments.append(int(place))
-                    segments.append(part.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(fragments, pa.int32()), pa.array(segments, pa.list_(pa.int64()))],
-                ["node", "fragment", "segment"],
-            )
+            wanted = iter(batch.column("node").to_pylist())
+            for texts in gathered(text.as_py() for text in batch.column("text")):
+                nodes, fragments, lengths, segments = [], [], [], []
+                for one in sets_of(texts, width):
+                    node = next(wanted)
+                    if _node(_digest(one)) != node:
+                        continue  # another row with the same doc_id
+                    members, places = own.ordered(one)
+                    cuts = np.flatnonzero(np.diff(places, prepend=-1))
+                    nodes.append(np.full(len(cuts), node, np.int64))
+                    fragments.append(places[cuts])
+                    lengths.append(np.diff(cuts, append=len(members)))
+                    segments.append(members.view(np.int64))
+                if nodes:
+                    ends = np.cumsum(np.concatenate([[0], *lengths])).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(ends, np.concatenate(segments))
+                    rows = [pa.array(np.concatenate(nodes)), pa.array(np.concatenate(fragments)), lists]
+                    yield pa.RecordBatch.from_arrays(rows, ["node", "fragment", "segment"])
 
     return run
 

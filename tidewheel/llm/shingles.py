@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 # Bytes that are handled at a time; a longer text goes on in the next stretch.
-STRETCH = 1 << 21
+STRETCH = 1 << 19
 # Odd multipliers: fixed values.
 BASE, STEP, FINAL = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
