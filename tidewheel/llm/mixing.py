@@ -12,7 +12,8 @@ exactly once, so that every row appears.
 Tokens are words and one end mark. A null source counts as the source ''. A null or empty text has
 one token. Rows with the same doc_id stand at the same place and are taken or left together, unless
 the last pass stops between them, where those with fewer tokens come first. Extra columns are kept.
-An empty table gives an empty one.
+Columns named mix_* are
+replaced; names that begin with an underscore are reserved. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -124,15 +125,16 @@ def mixed(docs: DataFrame, repeats: float | None = REPEATS, entropy: float | Non
     totals = slim.groupBy("_source").agg(F.sum("_tokens").alias("total"))
     shares = written(weights(totals, repeats, entropy, budget), "mix-weights")
     ends = written(plan(slim, shares), "mix-plan")
+    ends = ends.select("_source", *(F.col(name).alias(f"_{name}") for name in ("weight", "whole", "stop_block", "stop")))
+    added = ("mix_weight", "mix_pass", "mix_block", "mix_place")
+    docs = docs.drop(*added)
     rows = docs.withColumns({"_source": source(), "_tokens": tokens()}).join(broadcast_if_few(ends), "_source")
-    rows = rows.withColumn("mix_pass", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int"))))
+    rows = rows.withColumn("mix_pass", F.explode(F.sequence(F.lit(0), F.col("_whole").cast("int"))))
     rows = rows.withColumn("mix_place", place(F.col("mix_pass"))).withColumn("mix_block", block(F.col("mix_place")))
-    within = (F.col("mix_block") < F.col("stop_block")) | (
-        (F.col("mix_block") == F.col("stop_block")) & (F.struct(F.col("mix_place").alias("_place"), "_tokens") <= F.col("stop"))
-    )
-    taken = (F.col("mix_pass") < F.col("whole")) | F.coalesce(within, F.lit(False))
-    kept = [F.col(name) for name in docs.columns if name not in ("mix_weight", "mix_pass", "mix_block", "mix_place")]
-    return rows.filter(taken).select(*kept, F.col("weight").alias("mix_weight"), "mix_pass", "mix_block", "mix_place")
+    here = F.struct(F.col("mix_place").alias("_place"), "_tokens")
+    last = (F.col("mix_block") == F.col("_stop_block")) & (here <= F.col("_stop"))
+    taken = (F.col("mix_pass") < F.col("_whole")) | F.coalesce((F.col("mix_block") < F.col("_stop_block")) | last, F.lit(False))
+    return rows.filter(taken).select(*docs.columns, F.col("_weight").alias("mix_weight"), *added[1:])
 
 
 #: What ``mixed`` takes from documents, with the default parameters.

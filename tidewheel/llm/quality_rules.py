@@ -100,9 +100,10 @@ def repeated_words(df: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """``docs`` without the text, with the base measures, ``llr`` (null without words) and ``kept``.
 
-    Columns of ``docs`` with the name of a measure are replaced.
+    Columns of ``docs`` with the name of a measure are replaced; names that begin with an
+    underscore are reserved.
     """
-    df = repeated_words(with_words(docs))
+    df = repeated_words(with_words(docs.drop(*MEASURES, "llr", "base_failed", "kept")))
     df = df.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     df = df.withColumn("_lines", F.filter("_lines", lambda line: line.rlike(HAS_WORD)))
     df = (
@@ -115,12 +116,13 @@ def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         .drop("text", "_words", "_hashes", "_pairs", "_n", "_lines")
     )
     # At most 1 << BUCKET_BITS rows, whatever the corpus.
-    weighed = df.join(F.broadcast(weights(docs, trusted)), bucket() == F.col("bucket"), "left")
+    table = weights(docs, trusted).select(F.col("bucket").alias("_bucket"), F.col("weight").alias("_weight"))
+    weighed = df.join(F.broadcast(table), bucket() == F.col("_bucket"), "left")
     # The n-grams of a row lie in one task, so that one partial sum of each row is shuffled. The
     # measures are the same on all of them.
     others = [name for name in df.columns if name not in ("_hash", "_row", "doc_id", *MEASURES)]
     same = [F.max(name).alias(name) for name in ("doc_id", *MEASURES)]
-    df = weighed.groupBy("_row", *others).agg(*same, F.avg("weight").alias("llr")).drop("_row")
+    df = weighed.groupBy("_row", *others).agg(*same, F.avg("_weight").alias("llr")).drop("_row")
     few = F.col("n_words") < LEAST_WORDS
     failed = few | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     df = df.withColumn("base_failed", failed)
