@@ -54,24 +54,16 @@ def test_empty_input(spark):
     assert cleaning.cleaning_report(empty).first()["rows_in"] == 0
 
 
-def test_caps(spark):
-    df = spark.range(1000).withColumn("key", (F.col("id") * 7919) % 1000).repartition(7)
-    assert cleaning.cap_rows(df, 10).count() == 10
-    first = cleaning.cap_rows(df, 10, [F.col("key").desc()])
-    assert sorted(r["key"] for r in first.collect()) == list(range(990, 1000))
-    assert cleaning.cap_rows(df, 5000, [F.col("key")]).count() == 1000
-
-
 @pytest.fixture(scope="module")
 def pairs(spark):
     return spark.range(20_000).selectExpr("id % 200 AS user_id", "id AS item_id")
 
 
 def test_sample_is_near_its_fraction_and_independent_of_layout(pairs):
-    sample = kept(cleaning.bernoulli_sample(pairs))
+    sample = kept(cleaning.bernoulli_sample(pairs, 0.1))
     assert 1700 < len(sample) < 2300
-    assert sample == kept(cleaning.bernoulli_sample(pairs.repartition(13, "item_id")))
-    assert sample != kept(cleaning.bernoulli_sample(pairs, seed=7))
+    assert sample == kept(cleaning.bernoulli_sample(pairs.repartition(13, "item_id"), 0.1))
+    assert sample != kept(cleaning.bernoulli_sample(pairs, 0.1, seed=7))
 
 
 def test_split_keeps_every_row_once(pairs):

@@ -123,6 +123,12 @@ def test_an_event_falls_into_three_sliding_windows(spark):
     assert all((r["avg_rating"], r["interaction_count"], r["engagement_score"]) == (4.0, 2, 0.2667) for r in metrics)
 
 
+def test_score_is_per_second_of_the_window(spark):
+    one = stream(spark, [(1, 2, 3.0, 5, 0)])
+    scores = {r["engagement_score"] for r in windows.windowed_item_metrics(one, "60 seconds", "60 seconds").collect()}
+    assert scores == {0.05}
+
+
 def test_snapshot_bounds_are_inclusive(spark):
     df = stream(spark, [(n, 1, 3.0, s, 0) for n, s in enumerate([0, -15, -15.5, -30, -31])])
     assert windows.trailing_snapshot(df).count() == 2
@@ -130,26 +136,29 @@ def test_snapshot_bounds_are_inclusive(spark):
     assert windows.trailing_snapshot(df.limit(0)).count() == 0
 
 
-def test_throughput_compares_with_the_bucket_before(spark, monkeypatch):
-    rows = [(1, 1, 3.0, s, 0) for s in [0] * 6 + [60] * 3 + [300] * 9 + [7200] * 3]
-    expected = [(6, None), (3, -50.0), (9, 200.0), (3, pytest.approx(-66.6667, abs=1e-3))]
-    for per_task in (10_000, 2, 1):
-        monkeypatch.setattr(windows, "BUCKETS_PER_TASK", per_task)
-        got = windows.throughput(stream(spark, rows)).orderBy("bucket_start").collect()
-        assert [(r["n_events"], r["percent_change"]) for r in got] == expected
-        assert got[0]["events_per_second"] == pytest.approx(0.1)
+def test_throughput_fills_silent_buckets(spark):
+    rows = [(1, 1, 3.0, s, 0) for s in [0] * 6 + [60] * 3 + [240] * 9]
+    got = windows.throughput(stream(spark, rows)).orderBy("bucket_start").collect()
+    assert [(r["n_events"], r["percent_change"]) for r in got] == [
+        (6, None), (3, -50.0), (0, -100.0), (0, None), (9, None)
+    ]
+    assert [r["bucket_start"] for r in got] == [at(60 * n) for n in range(5)]
+    assert got[0]["events_per_second"] == pytest.approx(0.1)
+    assert windows.throughput(stream(spark, [])).count() == 0
 
 
 def test_latency_share_is_below_the_target(spark):
     got = windows.ingest_latency(stream(spark, [(1, 1, 3.0, 0, d) for d in (1, 2, 3, 5)])).first()
     assert (got["n_events"], got["p50"], got["p99"], got["share_under_target"]) == (4, 2.0, 5.0, 0.75)
+    many = windows.ingest_latency(stream(spark, [(1, 1, 3.0, 0, d / 100) for d in range(1, 1001)])).first()
+    assert (many["p50"], many["p95"], many["p99"]) == (5.0, 9.5, 9.9)
     none = windows.ingest_latency(stream(spark, [])).first()
     assert none["n_events"] == 0 and none["p50"] is None
 
 
 def test_timeline_of_the_busiest_users(spark):
     df = stream(spark, [(1, 1, 3.0, s, 0) for s in (0, 1, 12)] + [(2, 1, 3.0, 0, 0), (3, 1, 3.0, 0, 0)])
-    rows = windows.user_activity_timeline(df, top=2).collect()
+    rows = windows.user_activity_timeline(df, "10 seconds", 2).collect()
     assert sorted((r["user_id"], r["bucket_start"], r["n_events"]) for r in rows) == [
         (1, at(0), 2), (1, at(10), 1), (2, at(0), 1)
     ]

@@ -47,7 +47,7 @@ def test_empty_index(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_plain_join(spark, skewed, how):
     names = skewed.select("user_id").distinct().filter("user_id <> 'u7'").withColumn("x", F.length("user_id"))
-    salted = skew.salted_join(skewed, names, "user_id", skew.salts_by_sketch(skewed, "user_id"), how)
+    salted = skew.salted_join(skewed, names, "user_id", skew.heavy_keys(skewed, "user_id"), how)
     plain = skewed.join(names, "user_id", how)
     assert salted.columns == plain.columns
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
@@ -68,16 +68,28 @@ def test_right_joins_cannot_be_salted(spark):
         skew.salted_join(df, df, "id", F.lit(1), "right")
 
 
-def test_sketch_cuts_the_heavy_key_only(skewed):
-    parts = skewed.select("user_id", skew.salts_by_sketch(skewed, "user_id").alias("parts")).distinct()
+def test_only_heavy_keys_are_cut(skewed):
     # A third of the rows over 8 tasks.
-    assert [tuple(r) for r in parts.filter("parts > 1").collect()] == [("hot", 3)]
+    assert [tuple(r) for r in skew.heavy_keys(skewed, "user_id").collect()] == [("hot", 3)]
 
 
-def test_dense_ids_are_cut_by_the_share_they_can_have(spark):
-    df = spark.createDataFrame([(-1,), (0,), (1,), (2,), (7,), (99,), (None,)], "k int")
-    parts = [r[0] for r in df.select(skew.salts_by_dense_id(df, "k")).collect()]
-    assert parts == [8, 8, 4, 3, 1, 1, 8]
+def test_equal_rows_of_a_user_are_spread(spark):
+    users = spark.range(10_000).selectExpr("IF(id % 5 > 0, 1000L, id) AS user_id")
+    factors = spark.createDataFrame([(1000, [0.5])], "id long, features array<float>")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        known = indexing.known_users(users, factors)
+        sizes = [r["count"] for r in known.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 8_001 and len(sizes) > 4
+        assert indexing.unknown_users(users, factors).count() == 1_999
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
 
 
 def test_heavy_key_is_spread_over_tasks(spark, skewed):
@@ -86,7 +98,7 @@ def test_heavy_key_is_spread_over_tasks(spark, skewed):
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "64")
         names = skewed.select("user_id").distinct()
-        joined = skew.salted_join(skewed, names, "user_id", skew.salts_by_sketch(skewed, "user_id"))
+        joined = skew.salted_join(skewed, names, "user_id", skew.heavy_keys(skewed, "user_id"))
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
         # A third of the rows in one task without salts; an even share is one in 64.
         assert len(sizes) > 50
@@ -98,9 +110,9 @@ def test_heavy_key_is_spread_over_tasks(spark, skewed):
 
 
 def test_ratings_of_a_heavy_user_are_spread(spark):
-    user = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997 + 1).cast("int")
+    user = F.when(F.col("id") % 3 == 0, 1000).otherwise(F.col("id") % 997 + 1).cast("int")
     ratings = spark.range(30_000).select(user.alias("user_idx"), F.col("id").alias("item_idx"))
-    segments = spark.range(998).selectExpr("CAST(id AS int) AS user_idx", "CAST(id % 5 AS int) AS segment")
+    segments = spark.range(1001).selectExpr("CAST(id AS int) AS user_idx", "CAST(id % 5 AS int) AS segment")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",

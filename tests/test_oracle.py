@@ -12,10 +12,8 @@ QUERIES = plans.queries()
 SQL = oracle.oracle_sql()
 ROWS_ONLY = {
     "assign_segments",
-    "bernoulli_sample",
     "fit_als",
     "top_k_by_model",
-    "train_test_split",
     "training_summary",
 }
 

@@ -75,7 +75,7 @@ def test_live_queries(spark, tmp_path):
     topic, out = tmp_path / "topic", tmp_path / "out"
     trending = [message(s, user=s, item=4, rating=4.9) for s in range(5)]
     write_batches(spark, topic, [trending, [message(100), ("{bad", trending[0][1])], [message(200)]])
-    started = live.start(messages.file_event_source(spark, str(topic)), str(out), str(tmp_path / "check"), None)
+    started = live.start(messages.file_event_source(spark, str(topic), 1), str(out), str(tmp_path / "check"), None)
     for query in started.values():
         query.awaitTermination()
     metrics = spark.read.parquet(str(out / "window_metrics"))

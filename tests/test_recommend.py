@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ def tables(spark):
             [(0, 50, 4.9, 12, 1), (0, 51, 4.8, 12, 2), (1, 60, 4.0, 10, 1)], TOP
         ),
         "window_metrics": spark.createDataFrame(
-            [(n, n * 1.0) for n in range(8)], "item_id long, engagement_score double"
+            [(dt.datetime(2024, 1, 1, h), n, s + n) for h, s in ((1, 90.0), (2, 0.0)) for n in range(8)],
+            "window_end timestamp, item_id long, engagement_score double",
         ),
     }
 
@@ -63,6 +66,12 @@ def test_trending_items_from_a_named_view(spark, tables):
     assert [(r["item_id"], r["score"]) for r in best] == [(7, 7.0), (6, 6.0), (5, 5.0)]
 
 
+def test_no_list_holds_an_item_twice(spark, tables):
+    twice = tables["window_metrics"].unionByName(tables["window_metrics"])
+    best = recommend.global_trending_top_k(twice, 5).collect()
+    assert [r["item_id"] for r in best] == [7, 6, 5, 4, 3]
+
+
 def test_nothing_trends(spark, tables, users):
     got = recommend.recommend(users, **{**tables, "window_metrics": tables["window_metrics"].limit(0)})
     assert paths(got)[-1] == "default_fallback"

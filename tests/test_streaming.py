@@ -36,7 +36,7 @@ def topic(spark, tmp_path_factory):
 
 
 def validated_stream(spark, folder):
-    return events.validate_events(events.parse_events(messages.file_event_source(spark, str(folder))))
+    return events.validate_events(events.parse_events(messages.file_event_source(spark, str(folder), 1)))
 
 
 def clean_stream(spark, folder):

@@ -32,10 +32,11 @@ EVENT_SCHEMA = T.StructType(
 
 
 def engagement_score(
-    count: Column, average: Column, seconds: float = SCORE_SECONDS, digits: int = SCORE_DIGITS
+    count: Column, average: Column, seconds: Column | float = SCORE_SECONDS, digits: int = SCORE_DIGITS
 ) -> Column:
     """Interactions times mean rating, per second of window."""
-    return F.round(count * average / F.lit(float(seconds)), digits)
+    length = seconds.cast("double") if isinstance(seconds, Column) else F.lit(float(seconds))
+    return F.round(count * average / length, digits)
 
 
 def short_title(title: Column, n: int = 40) -> Column:

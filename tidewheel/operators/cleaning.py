@@ -7,14 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.operators.skew import with_position
-
+# The columns of a rating, and the lowest and highest rating kept.
 KEYS = ["user_id", "item_id"]
 RATING_COLUMNS = ["user_id", "item_id", "rating", "timestamp"]
-
-# Lowest and highest rating kept, and rows read at most.
 LOWEST, HIGHEST = 1.0, 5.0
-ROW_CAP = 500_000
 
 
 def project_ratings(raw: DataFrame) -> DataFrame:
@@ -26,19 +22,6 @@ def project_ratings(raw: DataFrame) -> DataFrame:
     )
 
 
-def cap_rows(df: DataFrame, n: int = ROW_CAP, order: Sequence[Column] | None = None) -> DataFrame:
-    """At most ``n`` rows: any of them, or the first in ``order`` for a repeatable cap.
-
-    The ordered form finds positions by range, so that a cap of many rows does not pass
-    through one task. Rows equal in ``order`` are told apart by their content, which also
-    lets them lie in several ranges.
-    """
-    if order is None:
-        return df.limit(n)
-    total = [*order, F.xxhash64(*df.columns)]
-    return with_position(df, total, "_position").filter(F.col("_position") < n).drop("_position")
-
-
 def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.dropna(subset=RATING_COLUMNS)
 
@@ -93,14 +76,15 @@ def cleaning_report(raw: DataFrame, lowest: float = LOWEST, highest: float = HIG
 
 
 def _share(seed: int, keys: Sequence[str]) -> Column:
-    """A number in 0..1 that depends on nothing but the seed and the row's keys."""
-    buckets = 1 << 30
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(buckets)) / F.lit(float(buckets))
+    """A number in 0..1 that depends on nothing but the seed and the row's keys.
+
+    The first 52 bits of an md5, which other engines have too.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.col(key).cast("string") for key in keys)))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def bernoulli_sample(
-    df: DataFrame, fraction: float = 0.1, seed: int = 42, keys: Sequence[str] = tuple(KEYS)
-) -> DataFrame:
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42, keys: Sequence[str] = tuple(KEYS)) -> DataFrame:
     """Keeps each key with the given chance.
 
     Drawn by hash, so the sample is the same for every file layout and on every retry.

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions import label_column, short_title
 from tidewheel.functions.scalars import SEGMENT_LABELS
 from tidewheel.operators.skew import (
+    heavy_by_count,
+    heavy_keys,
     salted_join,
-    salts_by_count,
-    salts_by_dense_id,
-    salts_by_sketch,
     with_position,
 )
 from tidewheel.session import written
 
+# Equal rows that are written out in one go.
+RUN = 1_000
+
 # Factor models take 32-bit ids.
 MAX_ID = 2**31 - 1
 
@@ -40,9 +42,9 @@ def fit_dense_index(df: DataFrame, column: str, out: str = "idx") -> DataFrame:
 
 def apply_dense_index(df: DataFrame, mapping: DataFrame, column: str, out: str) -> DataFrame:
     """Adds the dense id; rows whose value was not seen in fitting are left out."""
-    salts = salts_by_count(mapping, column, "n", mapping.agg(F.sum("n")).scalar())
+    total = mapping.agg(F.sum("n")).first()[0] or 0
     ids = mapping.select(column, F.col("idx").alias(out))
-    return salted_join(df, ids, column, salts).select(*df.columns, out)
+    return salted_join(df, ids, column, heavy_by_count(mapping, column, "n", total)).select(*df.columns, out)
 
 
 def item_titles(items: DataFrame, metadata: DataFrame, record_order: str | None = None) -> DataFrame:
@@ -66,36 +68,51 @@ def item_titles(items: DataFrame, metadata: DataFrame, record_order: str | None
 
 
 def with_titles(
-    rows: DataFrame, titles: DataFrame, item: str = "item_id", salts: Column | None = None
+    rows: DataFrame, titles: DataFrame, item: str = "item_id", heavy: DataFrame | None = None
 ) -> DataFrame:
     """Adds a short display title, ``Item #<id>`` where the item has none.
 
     One item may stand in a large part of all lists, so its rows are spread; give ``rows``
-    as a stored table, or the parts per item, since otherwise they are computed twice.
+    as a stored table, or the heavy items, since otherwise they are computed again.
     """
     names = titles.select(F.col("item_idx").alias(item), short_title(F.col("title")).alias("title"))
-    if salts is None:
-        salts = salts_by_sketch(rows, item)
-    joined = salted_join(rows, names, item, salts, "left")
+    if heavy is None:
+        heavy = heavy_keys(rows, item)
+    joined = salted_join(rows, names, item, heavy, "left")
     fallback = F.concat(F.lit("Item #"), F.col(item).cast("string"))
     return joined.select(*rows.columns, F.coalesce("title", fallback).alias("title"))
 
 
 def ratings_with_segment(ratings: DataFrame, segments: DataFrame) -> DataFrame:
-    """Ratings of users that have a segment, with its number."""
+    """Ratings of users that have a segment, with its number; give ``ratings`` as a stored table."""
     numbers = segments.select("user_idx", "segment")
-    return salted_join(ratings, numbers, "user_idx", salts_by_dense_id(ratings, "user_idx"))
+    return salted_join(ratings, numbers, "user_idx", heavy_keys(ratings, "user_idx"))
 
 
 def known_users(users: DataFrame, table: DataFrame, user: str = "user_id", key: str = "id") -> DataFrame:
     """The users that a factor or segment table knows."""
-    ids = table.select(F.col(key).alias(user)).distinct()
-    return salted_join(users, ids, user, salts_by_sketch(users, user), "left_semi")
+    return _matched(users, table, user, key, "left_semi")
 
 
 def unknown_users(users: DataFrame, table: DataFrame, user: str = "user_id", key: str = "id") -> DataFrame:
+    return _matched(users, table, user, key, "left_anti")
+
+
+def _matched(users: DataFrame, table: DataFrame, user: str, key: str, how: str) -> DataFrame:
+    """Rows that agree in everything are counted first and repeated after the join.
+
+    So a user in many equal rows is one row of the join; if the rows differ, Spark splits the
+    user by its runtime rule for skewed joins.
+    """
     ids = table.select(F.col(key).alias(user)).distinct()
-    return salted_join(users, ids, user, salts_by_sketch(users, user), "left_anti")
+    counted = users.groupBy(*users.columns).agg(F.count(F.lit(1)).alias("_n"))
+    found = counted.join(ids, user, how)
+    # A count is cut into runs, dealt out before they become rows.
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / RUN).cast("long"))
+    dealt = found.withColumn("_run", F.explode(runs))
+    length = F.least(F.lit(RUN).cast("long"), F.col("_n") - F.col("_run") * RUN).cast("int")
+    dealt = dealt.withColumn("_length", length).repartition(*users.columns, "_run")
+    return dealt.select(*users.columns, F.explode(F.sequence(F.lit(1), F.col("_length")))).drop("col")
 
 
 def segment_label(df: DataFrame, labels: Mapping[int, str] = SEGMENT_LABELS) -> DataFrame:

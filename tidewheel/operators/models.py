@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewheel.functions import dot_product, features_to_vector, label_column
 from tidewheel.functions.scalars import SEGMENT_LABELS
 from tidewheel.operators.indexing import ratings_with_segment
-from tidewheel.operators.skew import salted_join, salts_by_dense_id
+from tidewheel.operators.skew import heavy_keys, salted_join
 from tidewheel.session import checkpoint_root
 
 # Seed, number of segments, error above which models are tuned, and the grid.
@@ -31,13 +31,15 @@ GRID_ITERATIONS = (10, 20)
 
 @dataclass(frozen=True)
 class AlsParams:
+    """Settings of the factor model; the defaults are fixed values."""
+
     rank: int = 10
     iterations: int = 10
     regularization: float = 0.1
     nonnegative: bool = True
     seed: int = SEED
-    # Blocks of users and of items; None takes one per core of the cluster.
-    blocks: int | None = None
+    # Blocks of users and of items. The model depends on them, so the cluster has no say in it.
+    blocks: int = 10
 
 
 def full_grid() -> list[AlsParams]:
@@ -46,7 +48,6 @@ def full_grid() -> list[AlsParams]:
 
 
 def als_estimator(spark: SparkSession, params: AlsParams = AlsParams()) -> ALS:
-    blocks = params.blocks or max(2, spark.sparkContext.defaultParallelism)
     if spark.sparkContext.getCheckpointDir() is None:
         # Long iterations cut their lineage there.
         spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
@@ -59,8 +60,8 @@ def als_estimator(spark: SparkSession, params: AlsParams = AlsParams()) -> ALS:
         rank=params.rank,
         maxIter=params.iterations,
         regParam=params.regularization,
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=params.blocks,
+        numItemBlocks=params.blocks,
         seed=params.seed,
     )
 
@@ -74,8 +75,8 @@ def predict(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame)
     """Adds a prediction to pairs whose user and item both have factors; drops the others."""
     users = user_factors.select(F.col("id").alias("user_idx"), F.col("features").alias("_user"))
     items = item_factors.select(F.col("id").alias("item_idx"), F.col("features").alias("_item"))
-    with_user = salted_join(pairs, users, "user_idx", salts_by_dense_id(pairs, "user_idx"))
-    both = salted_join(with_user, items, "item_idx", salts_by_dense_id(pairs, "item_idx"))
+    with_user = salted_join(pairs, users, "user_idx", heavy_keys(pairs, "user_idx"))
+    both = salted_join(with_user, items, "item_idx", heavy_keys(pairs, "item_idx"))
     return both.select(*pairs.columns, dot_product(F.col("_user"), F.col("_item")).alias("prediction"))
 
 
@@ -115,11 +116,21 @@ def tune_als_if_needed(
     """Fits once; only if the error on ``test`` is above the gate, picks from ``grid`` by folds."""
     model = fit_als(train, params)
     error = model_rmse(model, test)
-    if error is not None and error <= threshold:
+    if error is None:
+        raise ValueError("no row of the test part has a user and an item that the model knows")
+    if error <= threshold:
         return Tuned(model, error, False)
     als = als_estimator(train.sparkSession, params)
     maps = [
-        {als.rank: p.rank, als.regParam: p.regularization, als.maxIter: p.iterations}
+        {
+            als.rank: p.rank,
+            als.regParam: p.regularization,
+            als.maxIter: p.iterations,
+            als.nonnegative: p.nonnegative,
+            als.seed: p.seed,
+            als.numUserBlocks: p.blocks,
+            als.numItemBlocks: p.blocks,
+        }
         for p in (full_grid() if grid is None else grid)
     ]
     # Folds by hash of the pair: the same on every retry.
@@ -183,11 +194,11 @@ def segment_by_history(ratings: DataFrame, segments: DataFrame) -> DataFrame:
         ratings.select("user_idx", "item_idx"),
         segments.select("user_idx"),
         "user_idx",
-        salts_by_dense_id(ratings, "user_idx"),
+        heavy_keys(ratings, "user_idx"),
         "left_anti",
     )
     votes = (
-        salted_join(without, votes_per_item, "item_idx", salts_by_dense_id(ratings, "item_idx"))
+        salted_join(without, votes_per_item, "item_idx", heavy_keys(ratings, "item_idx"))
         .groupBy("user_idx", "segment")
         .agg(F.sum("n").alias("votes"))
     )

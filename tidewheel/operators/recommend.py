@@ -17,9 +17,13 @@ OUT = ["user_id", "path", "rank", "item_id", "score"]
 
 
 def global_trending_top_k(window_metrics: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` best rows of the window table."""
+    """The ``k`` best items of the newest window in the table."""
+    newest = window_metrics.agg(F.max("window_end")).scalar()
     return (
-        window_metrics.orderBy(F.col("engagement_score").desc(), F.col("item_id"))
+        window_metrics.filter(F.col("window_end") == newest)
+        .groupBy("item_id")
+        .agg(F.max("engagement_score").alias("engagement_score"))
+        .orderBy(F.col("engagement_score").desc(), F.col("item_id"))
         .limit(k)
         .select(F.col("item_id").cast("bigint").alias("item_id"), F.col("engagement_score").alias("score"))
     )

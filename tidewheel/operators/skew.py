@@ -7,54 +7,26 @@ from pyspark.sql import functions as F
 
 from tidewheel.session import written
 
-# Keys the sketch follows; one with fewer rows than one in this many is not split.
-SKETCH_KEYS = 1024
-
-
 def fan_out(spark: SparkSession) -> int:
     """Tasks a shuffle is planned for, and so the parts a key with all rows should be cut into."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def salts_by_dense_id(df: DataFrame, key: str) -> Column:
-    """Parts for each key when ``key`` is a dense id, without looking at the data.
-
-    Dense ids are given out by falling frequency, so id k holds at most one row in k + 1;
-    cut into tasks / (k + 1) parts, none exceeds an even share. The parts of all ids add up
-    to little more than tasks * ln(tasks).
-    """
-    tasks = fan_out(df.sparkSession)
-    return F.ceil(F.lit(tasks) / (F.greatest(F.col(key), F.lit(0)) + 1)).cast("int")
-
-
-def salts_by_count(counts: DataFrame, key: str, n: str, total: Column | str) -> Column:
-    """Parts for each key from a table of counts, of which only the heavy keys are used.
+def heavy_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys with more rows than an even share of a task, and the parts to cut them into.
 
-    Fewer than SKETCH_KEYS keys can be heavy, so the lookup is small however long the table.
+    At most as many rows as there are tasks, stored, so that both sides of a join see the same.
+    Rows are counted by key with partial sums; give ``df`` as a stored table, as it is read twice.
     """
-    tasks = fan_out(counts.sparkSession)
-    share = F.col(n) / total
-    heavy = counts.filter(share * SKETCH_KEYS > 1).select(
-        F.struct(F.col(key).alias("key"), F.ceil(share * tasks).cast("int").alias("parts")).alias("entry")
-    )
-    parts = heavy.agg(F.map_from_entries(F.collect_list("entry"))).scalar()
-    return F.coalesce(parts[F.col(key)], F.lit(1))
-
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return heavy_by_count(counts, key, "_n", df.count())
 
-def salts_by_sketch(df: DataFrame, key: str) -> Column:
-    """Parts for each key from one pass with a bounded sketch per task.
 
-    Only the sketches travel. A key whose frequency is misjudged changes how the work is
-    spread, never the result.
-    """
-    top = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {SKETCH_KEYS}, {16 * SKETCH_KEYS})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    counts = top.select(F.explode("top").alias("t"), "total").select(
-        F.col("t.item").alias(key), F.col("t.count").alias("n"), "total"
-    )
-    return salts_by_count(counts.filter(F.col(key).isNotNull()), key, "n", F.col("total"))
+def heavy_by_count(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """The same from a table of counts."""
+    parts = F.ceil(F.col(n) * fan_out(counts.sparkSession) / F.lit(max(total, 1))).cast("int")
+    cut = counts.filter(F.col(key).isNotNull()).select(key, parts.alias("parts"))
+    return written(cut.filter("parts > 1"), "heavy")
 
 
 def salts_for_all(df: DataFrame) -> Column:
@@ -62,23 +34,31 @@ def salts_for_all(df: DataFrame) -> Column:
     return F.lit(fan_out(df.sparkSession))
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: str, salts: Column, how: str = "inner") -> DataFrame:
-    """Equi-join that cuts the left rows of a key into ``salts`` parts.
+def salted_join(left: DataFrame, right: DataFrame, on: str, parts: DataFrame | Column, how: str = "inner") -> DataFrame:
+    """Equi-join that cuts the left rows of a key into parts.
 
-    ``salts`` is computed from the key alone, on both sides. Left rows take a part by their
-    content, so a recomputed task gives the same one; right rows of a key are repeated
-    once per part. Keys with one part join as usual; rows without a key never match and are
-    spread over all tasks. Right and full outer joins are not offered, as repeated right
-    rows would show.
+    ``parts`` is a table of heavy keys as ``heavy_keys`` makes it, or one expression for every key.
+    Left rows take a part by their content, so a recomputed task gives the same one; rows that
+    agree in all columns stay together, so combine those first where there are many. Right rows
+    of a key are repeated once per part. Keys with one part join as usual; rows without a key
+    never match and are spread over all tasks. Right and full outer joins are not offered, as
+    repeated right rows would show.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
-    parts = F.greatest(salts, F.lit(1))
-    spread = F.when(F.col(on).isNull(), F.lit(fan_out(left.sparkSession))).otherwise(parts)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), spread).cast("int"))
-    keyed = right.filter(F.col(on).isNotNull())
-    repeated = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return salted.join(repeated, [on, "_salt"], how).drop("_salt")
+
+    def told(df: DataFrame) -> DataFrame:
+        if isinstance(parts, Column):
+            return df.withColumn("_parts", F.greatest(parts, F.lit(1)))
+        # As many rows as there are tasks at most.
+        known = F.broadcast(parts.select(on, F.col("parts").alias("_parts")))
+        return df.join(known, on, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+    spread = F.when(F.col(on).isNull(), F.lit(fan_out(left.sparkSession))).otherwise(F.col("_parts"))
+    salted = told(left).withColumn("_salt", F.pmod(F.xxhash64(*left.columns), spread).cast("int"))
+    repeated = told(right.filter(F.col(on).isNotNull()))
+    repeated = repeated.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return salted.drop("_parts").join(repeated.drop("_parts"), [on, "_salt"], how).drop("_salt")
 
 
 def with_position(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions import engagement_score, spike_message, trending_message
-from tidewheel.functions.scalars import SCORE_SECONDS
 from tidewheel.operators.summary import COLD_USER
+from tidewheel.session import written
 
 # Window, slide, lateness, and the thresholds of the alerts (all strict).
 WINDOW = "30 seconds"
@@ -18,18 +18,16 @@ TRENDING_COUNT = 3
 SPIKE_COUNT = 10
 LATENCY_TARGET = 5.0
 
-# Buckets that one task puts in order when a value is compared with the bucket before.
-BUCKETS_PER_TASK = 10_000
-
 
 def with_event_watermark(df: DataFrame, delay: str = LATENESS, column: str = "event_time") -> DataFrame:
     """Bounds lateness; zone-less times become timestamps, as watermarks need."""
     return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
-def windowed_item_metrics(
-    clean: DataFrame, window: str = WINDOW, slide: str = SLIDE, seconds: float = SCORE_SECONDS
-) -> DataFrame:
+def windowed_item_metrics(clean: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Mean, count and score per item and window; the score is per second of the window."""
+    seconds = F.unix_seconds("window.end") - F.unix_seconds("window.start")
+    score = engagement_score(F.col("interaction_count"), F.col("avg_rating"), seconds)
     return (
         clean.groupBy(F.window("event_time", window, slide), "item_id")
         .agg(F.avg("rating").alias("avg_rating"), F.count(F.lit(1)).alias("interaction_count"))
@@ -39,9 +37,7 @@ def windowed_item_metrics(
             "item_id",
             "avg_rating",
             "interaction_count",
-            engagement_score(F.col("interaction_count"), F.col("avg_rating"), seconds).alias(
-                "engagement_score"
-            ),
+            score.alias("engagement_score"),
         )
     )
 
@@ -102,7 +98,7 @@ def trailing_snapshot(events: DataFrame, lateness: str = LATENESS, window: str =
     return events.filter(on_time & in_window)
 
 
-def user_activity_timeline(events: DataFrame, step: str = SLIDE, top: int = 3) -> DataFrame:
+def user_activity_timeline(events: DataFrame, step: str, top: int) -> DataFrame:
     """Events per time step for the ``top`` busiest users."""
     busiest = (
         events.groupBy("user_id")
@@ -121,63 +117,49 @@ def user_activity_timeline(events: DataFrame, step: str = SLIDE, top: int = 3) -
 
 
 def throughput(events: DataFrame, bucket: str = "60 seconds") -> DataFrame:
-    """Events per second in each bucket that has any, and the change on the one before.
+    """Events per second in each bucket from the first to the last, and the change on the one before.
 
-    The bucket before is looked up inside long stretches of time, each in its own task; the
-    first of a stretch takes the last of the stretch before.
+    Buckets without events count 0. There is no change for the first bucket, nor after a 0.
     """
-    counts = (
-        events.groupBy(F.window("event_time", bucket))
-        .agg(F.count(F.lit(1)).alias("n_events"))
-        .select(
-            F.col("window.start").alias("bucket_start"),
-            (F.unix_seconds("window.end") - F.unix_seconds("window.start")).alias("_seconds"),
-            "n_events",
-        )
-        .withColumn(
-            "_stretch",
-            F.floor(F.unix_seconds("bucket_start") / (F.col("_seconds") * BUCKETS_PER_TASK)),
-        )
-    )
-    inside = Window.partitionBy("_stretch").orderBy("bucket_start")
-    carried = (
-        counts.groupBy("_stretch")
-        .agg(F.max_by("n_events", "bucket_start").alias("_last"))
-        .select("_stretch", F.lag("_last").over(Window.orderBy("_stretch")).alias("_carried"))
+    counts = events.groupBy(F.window("event_time", bucket)).agg(F.count(F.lit(1)).alias("n"))
+    start, end = F.unix_micros("window.start"), F.unix_micros("window.end")
+    # One row per bucket, read three times.
+    counts = written(counts.select(start.alias("at"), (end - start).alias("step"), "n"), "buckets")
+    ends = counts.agg(F.min("at").alias("first"), F.max("at").alias("last"), F.max("step").alias("step"))
+    every = ends.filter("first IS NOT NULL").select(
+        "step", F.explode(F.sequence("first", "last", "step")).alias("at")
     )
-    before = F.coalesce("_inside", "_carried")
-    return (
-        counts.withColumn("_inside", F.lag("n_events").over(inside))
-        .join(carried, "_stretch")
-        .select(
-            "bucket_start",
-            "n_events",
-            (F.col("n_events") / F.col("_seconds")).alias("events_per_second"),
-            ((F.col("n_events") - before) * 100.0 / before).alias("percent_change"),
-        )
+    now = counts.select("at", F.col("n").alias("n_here"))
+    past = counts.select((F.col("at") + F.col("step")).alias("at"), F.col("n").alias("n_past"))
+    n, before = F.coalesce("n_here", F.lit(0)), F.col("n_past")
+    return every.join(now, "at", "left").join(past, "at", "left").select(
+        F.timestamp_micros("at").alias("bucket_start"),
+        n.alias("n_events"),
+        (n / (F.col("step") / 1e6)).alias("events_per_second"),
+        ((n - before) * 100.0 / before).alias("percent_change"),
     )
 
 
-def ingest_latency(events: DataFrame, target: float = LATENCY_TARGET, accuracy: int = 10_000) -> DataFrame:
+def ingest_latency(events: DataFrame, target: float = LATENCY_TARGET) -> DataFrame:
     """Percentiles of arrival after event time in seconds, and the share under the target.
 
-    The percentiles are observed values whose rank is off by at most one part in
-    ``accuracy``; their summaries stay small in every task.
+    Delays count in whole milliseconds. Tasks count how often each occurs; the marks are the
+    exact ones of that histogram, which has a row per millisecond and not per event.
     """
-    delay = (F.unix_micros(F.col("kafka_ts")) - F.unix_micros(F.col("event_time"))) / F.lit(1e6)
-    marks = F.percentile_approx("delay", [0.5, 0.95, 0.99], accuracy)
-    return (
-        events.select(delay.alias("delay"))
-        .agg(
-            F.count(F.lit(1)).alias("n_events"),
-            marks.alias("marks"),
-            F.avg((F.col("delay") < target).cast("double")).alias("share_under_target"),
-        )
-        .select(
-            "n_events",
-            F.col("marks")[0].alias("p50"),
-            F.col("marks")[1].alias("p95"),
-            F.col("marks")[2].alias("p99"),
-            "share_under_target",
-        )
+    delay = F.floor((F.unix_micros(F.col("kafka_ts")) - F.unix_micros(F.col("event_time"))) / 1000)
+    counts = events.select(delay.cast("long").alias("ms")).groupBy("ms").agg(F.count(F.lit(1)).alias("n"))
+    up_to = Window.orderBy("ms").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.filter("ms IS NOT NULL").withColumn("upto", F.sum("n").over(up_to))
+    running = running.withColumn("total", F.sum("n").over(Window.partitionBy()))
+
+    def mark(share: float) -> Column:
+        return (F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(share)), F.col("ms"))) / 1000.0)
+
+    under = F.sum(F.when(F.col("ms") < target * 1000, F.col("n")).otherwise(0)) / F.sum("n")
+    return running.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_events"),
+        mark(0.5).alias("p50"),
+        mark(0.95).alias("p95"),
+        mark(0.99).alias("p99"),
+        under.alias("share_under_target"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidewheel.operators import cleaning, indexing, models, ranking, recommend, summary
-from tidewheel.session import use_utc
+from tidewheel.session import scratch, use_utc, written
 from tidewheel.sources import files
 
 
@@ -32,18 +32,16 @@ class Store:
 
 
 def prepare(
-    spark: SparkSession, store: Store, reviews: str, metadata: str | None = None, cap: int | None = None
+    spark: SparkSession, store: Store, reviews: str, metadata: str | None = None
 ) -> DataFrame:
     """Stores cleaned ratings with dense ids, both id tables, and the titles; returns the ratings."""
     use_utc(spark)
-    raw = files.read_reviews(spark, reviews)
-    if cap is not None:
-        raw = cleaning.cap_rows(raw, cap)
-    cleaned = store.save(cleaning.clean_ratings(raw), "cleaned")
-    users = store.save(indexing.fit_dense_index(cleaned, "user_id"), "user_index")
-    items = store.save(indexing.fit_dense_index(cleaned, "item_id"), "item_index")
-    with_users = indexing.apply_dense_index(cleaned, users, "user_id", "user_idx")
-    ratings = store.save(indexing.apply_dense_index(with_users, items, "item_id", "item_idx"), "ratings")
+    cleaned = store.save(cleaning.clean_ratings(files.read_reviews(spark, reviews)), "cleaned")
+    with scratch(spark):
+        users = store.save(indexing.fit_dense_index(cleaned, "user_id"), "user_index")
+        items = store.save(indexing.fit_dense_index(cleaned, "item_id"), "item_index")
+        with_users = indexing.apply_dense_index(cleaned, users, "user_id", "user_idx")
+        ratings = store.save(indexing.apply_dense_index(with_users, items, "item_id", "item_idx"), "ratings")
     if metadata is not None:
         named = indexing.item_titles(
             items.withColumnRenamed("idx", "item_idx"), files.read_item_metadata(spark, metadata), "record_order"
@@ -55,14 +53,11 @@ def prepare(
 def train(
     spark: SparkSession,
     store: Store,
-    sample: float | None = None,
     params: models.AlsParams = models.AlsParams(),
     **tuning,
 ) -> DataFrame:
     """Stores the factors of users and items; returns the one-row summary."""
     ratings = files.read_parquet(spark, store.path("ratings"), files.RATINGS_SCHEMA)
-    if sample is not None:
-        ratings = cleaning.bernoulli_sample(ratings, sample)
     training, test = cleaning.train_test_split(ratings)
     best = models.tune_als_if_needed(training, test, params=params, **tuning)
     models.export_factors(best.model, store.folder)
@@ -72,12 +67,20 @@ def train(
 def segment(
     spark: SparkSession, store: Store, k: int = models.SEGMENTS, min_ratings: int = summary.MIN_RATINGS, n: int = 5
 ) -> DataFrame:
-    """Stores the segments of users and the best items of each segment; returns the latter."""
+    """Stores the segments of users and the best items of each segment; returns the latter.
+
+    Users with factors are clustered, all others that rated anything get a segment by vote.
+    """
     factors = files.read_parquet(spark, store.path("user_factors"), files.FACTOR_SCHEMA)
-    segments = store.save(models.assign_segments(models.fit_segments(factors, k), factors), "user_segments")
     ratings = files.read_parquet(spark, store.path("ratings"), files.RATINGS_SCHEMA)
-    stats = summary.segment_item_stats(ratings, segments, min_ratings)
-    return store.save(ranking.segment_top_n(stats, n), "segment_top")
+    with scratch(spark):
+        assigned = written(models.assign_segments(models.fit_segments(factors, k), factors), "assigned")
+        # Users that the model does not know get the segment whose users rated the same items most.
+        voted = models.segment_by_history(ratings, assigned).drop("votes")
+        voted = indexing.segment_label(voted).select(*assigned.columns)
+        segments = store.save(assigned.unionByName(voted), "user_segments")
+        stats = summary.segment_item_stats(ratings, segments, min_ratings)
+        return store.save(ranking.segment_top_n(stats, n), "segment_top")
 
 
 def serve(

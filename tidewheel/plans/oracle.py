@@ -98,7 +98,7 @@ _VIEWS = {
     "item_windows": """
         SELECT w AS window_start, w + INTERVAL 24 HOURS AS window_end, item_id,
                avg(rating) AS avg_rating, count(*) AS interaction_count,
-               round(count(*) * avg(rating) / 30.0, 4) AS engagement_score
+               round(count(*) * avg(rating) / 86400.0, 4) AS engagement_score
         FROM (SELECT *, time_bucket(INTERVAL 8 HOURS, event_time, TIMESTAMP '1970-01-01') - i * INTERVAL 8 HOURS AS w
               FROM clean, range(3) AS t(i))
         GROUP BY w, item_id""",
@@ -140,7 +140,9 @@ _VIEWS = {
     "trending_items": """
         SELECT item_id, engagement_score AS score,
                row_number() OVER (ORDER BY engagement_score DESC, item_id) AS rank
-        FROM item_windows QUALIFY rank <= 5""",
+        FROM item_windows
+        WHERE window_end = (SELECT max(window_end) FROM item_windows )
+        QUALIFY rank <= 5""",
     "served": """
         SELECT t.user_id, t.path, l.rank, l.item_id, l.score
         FROM tagged t LEFT JOIN (
@@ -173,9 +175,6 @@ def _with_views(body: str) -> str:
 
 _BODIES = {
     "project_ratings": "SELECT * FROM projected",
-    "cap_rows": """
-        SELECT * FROM ratings_raw
-        ORDER BY "timestamp", l_orderkey, l_linenumber, parent_asin, rating NULLS FIRST LIMIT 500000""",
     "drop_incomplete": "SELECT * FROM complete",
     "valid_ratings": "SELECT * FROM projected WHERE rating >= 1 AND rating <= 5",
     "latest_per_pair": """
@@ -302,7 +301,7 @@ _BODIES = {
     "trending_alerts": """
         SELECT * REPLACE (round(avg_rating, 4) AS avg_rating) FROM item_windows
         WHERE avg_rating > 4.5 AND interaction_count > 3""",
-    "spike_alerts": "SELECT * FROM user_windows WHERE interaction_count > 10 AND user_id <> -1",
+    "spike_alerts": "SELECT * FROM user_windows WHERE interaction_count > 10",
     "alert_feed": "SELECT * FROM alerts",
     "trailing_snapshot": """
         SELECT * FROM clean
@@ -317,15 +316,24 @@ _BODIES = {
     "throughput": """
         SELECT bucket_start, n_events, round(n_events / 3600.0, 6) AS events_per_second,
                round((n_events - lag(n_events) OVER (ORDER BY bucket_start)) * 100.0
-                     / lag(n_events) OVER (ORDER BY bucket_start), 6) AS percent_change
-        FROM (SELECT time_bucket(INTERVAL 1 HOUR, event_time, TIMESTAMP '1970-01-01') AS bucket_start,
-                     count(*) AS n_events
-              FROM clean GROUP BY bucket_start)""",
+                     / nullif(lag(n_events) OVER (ORDER BY bucket_start), 0), 6) AS percent_change
+        FROM (SELECT b AS bucket_start, coalesce(n, 0) AS n_events
+              FROM (SELECT unnest(generate_series(min(t), max(t), INTERVAL 1 HOUR)) AS b
+                    FROM (SELECT time_bucket(INTERVAL 1 HOUR, event_time, TIMESTAMP '1970-01-01') AS t FROM clean ))
+              LEFT JOIN (SELECT time_bucket(INTERVAL 1 HOUR, event_time, TIMESTAMP '1970-01-01') AS b, count(*) AS n
+                         FROM clean GROUP BY b) USING (b))""",
     "ingest_latency": """
         SELECT count(*) AS n_events, quantile_disc(delay, 0.5) AS p50, quantile_disc(delay, 0.95) AS p95,
                quantile_disc(delay, 0.99) AS p99,
                round(avg(CASE WHEN delay < 5 THEN 1.0 ELSE 0.0 END), 6) AS share_under_target
-        FROM (SELECT (epoch_us(kafka_ts) - epoch_us(event_time)) / 1e6 AS delay FROM clean )""",
+        FROM (SELECT floor((epoch_us(kafka_ts) - epoch_us(event_time)) / 1000) / 1000 AS delay FROM clean )""",
+    "bernoulli_sample": """
+        SELECT * FROM cleaned
+        WHERE ('0x' || substr(md5('42:' || user_id || ':' || item_id), 1, 13))::BIGINT / 4503599627370496.0 < 0.1""",
+    "train_test_split": """
+        SELECT *, CASE WHEN ('0x' || substr(md5('1000045:' || user_id || ':' || item_id), 1, 13))::BIGINT
+                            / 4503599627370496.0 < 0.8 THEN 'train' ELSE 'test' END AS part
+        FROM cleaned""",
     "rmse": """
         SELECT count(*) AS n, round(sqrt(avg((p - rating) * (p - rating))), 4) AS rmse
         FROM (SELECT CAST(rating AS DOUBLE) AS rating, 1 + item_idx % 9 * 0.5::DOUBLE AS p FROM ratings )""",
@@ -353,7 +361,7 @@ _BODIES = {
         WHERE user_id NOT IN (SELECT user_idx FROM partial_segments )""",
     "recommend_users": "SELECT * REPLACE (round(score, 4) AS score) FROM served",
     "nest_recommendations": """
-        SELECT user_id, path, coalesce(string_agg(rank || ':' || item_id, ',' ORDER BY rank), '') AS list
+        SELECT user_id, path, coalesce(string_agg(rank || ':' || item_id || ':' || round(score * 10000)::BIGINT, ',' ORDER BY rank), '') AS list
         FROM served GROUP BY user_id, path""",
 }
 

@@ -53,13 +53,6 @@ def project_ratings(v: Views) -> DataFrame:
     return cleaning.project_ratings(v.ratings_raw())
 
 
-@_query
-def cap_rows(v: Views) -> DataFrame:
-    raw = v.ratings_raw()
-    order = [F.col("timestamp"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("parent_asin"), F.col("rating")]
-    return cleaning.cap_rows(raw, order=order)
-
-
 @_query
 def drop_incomplete(v: Views) -> DataFrame:
     return v.ratings_raw().transform(cleaning.project_ratings).transform(cleaning.drop_incomplete)
@@ -88,7 +81,7 @@ def cleaning_report(v: Views) -> DataFrame:
 
 @_query
 def bernoulli_sample(v: Views) -> DataFrame:
-    return cleaning.bernoulli_sample(v.cleaned())
+    return cleaning.bernoulli_sample(v.cleaned(), 0.1)
 
 
 @_query
@@ -100,6 +93,11 @@ def train_test_split(v: Views) -> DataFrame:
 # Ids, titles, lookups
 
 
+def _stored_ratings(v: Views) -> DataFrame:
+    """Cleaned ratings as a stored table, for queries that read them more than once."""
+    return written(v.ratings(), "ratings")
+
+
 @_query
 def fit_dense_index(v: Views) -> DataFrame:
     return indexing.fit_dense_index(v.cleaned(), "user_id")
@@ -131,7 +129,7 @@ def with_titles(v: Views) -> DataFrame:
     # Some lines name items that no part stands for.
     item = F.when(F.col("l_linenumber") == 7, -F.col("item_id")).otherwise(F.col("item_id"))
     shown = rated.withColumn("item_id", item)
-    return indexing.with_titles(shown, titles)
+    return indexing.with_titles(written(shown, "shown"), titles)
 
 
 def _item_number() -> Column:
@@ -140,7 +138,7 @@ def _item_number() -> Column:
 
 @_query
 def ratings_with_segment(v: Views) -> DataFrame:
-    return indexing.ratings_with_segment(v.ratings(), v.partial_segments())
+    return indexing.ratings_with_segment(_stored_ratings(v), v.partial_segments())
 
 
 @_query
@@ -179,12 +177,12 @@ def segment_distribution(v: Views) -> DataFrame:
 
 @_query
 def segment_item_stats(v: Views) -> DataFrame:
-    return summary.segment_item_stats(v.ratings(), v.segments()).transform(_rounded, "avg_rating")
+    return summary.segment_item_stats(_stored_ratings(v), v.segments()).transform(_rounded, "avg_rating")
 
 
 @_query
 def segment_profile(v: Views) -> DataFrame:
-    profile = summary.segment_profile(v.ratings(), v.segments())
+    profile = summary.segment_profile(_stored_ratings(v), v.segments())
     return _rounded(profile, "avg_rating", "ratings_per_user")
 
 
@@ -222,7 +220,7 @@ def event_mix(v: Views) -> DataFrame:
 
 
 def segment_top(v: Views, min_ratings: int = summary.MIN_RATINGS, segments: DataFrame | None = None) -> DataFrame:
-    stats = summary.segment_item_stats(v.ratings(), v.segments() if segments is None else segments, min_ratings)
+    stats = summary.segment_item_stats(_stored_ratings(v), v.segments() if segments is None else segments, min_ratings)
     return ranking.segment_top_n(stats)
 
 
@@ -244,10 +242,16 @@ def top_engagement(v: Views) -> DataFrame:
     return ranking.top_engagement(summary.item_metrics(v.events()), 10).transform(_rounded, "avg_rating")
 
 
+def _stored_events(v: Views) -> DataFrame:
+    """The clean events as a stored table, for queries that read them more than once."""
+    return written(v.events(), "clean-events")
+
+
 def _alerts(v: Views) -> DataFrame:
-    return windows.alert_feed(
-        windows.trending_alerts(_window_metrics(v)), windows.spike_alerts(_window_activity(v))
-    )
+    stored = _stored_events(v)
+    metrics = windows.windowed_item_metrics(stored, ITEM_WINDOW, ITEM_SLIDE)
+    activity = windows.windowed_user_activity(stored, USER_WINDOW, USER_SLIDE)
+    return windows.alert_feed(windows.trending_alerts(metrics), windows.spike_alerts(activity))
 
 
 @_query
@@ -342,7 +346,7 @@ def trending_alerts(v: Views) -> DataFrame:
 
 @_query
 def spike_alerts(v: Views) -> DataFrame:
-    return windows.spike_alerts(_window_activity(v), include_cold=False)
+    return windows.spike_alerts(_window_activity(v))
 
 
 @_query
@@ -352,12 +356,12 @@ def alert_feed(v: Views) -> DataFrame:
 
 @_query
 def trailing_snapshot(v: Views) -> DataFrame:
-    return windows.trailing_snapshot(v.events(), "3 days", "6 days")
+    return windows.trailing_snapshot(_stored_events(v), "3 days", "6 days")
 
 
 @_query
 def user_activity_timeline(v: Views) -> DataFrame:
-    return windows.user_activity_timeline(v.events(), ITEM_SLIDE)
+    return windows.user_activity_timeline(_stored_events(v), ITEM_SLIDE, 3)
 
 
 @_query
@@ -376,7 +380,7 @@ def ingest_latency(v: Views) -> DataFrame:
 
 
 def _fitted(v: Views):
-    ratings = written(v.ratings(), "ratings")
+    ratings = _stored_ratings(v)
     train, test = cleaning.train_test_split(ratings)
     return ratings, test, models.fit_als(train)
 
@@ -406,7 +410,7 @@ def assign_segments(v: Views) -> DataFrame:
 
 @_query
 def segment_by_history(v: Views) -> DataFrame:
-    return models.segment_by_history(v.ratings(), v.partial_segments())
+    return models.segment_by_history(_stored_ratings(v), v.partial_segments())
 
 
 # Recommendations
@@ -460,7 +464,8 @@ def nest_recommendations(v: Views) -> DataFrame:
     """The nested lists, written as text so that any engine can compare them."""
 
     def entry(e: Column) -> Column:
-        return F.concat_ws(":", e["rank"].cast("string"), e["item_id"].cast("string"))
+        score = F.round(e["score"] * 10_000).cast("bigint")
+        return F.concat_ws(":", e["rank"].cast("string"), e["item_id"].cast("string"), score.cast("string"))
 
     nested = recommend.nest_recommendations(_recommendations(v))
     return nested.select(

@@ -38,13 +38,15 @@ def kafka_event_source(
 
 
 def file_event_source(
-    spark: SparkSession, folder: str, max_files: int = 1, fmt: str = "parquet"
+    spark: SparkSession, folder: str, max_files: int | None = None, fmt: str = "parquet"
 ) -> DataFrame:
     """The same stream from files: Parquet with both columns, or text with one message per line.
 
     A line of text arrives when its file was written.
     """
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if fmt == "text":
         return reader.text(folder).select("value", F.col("_metadata.file_modification_time").alias("timestamp"))
     return reader.schema(ENVELOPE_SCHEMA).format(fmt).load(folder)
