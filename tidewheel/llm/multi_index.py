@@ -52,7 +52,8 @@ class Coder:
 
     def __init__(self, sample: np.ndarray):
         self.mean = sample.mean(axis=0)
-        axes = np.linalg.eigh(np.cov((sample - self.mean).T).reshape(sample.shape[1], -1))[1][:, ::-1][:, :BITS]
+        spread = sample - self.mean
+        axes = np.linalg.eigh(spread.T @ spread)[1][:, ::-1][:, :BITS]
         # Fewer axes than bits: the turns spread them over all bits.
         projected = np.zeros((len(sample), BITS))
         projected[:, : axes.shape[1]] = (sample - self.mean) @ axes
