@@ -199,13 +199,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     """
     importable(docs.sparkSession)
     texts = docs.select("doc_id", F.xxhash64("text").alias("version"), F.col("text").cast("binary").alias("text"))
-    units = written(classes(texts).dropDuplicates(["doc_id", "version", "place"]), "classes")
+    units = written(classes(texts), "classes")
     doc = F.struct("doc_id", "version")
     ends = units.groupBy("component").agg(
         F.min(doc).alias("least"), F.max(doc).alias("most"), F.min(F.struct("doc_id", "version", "place")).alias("first")
     )
     several = written(ends.filter("least <> most").select("component", "first"), "repeats")
-    found = units.join(broadcast_if_few(several), "component")
+    found = units.join(broadcast_if_few(several), "component").dropDuplicates(["doc_id", "version", "place"])
     own = Window.partitionBy("doc_id", "version").orderBy("place")
     gap = F.col("start") - F.lag(F.col("start") + F.col("words")).over(own)
     found = found.withColumn("new", F.coalesce((gap > SKIP).cast("int"), F.lit(1)))
