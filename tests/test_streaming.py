@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,9 @@ def test_late_rows_are_counted_per_window(spark, tmp_path):
     # A batch drops what is older than the watermark of the batch before, 1:25 for the third.
     write_batches(spark, folder, [[message(100)], [message(200)], [message(10, item=9), message(300)]])
     stream = windows.with_event_watermark(clean_stream(spark, folder))
+    table = tmp_path / "late"
+    listener = progress.LateRows(spark, str(table))
+    spark.streams.addListener(listener)
     query = (
         windows.windowed_item_metrics(stream)
         .writeStream.outputMode("append")
@@ -108,7 +112,12 @@ def test_late_rows_are_counted_per_window(spark, tmp_path):
         .start()
     )
     query.awaitTermination()
-    report = progress.late_data_report(spark, query)
+    deadline = time.monotonic() + 60
+    while not (table.exists() and progress.late_data_report(spark, str(table)).count() >= 4):
+        assert time.monotonic() < deadline
+        time.sleep(0.5)
+    spark.streams.removeListener(listener)
+    report = progress.late_data_report(spark, str(table))
     assert report.agg(F.sum("rows_dropped_late")).first()[0] == 3
     assert report.filter("rows_in > 0").select("batch_id").distinct().count() == 3
     assert spark.table("late_rows").filter("item_id = 9").count() == 0
@@ -136,7 +145,7 @@ def test_snapshot_holds_the_trailing_window_across_batches(spark, tmp_path):
     assert rows(live) == rows(expected)
     metrics = sinks.read_snapshot(spark, paths[1], sinks.METRICS_SNAPSHOT)
     assert rows(metrics) == rows(summary.item_metrics(expected))
-    alerts = sinks.read_snapshot(spark, paths[2], sinks.ALERTS_SNAPSHOT)
+    alerts = sinks.read_alerts(spark, paths[2])
     kinds = sorted((r["alert_type"], max(r["user_id"], r["item_id"])) for r in alerts.collect())
     # Item 5 trends in all three batches, user 7 spikes in the last two.
     assert kinds == [("ACTIVITY_SPIKE", 7)] * 2 + [("TRENDING", 5)] * 3
@@ -145,6 +154,16 @@ def test_snapshot_holds_the_trailing_window_across_batches(spark, tmp_path):
     assert rows(sinks.read_snapshot(spark, paths[0], sinks.EVENTS_SNAPSHOT)) == rows(expected)
 
 
+def test_all_spikes_are_stored(spark, tmp_path):
+    folder = tmp_path / "topic"
+    write_batches(spark, folder, [[message(1, user=u, item=n) for u in range(60) for n in range(11)]])
+    paths = [str(tmp_path / name) for name in ("events", "metrics", "alerts")]
+    sinks.snapshot_sink(clean_stream(spark, folder), *paths, str(tmp_path / "check"), interval=None).awaitTermination()
+    spikes = sinks.read_alerts(spark, paths[2]).filter("alert_type = 'ACTIVITY_SPIKE'")
+    assert sorted(r["user_id"] for r in spikes.collect()) == list(range(60))
+    assert sinks.read_alerts(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_no_snapshot_yet_is_an_empty_table(spark, tmp_path):
     assert sinks.read_snapshot(spark, str(tmp_path / "none"), sinks.ALERTS_SNAPSHOT).count() == 0
 

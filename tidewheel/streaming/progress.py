@@ -1,13 +1,15 @@
-"""What a running query reports about late data."""
+"""What running queries report about late data."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQueryListener
 
 LATE_SCHEMA = T.StructType(
     [
+        T.StructField("query_id", T.StringType()),
+        T.StructField("run_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("operator", T.StringType()),
         T.StructField("watermark", T.StringType()),
@@ -17,21 +19,49 @@ LATE_SCHEMA = T.StructType(
 )
 
 
-def late_data_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Rows each stateful step dropped as late, per recent batch.
+class LateRows(StreamingQueryListener):
+    """Appends to a table what each stateful step of each batch dropped as late.
 
-    A row that falls into several sliding windows counts once for each of them. Spark keeps
-    a fixed number of progress records, so the report stays small.
+    Spark keeps the progress of recent batches only; this keeps that of all. Add it with
+    ``spark.streams.addListener`` before the queries start.
     """
-    rows = [
-        (
-            progress.batchId,
-            state.operatorName,
-            progress.eventTime.get("watermark"),
-            progress.numInputRows,
-            state.numRowsDroppedByWatermark,
-        )
-        for progress in query.recentProgress
-        for state in progress.stateOperators
-    ]
-    return spark.createDataFrame(rows, LATE_SCHEMA)
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        rows = [
+            (
+                str(progress.id),
+                str(progress.runId),
+                progress.batchId,
+                state.operatorName,
+                progress.eventTime.get("watermark"),
+                progress.numInputRows,
+                state.numRowsDroppedByWatermark,
+            )
+            for state in progress.stateOperators
+        ]
+        if rows:
+            # A few rows of text and numbers per batch.
+            table = self.spark.createDataFrame(rows, LATE_SCHEMA).coalesce(1)
+            table.write.mode("append").parquet(self.path)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def late_data_report(spark: SparkSession, path: str) -> DataFrame:
+    """Rows each stateful step dropped as late, for every batch that ``LateRows`` has seen.
+
+    A row that falls into several sliding windows counts once for each of them. A batch that a
+    restart reports again counts once.
+    """
+    return spark.read.schema(LATE_SCHEMA).parquet(path).dropDuplicates(["query_id", "batch_id", "operator"])

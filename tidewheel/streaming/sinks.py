@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidewheel.operators.events import clean_events, dead_letters
-from tidewheel.operators.ranking import latest_alerts
 from tidewheel.operators.summary import item_metrics, user_activity
 from tidewheel.operators.windows import (
     LATENESS,
@@ -19,9 +18,8 @@ from tidewheel.operators.windows import (
     trending_alerts,
 )
 
-# Time between two writes, alerts kept, and the name of the view.
+# Time between two writes, and the name of the view.
 INTERVAL = "10 seconds"
-ALERTS_KEPT = 50
 VIEW = "window_metrics"
 
 
@@ -128,6 +126,14 @@ def read_snapshot(
     return spark.read.schema(schema).parquet(folders[max(folders)])
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts of all batches that are complete; ``latest_alerts`` picks the newest."""
+    folders = list(_folders(spark, path).values())
+    if not folders:
+        return spark.createDataFrame([], ALERTS_SNAPSHOT)
+    return spark.read.schema(ALERTS_SNAPSHOT).parquet(*folders)
+
+
 def _forget(spark: SparkSession, path: str, older_than: int) -> None:
     for number, folder in _folders(spark, path).items():
         if number < older_than:
@@ -149,15 +155,14 @@ def snapshot_sink(
     interval: str | None = INTERVAL,
     lateness: str = LATENESS,
     window: str = WINDOW,
-    alerts_kept: int = ALERTS_KEPT,
     keep: int = 5,
 ) -> StreamingQuery:
-    """Latest events, item metrics and alerts, made anew by every batch.
+    """Latest events and item metrics, made anew by every batch, and the alerts of every batch.
 
     A batch joins its events to the snapshot of the batch before and keeps what lies within
     the trailing window, so only that window is stored between batches. Each batch writes
-    folders of its own; the last ``keep`` stay for readers, and a repeated batch starts from
-    the same predecessor.
+    folders of its own; the last ``keep`` of events and metrics stay for readers, and a repeated
+    batch starts from the same predecessor. Alerts stay, all of them; ``read_alerts`` reads them.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
@@ -178,9 +183,8 @@ def snapshot_sink(
         metrics = store(item_metrics(events), metrics_path, METRICS_SNAPSHOT)
         newest = events.agg(F.max("event_time")).scalar()
         fresh = alert_feed(trending_alerts(metrics), spike_alerts(user_activity(events)), newest)
-        past = read_snapshot(spark, alerts_path, ALERTS_SNAPSHOT, batch_id)
-        store(latest_alerts(past.unionByName(fresh), alerts_kept), alerts_path, ALERTS_SNAPSHOT)
-        for path in (events_path, metrics_path, alerts_path):
+        store(fresh, alerts_path, ALERTS_SNAPSHOT)
+        for path in (events_path, metrics_path):
             _forget(spark, path, batch_id - keep + 1)
 
     writer = clean.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
