@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.links import linked, shared_keys
+from tidewheel.llm.links import linked, shared_keys, sketch
 from tidewheel.llm.shingles import gathered
 from tidewheel.llm.shingles import sets as sets_of
 from tidewheel.llm.sized import broadcast_if_few
@@ -38,6 +38,9 @@ from tidewheel.session import discard, written
 WIDTH = 3
 PERCENT = 90
 TABLE_BITS = 22
+SKETCH = 256
+# The fragment number under which the sketch of a set is stored.
+IS_SKETCH = -1
 CHUNK = 1 << 16
 
 
@@ -135,10 +138,11 @@ def _segments(order: Broadcast, width: int):
                         continue  # another row with the same doc_id
                     members, places = own.ordered(one)
                     cuts = np.flatnonzero(np.diff(places, prepend=-1))
-                    nodes.append(np.full(len(cuts), node, np.int64))
-                    fragments.append(places[cuts])
-                    lengths.append(np.diff(cuts, append=len(members)))
-                    segments.append(members.view(np.int64))
+                    own_sketch = sketch(one, SKETCH)
+                    nodes.append(np.full(len(cuts) + 1, node, np.int64))
+                    fragments.append(np.append(places[cuts], np.int32(IS_SKETCH)))
+                    lengths.append(np.append(np.diff(cuts, append=len(members)), len(own_sketch)))
+                    segments += [members.view(np.int64), own_sketch]
                 if nodes:
                     ends = np.cumsum(np.concatenate([[0], *lengths])).astype(np.int32)
                     lists = pa.ListArray.from_arrays(ends, np.concatenate(segments))
@@ -148,13 +152,6 @@ def _segments(order: Broadcast, width: int):
     return run
 
 
-def _alike(percent: int):
-    def may(a: Column, b: Column) -> Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-    return may
-
-
 def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text) its doc_id, n_shingles and component_id; see the module."""
     spark = docs.sparkSession
@@ -177,7 +174,8 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     sizes = nodes.select("node", "n")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = segments.select(F.col("node").alias("a"), "fragment", F.col("segment").alias("of_a"))
+        one = segments.filter(F.col("fragment") != IS_SKETCH)
+        one = one.select(F.col("node").alias("a"), "fragment", F.col("segment").alias("of_a"))
         two = segments.select(F.col("node").alias("b"), "fragment", F.col("segment").alias("of_b"))
         met = pairs.join(one, "a").join(two, ["b", "fragment"])
         overlap = F.size(F.array_intersect("of_a", "of_b"))
@@ -188,7 +186,8 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
         total = total.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
         return total.filter(F.expr(f"100 * overlap >= {percent} * (n_a + n_b - overlap)")).select("a", "b")
 
-    labels = linked(shared, verify, _alike(percent))
+    sketches = segments.filter(F.col("fragment") == IS_SKETCH).select("node", F.col("segment").alias("sketch"))
+    labels = linked(shared, verify, sketches.dropDuplicates(["node"]), percent)
     discard(segments, shared)
     ids = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))

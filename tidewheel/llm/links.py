@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,18 +34,27 @@ def components(edges: DataFrame) -> DataFrame:
         hung = large.join(smallest, "big").filter("small <> least").select(
             F.col("small").alias("big"), F.col("least").alias("small")
         )
-        older, now = now, written(hung.unionByName(smallest.withColumnRenamed("least", "small")).distinct(), "edges")
+        turned = hung.unionByName(smallest.withColumnRenamed("least", "small")).distinct()
+        older, now = now, written(_gathered(turned, mark[0]), "edges")
         discard(older)
         before, mark = mark, _mark(now)
         if before == mark:
             break
     roots = now.select(F.col("small").alias("node")).distinct()
     stars = now.select(F.col("big").alias("node"), F.col("small").alias("component"))
-    out = written(stars.unionByName(roots.withColumn("component", F.col("node"))), "components")
+    out = written(_gathered(stars.unionByName(roots.withColumn("component", F.col("node"))), 2 * mark[0]), "components")
     discard(now)
     return out
 
 
+#: Rows of two numbers that a task writes, so that small tables have few files.
+ROWS_PER_FILE = 250_000
+
+
+def _gathered(df: DataFrame, rows: int) -> DataFrame:
+    return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+
+
 def _downward(edges: DataFrame) -> DataFrame:
     pair = edges.select(F.greatest("a", "b").alias("big"), F.least("a", "b").alias("small"))
     return pair.filter("big <> small").distinct()
@@ -55,63 +66,134 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed), F.sum(F.col("small").cast("decimal(20)"))).first())
 
 
-#: Leader rounds go on while the pairs left to look at are more than so many times the bucket rows.
-MANY = 2
-MOST_ROUNDS = 6
+#: Leader rounds end when the pairs left to look at are at most so many times the bucket rows.
+MANY = 1
+MOST_ROUNDS = 3
 
 
 def shared_keys(buckets: DataFrame) -> DataFrame:
-    """Rows of ``buckets`` (key, node, size) whose key several nodes have, stored."""
+    """Rows of ``buckets`` (key, node, size) whose key several nodes have, with ``weight``, stored."""
     ends = buckets.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     several = written(ends.filter("least <> most").select("key"), "keys")
     shared = written(buckets.join(broadcast_if_few(several), "key").distinct(), "buckets")
     discard(several)
-    return shared
+    # A node is as central as its buckets are large: an original shares more of them than its edited
+    # copies, which have n-grams of their own.
+    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    central = shared.join(sizes, "key").groupBy("node").agg(F.sum("members").alias("weight"))
+    weighed = written(shared.join(central, "node"), "weighed")
+    discard(shared)
+    return weighed
 
 
 def linked(
     shared: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    may: Callable[[Column, Column], Column] = lambda a, b: F.lit(True),
+    sketches: DataFrame,
+    percent: int,
 ) -> DataFrame:
     """Components of all nodes that share a bucket and that ``verify`` links.
 
-    ``shared`` has key, node and size of buckets that several nodes have, and is read often;
-    ``verify`` takes pairs (a, b) and returns those that are links; ``may`` tells from two sizes
-    whether a link is possible.
+    ``shared`` comes from ``shared_keys`` and is read often;
+    ``verify`` takes pairs (a, b) and returns those that are links, which need a Jaccard similarity
+    of ``percent``; ``sketches`` has the ``sketch`` of each node.
 
     A group of k nodes that share buckets has k * k pairs, but most links say nothing new. So each
-    bucket first compares its members with one of them, the leader, and components are formed.
+    bucket first compares its members with one of them, the most central, and components are formed.
     Further rounds take other leaders, for members that are not in the leader's component yet. In
-    the end all pairs of a bucket whose ends lie in different components are compared. Then every
-    pair has been compared or is connected already: the components are those of all links.
+    the end all pairs of a bucket whose ends lie in different components are compared, in blocks
+    where the bucket is large. Then every pair has been compared or is connected already: the
+    components are those of all links.
     """
     spark = shared.sparkSession
+
+    def may(a: Column, b: Column) -> Column:
+        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
     edges = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, component long")
     rows = shared.count()
+    left = None
     for turn in range(MOST_ROUNDS):
         now = _labelled(shared, labels)
         # The order of leaders differs by round and is the same in every run.
-        first = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        first = -F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn))
         rank = F.struct(first.alias("first"), "node", "size", "component")
         leaders = now.groupBy("key").agg(F.min(rank).alias("leader"))
         found = now.join(leaders, "key").filter("component <> leader.component")
         found = found.filter(may(F.col("size"), F.col("leader.size")))
         edges, labels = _grown(edges, labels, found.select(F.col("leader.node").alias("x"), F.col("node").alias("y")), verify)
-        if _left(_labelled(shared, labels)) <= MANY * rows:
+        before, left = left, _left(_labelled(shared, labels))
+        if left <= MANY * rows or before is not None and left > before / 2:
             break
-    now = written(_labelled(shared, labels), "labelled")
-    inside = now.select("key", "component").distinct()
-    open_keys = inside.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    some = now.join(open_keys, "key")
-    other = some.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("apart"))
-    across = some.join(other, "key").filter("component < apart").filter(may(F.col("size"), F.col("other_size")))
-    edges, labels = _grown(edges, labels, across.select(F.col("node").alias("x"), F.col("other").alias("y")), verify)
+    now = _labelled(shared, labels)
+    ends = now.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("members")
+    )
+    now = written(now.join(ends.filter("least <> most").select("key", "members"), "key"), "open")
+    few = now.filter(F.col("members") <= FEW_MEMBERS)
+    other = few.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("apart"))
+    across = few.join(other, "key").filter("component < apart").filter(may(F.col("size"), F.col("other_size")))
+    pairs = across.select(F.col("node").alias("x"), F.col("other").alias("y"))
+    many = now.filter(F.col("members") > FEW_MEMBERS)
+    edges, labels = _grown(edges, labels, pairs.unionByName(_across(many, sketches, percent)), verify)
     discard(now, edges)
     return labels
 
 
+#: Members of a bucket up to which its pairs are rows of a join: no more than half as many per member.
+FEW_MEMBERS = 16
+#: Members of a larger bucket that a task compares with as many others.
+BLOCK = 1_024
+
+
+def sketch(one: np.ndarray, places: int) -> np.ndarray:
+    """How many of a set's hashes fall to each place, four 16-bit counts in a number.
+
+    The counts of two sets bound their overlap: it is at most the sum of the smaller ones. A
+    count that would not fit is set to the largest.
+    """
+    counts = np.bincount((one & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.minimum(counts, 0xFFFF).astype("<u2").view(np.int64)
+
+
+def _across(many: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of larger buckets that lie in different components and may be links.
+
+    The members of a bucket are dealt to blocks, and each pair of blocks is compared in one task
+    by sketches; only pairs whose sketches allow a link come out.
+    """
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = many.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "size", "component"
+    )
+    dealt = dealt.join(sketches, "node")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        own = table.column("own").to_numpy()
+        node, size, component = (table.column(name).to_numpy() for name in ("node", "size", "component"))
+        flat = table.column("sketch").combine_chunks().flatten().to_numpy()
+        counts = flat.reshape(len(node), -1).view("<u2").astype(np.int32)
+        first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        found = []
+        for x in first:
+            ys = second[(component[second] != component[x]) & ((node[second] > node[x]) if i == j else True)]
+            smaller, larger = np.minimum(size[ys], size[x]), np.maximum(size[ys], size[x])
+            ys = ys[smaller * 100 >= larger * percent]
+            most = np.minimum(np.minimum(counts[ys], counts[x]).sum(axis=1), np.minimum(size[ys], size[x]))
+            # A full count says nothing.
+            most = np.where((counts[ys] == 0xFFFF).any(axis=1) | (counts[x] == 0xFFFF).any(), np.minimum(size[ys], size[x]), most)
+            ys = ys[100 * most >= percent * (size[ys] + size[x] - most)]
+            found.append(np.stack([np.full(len(ys), node[x]), node[ys]]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.table({"x": pa.array(pairs[0], pa.int64()), "y": pa.array(pairs[1], pa.int64())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "x long, y long")
+
+
 def _grown(edges: DataFrame, labels: DataFrame, found: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
     """Edges and labels after the pairs that were found have been compared."""
     pairs = written(found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
@@ -124,7 +206,7 @@ def _grown(edges: DataFrame, labels: DataFrame, found: DataFrame, verify) -> tup
 def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Bucket rows with the component of their node, which is the node itself if it has no link."""
     known = buckets.join(labels, "node", "left")
-    return known.select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+    return known.select("key", "node", "size", "weight", F.coalesce("component", "node").alias("component"))
 
 
 def _left(labelled: DataFrame) -> int:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.links import linked, shared_keys
+from tidewheel.llm.links import linked, shared_keys, sketch
 from tidewheel.llm.shingles import STEP, Text, finished, gathered
 from tidewheel.llm.sized import broadcast_if_few
 from tidewheel.llm.workers import importable
@@ -42,6 +42,7 @@ LONG = 48  # words without a mark after which cuts by hash begin
 PICK = 16  # one word in so many is cut after then
 SKIP = 8
 MOST_SHORT = 20
+SKETCH = 64
 
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - (SIMILAR / 100) ** ROWS))
 SEEDS = finished(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
@@ -115,7 +116,7 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
 
 
-UNITS = "doc_id long, version long, place int, start int, words int, node long, keys array<bigint>"
+UNITS = "doc_id long, version long, place int, start int, words int, runs int, node long, keys array<bigint>"
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,10 +138,11 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(place.astype(np.int32)),
                     pa.array((own.starts - first).astype(np.int32)),
                     pa.array((own.ends - own.starts).astype(np.int32)),
+                    pa.array(np.array([len(one) for one in own.sets()], np.int32)),
                     pa.array(own.nodes()),
                     pa.ListArray.from_arrays(offsets, keys),
                 ],
-                ["doc_id", "version", "place", "start", "words", "node", "keys"],
+                ["doc_id", "version", "place", "start", "words", "runs", "node", "keys"],
             )
             at += len(texts)
 
@@ -149,12 +151,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for texts in gathered(text.as_py() for text in batch.column("text")):
             own = Paragraphs(texts)
-            members = pa.array([one.view(np.int64) for one in own.sets()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(own.nodes()), members], ["node", "members"])
-
-
-def _alike(a, b):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILAR
+            sets = own.sets()
+            members = pa.array([one.view(np.int64) for one in sets], pa.list_(pa.int64()))
+            sketches = pa.array([sketch(one, SKETCH) for one in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(own.nodes()), members, sketches], ["node", "members", "sketch"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -163,8 +163,7 @@ def classes(docs: DataFrame) -> DataFrame:
     ``docs`` has doc_id, version and the text as bytes. A component is named by its smallest node.
     """
     units = written(docs.mapInArrow(_units, UNITS), "units")
-    # The number of runs bounds the size of the set; only equal sizes of both ends are looked at.
-    buckets = units.select(F.explode("keys").alias("key"), "node", F.lit(1).alias("size"))
+    buckets = units.select(F.explode("keys").alias("key"), "node", F.col("runs").cast("long").alias("size"))
     shared = shared_keys(buckets)
     partners = shared.select("node").distinct()
     wanted = units.join(broadcast_if_few(partners), "node").groupBy("node").agg(
@@ -174,7 +173,7 @@ def classes(docs: DataFrame) -> DataFrame:
     holders = wanted.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
     again = docs.join(broadcast_if_few(written(holders, "holders")), same).select("text")
-    cut = again.mapInArrow(_sets, "node long, members array<bigint>")
+    cut = again.mapInArrow(_sets, "node long, members array<bigint>, sketch array<bigint>")
     sets = written(cut.join(broadcast_if_few(wanted.select("node")), "node").dropDuplicates(["node"]), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -185,9 +184,9 @@ def classes(docs: DataFrame) -> DataFrame:
         both = F.size("of_a") + F.size("of_b") - F.col("overlap")
         return met.filter(F.col("overlap") * 100 >= both * SIMILAR).select("a", "b")
 
-    labels = linked(shared, verify)
+    labels = linked(shared, verify, sets.select("node", "sketch"), SIMILAR)
     discard(shared, sets, wanted)
-    named = units.drop("keys").join(broadcast_if_few(labels), "node", "left")
+    named = units.drop("keys", "runs").join(broadcast_if_few(labels), "node", "left")
     return named.withColumn("component", F.coalesce("component", "node"))
 
 
