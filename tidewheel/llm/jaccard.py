@@ -174,10 +174,12 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     sizes = nodes.select("node", "n")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = segments.filter(F.col("fragment") != IS_SKETCH)
-        one = one.select(F.col("node").alias("a"), "fragment", F.col("segment").alias("of_a"))
-        two = segments.select(F.col("node").alias("b"), "fragment", F.col("segment").alias("of_b"))
-        met = pairs.join(one, "a").join(two, ["b", "fragment"])
+        # Only segments of documents in pairs are shuffled.
+        some = broadcast_if_few(pairs)
+        whole = segments.filter(F.col("fragment") != IS_SKETCH)
+        one = whole.join(some, F.col("node") == F.col("a")).select("a", "b", "fragment", F.col("segment").alias("of_a"))
+        two = whole.join(some, F.col("node") == F.col("b")).select("a", "b", "fragment", F.col("segment").alias("of_b"))
+        met = one.join(two, ["a", "b", "fragment"])
         overlap = F.size(F.array_intersect("of_a", "of_b"))
         # A repeated row has its segments twice, with the same overlap.
         partial = met.groupBy("a", "b", "fragment").agg(F.max(overlap).alias("overlap"))
