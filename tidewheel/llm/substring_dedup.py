@@ -177,9 +177,10 @@ def classes(docs: DataFrame) -> DataFrame:
     sets = written(cut.join(broadcast_if_few(wanted.select("node")), "node").dropDuplicates(["node"]), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = sets.select(F.col("node").alias("a"), F.col("members").alias("of_a"))
-        two = sets.select(F.col("node").alias("b"), F.col("members").alias("of_b"))
-        met = pairs.join(one, "a").join(two, "b")
+        some = broadcast_if_few(pairs)
+        one = sets.join(some, F.col("node") == F.col("a")).select("a", "b", F.col("members").alias("of_a"))
+        two = sets.join(some, F.col("node") == F.col("b")).select("a", "b", F.col("members").alias("of_b"))
+        met = one.join(two, ["a", "b"])
         met = met.withColumn("overlap", F.size(F.array_intersect("of_a", "of_b")))
         both = F.size("of_a") + F.size("of_b") - F.col("overlap")
         return met.filter(F.col("overlap") * 100 >= both * SIMILAR).select("a", "b")
