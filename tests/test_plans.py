@@ -63,6 +63,25 @@ def test_serving_a_table_of_users(spark, store):
     assert got.filter("user_id = 0").count() == 5
 
 
+def test_all_four_ways_to_serve(spark, store, tmp_path):
+    other = batch.Store(str(tmp_path))
+    factors = table(spark, store, "user_factors")
+    lost = factors.agg(F.max("id")).first()[0]
+    other.save(factors.filter(F.col("id") != lost), "user_factors")
+    for name in ("ratings", "item_factors"):
+        other.save(table(spark, store, name), name)
+    batch.segment(spark, other, min_ratings=2)
+    # The user without factors has a segment by the votes of others.
+    assert table(spark, other, "user_segments").filter(F.col("user_idx") == lost).count() == 1
+    users = spark.createDataFrame([(-1,), (0,), (lost,), (999_999,)], "user_id long")
+    trending = windows.windowed_item_metrics(Views(spark, "/root/testdata/sf0.001").events(), "24 hours", "8 hours")
+    got = batch.serve(spark, other, users, trending)
+    kinds = {r["user_id"]: r["path"].rsplit("_", 1)[0] for r in got.collect()}
+    assert kinds == {-1: "cold_start", 0: "als_segment", lost: "segment_fallback", 999_999: "default"}
+    assert got.groupBy("user_id", "item_id").count().filter("count > 1").count() == 0
+    assert spark.sql("SELECT count(*) FROM window_metrics").first()[0] > 0
+
+
 def test_serving_before_anything_is_stored(spark, tmp_path):
     users = spark.createDataFrame([(-1,), (5,)], "user_id long")
     rows = batch.serve(spark, batch.Store(str(tmp_path)), users).collect()
@@ -84,6 +103,15 @@ def test_live_queries(spark, tmp_path):
     assert metrics.count() == 6
     assert sorted((r["item_id"], r["interaction_count"]) for r in alerts.collect()) == [(4, 5)] * 3
     assert spark.read.parquet(str(out / "clean_events")).count() == 7
+    activity = spark.read.parquet(str(out / "user_windows"))
+    assert sorted({(r["user_id"], r["interaction_count"]) for r in activity.collect()}) == [
+        (0, 1), (1, 1), (2, 1), (3, 1), (4, 1)
+    ]
+    # Everything again: nothing is stored twice.
+    again = live.start(messages.file_event_source(spark, str(topic), 1), str(out), str(tmp_path / "check"), None)
+    for query in again.values():
+        query.awaitTermination()
+    assert spark.read.parquet(str(out / "clean_events")).count() == 7
     assert spark.read.parquet(str(out / "dead_letters")).count() == 1
 
 

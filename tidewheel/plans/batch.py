@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tidewheel.operators import cleaning, indexing, models, ranking, recommend, summary
 from tidewheel.session import scratch, use_utc, written
 from tidewheel.sources import files
+from tidewheel.streaming.sinks import register_window_metrics
 
 
 @dataclass(frozen=True)
@@ -86,9 +87,13 @@ def segment(
 def serve(
     spark: SparkSession, store: Store, users: DataFrame, window_metrics: DataFrame | None = None, k: int = 5
 ) -> DataFrame:
-    """Recommendations for a table of users from whatever is stored."""
+    """Recommendations for a table of users from whatever is stored.
+
+    The window metrics are also a view for SQL, named ``window_metrics``.
+    """
     if window_metrics is None:
         window_metrics = spark.createDataFrame([], files.WINDOW_METRICS_SCHEMA)
+    register_window_metrics(window_metrics)
     return recommend.recommend(
         users,
         store.load(spark, "user_factors", files.FACTOR_SCHEMA),

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewheel.operators.events import clean_events, parse_events, validate_events
-from tidewheel.operators.windows import LATENESS, SLIDE, WINDOW, windowed_item_metrics, with_event_watermark
+from tidewheel.operators.events import parse_events, validate_events
+from tidewheel.operators.windows import (
+    LATENESS,
+    SLIDE,
+    WINDOW,
+    spike_alerts,
+    windowed_item_metrics,
+    windowed_user_activity,
+    with_event_watermark,
+)
 from tidewheel.session import use_utc
 from tidewheel.streaming import sinks
 
@@ -20,15 +28,15 @@ def start(
     slide: str = SLIDE,
     lateness: str = LATENESS,
 ) -> dict[str, StreamingQuery]:
-    """Starts the three queries over a stream of ``(value, timestamp)``; returns them by name.
+    """Starts the queries over a stream of ``(value, timestamp)``; returns them by name.
 
-    ``windows`` stores closed windows and the alerts among them, ``snapshot`` the latest
-    events, item metrics and alerts, ``messages`` the good and the bad messages.
+    ``messages`` parses the topic, once, into good and bad messages. The others follow the table
+    of good ones: ``windows`` stores closed item windows and the trending ones among them,
+    ``activity`` closed user windows and the spikes among them, ``snapshot`` the latest events and
+    item metrics and all alerts on them. Without an ``interval`` everything that is there is worked off.
     """
-    use_utc(envelope.sparkSession)
-    validated = validate_events(parse_events(envelope))
-    clean = clean_events(validated)
-    metrics = windowed_item_metrics(with_event_watermark(clean, lateness), window, slide)
+    spark = envelope.sparkSession
+    use_utc(spark)
 
     def at(name: str) -> str:
         return f"{folder.rstrip('/')}/{name}"
@@ -36,9 +44,28 @@ def start(
     def check(name: str) -> str:
         return f"{checkpoints.rstrip('/')}/{name}"
 
+    validated = validate_events(parse_events(envelope))
+    parsed = sinks.dead_letter_sink(validated, at("clean_events"), at("dead_letters"), check("messages"), interval)
+    if interval is None:
+        parsed.awaitTermination()
+    clean = sinks.stored_events(spark, at("clean_events"))
+    timed = with_event_watermark(clean, lateness)
     return {
+        "messages": parsed,
         "windows": sinks.windows_sink(
-            metrics, at("window_metrics"), at("trending"), check("windows"), interval
+            windowed_item_metrics(timed, window, slide),
+            at("window_metrics"),
+            at("trending"),
+            check("windows"),
+            interval,
+        ),
+        "activity": sinks.windows_sink(
+            windowed_user_activity(timed, window, slide),
+            at("user_windows"),
+            at("spikes"),
+            check("activity"),
+            interval,
+            spike_alerts,
         ),
         "snapshot": sinks.snapshot_sink(
             clean,
@@ -50,7 +77,4 @@ def start(
             lateness,
             window,
         ),
-        "messages": sinks.dead_letter_sink(
-            validated, at("clean_events"), at("dead_letters"), check("messages"), interval
-        ),
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,9 +54,14 @@ def alerts_csv_sink(
 
 
 def windows_sink(
-    metrics: DataFrame, metrics_path: str, alerts_path: str, checkpoint: str, interval: str | None = INTERVAL
+    metrics: DataFrame,
+    metrics_path: str,
+    alerts_path: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    alerts: Callable[[DataFrame], DataFrame] = trending_alerts,
 ) -> StreamingQuery:
-    """Closed windows and the trending ones among them, as two tables from one query.
+    """Closed windows and the ones among them that raise ``alerts``, as two tables from one query.
 
     Two queries would read the source and keep the window state twice. Each batch has a
     folder of its own, as in ``dead_letter_sink``.
@@ -64,7 +71,7 @@ def windows_sink(
         folder = f"{metrics_path}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(folder)
         closed = batch.sparkSession.read.schema(batch.schema).parquet(folder)
-        trending_alerts(closed).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+        alerts(closed).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
 
     writer = (
         metrics.writeStream.outputMode("append").foreachBatch(store).option("checkpointLocation", checkpoint)
@@ -83,11 +90,15 @@ def dead_letter_sink(
     """Good and bad messages into two tables.
 
     Each batch has a folder of its own and overwrites it, so a batch that is run again
-    after a failure leaves every message stored once. Both tables read with
-    ``spark.read.parquet`` and show the batch as a column.
+    after a failure leaves every message stored once; one that was complete is left as it is, so
+    that streams over the table see no file twice. Both tables read with ``spark.read.parquet``
+    and show the batch as a column.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id in _folders(spark, clean_path) and batch_id in _folders(spark, dead_path):
+            return
         # Read twice from the source otherwise.
         batch = batch.persist()
         try:
@@ -100,6 +111,14 @@ def dead_letter_sink(
     return _triggered(writer, interval).start()
 
 
+def stored_events(spark: SparkSession, clean_path: str) -> DataFrame:
+    """The table of good messages as a stream."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(clean_path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    stream = spark.readStream.schema(f"{EVENTS_SNAPSHOT}, batch_id BIGINT").parquet(clean_path)
+    return stream.drop("batch_id")
+
+
 def _folders(spark: SparkSession, path: str) -> dict[int, str]:
     """Complete snapshots under ``path`` by batch number."""
     jvm = spark._jvm
