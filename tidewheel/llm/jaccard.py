@@ -27,7 +27,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.links import linked, shared_keys, sketch
+from tidewheel.llm.links import linked, possible, shared_keys, sketch
 from tidewheel.llm.shingles import gathered
 from tidewheel.llm.shingles import sets as sets_of
 from tidewheel.llm.sized import broadcast_if_few
@@ -39,8 +39,6 @@ WIDTH = 3
 PERCENT = 90
 TABLE_BITS = 22
 SKETCH = 256
-# The fragment number under which the sketch of a set is stored.
-IS_SKETCH = -1
 CHUNK = 1 << 16
 
 
@@ -138,11 +136,10 @@ def _segments(order: Broadcast, width: int):
                         continue  # another row with the same doc_id
                     members, places = own.ordered(one)
                     cuts = np.flatnonzero(np.diff(places, prepend=-1))
-                    own_sketch = sketch(one, SKETCH)
-                    nodes.append(np.full(len(cuts) + 1, node, np.int64))
-                    fragments.append(np.append(places[cuts], np.int32(IS_SKETCH)))
-                    lengths.append(np.append(np.diff(cuts, append=len(members)), len(own_sketch)))
-                    segments += [members.view(np.int64), own_sketch]
+                    nodes.append(np.full(len(cuts), node, np.int64))
+                    fragments.append(places[cuts])
+                    lengths.append(np.diff(cuts, append=len(members)))
+                    segments.append(members.view(np.int64))
                 if nodes:
                     ends = np.cumsum(np.concatenate([[0], *lengths])).astype(np.int32)
                     lists = pa.ListArray.from_arrays(ends, np.concatenate(segments))
@@ -152,6 +149,24 @@ def _segments(order: Broadcast, width: int):
     return run
 
 
+def _sketches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = iter(batch.column("node").to_pylist())
+            for texts in gathered(text.as_py() for text in batch.column("text")):
+                nodes, sizes, sketches = [], [], []
+                for one in sets_of(texts, width):
+                    node = next(wanted)
+                    if _node(_digest(one)) == node:
+                        nodes.append(node)
+                        sizes.append(len(one))
+                        sketches.append(sketch(one, SKETCH))
+                columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "size", "sketch"])
+
+    return run
+
+
 def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text) its doc_id, n_shingles and component_id; see the module."""
     spark = docs.sparkSession
@@ -160,25 +175,33 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     order = spark.sparkContext.broadcast(frequency_classes(texts.select("text"), width))
     schema = "doc_id long, n long, node long, leading array<bigint>"
     sets = written(texts.mapInArrow(_sets(order, width, percent), schema), "sets")
-    nodes = sets.filter("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.min("leading").alias("leading"))
-    nodes = written(nodes, "nodes")
-    buckets = nodes.select(F.explode("leading").alias("key"), "node", F.col("n").alias("size"))
-
-    # Only documents that share a leading n-gram with another are cut into segments.
+    nodes = written(sets.filter("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id")), "nodes")
+    buckets = sets.select(F.explode("leading").alias("key"), "node", F.col("n").alias("size"))
     shared = shared_keys(buckets)
-    partners = shared.select("node").distinct()
-    wanted = nodes.join(partners, "node").select("node", F.col("doc_id").alias("_id"))
-    again = texts.join(broadcast_if_few(wanted), F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
-    cut = again.mapInArrow(_segments(order, width), "node long, fragment int, segment array<bigint>")
-    segments = written(cut, "segments")
+    slim = written(sets.select("doc_id", "n", "node"), "slim")
+    discard(sets)
+
+    def again(some: DataFrame) -> DataFrame:
+        """Texts of the documents that stand for ``some`` nodes."""
+        wanted = nodes.join(broadcast_if_few(some), "node").select("node", F.col("doc_id").alias("_id"))
+        wanted = written(wanted, "wanted")
+        return texts.join(broadcast_if_few(wanted), F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
+
+    # Only documents that share a leading n-gram with another are looked at again.
+    partners = written(shared.select("node").distinct(), "partners")
+    sketched = again(partners).mapInArrow(_sketches(width), "node long, size long, sketch array<bigint>")
+    sketches = written(sketched.dropDuplicates(["node"]), "sketches")
     sizes = nodes.select("node", "n")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        # Only segments of documents in pairs are shuffled.
+        # Sketches leave little but links, and only documents of pairs left are cut into segments.
+        pairs = written(possible(pairs, sketches, percent), "possible")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        cut = again(written(ends, "ends")).mapInArrow(_segments(order, width), "node long, fragment int, segment array<bigint>")
+        segments = written(cut, "segments")
         some = broadcast_if_few(pairs)
-        whole = segments.filter(F.col("fragment") != IS_SKETCH)
-        one = whole.join(some, F.col("node") == F.col("a")).select("a", "b", "fragment", F.col("segment").alias("of_a"))
-        two = whole.join(some, F.col("node") == F.col("b")).select("a", "b", "fragment", F.col("segment").alias("of_b"))
+        one = segments.join(some, F.col("node") == F.col("a")).select("a", "b", "fragment", F.col("segment").alias("of_a"))
+        two = segments.join(some, F.col("node") == F.col("b")).select("a", "b", "fragment", F.col("segment").alias("of_b"))
         met = one.join(two, ["a", "b", "fragment"])
         overlap = F.size(F.array_intersect("of_a", "of_b"))
         # A repeated row has its segments twice, with the same overlap.
@@ -186,14 +209,16 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
         total = partial.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
         total = total.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
         total = total.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-        return total.filter(F.expr(f"100 * overlap >= {percent} * (n_a + n_b - overlap)")).select("a", "b")
+        links = total.filter(F.expr(f"100 * overlap >= {percent} * (n_a + n_b - overlap)")).select("a", "b")
+        found = written(links, "found")
+        discard(segments, pairs)
+        return found
 
-    sketches = segments.filter(F.col("fragment") == IS_SKETCH).select("node", F.col("segment").alias("sketch"))
-    labels = linked(shared, verify, sketches.dropDuplicates(["node"]), percent)
-    discard(segments, shared)
+    labels = linked(shared, verify, sketches, percent)
+    discard(shared, sketches)
     ids = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = ids.join(least, "component").select("node", "component_id")
-    out = sets.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
+    out = slim.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"))

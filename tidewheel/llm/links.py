@@ -68,7 +68,7 @@ def _mark(edges: DataFrame) -> tuple:
 
 #: Leader rounds end when the pairs left to look at are at most so many times the bucket rows.
 MANY = 1
-MOST_ROUNDS = 3
+MOST_ROUNDS = 2
 
 
 def shared_keys(buckets: DataFrame) -> DataFrame:
@@ -79,10 +79,11 @@ def shared_keys(buckets: DataFrame) -> DataFrame:
     discard(several)
     # A node is as central as its buckets are large: an original shares more of them than its edited
     # copies, which have n-grams of their own.
-    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    central = shared.join(sizes, "key").groupBy("node").agg(F.sum("members").alias("weight"))
-    weighed = written(shared.join(central, "node"), "weighed")
-    discard(shared)
+    sizes = written(shared.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "sizes")
+    central = shared.join(broadcast_if_few(sizes), "key").groupBy("node").agg(F.sum("members").alias("weight"))
+    central = written(central, "central")
+    weighed = written(shared.join(broadcast_if_few(central), "node"), "weighed")
+    discard(shared, sizes, central)
     return weighed
 
 
@@ -157,6 +158,39 @@ def sketch(one: np.ndarray, places: int) -> np.ndarray:
     return np.minimum(counts, 0xFFFF).astype("<u2").view(np.int64)
 
 
+def _most(counts: np.ndarray, others: np.ndarray, size: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """The largest overlap that sketches allow, row by row."""
+    smaller = np.minimum(size, other_size)
+    most = np.minimum(np.minimum(counts, others).sum(axis=-1), smaller)
+    # A full count says nothing.
+    return np.where((counts == 0xFFFF).any(axis=-1) | (others == 0xFFFF).any(axis=-1), smaller, most)
+
+
+def _counts(column: pa.ChunkedArray | pa.Array, rows: int) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy().reshape(rows, -1).view("<u2").astype(np.int32)
+
+
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches allow a link; ``sketches`` has node, size and sketch."""
+
+    def of(name: str) -> DataFrame:
+        renamed = [F.col("node").alias(name), F.col("size").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}")]
+        return sketches.select(*renamed).join(broadcast_if_few(pairs), name)
+
+    both = of("a").join(of("b"), ["a", "b"])
+
+    def compare(batches):
+        for batch in batches:
+            n = batch.num_rows
+            sizes = [batch.column(name).to_numpy() for name in ("size_a", "size_b")]
+            most = _most(*(_counts(batch.column(name), n) for name in ("sketch_a", "sketch_b")), *sizes)
+            kept = pa.array(100 * most >= percent * (sizes[0] + sizes[1] - most))
+            yield batch.select(["a", "b"]).filter(kept)
+
+    return both.mapInArrow(compare, "a long, b long")
+
+
 def _across(many: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) of larger buckets that lie in different components and may be links.
 
@@ -169,23 +203,20 @@ def _across(many: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     dealt = dealt.select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "size", "component"
     )
-    dealt = dealt.join(sketches, "node")
+    dealt = dealt.join(sketches.select("node", "sketch"), "node")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         own = table.column("own").to_numpy()
         node, size, component = (table.column(name).to_numpy() for name in ("node", "size", "component"))
-        flat = table.column("sketch").combine_chunks().flatten().to_numpy()
-        counts = flat.reshape(len(node), -1).view("<u2").astype(np.int32)
+        counts = _counts(table.column("sketch"), len(node))
         first, second = np.flatnonzero(own == i), np.flatnonzero(own == j)
         found = []
         for x in first:
             ys = second[(component[second] != component[x]) & ((node[second] > node[x]) if i == j else True)]
             smaller, larger = np.minimum(size[ys], size[x]), np.maximum(size[ys], size[x])
             ys = ys[smaller * 100 >= larger * percent]
-            most = np.minimum(np.minimum(counts[ys], counts[x]).sum(axis=1), np.minimum(size[ys], size[x]))
-            # A full count says nothing.
-            most = np.where((counts[ys] == 0xFFFF).any(axis=1) | (counts[x] == 0xFFFF).any(), np.minimum(size[ys], size[x]), most)
+            most = _most(counts[ys], counts[x], size[ys], size[x])
             ys = ys[100 * most >= percent * (size[ys] + size[x] - most)]
             found.append(np.stack([np.full(len(ys), node[x]), node[ys]]))
         pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
@@ -205,7 +236,7 @@ def _grown(edges: DataFrame, labels: DataFrame, found: DataFrame, verify) -> tup
 
 def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Bucket rows with the component of their node, which is the node itself if it has no link."""
-    known = buckets.join(labels, "node", "left")
+    known = buckets.join(broadcast_if_few(labels), "node", "left")
     return known.select("key", "node", "size", "weight", F.coalesce("component", "node").alias("component"))
 
 
