@@ -29,7 +29,9 @@ LETTERS = 0x100
 TO_LETTERS = {b: LETTERS + b for b in range(256)}
 
 # Pre-tokens whose ids a worker remembers; past that it starts afresh.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
+# Texts whose ids are held before they are handed on.
+TOGETHER = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -120,13 +122,15 @@ def coders(path: str, pattern: str) -> tuple[Callable[[Column], Column], Callabl
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(*settings)
         for texts in batches:
-            yield _binary([own.encode(text.as_py()) for text in texts])
+            for start in range(0, len(texts), TOGETHER):
+                yield _binary([own.encode(text.as_py()) for text in texts.slice(start, TOGETHER)])
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(*settings)
         for ids in batches:
-            yield _binary([own.decode(one.as_py()) for one in ids])
+            for start in range(0, len(ids), TOGETHER):
+                yield _binary([own.decode(one.as_py()) for one in ids.slice(start, TOGETHER)])
 
     return encode, decode
 
