@@ -66,11 +66,6 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(mixed), F.sum(F.col("small").cast("decimal(20)"))).first())
 
 
-#: Leader rounds end when the pairs left to look at are at most so many times the bucket rows.
-MANY = 1
-MOST_ROUNDS = 2
-
-
 def shared_keys(buckets: DataFrame) -> DataFrame:
     """Rows of ``buckets`` (key, node, size) whose key several nodes have, with ``weight``, stored."""
     ends = buckets.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
@@ -101,43 +96,35 @@ def linked(
 
     A group of k nodes that share buckets has k * k pairs, but most links say nothing new. So each
     bucket first compares its members with one of them, the most central, and components are formed.
-    Further rounds take other leaders, for members that are not in the leader's component yet. In
-    the end all pairs of a bucket whose ends lie in different components are compared, in blocks
-    where the bucket is large. Then every pair has been compared or is connected already: the
-    components are those of all links.
+    Then all pairs of a bucket whose ends lie in different components are compared, in blocks where
+    the bucket is large. So every pair has been compared or is connected already: the components
+    are those of all links.
     """
     spark = shared.sparkSession
 
     def may(a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
-    edges = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, component long")
-    rows = shared.count()
-    left = None
-    for turn in range(MOST_ROUNDS):
-        now = _labelled(shared, labels)
-        # The order of leaders differs by round and is the same in every run.
-        first = -F.col("weight") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        rank = F.struct(first.alias("first"), "node", "size", "component")
-        leaders = now.groupBy("key").agg(F.min(rank).alias("leader"))
-        found = now.join(leaders, "key").filter("component <> leader.component")
-        found = found.filter(may(F.col("size"), F.col("leader.size")))
-        edges, labels = _grown(edges, labels, found.select(F.col("leader.node").alias("x"), F.col("node").alias("y")), verify)
-        before, left = left, _left(_labelled(shared, labels))
-        if left <= MANY * rows or before is not None and left > before / 2:
-            break
-    now = _labelled(shared, labels)
-    ends = now.groupBy("key").agg(
+    rank = F.struct((-F.col("weight")).alias("first"), "node", "size")
+    leaders = shared.groupBy("key").agg(F.min(rank).alias("leader"))
+    found = shared.join(leaders, "key").filter("node <> leader.node").filter(may(F.col("size"), F.col("leader.size")))
+    none = spark.createDataFrame([], "a long, b long")
+    edges, labels = _grown(none, found.select(F.col("leader.node").alias("x"), F.col("node").alias("y")), verify)
+
+    known = shared.join(broadcast_if_few(labels), "node", "left")
+    known = known.select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+    labelled = written(known, "labelled")
+    ends = labelled.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("members")
     )
-    now = written(now.join(ends.filter("least <> most").select("key", "members"), "key"), "open")
+    now = written(labelled.join(ends.filter("least <> most").select("key", "members"), "key"), "open")
+    discard(labelled, labels)
     few = now.filter(F.col("members") <= FEW_MEMBERS)
     other = few.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("apart"))
     across = few.join(other, "key").filter("component < apart").filter(may(F.col("size"), F.col("other_size")))
     pairs = across.select(F.col("node").alias("x"), F.col("other").alias("y"))
     many = now.filter(F.col("members") > FEW_MEMBERS)
-    edges, labels = _grown(edges, labels, pairs.unionByName(_across(many, sketches, percent)), verify)
+    edges, labels = _grown(edges, pairs.unionByName(_across(many, sketches, percent)), verify)
     discard(now, edges)
     return labels
 
@@ -225,24 +212,10 @@ def _across(many: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("key", "i", "j").applyInArrow(compare, "x long, y long")
 
 
-def _grown(edges: DataFrame, labels: DataFrame, found: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
-    """Edges and labels after the pairs that were found have been compared."""
+def _grown(edges: DataFrame, found: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
+    """Edges and their components after the pairs that were found have been compared."""
     pairs = written(found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
     grown = written(edges.unionByName(verify(pairs)), "links")
     again = components(grown)
-    discard(pairs, edges, labels)
+    discard(pairs, edges)
     return grown, again
-
-
-def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Bucket rows with the component of their node, which is the node itself if it has no link."""
-    known = buckets.join(broadcast_if_few(labels), "node", "left")
-    return known.select("key", "node", "size", "weight", F.coalesce("component", "node").alias("component"))
-
-
-def _left(labelled: DataFrame) -> int:
-    """Pairs within buckets whose ends lie in different components."""
-    by_component = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    by_key = by_component.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
-    total = by_key.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0]
-    return int(total or 0)
