@@ -69,9 +69,9 @@ def test_a_large_group_of_near_copies(make_docs):
     assert found(make_docs(rows)) == brute(rows)
 
 
-def test_final_round_alone_finds_all(make_docs, monkeypatch):
-    # As if the leaders had left many pairs open.
-    monkeypatch.setattr(links, "MOST_ROUNDS", 1)
+def test_blocks_of_large_buckets_find_all(make_docs, monkeypatch):
+    monkeypatch.setattr(links, "FEW_MEMBERS", 1)
+    monkeypatch.setattr(links, "BLOCK", 2)
     rows = corpus(8)
     assert found(make_docs(rows)) == brute(rows)
 
