@@ -75,10 +75,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the smallest id."""
-    found = written(jaccard.joined(docs), "components")
-    stays = found.filter("n_shingles > 0 AND component_id <> doc_id OR doc_id IS NULL AND component_id IS NOT NULL")
-    goes = broadcast_if_few(stays.select(F.col("doc_id").alias("_id")).distinct())
-    docs = docs.join(goes, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    found = written(jaccard.versions(docs), "components")
+    copies = found.filter("n_shingles > 0 AND component_id <> doc_id OR doc_id IS NULL AND component_id IS NOT NULL")
+    # Rows may share a doc_id, or have none, and differ in their texts.
+    goes = copies.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (_version() == F.col("_version"))
+    docs = docs.join(broadcast_if_few(goes), same, "left_anti")
     # Ids that occur more than once are rare; only their rows are compared.
     again = written(found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
     if again.isEmpty():

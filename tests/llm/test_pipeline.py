@@ -91,3 +91,18 @@ def test_registered():
     assert names["pipeline"] is corpus_pipeline.run
     assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
     assert set(entry_point.oracle_sql()) <= set(names)
+
+
+def test_near_copies_go_row_by_row(spark, make_docs):
+    rng = random.Random(3)
+
+    def prose():
+        return " ".join(f"v{rng.randrange(5000)}" for _ in range(80))
+
+    first, other, alone = prose(), prose(), prose()
+    near = first + " more"
+    # Without an id: a near copy of 1, a text of its own, a repeated text that no id has. Id 5: a near copy and a text of its own.
+    rows = [(1, first), (None, near), (None, alone), (None, other), (None, other), (5, near), (5, prose()), (6, None)]
+    got = corpus_pipeline.near_copies(spark, make_docs(rows), "")
+    left = [r for r in rows if r[1] != near]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(left, key=repr)

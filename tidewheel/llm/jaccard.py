@@ -102,7 +102,7 @@ def _sets(order: Broadcast, width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Order(order.value)
         for batch in batches:
-            rows = {"doc_id": batch.column("doc_id").to_pylist(), "n": [], "node": [], "leading": []}
+            rows = {"n": [], "node": [], "leading": []}
             for one in sets_of((text.as_py() for text in batch.column("text")), width):
                 n = len(one)
                 # Two sets that are alike share one of these, whichever the partner's size.
@@ -112,12 +112,13 @@ def _sets(order: Broadcast, width: int, percent: int):
                 rows["leading"].append(own.ordered(one)[0][:leading].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(rows["doc_id"], pa.int64()),
+                    batch.column("doc_id").cast(pa.int64()),
+                    batch.column("version"),
                     pa.array(rows["n"], pa.int64()),
                     pa.array(rows["node"], pa.int64()),
                     pa.array(rows["leading"], pa.list_(pa.int64())),
                 ],
-                list(rows),
+                ["doc_id", "version", *rows],
             )
 
     return run
@@ -169,16 +170,21 @@ def _sketches(width: int):
 
 def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text) its doc_id, n_shingles and component_id; see the module."""
+    return versions(docs, width, percent).drop("version")
+
+
+def versions(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """As ``joined``, with ``version``, the hash of the row's text: rows may share a doc_id."""
     spark = docs.sparkSession
     importable(spark)
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), F.col("text").cast("binary").alias("text"))
     order = spark.sparkContext.broadcast(frequency_classes(texts.select("text"), width))
-    schema = "doc_id long, n long, node long, leading array<bigint>"
+    schema = "doc_id long, version long, n long, node long, leading array<bigint>"
     sets = written(texts.mapInArrow(_sets(order, width, percent), schema), "sets")
     nodes = written(sets.filter("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id")), "nodes")
     buckets = sets.select(F.explode("leading").alias("key"), "node", F.col("n").alias("size"))
     shared = shared_keys(buckets)
-    slim = written(sets.select("doc_id", "n", "node"), "slim")
+    slim = written(sets.select("doc_id", "version", "n", "node"), "slim")
     discard(sets)
 
     def again(some: DataFrame) -> DataFrame:
@@ -219,6 +225,6 @@ def joined(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     ids = nodes.join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = ids.join(least, "component").select("node", "component_id")
-    out = slim.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
+    out = slim.select("doc_id", "version", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    return out.select("doc_id", "version", "n_shingles", own.alias("component_id"))
