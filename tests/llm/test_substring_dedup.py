@@ -107,3 +107,24 @@ def test_links_are_those_of_all_pairs(spark, make_docs):
     # Bands find a link with probability RECALL or more, the rest is exact.
     assert sum(got[i] == got[j] for i, j in links) >= 0.97 * len(links)
     assert not [(i, j) for i in sets for j in sets if i < j and got[i] == got[j] and find(i) != find(j)]
+
+
+def test_every_shared_run_of_51_words_is_found(make_docs):
+    rng = random.Random(12)
+    rows, shared = [], {}
+    # Without marks, in long sentences, and in sentences too short for paragraphs.
+    for n in range(0, 240, 2):
+        every = [10**6, 45, 6][n // 2 % 3]
+        words = lambda k: [f"u{rng.randrange(10_000)}" + ("." if rng.randrange(every) == 0 else "") for _ in range(k)]
+        passage = words(51 + n // 2 % 20)
+        for k in (0, 1):
+            before = words(rng.randrange(90))
+            rows.append((n + k, " ".join(before + passage + words(rng.randrange(90)))))
+            shared[n + k] = (len(before), len(before) + len(passage))
+    got = {r.doc_id: r for r in sd.repeated(make_docs(rows)).collect()}
+    assert set(got) == set(shared)
+    for doc_id, (start, end) in shared.items():
+        r = got[doc_id]
+        # A paragraph at its ends may be similar with a few words of its own.
+        assert min(end, r.start_word + r.n_words) - max(start, r.start_word) >= 20
+        assert r.first_doc_id == doc_id // 2 * 2 and (r.n_removed == 0) == (doc_id % 2 == 0)

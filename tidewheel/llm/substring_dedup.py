@@ -7,9 +7,18 @@ of fewer than LEAST_WORDS words are passed over. A paragraph's set are its runs
 A-Z as a-z; its signature, cut into bands, makes it collide with like ones. The number of bands
 is the smallest that finds pairs of the wanted similarity with probability RECALL. Paragraphs that
 collide are compared by the exact Jaccard similarity of their sets, and linked at SIMILAR or more.
-Components of links that occur in two documents or more are repeats. Neighbouring repeats, with no
-more than SKIP words between, form a passage, reported if its repeats have MOST_SHORT words or more;
-the earliest occurrence of each component stays, the others are to be removed.
+Components of links that occur in two documents or more are repeats.
+
+Wherever a passage begins and ends, and whatever marks it has, it is also found by stretches: of
+every REACH neighbouring runs of LEAST_WORDS words the one with the smallest hash is picked, and a
+stretch goes from the first word of one picked run to the last word of the next. Stretches that are
+equal word by word in two documents are repeats as well. Inside a run of 50 words that two documents
+share both pick alike, and the first and the last pick are at most REACH - 1 words from its ends, so
+that the stretches between cover 50 - 2 * (REACH - 1) = MOST_SHORT words or more.
+
+Neighbouring repeats, with no more than SKIP words between, form a passage, reported if MOST_SHORT
+of its words or more are in repeats; the earliest occurrence of each component stays, the others are
+to be removed.
 
 Earlier means smaller doc_id (null first), then hash of the text, then place. Rows that agree in
 doc_id and text are one document. Null or empty texts have no paragraphs. Whole paragraphs are told
@@ -42,6 +51,7 @@ LONG = 48  # words without a mark after which cuts by hash begin
 PICK = 16  # one word in so many is cut after then
 SKIP = 8
 MOST_SHORT = 20
+REACH = 16  # neighbouring runs of which one is picked
 SKETCH = 64
 
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - (SIMILAR / 100) ** ROWS))
@@ -83,14 +93,7 @@ class Paragraphs:
 
     def nodes(self) -> np.ndarray:
         """A hash of the words of each paragraph."""
-        if not len(self.starts):
-            return np.zeros(0, np.int64)
-        lengths = self.ends - self.starts
-        members = _spread(self.starts, lengths)
-        place = members - np.repeat(self.starts, lengths)
-        mixed = self.text.hashes[members] * _powers(int(lengths.max()))[place]
-        sums = np.add.reduceat(mixed, np.cumsum(lengths) - lengths)
-        return finished(sums ^ lengths.astype(np.uint64)).view(np.int64)
+        return _hashed(self.text, self.starts, self.ends)
 
     def keys(self) -> np.ndarray:
         """Band keys: one row per paragraph."""
@@ -116,6 +119,35 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
 
 
+def _hashed(text: Text, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the words from each start to its end."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    lengths = ends - starts
+    members = _spread(starts, lengths)
+    place = members - np.repeat(starts, lengths)
+    mixed = text.hashes[members] * _powers(int(lengths.max()))[place]
+    sums = np.add.reduceat(mixed, np.cumsum(lengths) - lengths)
+    return finished(sums ^ lengths.astype(np.uint64)).view(np.int64)
+
+
+def stretches(text: Text) -> tuple[np.ndarray, np.ndarray]:
+    """First words and ends of the stretches of all texts."""
+    runs = text.runs(LEAST_WORDS)
+    n = max(len(runs) - REACH + 1, 0)
+    least, picked = runs[:n].copy(), np.arange(n)
+    for step in range(1, REACH):
+        # Of equal hashes the last one, so that what lies beyond a shared run changes no pick inside.
+        lower = runs[step : step + n] <= least
+        picked[lower] = np.flatnonzero(lower) + step
+        np.minimum(least, runs[step : step + n], out=least)
+    limits = np.repeat(text.bounds[1:], np.diff(text.bounds))[:n]
+    picked = np.unique(picked[np.arange(n) + REACH + LEAST_WORDS - 1 <= limits])
+    of = np.searchsorted(text.bounds, picked, side="right")
+    same = of[1:] == of[:-1]
+    return picked[:-1][same], picked[1:][same] + LEAST_WORDS
+
+
 UNITS = "doc_id long, version long, place int, start int, words int, runs int, node long, keys array<bigint>"
 
 
@@ -147,6 +179,41 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(texts)
 
 
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = 0
+        ids, versions = batch.column("doc_id"), batch.column("version")
+        for texts in gathered(text.as_py() for text in batch.column("text")):
+            own = Text(texts)
+            starts, ends = stretches(own)
+            of = np.searchsorted(own.bounds, starts, side="right") - 1
+            rows = pa.array(of + at)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    ids.take(rows),
+                    versions.take(rows),
+                    pa.array((starts - own.bounds[of]).astype(np.int32)),
+                    pa.array((ends - starts).astype(np.int32)),
+                    # Not the hash of a paragraph of the same words.
+                    pa.array(~_hashed(own, starts, ends)),
+                ],
+                ["doc_id", "version", "start", "words", "component"],
+            )
+            at += len(texts)
+
+
+def repeated_stretches(docs: DataFrame) -> DataFrame:
+    """Stretches (doc_id, version, start, words, component) that occur in several documents."""
+    schema = "doc_id long, version long, start int, words int, component long"
+    cut = written(docs.mapInArrow(_stretches, schema), "stretches")
+    who = F.xxhash64("doc_id", "version")
+    ends = cut.groupBy("component").agg(F.min(who).alias("least"), F.max(who).alias("most"))
+    several = written(ends.filter("least <> most").select("component"), "met")
+    found = written(cut.join(broadcast_if_few(several), "component").select(cut.columns), "equal")
+    discard(cut, several)
+    return found
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for texts in gathered(text.as_py() for text in batch.column("text")):
@@ -194,12 +261,16 @@ def classes(docs: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """Repeated passages of each document.
 
-    doc_id, start_word and n_words of the passage, n_paragraphs repeated in it, n_removed of them
-    (all but the earliest of their component), and first_doc_id, the smallest id that shares one.
+    doc_id, start_word and n_words of the passage, n_paragraphs (paragraphs and stretches) repeated
+    in it, n_removed of them (all but the earliest of their component), and first_doc_id, the
+    smallest id that shares one.
     """
     importable(docs.sparkSession)
     texts = docs.select("doc_id", F.xxhash64("text").alias("version"), F.col("text").cast("binary").alias("text"))
-    units = written(classes(texts), "classes")
+    columns = ["doc_id", "version", "start", "words", "component"]
+    paragraphs = classes(texts).select(*columns, (F.col("start") * 2).alias("place"))
+    equal = repeated_stretches(texts).select(*columns, (F.col("start") * 2 + 1).alias("place"))
+    units = written(paragraphs.unionByName(equal), "classes")
     doc = F.struct("doc_id", "version")
     ends = units.groupBy("component").agg(
         F.min(doc).alias("least"), F.max(doc).alias("most"), F.min(F.struct("doc_id", "version", "place")).alias("first")
@@ -207,14 +278,17 @@ def repeated(docs: DataFrame) -> DataFrame:
     several = written(ends.filter("least <> most").select("component", "first"), "repeats")
     found = units.join(broadcast_if_few(several), "component").dropDuplicates(["doc_id", "version", "place"])
     own = Window.partitionBy("doc_id", "version").orderBy("place")
-    gap = F.col("start") - F.lag(F.col("start") + F.col("words")).over(own)
-    found = found.withColumn("new", F.coalesce((gap > SKIP).cast("int"), F.lit(1)))
+    end = F.col("start") + F.col("words")
+    # Where the repeats before end: they may overlap.
+    found = found.withColumn("before", F.max(end).over(own.rowsBetween(Window.unboundedPreceding, -1)))
+    found = found.withColumn("new", F.coalesce((F.col("start") - F.col("before") > SKIP).cast("int"), F.lit(1)))
     found = found.withColumn("passage", F.sum("new").over(own))
+    fresh = F.greatest(F.lit(0), end - F.greatest("start", F.coalesce("before", F.lit(0))))
     here = F.struct("doc_id", "version", "place")
     passages = found.groupBy("doc_id", "version", "passage").agg(
         F.min("start").alias("start_word"),
         (F.max(F.col("start") + F.col("words")) - F.min("start")).alias("n_words"),
-        F.sum("words").alias("repeated"),
+        F.sum(fresh).alias("repeated"),
         F.count(F.lit(1)).alias("n_paragraphs"),
         F.count_if(F.col("first") != here).alias("n_removed"),
         F.min("first.doc_id").alias("first_doc_id"),
