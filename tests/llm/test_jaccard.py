@@ -87,3 +87,27 @@ def test_components_of_chains_and_stars(spark):
     want = {n: 0 for n in range(41)} | {n: 100 for n in range(100, 130)} | {200: 200, 201: 200}
     assert got == want
     assert links.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_that_share_a_doc_id_are_looked_at_once(spark, make_docs, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+    sketches = jaccard._sketches
+
+    def counted(width):
+        run = sketches(width)
+
+        def counting(batches):
+            def each():
+                for batch in batches:
+                    read.add(batch.num_rows)
+                    yield batch
+
+            yield from run(each())
+
+        return counting
+
+    monkeypatch.setattr(jaccard, "_sketches", counted)
+    base = [f"b{n}" for n in range(120)]
+    rows = [(None, " ".join([*base, f"x{n}"])) for n in range(20)]
+    assert found(make_docs(rows)) == brute(rows)
+    assert 0 < read.value <= 2 * len(rows)

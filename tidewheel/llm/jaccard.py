@@ -134,7 +134,7 @@ def _segments(order: Broadcast, width: int):
                 for one in sets_of(texts, width):
                     node = next(wanted)
                     if _node(_digest(one)) != node:
-                        continue  # another row with the same doc_id
+                        continue  # another text with the same hash
                     members, places = own.ordered(one)
                     cuts = np.flatnonzero(np.diff(places, prepend=-1))
                     nodes.append(np.full(len(cuts), node, np.int64))
@@ -181,7 +181,10 @@ def versions(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     order = spark.sparkContext.broadcast(frequency_classes(texts.select("text"), width))
     schema = "doc_id long, version long, n long, node long, leading array<bigint>"
     sets = written(texts.mapInArrow(_sets(order, width, percent), schema), "sets")
-    nodes = written(sets.filter("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id")), "nodes")
+    # A row with an id stands for its node, as far as there is one.
+    stands = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "version")).alias("row")
+    nodes = sets.filter("n > 0").groupBy("node", "n").agg(stands)
+    nodes = written(nodes.select("node", "n", "row.doc_id", "row.version"), "nodes")
     buckets = sets.select(F.explode("leading").alias("key"), "node", F.col("n").alias("size"))
     shared = shared_keys(buckets)
     slim = written(sets.select("doc_id", "version", "n", "node"), "slim")
@@ -189,9 +192,10 @@ def versions(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
 
     def again(some: DataFrame) -> DataFrame:
         """Texts of the documents that stand for ``some`` nodes."""
-        wanted = nodes.join(broadcast_if_few(some), "node").select("node", F.col("doc_id").alias("_id"))
-        wanted = written(wanted, "wanted")
-        return texts.join(broadcast_if_few(wanted), F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
+        wanted = nodes.join(broadcast_if_few(some), "node")
+        wanted = written(wanted.select("node", F.col("doc_id").alias("_id"), F.col("version").alias("_version")), "wanted")
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
+        return texts.join(broadcast_if_few(wanted), same).select("node", "text")
 
     # Only documents that share a leading n-gram with another are looked at again.
     partners = written(shared.select("node").distinct(), "partners")
