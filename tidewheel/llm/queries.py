@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, mixing, multi_index, quality_rules, resampling, sharding, substring_dedup
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, merkle, mixing, multi_index, quality_rules, resampling, sharding, substring_dedup
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -74,9 +74,14 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests, proof and check of every document."""
+    return merkle.checked(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op8_paragraph_minhash, op9_line_neighbours, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op8_paragraph_minhash, op9_line_neighbours, op10_byte_bpe, op12_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_extendible_shards": sharding.SQL, "op3_temperature_mix": mixing.SQL, "op9_line_neighbours": line_dedup.SQL}
+    return {"op2_extendible_shards": sharding.SQL, "op3_temperature_mix": mixing.SQL, "op9_line_neighbours": line_dedup.SQL, "op12_merkle_manifest": merkle.SQL}
