@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, merkle, mixing, multi_index, quality_rules, resampling, sharding, substring_dedup
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, merkle, mixing, multi_index, quality_rules, resampling, sharding, substring_dedup, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -79,8 +79,14 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.checked(table(spark, folder, "documents"))
 
 
+def op13_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; a fifth of the labels is held out."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"), held_out)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op8_paragraph_minhash, op9_line_neighbours, op10_byte_bpe, op12_merkle_manifest)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op8_paragraph_minhash, op9_line_neighbours, op10_byte_bpe, op12_merkle_manifest, op13_ftrl_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
