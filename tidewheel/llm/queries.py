@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, merkle, mixing, multi_index, quality_rules, resampling, sharding, substring_dedup, toxicity
+from tidewheel.llm import byte_bpe, context_mixing, jaccard, line_dedup, merkle, mixing, multi_index, phrases, quality_rules, resampling, sharding, substring_dedup, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -74,6 +74,11 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op11_pair_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 phrases of every language whose words occur together."""
+    return phrases.mined(table(spark, folder, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Digests, proof and check of every document."""
     return merkle.checked(table(spark, folder, "documents"))
@@ -86,8 +91,8 @@ def op13_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op8_paragraph_minhash, op9_line_neighbours, op10_byte_bpe, op12_merkle_manifest, op13_ftrl_toxicity)}
+    return {f.__name__: f for f in (op1_context_mixing, op2_extendible_shards, op3_temperature_mix, op4_ngram_jaccard, op5_multi_index, op6_likelihood_rules, op7_importance_resampling, op8_paragraph_minhash, op9_line_neighbours, op10_byte_bpe, op11_pair_tiles, op12_merkle_manifest, op13_ftrl_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_extendible_shards": sharding.SQL, "op3_temperature_mix": mixing.SQL, "op9_line_neighbours": line_dedup.SQL, "op12_merkle_manifest": merkle.SQL}
+    return {"op2_extendible_shards": sharding.SQL, "op3_temperature_mix": mixing.SQL, "op9_line_neighbours": line_dedup.SQL, "op11_pair_tiles": phrases.SQL, "op12_merkle_manifest": merkle.SQL}
