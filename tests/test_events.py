@@ -147,6 +147,34 @@ def test_throughput_fills_silent_buckets(spark):
     assert windows.throughput(stream(spark, [])).count() == 0
 
 
+def test_throughput_survives_times_that_are_far_off(spark):
+    near = [int(NOON.replace(tzinfo=dt.timezone.utc).timestamp()) + s for s in (0, 60, 180)]
+    # 0001-01-01 and 9999-12-31.
+    far = [-62135596800, 253402214400]
+    df = spark.createDataFrame([(s,) for s in near + far], "s long").select(F.timestamp_seconds("s").alias("event_time"))
+    got = windows.throughput(df).select(F.unix_seconds("bucket_start"), "n_events", "percent_change").collect()
+    assert sorted(map(tuple, got)) == [
+        (far[0], 1, None), (near[0], 1, None), (near[1], 1, 0.0), (near[1] + 60, 0, -100.0), (near[2], 1, None), (far[1], 1, None)
+    ]
+
+
+@pytest.mark.parametrize("gap, listed", [(1, 0), (2, 1), (8, 7), (9, 8), (10, 0), (25, 0)])
+def test_throughput_lists_silences_up_to_a_length(spark, gap, listed):
+    for first in range(0, 12):
+        df = stream(spark, [(1, 1, 3.0, 60 * first, 0), (1, 1, 3.0, 60 * (first + gap), 0)])
+        got = windows.throughput(df, silence=8).orderBy("bucket_start").collect()
+        assert [r["n_events"] for r in got] == [1, *[0] * listed, 1]
+        assert [r["percent_change"] for r in got][1:2] == ([-100.0] if listed else [0.0] if gap == 1 else [None])
+
+
+def test_latency_marks_are_found_without_one_task_for_all(spark):
+    delays = spark.range(3000).select(F.timestamp_micros(F.lit(0)).alias("event_time"), F.timestamp_micros(F.col("id") * 977_000).alias("kafka_ts"))
+    got = windows.ingest_latency(delays)
+    assert tuple(got.first())[:4] == pytest.approx((3000, 1499 * 0.977, 2849 * 0.977, 2969 * 0.977))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(ms" not in plan
+
+
 def test_latency_share_is_below_the_target(spark):
     got = windows.ingest_latency(stream(spark, [(1, 1, 3.0, 0, d) for d in (1, 2, 3, 5)])).first()
     assert (got["n_events"], got["p50"], got["p99"], got["share_under_target"]) == (4, 2.0, 5.0, 0.75)

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import shutil
 import time
 
 import pytest
@@ -94,6 +95,52 @@ def test_dead_letters_on_a_stream_and_after_a_restart(spark, tmp_path):
     assert reasons == {"unparseable_json", "rating_out_of_range"}
 
 
+def lose(folder):
+    """Takes a batch away as if its writer had died before the end."""
+    shutil.rmtree(folder)
+
+
+def followed(spark, clean, check, out):
+    query = sinks.stored_events(spark, clean).writeStream.format("parquet").option("path", out).option("checkpointLocation", check)
+    query.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).count()
+
+
+@pytest.mark.parametrize("lost", [("dead",), ("clean",), ("clean", "dead"), ()])
+def test_a_batch_lost_between_its_writes_is_seen_once(spark, tmp_path, lost):
+    topic = tmp_path / "topic"
+    places = {name: str(tmp_path / name) for name in ("clean", "dead", "check")}
+    write_batches(spark, topic, [[message(0), message(1), ("{bad", START)], [message(5, rating=9.0), message(6)]])
+
+    def run():
+        sinks.dead_letter_sink(validated_stream(spark, topic), *places.values(), interval=None).awaitTermination()
+        return spark.read.parquet(places["clean"]).count(), spark.read.parquet(places["dead"]).count()
+
+    def follow():
+        return followed(spark, places["clean"], str(tmp_path / "follow"), str(tmp_path / "followed"))
+
+    assert run() == (3, 2)
+    seen = follow() if "clean" not in lost else 0
+    for name in lost:
+        lose(f"{places[name]}/batch_id=1")
+    for mark in (tmp_path / "check" / "commits").glob("*1*"):
+        mark.unlink()
+    assert run() == (3, 2)
+    assert follow() == 3
+    assert seen in (0, 3)
+
+
+def test_an_unfinished_batch_is_not_seen(spark, tmp_path):
+    clean = str(tmp_path / "clean")
+    rows = spark.createDataFrame([(1, 1, 3.0, START, START)], sinks.EVENTS_SNAPSHOT)
+    rows.write.parquet(f"{clean}/_unfinished/batch_id=0")
+    assert followed(spark, clean, str(tmp_path / "c1"), str(tmp_path / "o1")) == 0
+    assert sinks._stored(rows, clean, 0).count() == 1
+    # A second call leaves the files as they are.
+    sinks._stored(rows.union(rows), clean, 0)
+    assert followed(spark, clean, str(tmp_path / "c1"), str(tmp_path / "o1")) == 1
+
+
 def test_late_rows_are_counted_per_window(spark, tmp_path):
     folder = tmp_path / "topic"
     # A batch drops what is older than the watermark of the batch before, 1:25 for the third.

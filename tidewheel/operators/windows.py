@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions import engagement_score, spike_message, trending_message
+from tidewheel.operators.ordered import running_totals
 from tidewheel.operators.summary import COLD_USER
 from tidewheel.session import written
 
@@ -18,6 +19,9 @@ TRENDING_COUNT = 3
 SPIKE_COUNT = 10
 LATENCY_TARGET = 5.0
 
+# Buckets without events that are listed in a row.
+SILENCE = 10_000
+
 
 def with_event_watermark(df: DataFrame, delay: str = LATENESS, column: str = "event_time") -> DataFrame:
     """Bounds lateness; zone-less times become timestamps, as watermarks need."""
@@ -116,27 +120,43 @@ def user_activity_timeline(events: DataFrame, step: str, top: int) -> DataFrame:
     )
 
 
-def throughput(events: DataFrame, bucket: str = "60 seconds") -> DataFrame:
-    """Events per second in each bucket from the first to the last, and the change on the one before.
+def throughput(events: DataFrame, bucket: str = "60 seconds", silence: int = SILENCE) -> DataFrame:
+    """Events per second in each bucket, and the change on the one before.
 
-    Buckets without events count 0. There is no change for the first bucket, nor after a 0.
+    Buckets without events count 0 and are listed, unless more than ``silence`` of them follow each
+    other: then none of them is, so that one event with a far-off time neither fills the table nor
+    a task. There is no change for the first bucket, after a 0, nor after such a silence.
     """
     counts = events.groupBy(F.window("event_time", bucket)).agg(F.count(F.lit(1)).alias("n"))
     start, end = F.unix_micros("window.start"), F.unix_micros("window.end")
-    # One row per bucket, read three times.
-    counts = written(counts.select(start.alias("at"), (end - start).alias("step"), "n"), "buckets")
-    ends = counts.agg(F.min("at").alias("first"), F.max("at").alias("last"), F.max("step").alias("step"))
-    every = ends.filter("first IS NOT NULL").select(
-        "step", F.explode(F.sequence("first", "last", "step")).alias("at")
+    cell = F.floor(start / ((end - start) * F.lit(silence + 1)))
+    # One row per bucket, read three times; a cell has at most ``silence`` + 1 of them.
+    counts = written(counts.select(cell.alias("cell"), start.alias("at"), (end - start).alias("step"), "n"), "buckets")
+    ends = counts.groupBy("cell").agg(F.min("at").alias("first"), F.max(F.struct("at", "n")).alias("last"))
+    inside = Window.partitionBy("cell").orderBy("at")
+    placed = counts.withColumns({"next": F.lead("at").over(inside), "past": F.lag(F.struct("at", "n")).over(inside)})
+    # A bucket beyond the neighbouring cell is too far away.
+    after = ends.select((F.col("cell") - 1).alias("cell"), F.col("first").alias("next_cell"))
+    before = ends.select((F.col("cell") + 1).alias("cell"), F.col("last").alias("past_cell"))
+    placed = placed.join(after, "cell", "left").join(before, "cell", "left")
+    step, n = F.col("step"), F.col("n")
+    upcoming, past = F.coalesce("next", "next_cell"), F.coalesce("past", "past_cell")
+    silent = ((upcoming - F.col("at")) / step).cast("bigint") - 1
+    change = F.when(past["at"] == F.col("at") - step, (n - past["n"]) * 100.0 / past["n"])
+    own = F.struct(F.col("at").alias("at"), n.alias("n"), change.alias("change"))
+    listed = F.when(silent.between(1, silence), F.sequence(F.lit(1).cast("bigint"), silent)).otherwise(F.array().cast("array<bigint>"))
+    zeros = F.transform(
+        listed,
+        lambda k: F.struct(
+            (F.col("at") + k * step).alias("at"), F.lit(0).cast("bigint").alias("n"), F.when(k == 1, F.lit(-100.0)).alias("change")
+        ),
     )
-    now = counts.select("at", F.col("n").alias("n_here"))
-    past = counts.select((F.col("at") + F.col("step")).alias("at"), F.col("n").alias("n_past"))
-    n, before = F.coalesce("n_here", F.lit(0)), F.col("n_past")
-    return every.join(now, "at", "left").join(past, "at", "left").select(
+    every = placed.select("step", F.inline(F.concat(F.array(own), zeros)))
+    return every.select(
         F.timestamp_micros("at").alias("bucket_start"),
         n.alias("n_events"),
-        (n / (F.col("step") / 1e6)).alias("events_per_second"),
-        ((n - before) * 100.0 / before).alias("percent_change"),
+        (n / (step / 1e6)).alias("events_per_second"),
+        F.col("change").alias("percent_change"),
     )
 
 
@@ -144,16 +164,16 @@ def ingest_latency(events: DataFrame, target: float = LATENCY_TARGET) -> DataFra
     """Percentiles of arrival after event time in seconds, and the share under the target.
 
     Delays count in whole milliseconds. Tasks count how often each occurs; the marks are the
-    exact ones of that histogram, which has a row per millisecond and not per event.
+    exact ones of that histogram, whose running sums are made in ranges of delays.
     """
     delay = F.floor((F.unix_micros(F.col("kafka_ts")) - F.unix_micros(F.col("event_time"))) / 1000)
     counts = events.select(delay.cast("long").alias("ms")).groupBy("ms").agg(F.count(F.lit(1)).alias("n"))
-    up_to = Window.orderBy("ms").rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.filter("ms IS NOT NULL").withColumn("upto", F.sum("n").over(up_to))
-    running = running.withColumn("total", F.sum("n").over(Window.partitionBy()))
+    counts = written(counts.filter("ms IS NOT NULL"), "delays")
+    running = running_totals(counts, [], ["ms"], {"upto": F.col("n")})
+    total = counts.agg(F.sum("n")).scalar()
 
     def mark(share: float) -> Column:
-        return (F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * F.lit(share)), F.col("ms"))) / 1000.0)
+        return F.min(F.when(F.col("upto") >= F.ceil(total * F.lit(share)), F.col("ms"))) / 1000.0
 
     under = F.sum(F.when(F.col("ms") < target * 1000, F.col("n")).otherwise(0)) / F.sum("n")
     return running.agg(

@@ -327,6 +327,53 @@ _BODIES = {
                quantile_disc(delay, 0.99) AS p99,
                round(avg(CASE WHEN delay < 5 THEN 1.0 ELSE 0.0 END), 6) AS share_under_target
         FROM (SELECT floor((epoch_us(kafka_ts) - epoch_us(event_time)) / 1000) / 1000 AS delay FROM clean )""",
+    "asof_prior_rating": """
+        SELECT e.user_id, e.item_id, e.rating, e.event_time, e.kafka_ts,
+               p.item_id AS prior_item, p.rating AS prior_rating, p.event_time AS prior_time
+        FROM clean e LEFT JOIN (
+            SELECT a.event_time AS upto, a.user_id AS whose, max(b.event_time) AS latest
+            FROM (SELECT DISTINCT user_id, event_time FROM clean ) a JOIN clean b
+                ON a.user_id = b.user_id AND b.event_time < a.event_time
+            GROUP BY a.event_time, a.user_id) m ON m.whose = e.user_id AND m.upto = e.event_time
+        LEFT JOIN (SELECT * FROM clean QUALIFY row_number() OVER (
+            PARTITION BY user_id, event_time ORDER BY item_id DESC, rating DESC) = 1) p
+            ON p.user_id = e.user_id AND p.event_time = m.latest""",
+    "asof_order": """
+        SELECT c.*, o_orderkey, CASE WHEN o_orderkey IS NOT NULL THEN latest END AS ordered
+        FROM cleaned c LEFT JOIN (
+            SELECT a.user_id AS whose, a."timestamp" AS upto, max(epoch_ms(o_orderdate)) AS latest
+            FROM (SELECT DISTINCT user_id, "timestamp" FROM cleaned ) a JOIN orders
+                ON 'U' || o_custkey = a.user_id AND epoch_ms(o_orderdate) <= a."timestamp"
+            GROUP BY ALL) m ON m.whose = c.user_id AND m.upto = c."timestamp"
+        LEFT JOIN (SELECT 'U' || o_custkey AS buyer, epoch_ms(o_orderdate) AS day, max(o_orderkey) AS o_orderkey
+                   FROM orders GROUP BY ALL) o
+            ON o.buyer = c.user_id AND o.day = m.latest AND m.latest >= c."timestamp" - 7776000000""",
+    "trending_alert_events": """
+        SELECT w.item_id, window_start, window_end, c.user_id, c.rating, c.event_time
+        FROM item_windows w JOIN clean c
+            ON c.item_id = w.item_id AND c.event_time >= window_start AND c.event_time < window_end
+        WHERE avg_rating > 4.5 AND interaction_count > 3""",
+    "spike_alert_events": """
+        SELECT w.window_start, w.window_end, w.user_id, w.interaction_count, c.item_id, c.rating, c.event_time
+        FROM user_windows w JOIN clean c
+            ON c.user_id = w.user_id AND c.event_time >= window_start AND c.event_time < window_end
+        WHERE interaction_count > 10""",
+    "user_sessions": """
+        SELECT user_id, min(event_time) AS session_start, max(event_time) + INTERVAL 36 HOURS AS session_end,
+               count(*) AS n_events, round(sum(rating), 2) AS rating_sum
+        FROM (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY event_time) AS visit
+              FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time)
+                                        <= INTERVAL 36 HOURS THEN 0 ELSE 1 END AS begins FROM clean ))
+        GROUP BY user_id, visit""",
+    "running_user_totals": """
+        SELECT DISTINCT user_id, event_time, count(*) OVER upto AS n_events,
+               round(sum(rating) OVER upto, 2) AS rating_sum
+        FROM clean WINDOW upto AS (PARTITION BY user_id ORDER BY event_time)""",
+    "trailing_user_totals": """
+        SELECT a.user_id, a.event_time, count(*) AS n_events, round(sum(b.rating), 2) AS rating_sum
+        FROM (SELECT DISTINCT user_id, event_time FROM clean ) a JOIN clean b ON a.user_id = b.user_id
+            AND b.event_time <= a.event_time AND b.event_time > a.event_time - INTERVAL 9 DAYS
+        GROUP BY a.user_id, a.event_time""",
     "bernoulli_sample": """
         SELECT * FROM cleaned
         WHERE ('0x' || substr(md5('42:' || user_id || ':' || item_id), 1, 13))::BIGINT / 4503599627370496.0 < 0.1""",

@@ -9,8 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewheel import functions as fn
-from tidewheel.operators import cleaning, events, indexing, models, ranking, recommend, scoring, summary, windows
-from tidewheel.plans.views import ITEM_SLIDE, ITEM_WINDOW, USER_SLIDE, USER_WINDOW, Views
+from tidewheel.operators import (
+    cleaning,
+    events,
+    indexing,
+    intervals,
+    models,
+    ordered,
+    ranking,
+    recommend,
+    scoring,
+    sessions,
+    summary,
+    windows,
+)
+from tidewheel.plans.views import ITEM_SLIDE, ITEM_WINDOW, USER_SLIDE, USER_WINDOW, VISIT_GAP, Views
 from tidewheel.session import written
 from tidewheel.sources import messages
 
@@ -376,6 +389,79 @@ def ingest_latency(v: Views) -> DataFrame:
     return windows.ingest_latency(v.events()).transform(_rounded, "share_under_target", digits=6)
 
 
+# Joins and sums along time
+
+
+@_query
+def asof_prior_rating(v: Views) -> DataFrame:
+    """Each event with the user's latest rating before it."""
+    stored = _stored_events(v)
+    prior = {"prior_item": F.col("item_id"), "prior_rating": F.col("rating"), "prior_time": F.col("event_time")}
+    return ordered.asof_join(
+        stored, stored, ["user_id"], "event_time", "event_time", prior, ["item_id", "rating"], strict=True
+    )
+
+
+@_query
+def asof_order(v: Views) -> DataFrame:
+    """Each rating with the user's latest order at its time or up to 90 days before."""
+    orders = v.table("orders").select(
+        F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("user_id"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ordered"),
+        "o_orderkey",
+    )
+    take = {"o_orderkey": F.col("o_orderkey"), "ordered": F.col("ordered")}
+    days = F.lit(90 * 86_400_000)
+    return ordered.asof_join(
+        v.cleaned(), orders, ["user_id"], "timestamp", "ordered", take, ["o_orderkey"], tolerance=days
+    )
+
+
+@_query
+def trending_alert_events(v: Views) -> DataFrame:
+    """The events in the window of each trending alert."""
+    stored = _stored_events(v)
+    alerts = windows.trending_alerts(windows.windowed_item_metrics(stored, ITEM_WINDOW, ITEM_SLIDE))
+    alerts = alerts.select("item_id", "window_start", "window_end")
+    take = {name: F.col(name) for name in ("user_id", "rating", "event_time")}
+    return intervals.interval_join(alerts, stored, ["item_id"], "window_start", "window_end", "event_time", take)
+
+
+@_query
+def spike_alert_events(v: Views) -> DataFrame:
+    """The events in the window of each activity alert."""
+    stored = _stored_events(v)
+    alerts = windows.spike_alerts(windows.windowed_user_activity(stored, USER_WINDOW, USER_SLIDE))
+    take = {name: F.col(name) for name in ("item_id", "rating", "event_time")}
+    return intervals.interval_join(alerts, stored, ["user_id"], "window_start", "window_end", "event_time", take)
+
+
+@_query
+def user_sessions(v: Views) -> DataFrame:
+    visits = sessions.user_sessions(v.events(), VISIT_GAP)
+    rated = F.round(F.col("avg_rating") * F.col("n_events"), 2)
+    return visits.withColumn("rating_sum", rated).drop("avg_rating")
+
+
+def _event_totals() -> dict[str, Column]:
+    return {"n_events": F.lit(1).cast("bigint"), "rating_sum": F.col("rating").cast("decimal(12,2)")}
+
+
+@_query
+def running_user_totals(v: Views) -> DataFrame:
+    """Events and ratings of each user up to each of the user's event times."""
+    totals = ordered.totals_by_time(v.events(), ["user_id"], "event_time", _event_totals())
+    return totals.withColumn("rating_sum", F.col("rating_sum").cast("double"))
+
+
+@_query
+def trailing_user_totals(v: Views) -> DataFrame:
+    """The same over the nine days before."""
+    span = F.expr(f"INTERVAL {USER_WINDOW}")
+    totals = ordered.trailing_totals(v.events(), ["user_id"], "event_time", span, _event_totals())
+    return totals.withColumn("rating_sum", F.col("rating_sum").cast("double"))
+
+
 # Models
 
 

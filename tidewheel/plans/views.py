@@ -14,6 +14,7 @@ from tidewheel.session import use_utc
 # keep their ratio of three to one.
 ITEM_WINDOW, ITEM_SLIDE = "24 hours", "8 hours"
 USER_WINDOW, USER_SLIDE = "9 days", "3 days"
+VISIT_GAP = "36 hours"
 
 
 class Views:

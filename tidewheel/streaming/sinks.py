@@ -68,10 +68,8 @@ def windows_sink(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{metrics_path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
-        closed = batch.sparkSession.read.schema(batch.schema).parquet(folder)
-        alerts(closed).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+        closed = _stored(batch, metrics_path, batch_id)
+        _stored(alerts(closed), alerts_path, batch_id)
 
     writer = (
         metrics.writeStream.outputMode("append").foreachBatch(store).option("checkpointLocation", checkpoint)
@@ -89,21 +87,18 @@ def dead_letter_sink(
 ) -> StreamingQuery:
     """Good and bad messages into two tables.
 
-    Each batch has a folder of its own and overwrites it, so a batch that is run again
-    after a failure leaves every message stored once; one that was complete is left as it is, so
-    that streams over the table see no file twice. Both tables read with ``spark.read.parquet``
-    and show the batch as a column.
+    Each batch has a folder of its own in both tables, which appears when it is complete and is
+    then left as it is. So a batch that is run again after a failure, also one between the two
+    writes, leaves every message stored once, and streams over a table see no file twice. Both
+    tables read with ``spark.read.parquet`` and show the batch as a column.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id in _folders(spark, clean_path) and batch_id in _folders(spark, dead_path):
-            return
         # Read twice from the source otherwise.
         batch = batch.persist()
         try:
-            clean_events(batch).write.mode("overwrite").parquet(f"{clean_path}/batch_id={batch_id}")
-            dead_letters(batch).write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
+            _stored(clean_events(batch), clean_path, batch_id)
+            _stored(dead_letters(batch), dead_path, batch_id)
         finally:
             batch.unpersist()
 
@@ -119,6 +114,25 @@ def stored_events(spark: SparkSession, clean_path: str) -> DataFrame:
     return stream.drop("batch_id")
 
 
+def _stored(df: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The table's folder for the batch, written unless it is there.
+
+    The files are written aside, where readers do not look, and the folder is then moved as a
+    whole: a batch is seen complete or not at all.
+    """
+    spark = df.sparkSession
+    folder, aside = f"{path}/batch_id={batch_id}", f"{path}/_unfinished/batch_id={batch_id}"
+    if batch_id not in _folders(spark, path):
+        df.write.mode("overwrite").parquet(aside)
+        source, target = (spark._jvm.org.apache.hadoop.fs.Path(place) for place in (aside, folder))
+        files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        # What stands there without a mark was left by another writer.
+        files.delete(target, True)
+        if not files.rename(source, target):
+            raise OSError(f"cannot move {aside} to {folder}")
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def _folders(spark: SparkSession, path: str) -> dict[int, str]:
     """Complete snapshots under ``path`` by batch number."""
     jvm = spark._jvm
@@ -188,9 +202,8 @@ def snapshot_sink(
         spark = batch.sparkSession
 
         def store(df: DataFrame, path: str, schema: str) -> DataFrame:
-            folder = f"{path}/batch_id={batch_id}"
-            df.write.mode("overwrite").parquet(folder)
-            return spark.read.schema(schema).parquet(folder)
+            _stored(df, path, batch_id)
+            return spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
 
         before = read_snapshot(spark, events_path, EVENTS_SNAPSHOT, batch_id)
         # The newest time and the rows are two passes over the batch.
