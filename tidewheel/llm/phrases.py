@@ -323,42 +323,41 @@ def _key(phrase: Column) -> Column:
     return F.concat("lang", F.lit("\t"), phrase)
 
 
-def scored(known: DataFrame) -> DataFrame:
-    """lang, phrase, a, l, r and score of every phrase of two words or more in ``known``, as ``frequent`` gives it."""
-    every = written(known.withColumn("key", _key(F.col("phrase"))), "phrase-known")
-    candidates = every.filter("size > 1")
+def scored(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """lang, phrase, a, l, r and score of the ``candidates`` among ``known``, both as ``frequent`` gives them."""
     words = F.split("phrase", " ")
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     ends = F.array(
         F.array_join(F.slice(words, F.lit(1), F.col("k")), " "),
         F.array_join(F.slice(words, F.col("k") + 1, F.col("size") - F.col("k")), " "),
     )
-    parts = written(cuts.select("lang", F.col("key").alias("whole"), "k", F.posexplode(ends).alias("side", "part")), "phrase-parts")
-    parts = parts.select("whole", "k", "side", _key(F.col("part")).alias("key"))
-    met = salted_join(parts, every.select("key", "f"), "key", heavy_keys(parts, "key"))
+    parts = cuts.select("lang", "phrase", F.col("f").alias("a"), "k", F.posexplode(ends).alias("side", "text"))
+    parts = written(parts.select("lang", "phrase", "a", "k", "side", _key(F.col("text")).alias("part")), "phrase-parts")
+    given = known.select(_key(F.col("phrase")).alias("part"), "f")
+    met = salted_join(parts, given, "part", heavy_keys(parts, "part"))
     sides = [F.max(F.when(F.col("side") == side, F.col("f"))).alias(name) for side, name in enumerate("lr")]
-    sides = met.groupBy("whole", "k").agg(*sides).withColumnRenamed("whole", "key")
-    exact = candidates.select("key", "lang", "phrase", F.col("f").alias("a")).join(sides, "key")
-    exact = exact.withColumn("score", F.expr(f"(CAST(a AS DECIMAL(20, 0)) * {SCALE}) DIV (CAST(l AS DECIMAL(20, 0)) + r)"))
-    lowest = exact.groupBy("key").agg(F.min(F.struct("score", "k", "l", "r", "a", "lang", "phrase")).alias("cut"))
-    return lowest.select("key", "cut.lang", "cut.phrase", "cut.a", "cut.l", "cut.r", "cut.score")
+    cut = met.groupBy("lang", "phrase", "a", "k").agg(*sides)
+    exact = F.expr(f"(CAST(a AS DECIMAL(20, 0)) * {SCALE}) DIV (CAST(l AS DECIMAL(20, 0)) + r)")
+    lowest = F.min(F.struct(exact.alias("score"), "k", "l", "r")).alias("cut")
+    return cut.groupBy("lang", "phrase", "a").agg(lowest).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
 
-def covered(known: DataFrame) -> DataFrame:
-    """The most occurrences of a longer phrase around each phrase of two words or more: key and ``around``."""
+def uncovered(known: DataFrame) -> DataFrame:
+    """The phrases of two words or more that no longer one covers."""
     words = F.split("phrase", " ")
     longer = known.filter("size > 2").withColumn("_size", F.explode(F.sequence(F.lit(2), F.col("size") - 1)))
     longer = longer.withColumn("_start", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("_size") + 1)))
-    inner = F.array_join(F.slice(words, F.col("_start"), F.col("_size")), " ")
-    return longer.select(_key(inner).alias("key"), "f").groupBy("key").agg(F.max("f").alias("around"))
+    within = longer.select("lang", F.array_join(F.slice(words, F.col("_start"), F.col("_size")), " ").alias("phrase"), "f")
+    around = within.groupBy("lang", "phrase").agg(F.max("f").alias("around"))
+    candidates = known.filter("size > 1").join(around, ["lang", "phrase"], "left")
+    left = F.col("around").isNull() | (100 * F.col("around") < COVERED * F.col("f"))
+    return candidates.filter(left).drop("around")
 
 
 def mined(docs: DataFrame, first: int = FIRST, least: int = LEAST, words: int = WORDS, phrases: int = PHRASES) -> DataFrame:
     """The ``first`` phrases of every language: lang, rank, phrase, a, l, r, n and score."""
     known, totals = frequent(docs, least, words=words, phrases=phrases)
-    rated = scored(known).join(covered(known), "key", "left")
-    left = rated.filter(F.col("around").isNull() | (100 * F.col("around") < COVERED * F.col("a")))
-    left = written(left.select("lang", "phrase", "a", "l", "r", "score"), "phrase-left")
+    left = written(scored(uncovered(known), known), "phrase-left")
     placed = with_position(left, [F.asc("lang"), F.desc("score"), F.desc("a"), F.asc("phrase")], "_at")
     starts = placed.groupBy("lang").agg(F.min("_at").alias("_start")).join(totals, "lang")
     ranked = placed.join(broadcast_if_few(starts), "lang").withColumn("rank", F.col("_at") - F.col("_start") + 1)
