@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +79,15 @@ def test_a_sample_splits_like_the_whole(pairs):
     sample = cleaning.bernoulli_sample(pairs, 0.3)
     train, _ = cleaning.train_test_split(sample)
     assert 0.76 < train.count() / sample.count() < 0.84
+
+
+def test_latest_rating_is_found_without_sorting(spark):
+    rng = random.Random(1)
+    ratings = [None, float("nan"), -3.5, 0.0, 1.0, 1.0000001, 4.3, 4.2999, 5.0, 1e5]
+    rows = [(f"u{rng.randrange(9)}", "i", rng.choice(ratings), rng.choice([None, -5, 0, 1, 2**62])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "user_id string, item_id string, rating float, timestamp long").repartition(4)
+    got = cleaning.latest_per_pair(df)
+    struct = df.groupBy("user_id", "item_id").agg(F.max(F.struct("timestamp", "rating")).alias("newest"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, struct.select("user_id", "item_id", "newest.rating", "newest.timestamp").collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and plan.count("HashAggregate") >= 2

@@ -12,14 +12,13 @@ from tidewheel.functions.scalars import SEGMENT_LABELS
 from tidewheel.operators.skew import (
     heavy_by_count,
     heavy_keys,
+    repeated,
     salted_join,
+    salted_outer_join,
     with_position,
 )
 from tidewheel.session import written
 
-# Equal rows that are written out in one go.
-RUN = 1_000
-
 # Factor models take 32-bit ids.
 MAX_ID = 2**31 - 1
 
@@ -37,7 +36,7 @@ def fit_dense_index(df: DataFrame, column: str, out: str = "idx") -> DataFrame:
     fits = F.when(F.col(out) <= MAX_ID, F.col(out).cast("int")).otherwise(
         F.raise_error(F.lit(f"more than {MAX_ID} different values of {column}"))
     )
-    return written(placed.select(column, "n", fits.alias(out)), "index")
+    return placed.select(column, "n", fits.alias(out))
 
 
 def apply_dense_index(df: DataFrame, mapping: DataFrame, column: str, out: str) -> DataFrame:
@@ -107,12 +106,28 @@ def _matched(users: DataFrame, table: DataFrame, user: str, key: str, how: str)
     ids = table.select(F.col(key).alias(user)).distinct()
     counted = users.groupBy(*users.columns).agg(F.count(F.lit(1)).alias("_n"))
     found = counted.join(ids, user, how)
-    # A count is cut into runs, dealt out before they become rows.
-    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / RUN).cast("long"))
-    dealt = found.withColumn("_run", F.explode(runs))
-    length = F.least(F.lit(RUN).cast("long"), F.col("_n") - F.col("_run") * RUN).cast("int")
-    dealt = dealt.withColumn("_length", length).repartition(*users.columns, "_run")
-    return dealt.select(*users.columns, F.explode(F.sequence(F.lit(1), F.col("_length")))).drop("col")
+    return repeated(found, "_n").select(*users.columns)
+
+
+def reconciled_index(old: DataFrame, counts: DataFrame, column: str, out: str = "idx") -> DataFrame:
+    """The index of a new run in which every value of the old one keeps its number.
+
+    ``old`` is ``(column, out)``, ``counts`` ``(column, n)`` of the new run. Values that are new get the
+    numbers after the largest old one, by falling frequency and name; values that are gone keep theirs
+    with ``n`` 0, so that no number is given twice. ``state`` is kept, new or gone.
+    """
+    parts = F.lit(1)
+    before = old.select(column, F.col(out).alias("_old"))
+    both = salted_outer_join(
+        counts.filter(F.col(column).isNotNull()).select(column, "n"), before.withColumn("_known", F.lit(True)), column, parts, parts
+    )
+    state = F.when(F.col("_known").isNull(), "new").when(F.col("n").isNull(), "gone").otherwise("kept")
+    both = written(both.withColumn("state", state).withColumn("n", F.coalesce("n", F.lit(0))), "reconciled")
+    fresh = with_position(both.filter("state = 'new'").select(column, "n", "state"), [F.desc("n"), F.asc(column)], "_at")
+    start = F.coalesce(before.agg(F.max("_old") + 1).scalar(), F.lit(0))
+    fresh = fresh.select(column, "n", (start + F.col("_at")).cast("bigint").alias(out), "state")
+    kept = both.filter("state <> 'new'").select(column, "n", F.col("_old").cast("bigint").alias(out), "state")
+    return kept.unionByName(fresh)
 
 
 def segment_label(df: DataFrame, labels: Mapping[int, str] = SEGMENT_LABELS) -> DataFrame:

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewheel.session import written
 
+# Equal rows that are written out in one go.
+RUN = 1_000
+
+
 def fan_out(spark: SparkSession) -> int:
     """Tasks a shuffle is planned for, and so the parts a key with all rows should be cut into."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,8 +45,8 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, parts: DataFrame | C
     Left rows take a part by their content, so a recomputed task gives the same one; rows that
     agree in all columns stay together, so combine those first where there are many. Right rows
     of a key are repeated once per part. Keys with one part join as usual; rows without a key
-    never match and are spread over all tasks. Right and full outer joins are not offered, as
-    repeated right rows would show.
+    never match and are spread over all tasks. Right and full outer joins are ``salted_outer_join``,
+    as repeated right rows would show here.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
@@ -61,12 +65,44 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, parts: DataFrame | C
     return salted.drop("_parts").join(repeated.drop("_parts"), [on, "_salt"], how).drop("_salt")
 
 
+def salted_outer_join(
+    left: DataFrame, right: DataFrame, on: str, left_parts: DataFrame | Column, right_parts: DataFrame | Column, how: str = "full"
+) -> DataFrame:
+    """Right or full outer equi-join of two sides that may both have heavy keys.
+
+    Left rows are joined as in ``salted_join``. A right row that is repeated for the parts of its key
+    cannot tell whether another copy has found a partner, so the right rows without partner
+    come from a second join, in which the right side is the one that is cut, with the distinct left
+    keys. Rows without a key match nothing and are kept once on their side.
+    """
+    if how not in ("right", "full"):
+        raise ValueError(f"not an outer join of the right side: {how}")
+    matched = salted_join(left, right, on, left_parts, "inner" if how == "right" else "left")
+    keys = left.filter(F.col(on).isNotNull()).select(on).distinct()
+    alone = salted_join(right, keys, on, right_parts, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
+def repeated(counted: DataFrame, n: str) -> DataFrame:
+    """Each row as often as its column ``n`` says, without that column.
+
+    A count is cut into runs that are dealt out before they become rows, so that many copies of one
+    row are made by many tasks.
+    """
+    names = [name for name in counted.columns if name != n]
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / RUN).cast("long"))
+    dealt = counted.withColumn("_run", F.explode(runs))
+    length = F.least(F.lit(RUN).cast("long"), F.col(n) - F.col("_run") * RUN).cast("int")
+    dealt = dealt.withColumn("_length", length).repartition(*names, "_run")
+    return dealt.select(*names, F.explode(F.sequence(F.lit(1), F.col("_length")))).drop("col")
+
+
 def with_position(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
     """0-based position of each row in a global order, without sorting in one task.
 
-    The rows are sorted by range, numbered inside each range, and written out; the number
-    of rows before a range is then added. The only unpartitioned window runs over one row
-    per range.
+    The rows are sorted by range, numbered inside each range, and written out, and beside them
+    the number of rows before each range, which is added when the result is read. The only
+    unpartitioned window runs over one row per range.
     """
     ranged = (
         df.repartitionByRange(*order)
@@ -86,6 +122,6 @@ def with_position(df: DataFrame, order: list[Column], out: str = "position") ->
         .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
     # One row per range: at most spark.sql.shuffle.partitions of them.
-    return table.join(F.broadcast(starts), "_range").select(
+    return table.join(F.broadcast(written(starts, "starts")), "_range").select(
         *df.columns, (F.col("_start") + F.col("_place")).alias(out)
     )

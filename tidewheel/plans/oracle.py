@@ -374,6 +374,81 @@ _BODIES = {
         FROM (SELECT DISTINCT user_id, event_time FROM clean ) a JOIN clean b ON a.user_id = b.user_id
             AND b.event_time <= a.event_time AND b.event_time > a.event_time - INTERVAL 9 DAYS
         GROUP BY a.user_id, a.event_time""",
+    "rating_cube": """
+        SELECT segment, item_idx, rating, 4 * grouping(segment) + 2 * grouping(item_idx) + grouping(rating) AS grouping_id,
+               count(*) AS n_ratings, CAST(sum(CAST(rating AS DECIMAL(12,1))) AS DOUBLE) AS rating_sum,
+               min(rating) AS lowest, max("timestamp") AS latest
+        FROM ratings JOIN partial_segments USING (user_idx) GROUP BY CUBE (segment, item_idx, rating)""",
+    "rating_rollup": """
+        SELECT segment, rating, 2 * grouping(segment) + grouping(rating) AS grouping_id,
+               count(*) AS n_ratings, CAST(sum(CAST(rating AS DECIMAL(12,1))) AS DOUBLE) AS rating_sum,
+               min(rating) AS lowest, max("timestamp") AS latest
+        FROM ratings JOIN partial_segments USING (user_idx) GROUP BY ROLLUP (segment, rating)""",
+    "rating_grouping_sets": """
+        SELECT user_id, rating, 2 * grouping(user_id) + grouping(rating) AS grouping_id,
+               count(*) AS n_ratings, CAST(sum(CAST(rating AS DECIMAL(12,1))) AS DOUBLE) AS rating_sum,
+               min(rating) AS lowest, max("timestamp") AS latest
+        FROM (SELECT user_id, CAST(rating AS FLOAT) AS rating, "timestamp" FROM ratings_raw )
+        GROUP BY GROUPING SETS ((user_id), (rating), ())""",
+    "rating_change_feed": """
+        SELECT item_id, rating, n_old, n_new,
+               CASE WHEN n_old = 0 THEN 'added' WHEN n_new = 0 THEN 'removed' WHEN n_new > n_old THEN 'more'
+                    WHEN n_new < n_old THEN 'fewer' ELSE 'same' END AS change
+        FROM (SELECT item_id, CAST(rating AS INT) AS rating, count(*) FILTER ("timestamp" < 820454400000) AS n_old,
+                     count(*) FILTER ("timestamp" >= 820454400000) AS n_new
+              FROM projected GROUP BY item_id, CAST(rating AS INT))""",
+    "rating_difference": """
+        SELECT item_id, CAST(rating AS INT) AS rating FROM projected WHERE "timestamp" < 820454400000
+        EXCEPT ALL SELECT item_id, CAST(rating AS INT) FROM projected WHERE "timestamp" >= 820454400000""",
+    "rating_intersection": """
+        SELECT item_id, CAST(rating AS INT) AS rating FROM projected WHERE "timestamp" < 820454400000
+        INTERSECT ALL SELECT item_id, CAST(rating AS INT) FROM projected WHERE "timestamp" >= 820454400000""",
+    "trailing_sketches": """
+        SELECT span_end, min(day) AS window_start, span_end AS window_end, count(*) AS n_events,
+               count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
+               quantile_disc(delay, 0.5) AS p50, quantile_disc(delay, 0.95) AS p95, quantile_disc(delay, 0.99) AS p99
+        FROM (SELECT user_id, item_id, time_bucket(INTERVAL 1 DAY, event_time, TIMESTAMP '1970-01-01') AS day,
+                     floor((epoch_us(kafka_ts) - epoch_us(event_time)) / 1000) / 1000 AS delay FROM clean )
+        JOIN (SELECT DISTINCT time_bucket(INTERVAL 1 DAY, event_time, TIMESTAMP '1970-01-01') + INTERVAL 1 DAY AS span_end
+              FROM clean ) ON day < span_end AND day >= span_end - INTERVAL 3 DAYS
+        GROUP BY span_end""",
+    "item_steps": """
+        SELECT * FROM (
+            SELECT user_id, lag(item_id) OVER step AS from_item, item_id AS to_item,
+                   lag(event_time) OVER step AS left_at, event_time AS reached_at
+            FROM clean WINDOW step AS (PARTITION BY user_id ORDER BY event_time, item_id))
+        WHERE left_at IS NOT NULL""",
+    "path_counts": """
+        SELECT from_item, to_item, count(*) AS n_steps, min(epoch_us(reached_at) - epoch_us(left_at)) / 1e6 AS least_seconds
+        FROM (SELECT lag(item_id) OVER step AS from_item, item_id AS to_item,
+                     lag(event_time) OVER step AS left_at, event_time AS reached_at
+              FROM clean WINDOW step AS (PARTITION BY user_id ORDER BY event_time, item_id))
+        WHERE left_at IS NOT NULL GROUP BY from_item, to_item""",
+    "ratings_full_segments": """
+        SELECT coalesce(r.user_idx, s.user_idx) AS user_idx, item_idx, rating, segment
+        FROM ratings r FULL JOIN partial_segments s ON r.user_idx = s.user_idx""",
+    "reconciled_index": """
+        SELECT coalesce(o.user_id, c.user_id) AS user_id, coalesce(n, 0) AS n,
+               coalesce(idx, (SELECT count(DISTINCT user_id) FROM cleaned WHERE "timestamp" < 820454400000) - 1
+                             + row_number() OVER (PARTITION BY idx IS NULL ORDER BY n DESC, c.user_id)) AS idx,
+               CASE WHEN idx IS NULL THEN 'new' WHEN n IS NULL THEN 'gone' ELSE 'kept' END AS state
+        FROM (SELECT user_id, row_number() OVER (ORDER BY count(*) DESC, user_id) - 1 AS idx
+              FROM cleaned WHERE "timestamp" < 820454400000 GROUP BY user_id) o
+        FULL JOIN (SELECT user_id, count(*) AS n FROM cleaned WHERE "timestamp" >= 820454400000 GROUP BY user_id) c
+            ON o.user_id = c.user_id""",
+    "alert_followups": """
+        SELECT w.user_id, w.window_start, w.window_end, c.item_id, c.rating, c.event_time
+        FROM user_windows w LEFT JOIN clean c ON c.user_id = w.user_id
+            AND c.event_time >= window_end AND c.event_time < window_end + INTERVAL 1 DAY
+        WHERE interaction_count > 10""",
+    "decayed_activity": """
+        SELECT user_id, min(event_time) AS first_event, max(event_time) AS last_event, count(*) AS n_events,
+               round(sum(pow(2.0, (epoch_us(event_time) - last_us) / 43200e6)), 6) AS activity
+        FROM (SELECT *, max(epoch_us(event_time)) OVER (PARTITION BY user_id, phase) AS last_us
+              FROM (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY event_time) AS phase
+                    FROM (SELECT *, CASE WHEN event_time - lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time)
+                                              <= INTERVAL 36 HOURS THEN 0 ELSE 1 END AS begins FROM clean )))
+        GROUP BY user_id, phase""",
     "bernoulli_sample": """
         SELECT * FROM cleaned
         WHERE ('0x' || substr(md5('42:' || user_id || ':' || item_id), 1, 13))::BIGINT / 4503599627370496.0 < 0.1""",

@@ -12,20 +12,27 @@ from tidewheel import functions as fn
 from tidewheel.operators import (
     cleaning,
     events,
+    follow,
     indexing,
     intervals,
+    lattice,
     models,
     ordered,
+    paths,
     ranking,
     recommend,
     scoring,
     sessions,
+    sketches,
+    skew,
     summary,
+    versions,
     windows,
 )
-from tidewheel.plans.views import ITEM_SLIDE, ITEM_WINDOW, USER_SLIDE, USER_WINDOW, VISIT_GAP, Views
+from tidewheel.plans.views import CUT_MILLIS, ITEM_SLIDE, ITEM_WINDOW, USER_SLIDE, USER_WINDOW, VISIT_GAP, Views
 from tidewheel.session import written
 from tidewheel.sources import messages
+from tidewheel.streaming import decay
 
 Query = Callable[[Views], DataFrame]
 
@@ -436,6 +443,19 @@ def spike_alert_events(v: Views) -> DataFrame:
     return intervals.interval_join(alerts, stored, ["user_id"], "window_start", "window_end", "event_time", take)
 
 
+@_query
+def alert_followups(v: Views) -> DataFrame:
+    """Each activity alert with what its user did in the day after the window."""
+    stored = _stored_events(v)
+    alerts = windows.spike_alerts(windows.windowed_user_activity(stored, USER_WINDOW, USER_SLIDE))
+    return follow.followed_by(alerts, stored, "1 day")
+
+
+@_query
+def decayed_activity(v: Views) -> DataFrame:
+    return decay.decayed_activity(v.events(), "12 hours", VISIT_GAP).transform(_rounded, "activity", digits=6)
+
+
 @_query
 def user_sessions(v: Views) -> DataFrame:
     visits = sessions.user_sessions(v.events(), VISIT_GAP)
@@ -462,6 +482,107 @@ def trailing_user_totals(v: Views) -> DataFrame:
     return totals.withColumn("rating_sum", F.col("rating_sum").cast("double"))
 
 
+# Groupings, versions, sketches, paths
+
+
+def _segment_ratings(v: Views) -> DataFrame:
+    return indexing.ratings_with_segment(_stored_ratings(v), v.partial_segments())
+
+
+def _rating_totals() -> dict[str, tuple[str, Column]]:
+    rating = F.col("rating")
+    return {
+        "n_ratings": ("count", F.lit(1)),
+        "rating_sum": ("sum", rating.cast("decimal(12,1)")),
+        "lowest": ("min", rating),
+        "latest": ("max", F.col("timestamp")),
+    }
+
+
+def _as_double(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumn(name, F.col(name).cast("double"))
+
+
+@_query
+def rating_cube(v: Views) -> DataFrame:
+    """Ratings by segment, item and stars, by any two or one of them, and in all."""
+    return _as_double(lattice.cube(_segment_ratings(v), ["segment", "item_idx", "rating"], _rating_totals()), "rating_sum")
+
+
+@_query
+def rating_rollup(v: Views) -> DataFrame:
+    """Ratings by segment and stars, by segment, and in all."""
+    return _as_double(lattice.rollup(_segment_ratings(v), ["segment", "rating"], _rating_totals()), "rating_sum")
+
+
+@_query
+def rating_grouping_sets(v: Views) -> DataFrame:
+    """Raw ratings, some without stars, by stars and by user."""
+    rows = v.ratings_raw().select("user_id", F.col("rating").cast("float").alias("rating"), "timestamp")
+    sets = [("user_id",), ("rating",), ()]
+    return _as_double(lattice.grouping_sets(rows, ["user_id", "rating"], sets, _rating_totals()), "rating_sum")
+
+
+def _versions(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Raw ratings of items, some without stars, as they were given up to a day and after it."""
+    raw = written(v.ratings_raw(), "raw-ratings")
+    rows = raw.select(F.col("parent_asin").alias("item_id"), F.col("rating").cast("int").alias("rating"), "timestamp")
+    early = F.col("timestamp") < CUT_MILLIS
+    return rows.filter(early).drop("timestamp"), rows.filter(~early).drop("timestamp")
+
+
+@_query
+def rating_change_feed(v: Views) -> DataFrame:
+    return versions.change_feed(*_versions(v))
+
+
+@_query
+def rating_difference(v: Views) -> DataFrame:
+    return versions.multiset_difference(*_versions(v))
+
+
+@_query
+def rating_intersection(v: Views) -> DataFrame:
+    return versions.multiset_intersection(*_versions(v))
+
+
+@_query
+def trailing_sketches(v: Views) -> DataFrame:
+    """Users, items and delay marks of each day with the two before, from stored sketches of days."""
+    days = written(sketches.window_sketches(v.events(), "1 day"), "sketches")
+    found = sketches.estimates(sketches.trailing_sketches(days, 3))
+    return found.withColumns({name: F.round(name).cast("bigint") for name in ("n_users", "n_items")})
+
+
+@_query
+def item_steps(v: Views) -> DataFrame:
+    return paths.item_steps(v.events())
+
+
+@_query
+def path_counts(v: Views) -> DataFrame:
+    return paths.path_counts(paths.item_steps(v.events()))
+
+
+@_query
+def ratings_full_segments(v: Views) -> DataFrame:
+    """Every rating and every segment, together where the user has both."""
+    ratings = _stored_ratings(v).select("user_idx", "item_idx", "rating")
+    segments = written(v.partial_segments().select("user_idx", "segment"), "segments")
+    heavy, heavy_right = skew.heavy_keys(ratings, "user_idx"), skew.heavy_keys(segments, "user_idx")
+    return skew.salted_outer_join(ratings, segments, "user_idx", heavy, heavy_right)
+
+
+@_query
+def reconciled_index(v: Views) -> DataFrame:
+    """User numbers fitted on the ratings up to a day, carried on to the ratings after it."""
+    ratings = written(v.cleaned(), "cleaned")
+    early = F.col("timestamp") < CUT_MILLIS
+    old = indexing.fit_dense_index(ratings.filter(early), "user_id").select("user_id", "idx")
+    counts = ratings.filter(~early).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return indexing.reconciled_index(old, counts, "user_id")
+
+
 # Models
 
 

@@ -15,6 +15,8 @@ from tidewheel.session import use_utc
 ITEM_WINDOW, ITEM_SLIDE = "24 hours", "8 hours"
 USER_WINDOW, USER_SLIDE = "9 days", "3 days"
 VISIT_GAP = "36 hours"
+# 1996-01-01, which parts the ratings in two.
+CUT_MILLIS = 820_454_400_000
 
 
 class Views:
