@@ -54,8 +54,9 @@ def latest_per_pair(
 def _latest_rating(df: DataFrame, keys: Sequence[str], time: str, rating: str) -> DataFrame:
     # Seven digits before the point and nine after, below the 19 of the time; a null comes first, NaN last.
     most = F.lit(10**7 - 1).cast("double")
-    near = F.when(F.isnan(rating), most).otherwise(F.greatest(-most, F.least(most, F.col(rating).cast("double"))))
-    units = F.round((F.coalesce(near, -most) + most) * 1e9).cast("decimal(17,0)")
+    inside = F.greatest(-most + 1, F.least(most - 1, F.col(rating).cast("double")))
+    near = F.when(F.col(rating).isNull(), -most).when(F.isnan(rating), most).otherwise(inside)
+    units = F.round((near + most) * 1e9).cast("decimal(17,0)")
     place = F.coalesce(F.col(time), F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(10**17).cast("decimal(18,0)") + units
     newest = [F.max_by(name, "_place").alias(name) for name in (time, rating)]
     return df.withColumn("_place", place).groupBy(*keys).agg(*newest).select(*df.columns)
