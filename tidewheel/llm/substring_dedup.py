@@ -29,12 +29,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewheel.llm.filters import among, bits_of
 from tidewheel.llm.links import linked, shared_keys, sketch
 from tidewheel.llm.shingles import STEP, Text, finished, gathered
 from tidewheel.llm.sized import broadcast_if_few
@@ -179,13 +182,22 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(texts)
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+STRETCHES = "doc_id long, version long, start int, words int, component long"
+
+
+def _stretches(bits: Broadcast | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of texts; with ``bits`` only those that may occur in several documents."""
     for batch in batches:
         at = 0
         ids, versions = batch.column("doc_id"), batch.column("version")
         for texts in gathered(text.as_py() for text in batch.column("text")):
             own = Text(texts)
             starts, ends = stretches(own)
+            # Not the hash of a paragraph of the same words.
+            hashes = ~_hashed(own, starts, ends)
+            if bits is not None:
+                may = among(bits.value, hashes)
+                starts, ends, hashes = starts[may], ends[may], hashes[may]
             of = np.searchsorted(own.bounds, starts, side="right") - 1
             rows = pa.array(of + at)
             yield pa.RecordBatch.from_arrays(
@@ -194,23 +206,35 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     versions.take(rows),
                     pa.array((starts - own.bounds[of]).astype(np.int32)),
                     pa.array((ends - starts).astype(np.int32)),
-                    # Not the hash of a paragraph of the same words.
-                    pa.array(~_hashed(own, starts, ends)),
+                    pa.array(hashes),
                 ],
                 ["doc_id", "version", "start", "words", "component"],
             )
             at += len(texts)
 
 
+def _several(rows: DataFrame, key: str, who: Column) -> DataFrame:
+    """The keys that more than one of ``who`` has, stored."""
+    ends = rows.groupBy(key).agg(F.min(who).alias("least"), F.max(who).alias("most"))
+    return written(ends.filter("least <> most").select(key), "several")
+
+
+def _document() -> Column:
+    return F.xxhash64("doc_id", "version")
+
+
 def repeated_stretches(docs: DataFrame) -> DataFrame:
-    """Stretches (doc_id, version, start, words, component) that occur in several documents."""
-    schema = "doc_id long, version long, start int, words int, component long"
-    cut = written(docs.mapInArrow(_stretches, schema), "stretches")
-    who = F.xxhash64("doc_id", "version")
-    ends = cut.groupBy("component").agg(F.min(who).alias("least"), F.max(who).alias("most"))
-    several = written(ends.filter("least <> most").select("component"), "met")
-    found = written(cut.join(broadcast_if_few(several), "component").select(cut.columns), "equal")
-    discard(cut, several)
+    """Stretches (doc_id, version, start, words, component) that occur in several documents.
+
+    The first pass sends on hashes only; the second one cuts the texts again and keeps what the first
+    has found.
+    """
+    spark = docs.sparkSession
+    several = _several(docs.mapInArrow(partial(_stretches, None), STRETCHES), "component", _document())
+    bits = spark.sparkContext.broadcast(bits_of(several))
+    again = docs.mapInArrow(partial(_stretches, bits), STRETCHES)
+    found = written(again.join(several, "component").select("doc_id", "version", "start", "words", "component"), "equal")
+    discard(several)
     return found
 
 
@@ -224,14 +248,40 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(own.nodes()), members, sketches], ["node", "members", "sketch"])
 
 
+def _shared(bits: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, node and size of the band keys that several nodes may have."""
+    for batch in batches:
+        keys = batch.column("keys").flatten().to_numpy()
+        hit = np.flatnonzero(among(bits.value, keys))
+        rows = pa.array(hit // BANDS)
+        sizes = batch.column("runs").cast(pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(keys[hit]), batch.column("node").take(rows), sizes.take(rows)], ["key", "node", "size"])
+
+
+def _active(bits: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paragraphs whose node may have a partner or stand in several documents."""
+    for batch in batches:
+        own = batch.select(["doc_id", "version", "place", "start", "words", "node"])
+        yield own.filter(pa.array(among(bits.value, batch.column("node").to_numpy())))
+
+
 def classes(docs: DataFrame) -> DataFrame:
-    """Every paragraph (doc_id, version, place, start, words, node) with its ``component``.
+    """Paragraphs (doc_id, version, place, start, words, node) with their ``component``.
 
-    ``docs`` has doc_id, version and the text as bytes. A component is named by its smallest node.
+    ``docs`` has doc_id, version and the text as bytes. A component is named by its smallest node. All
+    paragraphs are there that equal or resemble one of another document, and some that do not.
     """
+    spark = docs.sparkSession
     units = written(docs.mapInArrow(_units, UNITS), "units")
-    buckets = units.select(F.explode("keys").alias("key"), "node", F.col("runs").cast("long").alias("size"))
-    shared = shared_keys(buckets)
+    met = _several(units.select(F.explode("keys").alias("key"), "node"), "key", F.col("node"))
+    bits = spark.sparkContext.broadcast(bits_of(met))
+    discard(met)
+    shared = shared_keys(units.mapInArrow(partial(_shared, bits), "key long, node long, size long"))
+    equal = _several(units, "node", _document())
+    known = spark.sparkContext.broadcast(bits_of(equal.unionByName(shared.select("node").distinct())))
+    active = units.mapInArrow(partial(_active, known), "doc_id long, version long, place int, start int, words int, node long")
+    units, whole = written(active, "active"), units
+    discard(whole, equal)
     partners = shared.select("node").distinct()
     wanted = units.join(broadcast_if_few(partners), "node").groupBy("node").agg(
         F.min(F.struct("doc_id", "version")).alias("d")
@@ -254,7 +304,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
     labels = linked(shared, verify, sets.select("node", "sketch"), SIMILAR)
     discard(shared, sets, wanted)
-    named = units.drop("keys", "runs").join(broadcast_if_few(labels), "node", "left")
+    named = units.join(broadcast_if_few(labels), "node", "left")
     return named.withColumn("component", F.coalesce("component", "node"))
 
 
