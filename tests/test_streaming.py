@@ -103,7 +103,7 @@ def lose(folder):
 def followed(spark, clean, check, out):
     query = sinks.stored_events(spark, clean).writeStream.format("parquet").option("path", out).option("checkpointLocation", check)
     query.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).count()
+    return spark.read.schema(sinks.EVENTS_SNAPSHOT).parquet(out).count()
 
 
 @pytest.mark.parametrize("lost", [("dead",), ("clean",), ("clean", "dead"), ()])
@@ -141,6 +141,64 @@ def test_an_unfinished_batch_is_not_seen(spark, tmp_path):
     assert followed(spark, clean, str(tmp_path / "c1"), str(tmp_path / "o1")) == 1
 
 
+def test_late_rows_are_kept(spark, tmp_path):
+    clean, places = str(tmp_path / "clean"), [str(tmp_path / "late"), str(tmp_path / "check")]
+    batches = [[100, 90], [200, 84, 85], [185, 184, 300], [10, 286, 284]]
+
+    def event(second):
+        return (1, second, 3.0, START + dt.timedelta(seconds=second), START)
+
+    def run():
+        sinks.late_rows_sink(sinks.stored_events(spark, clean), *places, interval=None, lateness="15 seconds").awaitTermination()
+        late = spark.read.schema(f"{sinks.EVENTS_SNAPSHOT}, watermark TIMESTAMP").parquet(places[0])
+        return sorted((r["item_id"], (r["watermark"] - START).seconds) for r in late.collect())
+
+    want = [[], [(84, 85)], [(84, 85), (184, 185)], [(10, 285), (84, 85), (184, 185), (284, 285)]]
+    for number, seconds in enumerate(batches):
+        sinks._stored(spark.createDataFrame([event(s) for s in seconds], sinks.EVENTS_SNAPSHOT), clean, number)
+        assert run() == want[number]
+    # The last batch again, as after a lost driver.
+    for mark in (tmp_path / "check" / "commits").glob("*3*"):
+        mark.unlink()
+    lose(f"{places[0]}/batch_id=3")
+    assert run() == want[-1]
+
+
+def test_batches_are_put_together(spark, tmp_path):
+    path = str(tmp_path / "table")
+
+    def batch(number):
+        rows = [(number, k, 3.0, START + dt.timedelta(days=k), START) for k in range(5)]
+        sinks._stored(spark.createDataFrame(rows, sinks.EVENTS_SNAPSHOT).repartition(3), path, number)
+
+    def read():
+        return rows(sinks.read_batches(spark, path, sinks.EVENTS_SNAPSHOT))
+
+    def files():
+        return len(list((tmp_path / "table").rglob("*.parquet")))
+
+    def compact(keep):
+        return sinks.compact_batches(spark, path, sinks.EVENTS_SNAPSHOT, keep, "event_time")
+
+    assert read() == [] and compact(2) == 0
+    for number in range(8):
+        batch(number)
+    whole, before = read(), files()
+    old_reader = sinks.read_batches(spark, path, sinks.EVENTS_SNAPSHOT)
+    assert compact(2) == 6
+    assert read() == whole and rows(old_reader) == whole
+    assert compact(2) == 0 and read() == whole
+    assert files() < before / 2
+    batch(8)
+    batch(9)
+    assert len(read()) == 50
+    assert compact(0) == 4 and len(read()) == 50
+    # A writer that comes back with a batch that has been merged changes nothing.
+    compact(0)
+    batch(3)
+    assert len(read()) == 50
+
+
 def test_late_rows_are_counted_per_window(spark, tmp_path):
     folder = tmp_path / "topic"
     # A batch drops what is older than the watermark of the batch before, 1:25 for the third.

@@ -32,8 +32,9 @@ def start(
 
     ``messages`` parses the topic, once, into good and bad messages. The others follow the table
     of good ones: ``windows`` stores closed item windows and the trending ones among them,
-    ``activity`` closed user windows and the spikes among them, ``snapshot`` the latest events and
-    item metrics and all alerts on them. Without an ``interval`` everything that is there is worked off.
+    ``activity`` closed user windows and the spikes among them, ``late`` the rows that came too late for
+    windows, ``snapshot`` the latest events and item metrics and all alerts on them. All tables but the
+    snapshots are batches, read by ``read_batches`` and put together by ``compact_batches``. Without an ``interval`` everything that is there is worked off.
     """
     spark = envelope.sparkSession
     use_utc(spark)
@@ -67,6 +68,7 @@ def start(
             interval,
             spike_alerts,
         ),
+        "late": sinks.late_rows_sink(clean, at("late_rows"), check("late"), interval, lateness),
         "snapshot": sinks.snapshot_sink(
             clean,
             at("live_events"),

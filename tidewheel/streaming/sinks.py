@@ -106,6 +106,32 @@ def dead_letter_sink(
     return _triggered(writer, interval).start()
 
 
+def late_rows_sink(
+    clean: DataFrame, path: str, checkpoint: str, interval: str | None = INTERVAL, lateness: str = LATENESS
+) -> StreamingQuery:
+    """The rows that come after the watermark has passed their time, which windows leave out.
+
+    The watermark of a batch is the newest time of all batches before it, less ``lateness``, as it is for
+    windows over the same stream. Each batch stores its late rows with that ``watermark``, and its own
+    newest time beside them, so a batch that is run again finds the same rows late. The first batch
+    has no watermark and no late rows.
+    """
+    marks = f"{path}/_marks"
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # One row per batch; each has the newest time so far.
+        before = read_snapshot(spark, marks, MARKS, batch_id).agg(F.max("newest").alias("newest"))
+        newest = batch.agg(F.max("event_time").alias("newest")).unionByName(before)
+        _stored(newest.agg(F.max("newest").cast("timestamp").alias("newest")), marks, batch_id)
+        mark = before.select(F.col("newest") - F.expr(f"INTERVAL {lateness}")).scalar()
+        late = batch.withColumn("watermark", mark).filter(F.col("event_time") < F.col("watermark"))
+        _stored(late, path, batch_id)
+
+    writer = clean.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return _triggered(writer, interval).start()
+
+
 def stored_events(spark: SparkSession, clean_path: str) -> DataFrame:
     """The table of good messages as a stream."""
     place = spark._jvm.org.apache.hadoop.fs.Path(clean_path)
@@ -114,7 +140,7 @@ def stored_events(spark: SparkSession, clean_path: str) -> DataFrame:
     return stream.drop("batch_id")
 
 
-def _stored(df: DataFrame, path: str, batch_id: int) -> DataFrame:
+def _stored(df: DataFrame, path: str, batch_id: int, **options: str) -> DataFrame:
     """The table's folder for the batch, written unless it is there.
 
     The files are written aside, where readers do not look, and the folder is then moved as a
@@ -123,9 +149,10 @@ def _stored(df: DataFrame, path: str, batch_id: int) -> DataFrame:
     spark = df.sparkSession
     folder, aside = f"{path}/batch_id={batch_id}", f"{path}/_unfinished/batch_id={batch_id}"
     if batch_id not in _folders(spark, path):
-        df.write.mode("overwrite").parquet(aside)
+        df.write.mode("overwrite").options(**options).parquet(aside)
         source, target = (spark._jvm.org.apache.hadoop.fs.Path(place) for place in (aside, folder))
         files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(target.getParent())
         # What stands there without a mark was left by another writer.
         files.delete(target, True)
         if not files.rename(source, target):
@@ -159,21 +186,66 @@ def read_snapshot(
     return spark.read.schema(schema).parquet(folders[max(folders)])
 
 
+def _merged(spark: SparkSession, path: str) -> dict[int, str]:
+    """What ``compact_batches`` has made, by the last batch in it."""
+    return _folders(spark, f"{path}/_merged")
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table of batches: the newest merged part, and all complete batches after it."""
+    merged = _merged(spark, path)
+    upto = max(merged, default=-1)
+    folders = [folder for number, folder in sorted(_folders(spark, path).items()) if number > upto]
+    folders += [merged[upto]] if merged else []
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def compact_batches(
+    spark: SparkSession, path: str, schema: T.StructType | str, keep: int = 10, by: str | None = None, file_rows: int = 1_000_000
+) -> int:
+    """Puts the folders of all but the newest ``keep`` batches together; returns how many were merged.
+
+    The merged part appears as a whole, and ``read_batches`` then reads it in place of the folders in it.
+    With ``by``, a time, rows are dealt and sorted by its day, so that readers of a span skip the other
+    files; a file has at most ``file_rows`` rows. Folders that an earlier call has merged are deleted
+    now, not those of this call, so a reader that began before it still finds all its files. A call
+    that is lost half way leaves the table as it was. The stream that writes the table may run on, but
+    streams that follow it must be done with the batches that are merged twice.
+    """
+    merged, folders = _merged(spark, path), _folders(spark, path)
+    upto = max(merged, default=-1)
+    _remove(spark, [folder for number, folder in folders.items() if number <= upto])
+    _remove(spark, [folder for number, folder in merged.items() if number < upto])
+    ready = sorted(number for number in folders if number > upto)[: -keep or None]
+    if not ready:
+        return 0
+    parts = [folders[number] for number in ready] + ([merged[upto]] if merged else [])
+    rows = spark.read.schema(schema).parquet(*parts)
+    if by is not None:
+        day = F.to_date(by)
+        rows = rows.repartitionByRange(day, F.col(by)).sortWithinPartitions(day, F.col(by))
+    _stored(rows, f"{path}/_merged", ready[-1], maxRecordsPerFile=str(file_rows))
+    return len(ready)
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """The alerts of all batches that are complete; ``latest_alerts`` picks the newest."""
-    folders = list(_folders(spark, path).values())
-    if not folders:
-        return spark.createDataFrame([], ALERTS_SNAPSHOT)
-    return spark.read.schema(ALERTS_SNAPSHOT).parquet(*folders)
+    return read_batches(spark, path, ALERTS_SNAPSHOT)
 
 
 def _forget(spark: SparkSession, path: str, older_than: int) -> None:
-    for number, folder in _folders(spark, path).items():
-        if number < older_than:
-            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _remove(spark, [folder for number, folder in _folders(spark, path).items() if number < older_than])
 
 
+MARKS = "newest TIMESTAMP"
 EVENTS_SNAPSHOT = "user_id BIGINT, item_id BIGINT, rating DOUBLE, event_time TIMESTAMP, kafka_ts TIMESTAMP"
 METRICS_SNAPSHOT = "item_id BIGINT, avg_rating DOUBLE, interaction_count BIGINT, engagement_score DOUBLE"
 ALERTS_SNAPSHOT = "alert_type STRING, user_id BIGINT, item_id BIGINT, message STRING, timestamp TIMESTAMP"
