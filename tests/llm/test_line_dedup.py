@@ -22,30 +22,19 @@ def edits(a, b):
 def brute(rows):
     cut = []
     for row, (doc_id, text) in enumerate(rows):
-        place = 0
-        for line, body in enumerate((text or "").split("\n") if text is not None else []):
-            for start in range(0, max(len(body), 1), ld.MOST_CHARS):
-                order = (-1 << 70 if doc_id is None else doc_id, place)
-                cut.append((row, line, order, body[start : start + ld.MOST_CHARS]))
-                place += 1
+        for place, line in enumerate(text.split("\n") if text is not None else []):
+            cut.append((row, (-1 << 70 if doc_id is None else doc_id, place), line))
     gone = set()
-    for n, (_, _, order, piece) in enumerate(cut):
-        if len(piece) >= ld.LEAST_CHARS and any(
-            other < order and len(p) >= ld.LEAST_CHARS and edits(p, piece) for _, _, other, p in cut
+    for n, (_, order, line) in enumerate(cut):
+        if len(line) >= ld.LEAST_CHARS and any(
+            other < order and len(each) >= ld.LEAST_CHARS and edits(each, line) for _, other, each in cut
         ):
             gone.add(n)
     out = []
     for row, (doc_id, text) in enumerate(rows):
         own = [n for n, c in enumerate(cut) if c[0] == row]
-        lines = {}
-        for n in own:
-            lines.setdefault(cut[n][1], []).append(n)
-        left = [
-            "".join(cut[n][3] for n in members if n not in gone)
-            for members in lines.values()
-            if any(n not in gone for n in members)
-        ]
-        out.append((doc_id, None if text is None else "\n".join(left), len(own), sum(n in gone for n in own)))
+        left = "\n".join(cut[n][2] for n in own if n not in gone)
+        out.append((doc_id, None if text is None else left, len(own), sum(n in gone for n in own)))
     return sorted(out, key=repr)
 
 
@@ -87,14 +76,43 @@ def test_every_kind_of_edit_at_every_place(make_docs):
     assert sum(got.values()) >= 3 * len(line) + 1
 
 
-def test_long_lines_go_by_pieces(make_docs):
-    rng = random.Random(9)
-    long = "".join(rng.choice("abcdef ") for _ in range(3 * ld.MOST_CHARS + 100))
-    changed = long[:1500] + "##" + long[1502:]
-    rows = [(1, long), (2, changed), (3, "head of its own line\n" + long)]
+@pytest.mark.parametrize("size", [17, 255, 256, 257, 1024, 1025, 3000, 5000])
+def test_long_lines_go_as_a_whole(make_docs, size):
+    rng = random.Random(size)
+    line = "".join(rng.choice("abcdefé ") for _ in range(size))
+    rows = [(0, line + "#" * 3)]
+    line = rows[0][1]
+    places = sorted({0, 1, size // 3, size // 2, size // 2 + 1, size - 1, size, *(rng.randrange(size) for _ in range(4))})
+    for at in places:
+        rows += [(len(rows), "head\n" + line[:at] + line[at + 1 :]), (len(rows) + 1, line[:at] + "+" + line[at:]), (len(rows) + 2, line[:at] + "+" + line[at + 1 :])]
+    # Two edits, far apart and not one from any other line.
+    rows += [(len(rows), "==" + line[2:-2] + "=="), (len(rows) + 1, line), (len(rows) + 2, line[: size // 2])]
     got = run(make_docs(rows))
     assert got == brute(rows)
-    assert [r[3] for r in got] == [0, 3, 4]
+    removed = {doc_id: n for doc_id, _, _, n in got}
+    expected = 1 if size >= ld.LEAST_CHARS else None
+    if expected:
+        assert all(removed[doc_id] == 1 for doc_id in range(1, len(rows) - 3))
+    assert removed[0] == 0
+
+
+def test_a_very_long_line_with_one_edit(make_docs):
+    rng = random.Random(5)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(100_000))
+    edits_at = [0, 1, 777, 50_000, 99_998, 99_999]
+    rows = [(0, line)] + [(n + 1, line[:at] + line[at + 1 :]) for n, at in enumerate(edits_at)]
+    rows += [(20 + n, line[:at] + "+" + line[at:]) for n, at in enumerate(edits_at)] + [(40, line), (41, "+" + line[:-1]), (42, line[:500] + "++" + line[502:])]
+    got = {doc_id: (text, removed) for doc_id, text, _, removed in run(make_docs(rows))}
+    assert {doc_id for doc_id, (_, removed) in got.items() if not removed} == {0, 42}
+    assert all(text == "" for text, removed in got.values() if removed)
+
+
+def test_a_line_of_most_rows(make_docs):
+    common = "the same line that stands in every document"
+    rows = [(n, f"own line number {n * 7919} of this document\n{common}") for n in range(120)]
+    got = run(make_docs(rows))
+    assert got == brute(rows)
+    assert sum(removed for *_, removed in got) >= 119
 
 
 def test_a_template_with_many_fillings(make_docs):
@@ -104,6 +122,11 @@ def test_a_template_with_many_fillings(make_docs):
 
 def test_nothing(make_docs):
     assert run(make_docs([(1, "x")]).limit(0)) == []
-    assert ld.deduplicated(make_docs([(1, "x")])).columns[:8] == [
-        "doc_id", "text", "lang", "source", "n_chars", "key", "weight", "n_lines"
-    ] or ld.deduplicated(make_docs([(1, "x")])).columns[5] == "n"
+    assert run(make_docs([(1, None), (2, "")])) == [(1, None, 0, 0), (2, "", 1, 0)]
+
+
+def test_columns_stay_as_they_are(make_docs):
+    docs = make_docs([(1, "x")])
+    assert ld.deduplicated(docs).columns == [*docs.columns, "n_lines", "n_removed"]
+    again = ld.deduplicated(ld.deduplicated(docs))
+    assert again.columns == [*docs.columns, "n_lines", "n_removed"]

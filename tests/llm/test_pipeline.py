@@ -36,6 +36,11 @@ def corpus():
     return [*rows, (200, None, "a"), (201, "", "a"), (None, prose(40), "b"), (202, "too short", "a"), rows[3], rows[3]]
 
 
+def passes_base(text):
+    words, found = test_quality.measures(text)
+    return len(words) >= 20 and 100 * found[4] <= 30 * len(words)
+
+
 def brute(rows, trusted):
     verdicts = test_quality.brute([(i, t) for i, t, _ in rows], trusted)
     kept = Counter()
@@ -44,7 +49,7 @@ def brute(rows, trusted):
     rows = [r for r in rows if kept[r[0]]]
     source = {i: s for i, _, s in rows}
     left = test_line_dedup.brute([(i, t) for i, t, _ in rows])
-    rows = [(i, t) for i, t, _, removed in left if not removed or t.split()]
+    rows = [(i, t) for i, t, _, removed in left if not removed or passes_base(t)]
     groups = Counter((i, c) for i, _, c in test_jaccard.brute(rows))
     stays = {i for i, c in groups if i == c or (i is None and c is None)}
     rows = list(dict.fromkeys(r for r in rows if r[0] in stays))
@@ -93,6 +98,16 @@ def test_registered():
     assert set(entry_point.oracle_sql()) <= set(names)
 
 
+def test_no_fragments_of_copies_are_left(spark, make_docs):
+    rng = random.Random(8)
+    page = "\n".join(" ".join(f"v{rng.randrange(5000)}" for _ in range(12)) for _ in range(6))
+    long = " ".join(f"w{rng.randrange(5000)}" for _ in range(60_000))
+    rows = [(1, page), (2, page + "\na few words of its own"), (3, page.replace("v1", "u1", 1)), (4, long), (5, page + "\n" + long[:400]), (6, None)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, make_docs(rows), "").collect()}
+    assert set(got) == {1, 4, 5, 6}
+    assert got[1] == page and got[4] == long and got[5] == long[:400]
+
+
 def test_near_copies_go_row_by_row(spark, make_docs):
     rng = random.Random(3)
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 import xxhash
 from harness import spark_rows
+from pyspark.sql import functions as F
 
 from tidewheel.llm import quality_rules as qr
 from tidewheel.llm import queries, resampling
@@ -41,12 +42,15 @@ def brute(rows, trusted):
         raw.update(buckets(words))
         if doc_id in trusted:
             target.update(buckets(words))
-    share = sum(target.values()) / max(sum(raw.values()), 1)
-    weight = {b: math.log((target[b] + qr.SMOOTH) / (n * share + qr.SMOOTH)) if share else 0.0 for b, n in raw.items()}
+    every, wanted = sum(raw.values()), sum(target.values())
+
+    def weight(b, own):
+        return math.log((max(target[b] - own, 0) / wanted + qr.SMOOTH) / ((raw[b] - 1) / every + qr.SMOOTH)) if wanted else 0.0
+
     out = []
     for doc_id, words, found in cut:
         own = buckets(words)
-        llr = sum(weight[b] for b in own) / len(own) if own else None
+        llr = sum(weight(b, doc_id in trusted) for b in own) / len(own) if own else None
         failed = found[0] < 20 or 100 * found[4] > 30 * found[0]
         out.append((doc_id, *found, None if llr is None else round(llr, 9), failed, not failed and llr >= qr.THRESHOLD))
     return sorted(out, key=repr)
@@ -88,6 +92,29 @@ def test_no_trusted_rows_and_no_rows(spark, make_docs):
     assert judged(make_docs(corpus()).limit(0), none) == []
 
 
+def test_verdicts_do_not_depend_on_the_size_of_the_corpus(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    trusted = qr.trusted_ids(spark.read.parquet(f"{folder}/labels.parquet"))
+    some = docs.filter("doc_id % 4 = 0")
+    alone = {r.doc_id: r.kept for r in qr.judged(some, trusted).select("doc_id", "kept").collect()}
+    # Four times as many documents, and the same ones several times over.
+    whole = {r.doc_id: r.kept for r in qr.judged(docs, trusted).select("doc_id", "kept").collect()}
+    more = some.crossJoin(spark.range(6).select(F.col("id").alias("copy"))).drop("copy")
+    copied = {r.doc_id: r.kept for r in qr.judged(more, trusted).select("doc_id", "kept").collect()}
+    assert sum(copied[i] == alone[i] for i in alone) >= 0.995 * len(alone)
+    assert sum(alone[i] == whole[i] for i in alone) >= 0.985 * len(alone)
+
+
+def test_base_rules_alone_are_those_of_the_verdict(make_docs, spark):
+    docs = make_docs(corpus()).select("doc_id", "text")
+    none = spark.createDataFrame([], "doc_id long")
+    want = sorted((repr(r.doc_id), r.base_failed) for r in qr.judged(docs, none).collect())
+    got = qr.base_rules(docs)
+    assert got.columns == ["doc_id", "text", "base_failed"]
+    assert sorted((repr(r.doc_id), r.base_failed) for r in got.collect()) == want
+
+
 def test_query_over_the_tables(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").collect()

@@ -5,19 +5,21 @@ substitution of a character. Earlier means smaller doc_id (null first), then the
 in rows that share a doc_id, lines at the same place are equally early and none goes for the other.
 Whether the earlier line is removed itself makes no difference.
 
-Lines are split at line feeds and compared as they are. Lines of fewer than LEAST_CHARS characters
-are kept and never compared. A line of more than MOST_CHARS is compared in consecutive pieces of
-that length. Lines that lose all pieces vanish; a document that loses all lines has an empty text.
-Null texts stay null. All other columns are kept; n_lines and n_removed are replaced, and names that
-begin with an underscore are reserved.
+Lines are split at line feeds, compared as they are and whole, whatever their length, and go or stay as
+a whole. Lines of fewer than LEAST_CHARS characters are kept and never compared. A document that
+loses all lines has an empty text. Null texts stay null. All other columns are kept; n_lines and
+n_removed are replaced, and names that begin with an underscore are reserved. An empty table gives
+an empty one.
 
 Deletion neighbourhoods: two lines within one edit become equal when one character of the longer
 (or of both, at the same place) is deleted. To emit variants only where they can meet, whole parts
-are deleted first: halves of all lines, then windows of WINDOW characters of those lines that agree
-with another one in the rest, then single characters of those windows that agree in the rest. At
-each step equal hashes are joined. In the last, each variant keeps its earliest line, whose window
-is compared by edit distance. No step forms pairs, so a line that many lines resemble costs no more
-than its own rows. What lies outside a window is compared by two 64-bit hashes.
+are deleted first: halves of all lines, then, of those lines that agree with another one in the
+rest, each of FAN parts, then each of FAN parts of a part that agreed, until a part has WINDOW characters
+or fewer, then its single characters. At each step equal hashes are joined. In the last, each variant
+keeps its earliest line, whose window is compared by edit distance. No step forms pairs, so a line
+that many lines resemble costs no more than its own rows, and a long line takes FAN times its length
+per step, and a step more for FAN times the length. What lies outside a window is compared by two
+64-bit hashes. Places of a line that very many rows have are found in parts.
 """
 
 from __future__ import annotations
@@ -26,24 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.sized import broadcast_if_few
+from tidewheel.operators.skew import heavy_by_count, salted_join
 from tidewheel.session import discard, written
 
-# Parameters. A document has fewer than 1 << 32 pieces.
+# Parameters. A document has fewer than 1 << 32 lines.
 LEAST_CHARS = 20
-MOST_CHARS = 1024
 WINDOW = 16
+FAN = 16
 
 
-def pieces(text: Column) -> Column:
-    """All pieces of all lines in order, with the number of their line."""
-
-    def cut(line: Column, number: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.length(line) - 1, F.lit(0)), F.lit(MOST_CHARS))
-        return F.transform(
-            starts, lambda s: F.struct(number.alias("line"), F.substring(line, s + 1, F.lit(MOST_CHARS)).alias("piece"))
-        )
-
-    return F.flatten(F.transform(F.split(text, "\n"), cut))
+def split_lines(text: Column) -> Column:
+    return F.split(text, "\n")
 
 
 def _text_hash() -> Column:
@@ -56,59 +51,46 @@ def _order(doc_id: Column, place: Column) -> Column:
     return (number * F.lit(1 << 32).cast("decimal(11)") + place).cast("decimal(38)")
 
 
-def _pieces(docs: DataFrame) -> DataFrame:
-    """One row per piece that takes part, with its text, length and two hashes."""
-    rows = docs.select("doc_id", _text_hash().alias("version"), F.posexplode(pieces(F.col("text"))).alias("place", "p"))
-    rows = rows.select("doc_id", "version", "place", F.col("p.piece").alias("piece"))
-    rows = rows.withColumn("n", F.length("piece")).filter(F.col("n") >= LEAST_CHARS)
-    return rows.withColumns({"h": F.xxhash64("piece"), "c": F.crc32(F.col("piece").cast("binary"))})
+def _whole(docs: DataFrame) -> DataFrame:
+    """One row per line that takes part, with its text, length and two hashes."""
+    rows = docs.select("doc_id", _text_hash().alias("version"), F.posexplode(split_lines(F.col("text"))).alias("place", "line"))
+    rows = rows.withColumn("n", F.length("line")).filter(F.col("n") >= LEAST_CHARS)
+    return rows.withColumns({"h": F.xxhash64("line"), "c": F.crc32(F.col("line").cast("binary"))})
 
 
 def _halves() -> Column:
-    """Hashes of the piece without one half, as the longer and as the shorter of two lines."""
+    """Hashes of the line without one half, as the longer and as the shorter of two lines."""
     keys = []
     for length in (F.col("n"), F.col("n") + 1):
         half = F.ceil(length / 2).cast("int")
-        rest = (F.substring("piece", F.lit(1), half), F.substring("piece", half - (length - F.col("n")) + 1, length - half))
+        rest = (F.substring("line", F.lit(1), half), F.substring("line", half - (length - F.col("n")) + 1, length - half))
         keys += [F.xxhash64(F.lit(which), length, part) for which, part in enumerate(rest)]
     return F.array(*keys)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Where each piece stands and its identity, without its text."""
-    rows = _pieces(docs)
-    return rows.select("doc_id", "version", "place", "h", "c", _halves().alias("halves"))
+    """Where each line stands and its identity, without its text."""
+    return _whole(docs).select("doc_id", "version", "place", "h", "c", _halves().alias("halves"))
 
 
-def _outside(length: Column, start: Column, end: Column) -> Column:
-    """Hashes of what a piece has outside the window that spans start to end in the longer line.
+def _outside() -> Column:
+    """Hashes of what a line has outside the window that spans start to end in the longer line.
 
     ``length`` is that of the longer line. What stands before the window is aligned to the start,
     what stands after it to the end.
     """
-    before = F.substring("piece", F.lit(1), start)
-    after = F.substring("piece", F.col("n") - (length - end) + 1, length - end)
+    length, start, end = F.col("length"), F.col("start"), F.col("end")
+    before = F.substring("line", F.lit(1), start)
+    after = F.substring("line", F.col("n") - (length - end) + 1, length - end)
     return F.struct(F.xxhash64(before).alias("before"), F.xxhash64(after).alias("after"))
 
 
-def _windows(width: Column) -> Column:
-    """Windows as longer line's length, start and end, for a piece as the longer or the shorter line."""
-
-    def of(length: Column) -> Column:
-        step = width(length)
-        starts = F.sequence(F.lit(0), length - 1, step)
-        return F.transform(
-            starts,
-            lambda s: F.struct(length.alias("length"), s.alias("start"), F.least(s + step, length).alias("end")),
-        )
-
-    return F.explode(F.concat(of(F.col("n")), of(F.col("n") + 1))).alias("w")
-
-
-def _keys(rows: DataFrame, width) -> DataFrame:
-    """Rows by window, with ``key``: the window and what lies outside it."""
-    rows = rows.select("*", _windows(width))
-    return rows.withColumn("key", F.struct("w", _outside(F.col("w.length"), F.col("w.start"), F.col("w.end")).alias("rest")))
+def _narrowed(rows: DataFrame) -> DataFrame:
+    """``rows`` for each part of their window, with ``key``: the part and what lies outside it."""
+    step = F.greatest(F.lit(WINDOW), F.ceil((F.col("end") - F.col("start")) / FAN).cast("int"))
+    parts = rows.withColumn("_step", step).withColumn("_start", F.explode(F.sequence(F.col("start"), F.col("end") - 1, F.col("_step"))))
+    parts = parts.withColumns({"start": F.col("_start"), "end": F.least(F.col("_start") + F.col("_step"), F.col("end"))})
+    return parts.drop("_start", "_step").withColumn("key", F.struct("length", "start", "end", _outside().alias("rest")))
 
 
 def _met(keys: DataFrame) -> DataFrame:
@@ -117,6 +99,25 @@ def _met(keys: DataFrame) -> DataFrame:
     return some.filter("least <> most").select("key")
 
 
+def _close(lines: DataFrame) -> DataFrame:
+    """The narrowest windows outside which a line agrees with another one, stored.
+
+    ``lines`` has each line once; a line takes part as the longer and as the shorter of two.
+    """
+    length = F.explode(F.array(F.col("n"), F.col("n") + 1)).alias("length")
+    now = lines.select("*", length, F.lit(0).alias("start")).withColumn("end", F.col("length"))
+    widest, stored = WINDOW + 1, []
+    while widest > WINDOW:
+        windows = written(_narrowed(now), "windows")
+        now = written(windows.join(_met(windows), "key"), "close")
+        widest = now.agg(F.max(F.col("end") - F.col("start"))).first()[0] or 0
+        discard(windows, *stored)
+        stored = [now]
+        if widest > WINDOW:
+            now = now.drop("key")
+    return stored[0]
+
+
 def near_repeats(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """Identities (h, c) of lines that an earlier, different line comes within one edit of."""
     halves = lines.select("h", F.explode("halves").alias("key"))
@@ -124,12 +125,11 @@ def near_repeats(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFr
     alike = written(halves.join(broadcast_if_few(met), "key").select("h").distinct(), "alike")
     discard(met)
     # Only these lines are looked at again, once each.
-    again = _pieces(docs).join(broadcast_if_few(alike), "h").groupBy("h", "c", "n").agg(F.min("piece").alias("piece"))
-    again = again.join(firsts, ["h", "c"]).withColumn("id", F.struct("h", "c"))
-    windows = written(_keys(again, lambda length: F.lit(WINDOW)), "windows")
-    close = windows.join(_met(windows), "key")
-    inner = F.substring("piece", F.col("w.start") + 1, F.col("w.end") - F.col("w.start") - (F.col("w.length") - F.col("n")))
-    close = close.select("id", "first", "key", (F.col("n") == F.col("w.length")).alias("longer"), inner.alias("inner"))
+    again = _whole(docs).join(broadcast_if_few(alike), "h").groupBy("h", "c", "n").agg(F.min("line").alias("line"))
+    again = again.join(firsts.select("h", "c", "first"), ["h", "c"]).withColumn("id", F.struct("h", "c"))
+    windows = _close(again)
+    inner = F.substring("line", F.col("start") + 1, F.col("end") - F.col("start") - (F.col("length") - F.col("n")))
+    close = windows.select("id", "first", "key", (F.col("n") == F.col("length")).alias("longer"), inner.alias("inner"))
     # The shorter line stays whole (place 0); the longer one loses each of its characters in turn.
     places = F.when(F.col("longer"), F.sequence(F.lit(1), F.length("inner"))).otherwise(F.array(F.lit(0)))
     deleted = close.withColumn("place", F.explode(places)).withColumn(
@@ -158,72 +158,66 @@ def near_repeats(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFr
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Places of removed pieces of each document: doc_id, version (hash of the text), gone."""
+    """Places of removed lines of each document: doc_id, version (hash of the text), gone; stored."""
     lines = written(_lines(docs), "lines")
     at = _order(F.col("doc_id"), F.col("place"))
-    firsts = written(lines.groupBy("h", "c").agg(F.min(at).alias("first")), "firsts")
-    near = near_repeats(docs, lines, firsts).withColumn("near", F.lit(True))
-    told = firsts.join(broadcast_if_few(near), ["h", "c"], "left")
-    gone = lines.drop("halves").join(told, ["h", "c"]).filter(F.col("near") | (at != F.col("first")))
-    gone = gone.select("doc_id", "version", "place").distinct()
-    return gone.groupBy("doc_id", "version").agg(F.collect_list("place").alias("gone"))
+    firsts = written(lines.groupBy("h", "c").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("copies")), "firsts")
+    near = near_repeats(docs, lines, firsts)
+    told = firsts.join(broadcast_if_few(near.withColumn("near", F.lit(True))), ["h", "c"], "left")
+    told = told.filter("near OR copies > 1").withColumn("id", F.struct("h", "c"))
+    total = firsts.agg(F.sum("copies")).first()[0] or 0
+    heavy = heavy_by_count(told, "id", "copies", total)
+    rows = lines.select("doc_id", "version", "place", F.struct("h", "c").alias("id"))
+    met = salted_join(rows, told.select("id", "first", "near"), "id", heavy)
+    gone = met.filter(F.col("near") | (at != F.col("first"))).select("doc_id", "version", "place").distinct()
+    gone = written(gone.groupBy("doc_id", "version").agg(F.collect_list("place").alias("gone")), "gone")
+    discard(lines, firsts, near, heavy)
+    return gone
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text without repeated lines, ``n_lines`` (pieces) and ``n_removed``."""
-    gone = written(repeats(docs.select("doc_id", "text")), "gone").select(
+    """``docs`` with the text without repeated lines, ``n_lines`` and ``n_removed``."""
+    gone = repeats(docs.select("doc_id", "text")).select(
         F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("gone").alias("_gone")
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (_text_hash() == F.col("_version"))
-    rows = docs.join(gone, same, "left").withColumn("_pieces", pieces(F.col("text")))
-    last = F.size("_pieces") - 1
-    rows = rows.withColumn("_kept", F.array_except(F.sequence(F.lit(0), last), F.coalesce("_gone", F.array().cast("array<int>"))))
-
-    def part(place: Column, i: Column) -> Column:
-        own = F.col("_pieces")[place]
-        first = (i == 0) | (F.col("_pieces")[F.get("_kept", F.greatest(i - 1, F.lit(0)))]["line"] != own["line"])
-        return F.concat(F.when(first, "\n").otherwise(""), own["piece"])
-
-    joined = F.array_join(F.transform("_kept", part), "")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.substring(joined, F.lit(2), F.length(joined)))
+    rows = docs.join(gone, same, "left").withColumn("_lines", split_lines(F.col("text")))
+    last = F.size("_lines") - 1
+    kept = F.array_except(F.sequence(F.lit(0), last), F.coalesce("_gone", F.array().cast("array<int>")))
+    left = F.array_join(F.transform(kept, lambda place: F.col("_lines")[place]), "\n")
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
     # Through a generator, so that a later filter on the text does not build it once more per line.
     rows = rows.withColumn("_text", F.explode(F.array(text)))
     return rows.select(
         *(F.col("_text").alias("text") if name == "text" else F.col(name) for name in docs.columns if name not in ("n_lines", "n_removed")),
-        F.coalesce(F.size("_pieces"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
-#: Pieces, and those that go, for a table ``documents`` with distinct ids; ends in the remaining texts.
+#: Lines, and those that go, for a table ``documents`` with distinct ids; ends in the remaining texts.
 SQL_PARTS = f"""
 split AS MATERIALIZED (
     SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS body
     FROM documents WHERE text IS NOT NULL),
-pieces AS MATERIALIZED (
-    SELECT doc_id, line, p, substr(body, (p * {MOST_CHARS} + 1)::BIGINT, {MOST_CHARS}) AS piece
-    FROM split, unnest(range(0, greatest(length(body) - 1, 0) // {MOST_CHARS} + 1)) AS u(p)),
 firsts AS MATERIALIZED (
-    SELECT piece, length(piece) AS n, min((doc_id, line, p)) AS first FROM pieces
-    WHERE length(piece) >= {LEAST_CHARS} GROUP BY piece),
+    SELECT body, length(body) AS n, min((doc_id, line)) AS first FROM split
+    WHERE length(body) >= {LEAST_CHARS} GROUP BY body),
 keys AS MATERIALIZED (
-    SELECT piece, first, n + d AS l, half,
-           CASE half WHEN 0 THEN right(piece, ((n + d) // 2)::BIGINT) ELSE left(piece, (n + d - (n + d) // 2)::BIGINT) END AS part
+    SELECT body, first, n + d AS l, half,
+           CASE half WHEN 0 THEN right(body, ((n + d) // 2)::BIGINT) ELSE left(body, (n + d - (n + d) // 2)::BIGINT) END AS part
     FROM firsts, unnest([0, 1]) AS e(d), unnest([0, 1]) AS h(half)),
 near AS MATERIALIZED (
-    SELECT DISTINCT a.piece FROM keys a JOIN keys b USING (l, half, part)
-    WHERE b.first < a.first AND abs(length(a.piece) - length(b.piece)) <= 1 AND levenshtein(a.piece, b.piece) <= 1),
+    SELECT DISTINCT a.body FROM keys a JOIN keys b USING (l, half, part)
+    WHERE b.first < a.first AND abs(length(a.body) - length(b.body)) <= 1 AND levenshtein(a.body, b.body) <= 1),
 judged AS MATERIALIZED (
-    SELECT doc_id, line, p, piece,
-           f.piece IS NOT NULL AND (near.piece IS NOT NULL OR (doc_id, line, p) <> f.first) AS gone
-    FROM pieces LEFT JOIN firsts f USING (piece) LEFT JOIN near USING (piece)),
-joined AS MATERIALIZED (
-    SELECT doc_id, line, string_agg(piece, '' ORDER BY p) FILTER (NOT gone) AS body, count(*) AS n, count_if(gone) AS removed
-    FROM judged GROUP BY doc_id, line),
+    SELECT doc_id, line, body,
+           f.body IS NOT NULL AND (near.body IS NOT NULL OR (doc_id, line) <> f.first) AS gone
+    FROM split LEFT JOIN firsts f USING (body) LEFT JOIN near USING (body)),
 cleaned AS MATERIALIZED (
-    SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY line) FILTER (removed < n), '') AS text,
-           sum(n)::BIGINT AS n_lines, sum(removed)::BIGINT AS n_removed
-    FROM joined GROUP BY doc_id)
+    SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY line) FILTER (NOT gone), '') AS text,
+           count(*) AS n_lines, count_if(gone)::BIGINT AS n_removed
+    FROM judged GROUP BY doc_id)
 """
 
 SQL = f"""

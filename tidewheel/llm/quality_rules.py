@@ -2,13 +2,16 @@
 
 Words are runs of anything but space and the characters 09 to 0D. Single words and pairs of
 neighbours are hashed to buckets. Two multinomials over buckets are counted: one from trusted
-rows, one from all rows. A bucket weighs the log of its count among trusted rows over the count
-that the raw corpus makes one expect there, both smoothed by the same number, so that rare
-n-grams weigh little. A text scores the mean weight of its n-grams, and is rejected below a fixed
-threshold. All of it is DataFrame functions; the weights are one array of fixed length.
-
-A null text has no words and fails the base rules, as an empty one does. Rows are judged one by
-one, repeated rows too. Without trusted rows the ratio says nothing: every weight is 0.
+rows, one from all rows. A bucket weighs the log of its share among trusted rows over its share
+of the raw corpus, both smoothed by the same share, so that rare n-grams weigh little. An occurrence
+does not count for itself: it is taken out of the corpus, and of the trusted rows if it is in one. As
+nothing but shares enters, a corpus of the same kind of text gives the same weights whatever its
+size. A text scores the mean weight of its n-grams, and is rejected below a fixed threshold. All of
+it is DataFrame functions; the weights are one table of fixed length.
+
+A null text has no words and fails the base rules, as an empty one does. Texts of any length are
+judged whole. Rows are judged one by one, repeated rows too. Without trusted rows the ratio says
+nothing: every weight is 0. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from tidewheel.llm.sized import broadcast_if_few
 
 # Parameters.
 BUCKET_BITS = 18
-SMOOTH = 20.0
-THRESHOLD = -0.075
+SMOOTH = 4e-5  # share of all n-grams
+THRESHOLD = -0.1
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # percent
@@ -55,21 +58,32 @@ def bucket() -> Column:
 
 
 def weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """The weight of every bucket that occurs. ``trusted`` holds ids (doc_id)."""
-    ids = broadcast_if_few(trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct())
-    marked = docs.select("doc_id", "text").join(ids.withColumn("_trusted", F.lit(True)), "doc_id", "left")
+    """The weight of every bucket that occurs, for an occurrence in a trusted row (``own``) and elsewhere.
+
+    ``trusted`` holds ids (doc_id).
+    """
     counts = (
-        with_words(marked)
+        with_words(_marked(docs.select("doc_id", "text"), trusted))
         .select("_trusted", F.explode(ngrams()).alias("_hash"))
         .groupBy(bucket().alias("bucket"))
         .agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target"))
     )
-    # The totals of both multinomials; the two smoothing terms are the same number of expected n-grams.
+    # One row per bucket, so the totals of both multinomials need no more than a task.
     whole = Window.partitionBy()
-    share = F.col("_target") / F.col("_raw")
-    weight = F.log((F.col("target") + F.lit(SMOOTH)) / (F.col("raw") * share + F.lit(SMOOTH)))
     totals = counts.withColumns({"_target": F.sum("target").over(whole), "_raw": F.sum("raw").over(whole)})
-    return totals.select("bucket", F.when(F.col("_target") > 0, weight).otherwise(F.lit(0.0)).alias("weight"))
+
+    def weight(out: int) -> Column:
+        found = F.greatest(F.col("target") - out, F.lit(0)) / F.col("_target") + SMOOTH
+        ratio = F.log(found / ((F.col("raw") - 1) / F.col("_raw") + SMOOTH))
+        return F.when(F.col("_target") > 0, ratio).otherwise(F.lit(0.0))
+
+    return totals.select("bucket", weight(1).alias("own"), weight(0).alias("weight"))
+
+
+def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``docs`` with ``_trusted``, true or null."""
+    ids = trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(True))
+    return docs.join(broadcast_if_few(ids), "doc_id", "left")
 
 
 def repeated_words(df: DataFrame) -> DataFrame:
@@ -97,13 +111,23 @@ def repeated_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).drop("_windows", "_order", "_places")
 
 
+def _base_failed(n_words: Column) -> Column:
+    return (n_words < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * n_words)
+
+
+def base_rules(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``base_failed``, by the text alone."""
+    df = repeated_words(with_words(docs)).withColumn("base_failed", _base_failed(F.col("_n")))
+    return df.select(*[name for name in docs.columns if name != "base_failed"], "base_failed")
+
+
 def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """``docs`` without the text, with the base measures, ``llr`` (null without words) and ``kept``.
 
     Columns of ``docs`` with the name of a measure are replaced; names that begin with an
     underscore are reserved.
     """
-    df = repeated_words(with_words(docs.drop(*MEASURES, "llr", "base_failed", "kept")))
+    df = repeated_words(with_words(_marked(docs.drop(*MEASURES, "llr", "base_failed", "kept"), trusted)))
     df = df.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
     df = df.withColumn("_lines", F.filter("_lines", lambda line: line.rlike(HAS_WORD)))
     df = (
@@ -116,16 +140,15 @@ def judged(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         .drop("text", "_words", "_hashes", "_pairs", "_n", "_lines")
     )
     # At most 1 << BUCKET_BITS rows, whatever the corpus.
-    table = weights(docs, trusted).select(F.col("bucket").alias("_bucket"), F.col("weight").alias("_weight"))
+    table = weights(docs, trusted).select(F.col("bucket").alias("_bucket"), F.col("own").alias("_own"), F.col("weight").alias("_other"))
     weighed = df.join(F.broadcast(table), bucket() == F.col("_bucket"), "left")
+    weighed = weighed.withColumn("_weight", F.when(F.col("_trusted"), F.col("_own")).otherwise(F.col("_other")))
     # The n-grams of a row lie in one task, so that one partial sum of each row is shuffled. The
     # measures are the same on all of them.
-    others = [name for name in df.columns if name not in ("_hash", "_row", "doc_id", *MEASURES)]
+    others = [name for name in df.columns if name not in ("_hash", "_row", "_trusted", "doc_id", *MEASURES)]
     same = [F.max(name).alias(name) for name in ("doc_id", *MEASURES)]
     df = weighed.groupBy("_row", *others).agg(*same, F.avg("_weight").alias("llr")).drop("_row")
-    few = F.col("n_words") < LEAST_WORDS
-    failed = few | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    df = df.withColumn("base_failed", failed)
+    df = df.withColumn("base_failed", _base_failed(F.col("n_words")))
     return df.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr") >= THRESHOLD, F.lit(False)))
 
 
