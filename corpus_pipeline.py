@@ -2,11 +2,11 @@
 
 Each stage takes all documents that the one before kept and gives documents again; the last gives
 the number of ids and digests for every document. ``run`` stores the documents between stages.
-Stages store tables of their own as well; a stage deletes those of the stage before it, whose
-result is stored by then.
+Stages store tables of their own as well, which ``run`` deletes once the result of the stage after it
+is stored.
 
-Defined cases: a null text fails the quality rules. A document that loses all its words with its
-repeated lines goes. Of each group of similar documents the one with the smallest doc_id stays,
+Defined cases: a null text fails the quality rules. A document that has lost repeated lines must pass
+the base rules again, so that no copy leaves a fragment. Of each group of similar documents the one with the smallest doc_id stays,
 with rows that repeat its id and text once; a row with a null doc_id stays if no other id is in
 its group. The mixture takes every document at least once, and documents of scarce sources
 again, in rows of their own. Columns beside those of documents are dropped. Empty tables give
@@ -30,29 +30,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-_left_over: list[str] = []
-
-
-def _stage(work: Stage) -> Stage:
-    """``work``, which first deletes what the stage before it has stored for itself."""
-
-    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        delete_tables(spark, _left_over)
-        _left_over.clear()
-        with recorded() as paths:
-            out = work(spark, docs, sf_dir)
-        _left_over.extend(paths)
-        return out
-
-    stage.__name__, stage.__doc__ = work.__name__, work.__doc__
-    return stage
-
-
 def _version() -> Column:
     return F.xxhash64("text")
 
 
-@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
     trusted = quality_rules.trusted_ids(table(spark, sf_dir, "labels"))
@@ -63,16 +44,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(broadcast_if_few(failed), same, "left_anti").select(*COLUMNS)
 
 
-@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one, if they have words left."""
+    """Documents without lines that repeat an earlier one; those that lost some must pass the base rules again."""
     left = line_dedup.deduplicated(docs.select(*COLUMNS))
-    whole = (F.col("n_removed") == 0) | F.col("text").rlike(quality_rules.HAS_WORD)
-    size = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.filter(whole).withColumn("n_chars", size).select(*COLUMNS)
+    cut = F.col("n_removed") > 0
+    # The rules are worked out for texts that have changed only.
+    told = quality_rules.base_rules(left.withColumn("_left", F.col("text")).withColumn("text", F.when(cut, F.col("text"))))
+    size = F.when(cut, F.length("_left").cast("long")).otherwise(F.col("n_chars"))
+    kept = told.filter(~cut | ~F.col("base_failed")).withColumn("n_chars", size).withColumn("text", F.col("_left"))
+    return kept.select(*COLUMNS)
 
 
-@_stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the smallest id."""
     found = written(jaccard.versions(docs), "components")
@@ -91,13 +73,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(some, "doc_id", "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
-@_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture of sources takes them."""
     return mixing.mixed(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
-@_stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of ids, and digests of the ids and of what they decode to."""
     return byte_bpe.digests(docs, VOCABULARY, public_tokenizers.PATTERN)
@@ -118,6 +98,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The digests of all documents that come through the stages."""
     docs = table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with recorded() as paths:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        delete_tables(spark, before)
+        before = list(paths)
     return STAGES[-1][1](spark, docs, sf_dir)
