@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,35 @@ def test_no_cross_joins(spark, name):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_left_over_tables_of_other_applications_go(spark, tmp_path, monkeypatch):
+    from tidewheel import session
+
+    root = tmp_path / "shared"
+    for name in ("tidewheel-app-1", "tidewheel-app-2", "other", f"tidewheel-{spark.sparkContext.applicationId}"):
+        (root / name / "table").mkdir(parents=True)
+        if name != "tidewheel-app-2":
+            os.utime(root / name, (1, 1))
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: str(root))
+    assert session.delete_left_over(spark, 1) == 1
+    assert sorted(p.name for p in root.iterdir()) == sorted(["tidewheel-app-2", "other", f"tidewheel-{spark.sparkContext.applicationId}"])
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from tidewheel import session
+
+    class Named(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Fake:
+        def __init__(self, master, warehouse):
+            self.conf = Named({"spark.sql.warehouse.dir": warehouse})
+            self.sparkContext = type("Context", (), {"master": master})()
+
+    assert session.checkpoint_root(Fake("local[4]", "file:/tmp/w")) == "file:/tmp/w/scratch"
+    assert session.checkpoint_root(Fake("yarn", "hdfs://n/w/")) == "hdfs://n/w/scratch"
+    for master in ("yarn", "local-cluster[2,1,512]", "spark://n:7077"):
+        with pytest.raises(RuntimeError):
+            session.checkpoint_root(Fake(master, "file:/tmp/w"))

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidewheel.operators import recommend
+from tidewheel.operators import recommend, request
 from tidewheel.sources import files
 from tidewheel.streaming import sinks
 
@@ -111,3 +111,29 @@ def test_fallbacks_alone(tables, users):
     assert {(r["user_id"], r["path"], r["item_id"]) for r in by_segment.collect()} == {(7, "segment_fallback_1", 60)}
     default = recommend.default_fallback(users, tables["segment_top"])
     assert default.count() == 5 * 2
+
+
+ASKED = [-1, 1, 2, 7, 9, 9]
+
+
+@pytest.mark.parametrize("empty", [(), ("user_factors",), ("window_metrics",), ("user_factors", "window_metrics"), ("segment_top",), ("segments",)])
+def test_a_request_gets_what_the_table_gets(tables, users, empty):
+    given = {name: df.limit(0) if name in empty else df for name, df in tables.items()}
+    want = recommend.recommend(users, **given)
+    got = request.recommend_request(ASKED, **given)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_a_request_over_many_items_in_many_files(spark, tables):
+    items = spark.range(3000).selectExpr("CAST(id AS INT) AS id", "array(CAST(id * 37 % 101 AS FLOAT), CAST(id * 53 % 97 AS FLOAT)) AS features")
+    given = {**tables, "item_factors": items.repartition(7)}
+    want = recommend.recommend(spark.createDataFrame([(1,), (2,)], "user_id long"), **given)
+    got = request.recommend_request([1, 2], **given)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_request_is_bounded(tables):
+    assert request.recommend_request([], **tables).collect() == []
+    with pytest.raises(ValueError):
+        request.recommend_request(range(request.MOST + 1), **tables)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import re
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -33,12 +35,17 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; without one, a folder in the warehouse, shared as well."""
+    """The shared folder the cluster names; without one, a folder in the warehouse.
+
+    A warehouse in a folder of one machine will do only where there is no other machine.
+    """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-        spark.conf.set(CHECKPOINT_SETTING, root)
-        spark.sparkContext.setCheckpointDir(root)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        alone = re.match(r"local($|\[)", spark.sparkContext.master)
+        if not alone and (warehouse.startswith("file:") or "://" not in warehouse):
+            raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder that all machines share")
+        root = f"{warehouse.rstrip('/')}/scratch"
     return root
 
 
@@ -112,7 +119,25 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def delete_left_over(spark: SparkSession, hours: float = 24 * 7) -> int:
+    """Deletes the folders of other applications in which nothing has been written for so long.
+
+    An application deletes its own at the end, unless its session was stopped before or it was killed.
+    Returns how many there were.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    own, before, gone = _own_folder(spark).rsplit("/", 1)[-1], (time.time() - hours * 3600) * 1000, 0
+    for status in files.listStatus(root) if files.exists(root) else []:
+        folder = status.getPath()
+        # A table that is added or deleted changes the folder's time.
+        if folder.getName().startswith("tidewheel-") and folder.getName() != own and status.getModificationTime() < before:
+            files.delete(folder, True)
+            gone += 1
+    return gone
+
+
 def _at_end(spark: SparkSession, folder: str) -> None:
-    # A session that was stopped has left its tables; the next cleaning of the shared folder takes them.
+    # A session that was stopped has left its tables to ``delete_left_over``.
     if spark.sparkContext._jsc is not None:
         _delete(spark, folder)
