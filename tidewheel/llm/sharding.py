@@ -1,14 +1,15 @@
 """Rows dealt to shards of bounded size by extendible hashing.
 
-A row's hash is that of its doc_id. The directory starts with one shard of all rows; a shard over
+A row's hash is that of its doc_id and text. The directory starts with one shard of all rows; a shard over
 the byte limit splits by the next bit of the hash, and only such a shard does, until each fits. So
 a shard is named by its depth (number of leading bits) and its prefix (their value). Several
 bits are looked at in one round: sums are taken by the deepest prefix of the round, and the depth
 of a row is the first at which its shard fits. Only rows of shards that don't fit yet go on.
 
-A row that is over the limit by itself gets a shard of its own, and rows with equal doc_id, which
-no bit tells apart, share one; both are marked ``oversized``. A null doc_id hashes as ''. A null
-text has no bytes. An empty table gives an empty one.
+A row that is over the limit by itself gets a shard of its own, and rows that agree in doc_id and
+text, which no bit tells apart, share one; both are marked ``oversized``. A null doc_id or text
+hashes as ''. A null text has no bytes. Texts of any length count whole. Extra columns are not
+read, and kept by ``write_shards``. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -47,15 +48,23 @@ def _round(rows: DataFrame, base: int, limit: int) -> DataFrame:
     return found.select("_cell", "shard.*")
 
 
+def _row_hash() -> Column:
+    return even_hash(F.col("doc_id"), F.col("text"))
+
+
 def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     """Each row's doc_id and bytes with its shard: depth, prefix, shard_bytes, shard_rows, oversized."""
+    return _placed(docs, limit).drop("_hash")
+
+
+def _placed(docs: DataFrame, limit: int) -> DataFrame:
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    rows = written(docs.select("doc_id", size.alias("bytes"), even_hash(F.col("doc_id")).alias("_hash")), "rows")
+    rows = written(docs.select("doc_id", size.alias("bytes"), _row_hash().alias("_hash")), "rows")
     parts, base = [], 0
     while True:
         found = written(_round(rows, base, limit), "shards")
         keyed = rows.withColumn("_cell", prefix(base + ROUND_BITS))
-        parts.append(keyed.join(found, "_cell").drop("_cell", "_hash"))
+        parts.append(keyed.join(found, "_cell").drop("_cell"))
         base += ROUND_BITS
         if base >= MOST_BITS:
             break
@@ -71,8 +80,8 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
 
     Rows of one shard meet in one task; a shard holds the byte limit at most, unless it is oversized.
     """
-    names = sharded(docs, limit).select("doc_id", F.concat_ws("-", "depth", "prefix").alias("shard")).distinct()
-    named = docs.join(names.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    names = _placed(docs, limit).select("_hash", F.concat_ws("-", "depth", "prefix").alias("shard")).distinct()
+    named = docs.withColumn("_hash", _row_hash()).join(names, "_hash").drop("_hash")
     named.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
@@ -80,7 +89,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
 SQL = f"""
 WITH docs AS MATERIALIZED (
     SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS bytes,
-           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents),
 shards AS (
     SELECT d, h >> ({HASH_BITS} - d) AS p, sum(bytes)::BIGINT AS size, count(*) AS n
     FROM docs, unnest(range(0, {MOST_BITS + 1})) AS u(d) GROUP BY ALL),
