@@ -76,6 +76,18 @@ def test_blocks_of_large_buckets_find_all(make_docs, monkeypatch):
     assert found(make_docs(rows)) == brute(rows)
 
 
+def test_very_long_texts(make_docs):
+    rng = random.Random(4)
+    long = [f"l{rng.randrange(40_000)}" for _ in range(60_000)]
+    few, many = list(long), list(long)
+    for k in range(0, 60_000, 100):
+        few[k] = "x"
+    for k in range(0, 60_000, 8):
+        many[k] = f"y{k}"
+    rows = [(1, " ".join(long)), (2, " ".join(few)), (3, " ".join(many)), (4, " ".join(long[:30_000])), (5, "w " * 200_000)]
+    assert found(make_docs(rows)) == brute(rows)
+
+
 def test_nothing_to_join(make_docs):
     assert found(make_docs([(1, "a b c")]).limit(0)) == []
     assert found(make_docs([(1, None), (2, "")])) == [(1, 0, 1), (2, 0, 2)]

@@ -84,6 +84,13 @@ def test_rows_without_an_id_are_spread_over_blocks(make_docs):
     assert got.select("mix_block").distinct().count() > 200
 
 
+def test_a_very_long_text_is_passed_whole(make_docs):
+    rows = [(1, "w " * 300_000, "a"), *((n, "w " * 9, "a") for n in range(2, 20)), (50, "x", "b"), (51, None, "b")]
+    got = mixing.mixed(make_docs(rows), repeats=2.0)
+    assert Counter((r.doc_id, r.source or "", r.mix_pass) for r in got.collect()) == brute_mix(rows, 2.0)
+    assert {r.n for r in got.filter("doc_id = 1").selectExpr("length(text) AS n").collect()} == {600_000}
+
+
 def test_a_budget_is_kept(make_docs):
     rows = mixing.mixed(make_docs(corpus()), budget=500).collect()
     used = defaultdict(int)

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import re
 import struct
@@ -136,10 +137,30 @@ def test_hashes_tell_words_apart():
     assert text.bounds.tolist() == [0, 4, 7, 7, 7, 9, 11]
 
 
+MASK = (1 << 64) - 1
+BASE, STEP, FINAL = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93
+
+
+def finished(h):
+    h = (h ^ (h >> 32)) * FINAL & MASK
+    h = (h ^ (h >> 29)) * STEP & MASK
+    return h ^ (h >> 32)
+
+
+def plain_buckets(text):
+    """Buckets of words and of pairs of neighbours, byte by byte."""
+    own = []
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        raw = word.encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
+        own.append(finished(sum((byte + 1) * pow(BASE, k, 1 << 64) for k, byte in enumerate(raw)) & MASK))
+    pairs = [finished(((2 * STEP + a) * STEP + b) & MASK) for a, b in zip(own, own[1:], strict=False)]
+    return [h >> (64 - resampling.BUCKET_BITS) for h in own + pairs]
+
+
 def brute_weights(rows, target):
     raw, wanted, own = Counter(), Counter(), {}
     for doc_id, text in rows:
-        own[doc_id, text] = found = resampling._buckets([text.encode() if text else None])[0].tolist()
+        own[doc_id, text] = found = plain_buckets(text)
         raw.update(found)
         if doc_id in target:
             wanted.update(found)
@@ -148,12 +169,20 @@ def brute_weights(rows, target):
     return {key: sum(weight[b] for b in found) for key, found in own.items()}
 
 
+def gumbel(doc_id):
+    told = f"gumbel:{'' if doc_id is None else doc_id}"
+    even = (int(hashlib.md5(told.encode()).hexdigest()[:15], 16) + 0.5) / float(1 << 60)
+    return -math.log(-math.log(even))
+
+
 def test_weights_and_draw(spark, make_docs):
     rows = corpus()
     target = spark.createDataFrame([(n,) for n in (*range(40), None)], "doc_id long")
     got = resampling.resampled(make_docs(rows), target, 0.5).collect()
     want = brute_weights(rows, set(range(40)))
     assert sorted(round(r.log_weight, 6) for r in got) == sorted(round(want[key], 6) for key in rows)
+    for r in got:
+        assert r.key == pytest.approx(r.log_weight + gumbel(r.doc_id), abs=1e-9)
     keys = sorted((r.key for r in got), reverse=True)
     count = round(0.5 * len(rows))
     assert sum(r.kept for r in got) == count

@@ -5,7 +5,8 @@ the byte), each piece is scored by its negative rank and nothing is normalised,
 merges in the order of the ranks. A text is cut into pre-tokens by a pattern first; each is
 encoded apart. Decoding maps ids to pieces and letters back to bytes.
 
-A null text counts as empty and has no ids. Texts are taken whole. Equal texts give equal ids.
+A null text counts as empty and has no ids. Texts are taken whole. Equal texts give equal ids. Extra
+columns are not read. An empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ Words are runs of anything but space and the characters 09 to 0D, with A-Z as a-
 fewer words than an n-gram has its whole sequence as one. A document without words, or a null text,
 has an empty set, is linked with nothing and is its own component. The component is named by the
 smallest doc_id in it; rows with a null doc_id take part, and have a null component if no other id
-is in theirs. Repeated rows get a row each. N-grams are told apart by 64 bits.
+is in theirs. Repeated rows get a row each. N-grams are told apart by 64 bits. Texts of any length
+count whole. Extra columns are not read. An empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ rows have is looked at once; equal queries are run once as well.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a
 null vec_id or with another dimension than most rows. Ties go to the smaller vec_id; rows that
-repeat a vec_id with the same vector count once. An empty table gives an empty result.
+repeat a vec_id with the same vector count once. Extra columns are not read. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations

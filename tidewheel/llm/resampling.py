@@ -7,9 +7,11 @@ that what is rare in both says little. Adding Gumbel noise to the log weights an
 largest draws k documents without replacement, in proportion to their weights. The noise comes
 from a hash of the doc_id, so that the same documents are drawn in every run.
 
-k is a share of all documents. Every document gets its log weight, key and verdict. The k-th largest key is found by a distributed sort of ids and keys.
+k is a share of all documents. Every document gets its log weight, key and verdict. The k-th
+largest key is found by a distributed sort of ids and keys.
 
-Null and empty texts have weight 0 (in logs). Rows with the same doc_id have the same noise; ties
+Null and empty texts have weight 0 (in logs). Texts of any length count whole. Extra columns are not
+read. An empty table gives an empty one. Rows with the same doc_id have the same noise; ties
 go to the smaller doc_id. Without any target row all weights are 0 and the noise alone decides.
 """
 

@@ -20,8 +20,12 @@ Neighbouring repeats, with no more than SKIP words between, form a passage, repo
 of its words or more are in repeats; the earliest occurrence of each component stays, the others are
 to be removed.
 
+Hashes that occur once are most of all and say nothing, so only those seen twice are shuffled with
+what belongs to them; filters of fixed size tell tasks which may be (``filters``).
+
 Earlier means smaller doc_id (null first), then hash of the text, then place. Rows that agree in
-doc_id and text are one document. Null or empty texts have no paragraphs. Whole paragraphs are told
+doc_id and text are one document. Null or empty texts have no paragraphs. Texts of any length are cut
+whole. Extra columns are not read. An empty table gives an empty one. Whole paragraphs are told
 apart by 64-bit hashes, and so are runs.
 """
 
