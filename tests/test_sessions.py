@@ -1,8 +1,6 @@
 import datetime as dt
 import random
 
-import pytest
-from pyspark.sql import functions as F
 
 from tidewheel.operators import sessions, windows
 
