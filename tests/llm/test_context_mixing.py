@@ -112,3 +112,37 @@ def test_steps_are_the_same_for_all_batches():
 
     assert told(7) == told(2000)
     assert [learner for learner, _ in told(100)] == [0, 1, 2]
+
+
+def test_a_word_is_predicted_from_the_one_before_it(spark):
+    """Two words with equal counts everywhere, whose order alone tells texts apart."""
+    rng = random.Random(5)
+    pairs = [("red", "fox"), ("old", "hat")]
+    rows = [(n, " ".join(w for _ in range(20) for w in rng.choice(pairs))) for n in range(400)]
+    held = [n for n in range(1000, 1400) if binascii.crc32(str(n).encode()) % 10 == 0][:2]
+    rows += [(held[0], "red fox old hat " * 10), (held[1], "red hat old fox " * 10)]
+    found = {r.doc_id: r for r in scored(spark, rows)}
+    usual, odd = found[held[0]], found[held[1]]
+    assert usual.base_score == pytest.approx(odd.base_score)
+    assert usual.score > odd.score + 5
+
+
+def test_joints_and_words_code_each_byte_of_a_text_after_the_bytes_before_it():
+    words = [b"of", b"thered", b"a", b"the", b"x" * 30, b"ab", b"thered"]
+    ids = np.array([0, 1, 2, 3, 4, 5, 1], "<i4")
+    distinct = [b"of", b"thered", b"a", b"the", b"x" * 30, b"ab"]
+    running = cm.Running(distinct, cm._packed(ids.tobytes()), [len(ids)])
+    joints = running.joints(running.keys)
+    assert joints == [cm.joint(before, word) for before, word in zip([b"", *words], [*words, cm.END_TOKEN], strict=True)]
+    coded = [bytes(cm.spell([one]).codes) for pair in zip(joints, [*words, cm.END_TOKEN], strict=True) for one in pair]
+    assert b"".join(coded) == b" ".join(words) + b" " + cm.END_TOKEN
+    # The contexts of 1 to ORDERS bytes are those of the running text, from the start of the word before on.
+    for before, word, pair in zip([b"", *words], [*words, cm.END_TOKEN], joints, strict=True):
+        text, at = before + b" " + word + b" ", len(before) + 1
+        for spelling in (cm.spell([pair]), cm.spell([word])):
+            for place in range(len(spelling.codes)):
+                for k in range(1, cm.ORDERS + 1):
+                    seen = int.from_bytes(text[max(at - k, 0) : at], "big")
+                    own = (seen + (k << 56)) * int(cm.MULTIPLIERS[1]) % 2**64
+                    assert int(spelling.contexts[k - 1][place]) == own
+                at += 1

@@ -1,21 +1,27 @@
 """Texts scored by logistic mixing of hashed-context bit predictors.
 
 A text is its words in lower case (A-Z) and one end mark. A word is coded byte by byte and bit by
-bit, closed by a space; the end mark is one byte of its own. Each of several predictors looks up
-the counts of the next bit after its context (the last 1, 2, 3 or 4 bytes of the word, or the
-whole word so far), hashed to a slot of a table of fixed size. A mixer adds the log odds of the
-predictors, weighted by a set that a gate picks (bit position, and how far into the word), and
-learns online: after every STEP_WORDS words the weights move along the coding error. Words are dealt
+bit, closed by a space; the end mark is one byte of its own. The bits of a byte are the steps down a
+fixed tree, in which the bytes of common letters lie higher. Each of several predictors looks up the
+counts of the next bit after its context, hashed to a slot of a table of fixed size. Contexts are the last
+1, 2, 3 or 4 bytes of the running text, back to the start of the word before; the last 6; and the whole
+word so far. The text starts as if after a space. A mixer adds the log odds of the predictors, weighted by a set that a gate picks
+(step down the tree, and how far into the word), and learns online: after every STEP_WORDS stretches of
+text the weights move along the coding error. Stretches are dealt
 by hash to a fixed number of learners, each reads its own in the order of bytes, and their weights are
 averaged, so neither the files nor the cluster change a score. An adaptive map then refines each probability from what came true at that gate and level. Last, while a text
 is read, an online gate mixes this spelling model, the plain word frequencies, and the word
 frequencies of each language, and follows those that coded the last tokens better. The language
 of a text to be scored is not looked at; only the counts of training texts are kept by language.
 
-Counts are taken over all training words. Contexts end at the word, so it is enough to count,
-learn and spell every distinct word once, with its frequency; the texts themselves are read once,
-and cut into blocks that carry their own dictionary. What is gathered is the vocabulary, which
-grows with the corpus; the tables of slots and weights have a fixed size and are broadcast.
+The first three bytes of a word, its head, are coded after the last three of the word before it; together
+they are a joint. Behind the head, a context of 4 bytes begins at the space before the word at the earliest, so what
+is left depends on the word alone (there the context of 6 bytes is cut at that space). So
+counts over the joints and the words of all training texts are those of reading the texts byte by byte, and it is
+enough to count, learn and spell every distinct joint and word once, with its frequency. The texts
+are cut into blocks that carry their own dictionary, and each is scored in its order, joint by joint. What is
+gathered is the vocabulary and the joints, which
+grow with the corpus; the tables of slots and weights have a fixed size and are broadcast.
 
 Null or empty texts hold the end mark only. Texts of any length are scored whole, and extra columns
 are not read. An empty table gives an empty one. Rows that agree in everything are scored each. A null
@@ -29,6 +35,7 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 from itertools import groupby, islice
 
 import numpy as np
@@ -44,8 +51,9 @@ from tidewheel.session import discard, written
 
 # Parameters of the model.
 SLOT_BITS = 20  # slots of each predictor's table, as a power of two
-ORDERS = 4  # contexts of the last 1 to ORDERS bytes; one more is the whole word so far
-GATES = 8 * 4  # bit position, and whether 0, 1, 2 or more bytes of the word are known
+ORDERS = 4  # contexts of the last 1 to ORDERS bytes of the text; one more is the whole word so far
+FAR = 6  # bytes of the longest context, cut at the start of the word once a head is past
+GATES = 8 * 4  # steps down the tree of bytes, and whether 0, 1, 2 or more bytes of the word are known
 LEVELS = 33  # levels of the refining map, over log odds from -8 to 8
 ROUNDS = 1  # times that the mixer reads the vocabulary
 LEARNERS = 64  # parts of the vocabulary that are learned apart
@@ -60,13 +68,37 @@ SMOOTH = 0.1  # added to the count of every word
 BLOCK_WORDS = 250_000
 BLOCK_TOKENS = 3_000_000
 
-PREDICTORS = ORDERS + 1
+HEAD = ORDERS - 1  # bytes of a word from which a context of ORDERS reaches the word before
+PREDICTORS = ORDERS + 2
 SPACE, END = 0x20, 0x0A
 END_TOKEN = bytes([END])
 # Odd multipliers of the hashes: fixed values.
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
-NODES = np.arange(256, dtype=np.uint64) * MULTIPLIERS[2]
+NODES = np.arange(1, 257, dtype=np.uint64) * MULTIPLIERS[2]
+# How frequent bytes are in texts, about, per thousand; only how deep a byte lies in the tree depends on it.
+FREQUENT = dict(zip(b" etaoinsrhdlucmfwgpybv,.k", (180, 102, 75, 65, 62, 57, 57, 53, 50, 50, 33, 33, 23, 22, 20, 18, 17, 16, 15, 14, 12, 8, 8, 8, 6), strict=True))
+
+
+def _tree() -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """A prefix code of all bytes: for each depth, the node that each byte passes and its bit there; the depths."""
+    heap = [(FREQUENT.get(byte, 0.05), byte, (byte,)) for byte in range(256)]
+    heapify(heap)
+    paths: list[list[tuple[int, int]]] = [[] for _ in range(256)]
+    for node in range(255):
+        joined = [heappop(heap), heappop(heap)]
+        for bit, (_, _, members) in enumerate(joined):
+            for byte in members:
+                paths[byte].insert(0, (node, bit))
+        heappush(heap, (joined[0][0] + joined[1][0], 256 + node, joined[0][2] + joined[1][2]))
+    depths = np.array([len(path) for path in paths])
+    full = [path + [(0, 0)] * (depths.max() - len(path)) for path in paths]
+    steps = np.array(full).transpose(2, 1, 0)
+    return list(steps[0]), list(steps[1]), depths
+
+
+PATHS, BITS, DEPTHS = _tree()
+DEPTH, SHORTEST = int(DEPTHS.max()), int(DEPTHS.min())
 
 BLOCK = """block long, words array<binary>, counts array<array<long>>, ids binary, lengths array<int>,
     doc_ids array<long>, held_out array<boolean>"""
@@ -124,46 +156,107 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Spelling:
-    """Words as one run of bytes, with what the contexts of each byte are."""
+    """Bytes to be coded, the stretch of text each belongs to, and what its contexts are."""
 
     codes: np.ndarray
-    word: np.ndarray
+    stretch: np.ndarray
     gate: np.ndarray
     contexts: list[np.ndarray]
 
 
-def spell(words: list[bytes]) -> Spelling:
-    coded = [word if word == END_TOKEN else word + b" " for word in words]
-    codes = np.frombuffer(b"".join(coded), dtype=np.uint8)
-    lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+def head(word: bytes) -> bytes:
+    """The bytes of a word whose contexts reach into the word before it."""
+    return word if word == END_TOKEN else (word + b" ")[:HEAD]
+
+
+def joint(before: bytes, word: bytes) -> bytes:
+    """The border of two words in a text; nothing stands before the first one."""
+    return before[-HEAD:] + b" " + head(word)
+
+
+def spell(stretches: list[bytes]) -> Spelling:
+    """Joints, whose heads are coded, and words, whose bytes after the head are.
+
+    Together they code a text: no context of ORDERS bytes reaches from behind the head into the word before.
+    """
+    is_joint = np.fromiter((b" " in one for one in stretches), bool, len(stretches))
+    spaced = [one if b" " in one else b" " + one + (b"" if one == END_TOKEN else b" ") for one in stretches]
+    codes = np.frombuffer(b"".join(spaced), dtype=np.uint8)
+    lengths = np.fromiter(map(len, spaced), np.int64, len(spaced))
+    border = np.fromiter((one.index(b" ") + 1 for one in spaced), np.int64, len(spaced))
     starts = np.cumsum(lengths) - lengths
-    word = np.repeat(np.arange(len(coded)), lengths)
-    place = np.arange(len(codes)) - starts[word]
-    a, b, c = MULTIPLIERS
-    contexts = []
-    so_far = np.zeros(len(codes), np.uint64)
-    for k in range(1, ORDERS + 1):
-        before = np.zeros(len(codes), np.uint64)
-        before[k:] = codes[:-k]
-        so_far = so_far * a + np.where(place >= k, before + np.uint64(1), np.uint64(0))
-        contexts.append((so_far + np.uint64(k)) * b)
-    # The bytes of the word so far, as a sum that does not depend on the words before.
-    powers = np.cumprod(np.full(int(lengths.max(initial=0)), c, np.uint64))
-    running = np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers[place])
-    before = np.concatenate([np.zeros(1, np.uint64), running])
-    contexts.append((before[:-1] - before[starts[word]] + np.uint64(ORDERS + 1)) * b)
-    return Spelling(codes, word, np.minimum(place, 3), contexts)
-
-
-def bits(spelling: Spelling) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For each bit position: the bit, the gate, and the slot in each predictor's table."""
-    codes, shift = spelling.codes, np.uint64(64 - SLOT_BITS)
-    for t in range(8):
-        # The bits of the byte that are known already, with a one in front.
-        node = NODES[(codes >> (8 - t)).astype(np.int64) | (1 << t)] if t else NODES[1]
-        bit = (codes >> np.uint8(7 - t)) & np.uint8(1)
-        slots = [(((context ^ node) * MULTIPLIERS[0]) >> shift).astype(np.int64) for context in spelling.contexts]
-        yield bit, spelling.gate + t * 4, slots
+    stretch = np.repeat(np.arange(len(spaced)), lengths)
+    at = np.arange(len(codes)) - starts[stretch]
+    place = at - border[stretch]
+    coded = place >= np.where(is_joint, 0, HEAD)[stretch]
+    # The bytes before each one, the nearest in the lowest bits.
+    wide = codes.astype(np.uint64)
+    history = np.zeros(len(codes), np.uint64)
+    for k in range(1, FAR + 1):
+        history[k:] |= np.where(at[k:] >= k, wide[:-k] << np.uint64(8 * (k - 1)), np.uint64(0))
+    # The bytes of the word so far, as a sum that does not depend on what stands before.
+    powers = np.cumprod(np.full(int(lengths.max(initial=1)), MULTIPLIERS[2], np.uint64))
+    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum((wide + np.uint64(1)) * powers[np.maximum(place, 0)])])
+    so_far = (before[:-1] - before[(starts + border)[stretch]])[coded]
+    history, place = history[coded], place[coded]
+    multiplier = MULTIPLIERS[1]
+    contexts = [
+        ((history & np.uint64((1 << 8 * k) - 1)) + np.uint64(k << 56)) * multiplier for k in (*range(1, ORDERS + 1), FAR)
+    ]
+    contexts.append((so_far + np.uint64(PREDICTORS)) * multiplier)
+    return Spelling(codes[coded], stretch[coded], np.minimum(place, 3), contexts)
+
+
+def bits(spelling: Spelling) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """For each step down the tree of bytes: stretch, bit, gate, and the slot in each predictor's table."""
+    codes, stretch, gate, contexts = spelling.codes, spelling.stretch, spelling.gate, spelling.contexts
+    shift = np.uint64(64 - SLOT_BITS)
+    for t in range(DEPTH):
+        if t >= SHORTEST:
+            below = DEPTHS[codes] > t
+            codes, stretch, gate = codes[below], stretch[below], gate[below]
+            contexts = [context[below] for context in contexts]
+        if not len(codes):
+            return
+        node = NODES[PATHS[t][codes]]
+        slots = [(((context ^ node) * MULTIPLIERS[0]) >> shift).view(np.int64) for context in contexts]
+        yield stretch, BITS[t][codes], gate + min(t, 7) * 4, slots
+
+
+class Running:
+    """The texts of a block, as the joints that their words form in their order."""
+
+    def __init__(self, words: list[bytes], ids: bytes, lengths: list[int]):
+        sizes = np.asarray(lengths, np.int64) + 1
+        ends = np.cumsum(sizes) - 1
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        # The end mark has the number after the last word.
+        self.words = np.full(int(sizes.sum()), len(words), np.int32)
+        inside = np.ones(len(self.words), bool)
+        inside[ends] = False
+        self.words[inside] = _unpacked(ids, 4 * int((sizes - 1).sum()), "<i4")
+        heads, tails = {}, {b"": 0}
+        head_of = np.array([heads.setdefault(head(word), len(heads)) for word in [*words, END_TOKEN]])
+        tail_of = np.array([tails.setdefault(word[-HEAD:], len(tails)) for word in words] + [0])
+        before = np.roll(self.words, 1)
+        before[ends - sizes + 1] = len(words)
+        self.heads, self.tails = list(heads), list(tails)
+        self.keys = tail_of[before] * len(heads) + head_of[self.words]
+
+    def joints(self, keys: np.ndarray) -> list[bytes]:
+        tails, heads = np.divmod(keys, len(self.heads))
+        return [self.tails[t] + b" " + self.heads[h] for t, h in zip(tails.tolist(), heads.tolist(), strict=True)]
+
+
+def _count_joints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each joint is in the training texts of a block."""
+    for batch in batches:
+        for number in range(batch.num_rows):
+            row = batch.slice(number, 1).to_pylist()[0]
+            running = Running(row["words"], row["ids"], row["lengths"])
+            learned = ~np.asarray(row["held_out"], bool)[running.text]
+            keys, n = np.unique(running.keys[learned], return_counts=True)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(running.joints(keys), pa.binary()), "n": pa.array(n, pa.int64())})
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], size: int = 50_000) -> Iterator[tuple[list[bytes], np.ndarray]]:
@@ -183,9 +276,8 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = False
     for words, c in batches_of(batches):
         seen = True
-        spelling = spell(words)
-        weights = c[spelling.word]
-        for bit, _, slots in bits(spelling):
+        for stretch, bit, _, slots in bits(spell(words)):
+            weights = c[stretch]
             for k, slot in enumerate(slots):
                 np.add.at(counts[k], slot * 2 + bit, weights)
     if seen:
@@ -241,10 +333,10 @@ class Mixer:
 
     def learn(self, words: list[bytes], c: np.ndarray) -> None:
         """One online step for each bit position of a block of words."""
-        spelling = spell(words)
         # Frequent words count more, but not so much that one of them makes the step alone.
-        mass = np.sqrt(c).astype(np.float32)[spelling.word]
-        for bit, gate, slots in bits(spelling):
+        root = np.sqrt(c).astype(np.float32)
+        for stretch, bit, gate, slots in bits(spell(words)):
+            mass = root[stretch]
             inputs = self.inputs(slots)
             error = (bit - squash(self.mixed(gate, inputs))) * mass
             total = np.bincount(gate, mass, GATES)
@@ -254,19 +346,28 @@ class Mixer:
 
     def outcomes(self, words: list[bytes], c: np.ndarray) -> np.ndarray:
         """How often each bit came at each gate and level of log odds."""
-        spelling = spell(words)
-        mass = c[spelling.word]
         out = np.zeros(GATES * LEVELS * 2)
-        for bit, gate, slots in bits(spelling):
+        for stretch, bit, gate, slots in bits(spell(words)):
+            mass = c[stretch]
             level = np.rint((self.mixed(gate, self.inputs(slots)) + 8) * 2).astype(np.int64)
             out += np.bincount((gate * LEVELS + level) * 2 + bit, mass, len(out))
         return out
 
     def score(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of each word."""
-        spelling = spell(words)
-        out = np.zeros(len(words))
-        for bit, gate, slots in bits(spelling):
+        """log10 probability of each word at the start of a text."""
+        return self.spelled(words) + self.begun(words)
+
+    def begun(self, words: list[bytes]) -> np.ndarray:
+        """The part of that which is the head's."""
+        joints = [joint(b"", word) for word in words]
+        distinct = list(dict.fromkeys(joints))
+        found = dict(zip(distinct, self.spelled(distinct).tolist(), strict=True))
+        return np.fromiter(map(found.__getitem__, joints), np.float64, len(words))
+
+    def spelled(self, stretches: list[bytes]) -> np.ndarray:
+        """log10 probability of what each stretch codes."""
+        out = np.zeros(len(stretches))
+        for stretch, bit, gate, slots in bits(spell(stretches)):
             odds = self.mixed(gate, self.inputs(slots))
             at = (odds + 8) * 2
             low = np.minimum(at.astype(np.int64), LEVELS - 2)
@@ -275,9 +376,16 @@ class Mixer:
             refined = self.refined[base] * (1 - part) + self.refined[base + 1] * part
             # The map and the mixer have a say each.
             odds = (refined + odds) / 2
-            out -= np.bincount(spelling.word, np.logaddexp(0, np.where(bit == 1, -odds, odds)), len(words))
+            out -= np.bincount(stretch, np.logaddexp(0, np.where(bit == 1, -odds, odds)), len(stretches))
         return out / math.log(10)
 
+    def read(self, running: Running) -> np.ndarray:
+        """log10 probability of the head of each word of the texts after the word before it."""
+        keys, place = np.unique(running.keys, return_inverse=True)
+        some = range(0, len(keys), 50_000)
+        parts = [self.spelled(running.joints(keys[start : start + 50_000])) for start in some]
+        return np.concatenate([np.empty(0), *parts])[place]
+
 
 def _start_weights() -> np.ndarray:
     return np.full((GATES, PREDICTORS), 1 / PREDICTORS)
@@ -287,9 +395,9 @@ def _plain_map() -> np.ndarray:
     return np.tile(np.linspace(-8, 8, LEVELS), GATES)
 
 
-def _tables(vocabulary: DataFrame) -> np.ndarray:
+def _tables(stretches: DataFrame) -> np.ndarray:
     """Log odds of every slot: PREDICTORS << SLOT_BITS bytes, whatever the size of the corpus."""
-    parts = vocabulary.filter("c > 0").mapInArrow(_count_slots, "chunk int, counts binary")
+    parts = stretches.filter("c > 0").mapInArrow(_count_slots, "chunk int, counts binary")
     chunks = parts.groupBy("chunk").applyInArrow(_add_chunks, "chunk int, odds binary").collect()
     odds = np.zeros((PREDICTORS << SLOT_BITS) * 2 // CHUNK * (CHUNK // 2), np.int8).reshape(-1, CHUNK // 2)
     for row in chunks:
@@ -312,9 +420,9 @@ def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tu
         yield learner, steps(own)
 
 
-def _learn(vocabulary: DataFrame, tables: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+def _learn(stretches: DataFrame, tables: Broadcast) -> tuple[np.ndarray, np.ndarray]:
     """Weights and refining map. Each learner learns online; after a round the weights are averaged."""
-    learned = vocabulary.filter("c > 0")
+    learned = stretches.filter("c > 0")
     weights = _start_weights()
     for _ in range(ROUNDS):
 
@@ -394,21 +502,26 @@ def score(docs: DataFrame) -> DataFrame:
     total, distinct, *sizes = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *sums).first()
 
     context = spark.sparkContext
-    tables = context.broadcast(_tables(vocabulary))
-    weights, refined = _learn(vocabulary, tables)
+    # One task per core, whose counts are put together before they are dealt.
+    few = blocks.select("words", "ids", "lengths", "held_out").coalesce(context.defaultParallelism)
+    joints = few.mapInArrow(_count_joints, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    stretches = written(vocabulary.select("word", "c").unionByName(joints), "stretches", compression="zstd")
+    tables = context.broadcast(_tables(stretches))
+    weights, refined = _learn(stretches, tables)
+    discard(stretches)
 
     smoothing = SMOOTH * (distinct + 1)
     # The end mark has the same share in every language.
     end_share = trained / max(total, 1)
     sizes = np.array(sizes, np.float64)[:, None] / max(1 - end_share, 1e-9)
 
-    def models_of(part: pa.RecordBatch, spelled: np.ndarray) -> pa.Array:
-        """log10 probability of each word under the spelling model and in each language, as halves."""
+    def models_of(part: pa.RecordBatch, spelled: np.ndarray, behind: np.ndarray) -> pa.Array:
+        """log10 probability of each word, as halves: behind its head when spelled, and in each language."""
         plain = (part.column("c").to_numpy() + SMOOTH) / (total + smoothing)
         each = part.column("each").flatten().to_numpy().astype(np.float64).reshape(-1, LANGUAGES).T.copy()
         each[:, pc.equal(part.column("word"), END_TOKEN).to_numpy(zero_copy_only=False)] = end_share * sizes
         likely = (plain + 10.0**spelled) / 2
-        models = np.vstack([spelled, np.log10((each + smoothing * likely) / (sizes + smoothing))])
+        models = np.vstack([behind, np.log10((each + smoothing * likely) / (sizes + smoothing))])
         halves = pa.py_buffer(np.ascontiguousarray(models.T.astype(np.float16)).tobytes())
         return pa.Array.from_buffers(pa.binary(2 * (LANGUAGES + 1)), len(spelled), [None, halves]).cast(pa.binary())
 
@@ -417,9 +530,10 @@ def score(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 50_000):
                 part = batch.slice(start, 50_000)
-                scores = mixer.score(part.column("word").to_pylist())
+                words = part.column("word").to_pylist()
+                behind = mixer.spelled(words)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("word"), part.column("c"), models_of(part, scores)],
+                    [part.column("word"), part.column("c"), models_of(part, mixer.begun(words) + behind, behind)],
                     ["word", "c", "models"],
                 )
 
@@ -430,16 +544,19 @@ def score(docs: DataFrame) -> DataFrame:
     looked_up = (
         blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
         .join(scored, "word")
-        .select("of", "place", "c", "models", (F.octet_length("word") + 1).alias("size"))
+        .select("of", "place", "c", "models")
     )
 
     def texts(block: pa.Table, found: pa.Table) -> pa.Table:
         row = block.slice(0, 1).to_pylist()[0]
         place = found.column("place").to_numpy()
         at_end = len(place)
-        c, size = np.empty(at_end + 1), np.empty(at_end + 1)
+        words = pa.decompress(row["words"], row["bytes"], codec="zstd", asbytes=True).split()
+        running = Running(words, row["ids"], row["lengths"])
+        heads = Mixer(tables.value, weights, refined).read(running).astype(np.float32)
+        size = np.array([len(word) + 1 for word in words] + [1])
+        c = np.empty(at_end + 1)
         c[place], c[at_end] = found.column("c").to_numpy(), trained
-        size[place], size[at_end] = found.column("size").to_numpy(), 1
         fixed = found.column("models").cast(pa.binary(2 * (LANGUAGES + 1))).combine_chunks()
         halves = np.frombuffer(fixed.buffers()[1], np.float16)[: at_end * (LANGUAGES + 1)] if at_end else np.empty(0)
         models = np.empty((LANGUAGES + 2, at_end + 1), np.float32)
@@ -447,12 +564,14 @@ def score(docs: DataFrame) -> DataFrame:
         models[1:, place] = halves.reshape(-1, LANGUAGES + 1).T
         models[1:, at_end] = np.frombuffer(end_models, np.float16)
         plain = np.log10((c + SMOOTH) / (total + smoothing))
-        ids, at = _unpacked(row["ids"], 4 * sum(row["lengths"]), "<i4"), 0
+        at = 0
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score", "bits_per_byte")}
         for length in row["lengths"]:
-            tokens = np.append(ids[at : at + length], at_end)
-            at += length
-            both = gated(models[:, tokens])
+            here = slice(at, at + length + 1)
+            tokens, at = running.words[here], here.stop
+            told = models[:, tokens]
+            told[1] += heads[here]
+            both = gated(told)
             out["n_tokens"].append(length + 1)
             out["n_known"].append(int((c[tokens] > 0).sum()))
             out["base_score"].append(float(plain[tokens].sum()))
@@ -461,7 +580,15 @@ def score(docs: DataFrame) -> DataFrame:
         out = {"doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held_out"], pa.bool_())} | out
         return pa.table(out)
 
-    texts_only = blocks.select("block", "ids", "lengths", "doc_ids", "held_out")
+    def packed(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                raw = b" ".join(batch.column("words")[row].as_py())
+                columns = {name: batch.column(name).slice(row, 1) for name in ("block", "ids", "lengths", "doc_ids", "held_out")}
+                yield pa.RecordBatch.from_pydict(columns | {"words": pa.array([_packed(raw)], pa.binary()), "bytes": pa.array([len(raw)], pa.int64())})
+
+    kept = "block long, ids binary, lengths array<int>, doc_ids array<long>, held_out array<boolean>, words binary, bytes long"
+    texts_only = blocks.select("block", "words", "ids", "lengths", "doc_ids", "held_out").mapInArrow(packed, kept)
     per_block = texts_only.groupBy("block").cogroup(looked_up.groupBy("of"))
     return per_block.applyInArrow(texts, RESULT).withColumn("train_tokens", F.lit(total).cast("long"))
 
