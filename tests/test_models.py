@@ -174,3 +174,21 @@ def test_model_lists_agree_with_the_library(parts, model):
     both = ours.join(theirs, ["user_id", "rank"])
     assert both.count() == ours.count() == theirs.count() > 0
     assert both.filter("abs(score - rating) > 1e-4").count() == 0
+
+
+def test_a_cell_takes_arrow_tables_and_keeps_ties_over_many_tiles():
+    """Scores that repeat over all tiles, so that lists that are full are reached again and again."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    vectors, who = rng.integers(-2, 3, (700, 3)).astype(float), rng.integers(-2, 3, (40, 3)).astype(float)
+    ids = rng.permutation(700)
+    items = pa.table({"item_id": pa.array(ids), "features": pa.array(vectors.tolist(), pa.list_(pa.float32()))})
+    users = pa.table({"user_id": pa.array(range(40)), "features": pa.array(who.tolist(), pa.list_(pa.float32())), "path": ["p"] * 40})
+    got = scoring._cell_scorer(5, ["path"], ["user_id", "path", "rank", "item_id", "score"], 16, 32)(users, items)
+    assert isinstance(got, pa.Table)
+    expected = []
+    for user, vector in enumerate(who):
+        best = sorted(zip(-(vectors @ vector), ids.tolist(), strict=True))[:5]
+        expected += [(user, "p", n + 1, item, -score) for n, (score, item) in enumerate(best)]
+    assert [tuple(row.values()) for row in got.to_pylist()] == expected

@@ -6,7 +6,8 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def _cell_scorer(k: int, carried: list[str], names: list[str], user_tile: int, i
 
     Items are taken by falling length. An inner product is at most the product of both
     lengths, so a user is done once that bound falls below the k-th best score; the slack
-    covers rounding. The function refers to nothing of this package, so executors need not
+    covers rounding. Once a list is full, only the scores that reach it are sorted. The function refers to nothing of this package, so executors need not
     have it installed.
     """
     slack = 1 + 1e-9
@@ -39,6 +40,18 @@ def _cell_scorer(k: int, carried: list[str], names: list[str], user_tile: int, i
         rows, cols = rows[chosen].reshape(-1, last), cols[chosen].reshape(-1, last)
         return scores[rows, cols], ids[rows, cols]
 
+    def merged_few(top: np.ndarray, top_ids: np.ndarray, scores: np.ndarray, ids: np.ndarray):
+        """Full lists with those scores that reach them."""
+        rows, cols = np.nonzero(scores >= top[:, -1:])
+        n, width = top.shape
+        all_rows = np.concatenate([np.repeat(np.arange(n), width), rows])
+        all_scores = np.concatenate([top.ravel(), scores[rows, cols]])
+        all_ids = np.concatenate([top_ids.ravel(), ids[cols]])
+        order = np.lexsort((all_ids, -all_scores, all_rows))
+        all_rows = all_rows[order]
+        chosen = order[np.arange(len(order)) - np.searchsorted(all_rows, all_rows) < width]
+        return all_scores[chosen].reshape(n, width), all_ids[chosen].reshape(n, width)
+
     def score_tile(users: np.ndarray, items: np.ndarray, lengths: np.ndarray, ids: np.ndarray):
         reach = np.linalg.norm(users, axis=1) * slack
         top, top_ids = np.empty((len(users), 0)), np.empty((len(users), 0), dtype=np.int64)
@@ -51,36 +64,46 @@ def _cell_scorer(k: int, carried: list[str], names: list[str], user_tile: int, i
                     break
             part = slice(start, start + item_tile)
             scores = users[open_rows] @ items[part].T
-            ids_here = np.broadcast_to(ids[part], scores.shape)
-            merged = best(
-                np.hstack([top[open_rows], scores]), np.hstack([top_ids[open_rows], ids_here])
-            )
-            if merged[0].shape[1] == top.shape[1]:
-                top[open_rows], top_ids[open_rows] = merged
+            if top.shape[1] == k:
+                top[open_rows], top_ids[open_rows] = merged_few(top[open_rows], top_ids[open_rows], scores, ids[part])
             else:
-                top, top_ids = merged
+                ids_here = np.broadcast_to(ids[part], scores.shape)
+                top, top_ids = best(np.hstack([top, scores]), np.hstack([top_ids, ids_here]))
         return top, top_ids
 
-    def score(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        if users.empty or items.empty:
-            return pd.DataFrame(columns=names)
-        ids = items["item_id"].to_numpy(dtype=np.int64)
-        vectors = np.array(items["features"].tolist(), dtype=np.float64)
+    def vectors_of(table: pa.Table) -> np.ndarray:
+        lists = table.column("features").combine_chunks()
+        sizes = set(pc.list_value_length(lists).to_pylist())
+        if len(sizes) > 1 or None in sizes:
+            raise ValueError(f"vectors of different lengths: {sizes}")
+        flat = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
+        return flat.astype(np.float64).reshape(len(lists), -1)
+
+    def score(users, items):
+        """Arrow tables in and out; pandas frames are taken as well, and give one."""
+        if not isinstance(users, pa.Table):
+            users, items = (pa.Table.from_pandas(side, preserve_index=False) for side in (users, items))
+            return score(users, items).to_pandas()
+        if not users.num_rows or not items.num_rows:
+            types = {"rank": pa.int32(), "item_id": pa.int64(), "score": pa.float64()}
+            of = {name: types[name] if name in types else users.schema.field(name).type for name in names}
+            return pa.schema(of.items()).empty_table()
+        ids = items.column("item_id").to_numpy().astype(np.int64)
+        vectors = vectors_of(items)
         lengths = np.linalg.norm(vectors, axis=1)
         falling = np.argsort(-lengths)
         ids, vectors, lengths = ids[falling], vectors[falling], lengths[falling]
-        user_vectors = np.array(users["features"].tolist(), dtype=np.float64)
+        user_vectors = vectors_of(users)
+        users = users.select(["user_id", *carried])
         parts = []
         for start in range(0, len(user_vectors), user_tile):
             top, top_ids = score_tile(user_vectors[start : start + user_tile], vectors, lengths, ids)
             n, width = top.shape
-            who = users.iloc[np.repeat(np.arange(start, start + n), width)][["user_id", *carried]]
-            parts.append(
-                who.reset_index(drop=True).assign(
-                    rank=np.tile(np.arange(1, width + 1), n), item_id=top_ids.ravel(), score=top.ravel()
-                )
-            )
-        return pd.concat(parts, ignore_index=True)[names]
+            who = users.take(pa.array(np.repeat(np.arange(start, start + n), width)))
+            ranks = np.tile(np.arange(1, width + 1, dtype=np.int32), n)
+            found = {"rank": pa.array(ranks), "item_id": pa.array(top_ids.ravel()), "score": pa.array(top.ravel())}
+            parts.append(pa.table([*who.columns, *found.values()], names=[*who.column_names, *found]))
+        return pa.concat_tables(parts).select(names)
 
     return score
 
@@ -144,7 +167,7 @@ def top_k_by_factors(
         ]
     )
     score = _cell_scorer(k, list(carry), out.names, USER_TILE, ITEM_TILE)
-    best = users.groupBy(*cell).cogroup(items.groupBy(*cell)).applyInPandas(score, out)
+    best = users.groupBy(*cell).cogroup(items.groupBy(*cell)).applyInArrow(score, out)
     if item_cells == 1:
         return best
     order = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id"))
