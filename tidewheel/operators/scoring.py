@@ -68,7 +68,9 @@ def _cell_scorer(k: int, carried: list[str], names: list[str], user_tile: int, i
                 top[open_rows], top_ids[open_rows] = merged_few(top[open_rows], top_ids[open_rows], scores, ids[part])
             else:
                 ids_here = np.broadcast_to(ids[part], scores.shape)
-                top, top_ids = best(np.hstack([top, scores]), np.hstack([top_ids, ids_here]))
+                if top.shape[1]:
+                    scores, ids_here = np.hstack([top, scores]), np.hstack([top_ids, ids_here])
+                top, top_ids = best(scores, ids_here)
         return top, top_ids
 
     def vectors_of(table: pa.Table) -> np.ndarray:
