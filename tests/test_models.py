@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import features_to_vector
 from tidewheel.operators import cleaning, models, scoring
+from tidewheel.plans import queries
 from tidewheel.plans.views import Views
 from tidewheel.session import written
 
@@ -192,3 +193,24 @@ def test_a_cell_takes_arrow_tables_and_keeps_ties_over_many_tiles():
         best = sorted(zip(-(vectors @ vector), ids.tolist(), strict=True))[:5]
         expected += [(user, "p", n + 1, item, -score) for n, (score, item) in enumerate(best)]
     assert [tuple(row.values()) for row in got.to_pylist()] == expected
+
+
+@pytest.mark.parametrize("name", ["fit_als", "training_summary"])
+def test_the_test_part_is_drawn_once(spark, monkeypatch, name):
+    """All passes over the test part read a stored table, and nothing draws it anew."""
+    given, predict, fit = [], models.predict, models.fit_als
+
+    def recorded(pairs, *factors):
+        given.append(pairs)
+        return predict(pairs, *factors)
+
+    monkeypatch.setattr(models, "predict", recorded)
+    monkeypatch.setattr(models, "fit_als", lambda train: fit(train, SMALL))
+    queries.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    (pairs,) = given
+    assert pairs._stored_at and "md5" not in pairs._jdf.queryExecution().toString()
+
+
+def test_short_fits_do_not_compute_the_first_iteration_again(spark):
+    assert models.als_estimator(spark).getCheckpointInterval() == -1
+    assert models.als_estimator(spark, models.AlsParams(iterations=40)).getCheckpointInterval() == 10

@@ -19,6 +19,9 @@ from tidewheel.operators.indexing import ratings_with_segment
 from tidewheel.operators.skew import heavy_keys, salted_join
 from tidewheel.session import checkpoint_root
 
+# Iterations up to which the factor model keeps its lineage: each adds two shuffles to it.
+LINEAGE = 20
+
 # Seed, number of segments, error above which models are tuned, and the grid.
 SEED = 42
 SEGMENTS = 5
@@ -63,6 +66,8 @@ def als_estimator(spark: SparkSession, params: AlsParams = AlsParams()) -> ALS:
         numUserBlocks=params.blocks,
         numItemBlocks=params.blocks,
         seed=params.seed,
+        # A cut at an interval begins with the first iteration, which it computes three times.
+        checkpointInterval=-1 if params.iterations <= LINEAGE else 10,
     )
 
 
@@ -72,7 +77,10 @@ def fit_als(train: DataFrame, params: AlsParams = AlsParams()) -> ALSModel:
 
 
 def predict(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
-    """Adds a prediction to pairs whose user and item both have factors; drops the others."""
+    """Adds a prediction to pairs whose user and item both have factors; drops the others.
+
+    Give ``pairs`` as a stored table, since it is read five times.
+    """
     users = user_factors.select(F.col("id").alias("user_idx"), F.col("features").alias("_user"))
     items = item_factors.select(F.col("id").alias("item_idx"), F.col("features").alias("_item"))
     with_user = salted_join(pairs, users, "user_idx", heavy_keys(pairs, "user_idx"))

@@ -60,7 +60,8 @@ def train(
     """Stores the factors of users and items; returns the one-row summary."""
     ratings = files.read_parquet(spark, store.path("ratings"), files.RATINGS_SCHEMA)
     training, test = cleaning.train_test_split(ratings)
-    best = models.tune_als_if_needed(training, test, params=params, **tuning)
+    with scratch(spark):
+        best = models.tune_als_if_needed(training, written(test, "test"), params=params, **tuning)
     models.export_factors(best.model, store.folder)
     return models.training_summary(best.model, best.rmse)
 

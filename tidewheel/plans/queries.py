@@ -595,7 +595,7 @@ def _fitted(v: Views):
 @_query
 def fit_als(v: Views) -> DataFrame:
     _, test, model = _fitted(v)
-    return models.predict(test, model.userFactors, model.itemFactors)
+    return models.predict(written(test, "test"), model.userFactors, model.itemFactors)
 
 
 @_query
@@ -606,7 +606,7 @@ def rmse(v: Views) -> DataFrame:
 @_query
 def training_summary(v: Views) -> DataFrame:
     _, test, model = _fitted(v)
-    return models.training_summary(model, models.model_rmse(model, test))
+    return models.training_summary(model, models.model_rmse(model, written(test, "test")))
 
 
 @_query
