@@ -146,3 +146,57 @@ def test_joints_and_words_code_each_byte_of_a_text_after_the_bytes_before_it():
                     own = (seen + (k << 56)) * int(cm.MULTIPLIERS[1]) % 2**64
                     assert int(spelling.contexts[k - 1][place]) == own
                 at += 1
+
+
+def plainly_spelled(mixer, text, start, coded_from):
+    """log10 probability of the bytes of a stretch from ``coded_from`` on, bit by bit in Python."""
+    wrap, total = 2**64, 0.0
+    m = [int(x) for x in cm.MULTIPLIERS]
+    weights = mixer.weights.astype(np.float32).astype(float)
+    for at in range(coded_from, len(text)):
+        hashes = []
+        for k in (*range(1, cm.ORDERS + 1), cm.FAR):
+            seen = int.from_bytes(text[max(at - k, 0) : at], "big")
+            hashes.append((seen + (k << 56)) * m[1] % wrap)
+        so_far = sum((byte + 1) * pow(m[2], place + 1, wrap) for place, byte in enumerate(text[start:at]))
+        hashes.append((so_far + cm.PREDICTORS) * m[1] % wrap)
+        for t in range(cm.DEPTHS[text[at]]):
+            bit, gate = int(cm.BITS[t][text[at]]), min(at - start, 3) + min(t, 7) * 4
+            node = int(cm.NODES[cm.PATHS[t][text[at]]])
+            slots = [((h ^ node) * m[0] % wrap) >> (64 - cm.SLOT_BITS) for h in hashes]
+            odds = sum(weights[gate, k] * mixer.odds[k][slot] / 10 for k, slot in enumerate(slots))
+            odds = min(max(odds, -8), 8)
+            low = min(int((odds + 8) * 2), cm.LEVELS - 2)
+            part = (odds + 8) * 2 - low
+            refined = mixer.refined[gate * cm.LEVELS + low : gate * cm.LEVELS + low + 2]
+            odds = (refined[0] * (1 - part) + refined[1] * part + odds) / 2
+            total -= math.log10(1 + math.exp(-odds if bit else odds))
+    return total
+
+
+def test_stretches_are_spelled_from_arrow_in_pieces_as_bit_by_bit(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(cm, "FEW", 3)
+    rng = np.random.default_rng(8)
+    odds = rng.integers(-60, 60, (cm.PREDICTORS, 1 << cm.SLOT_BITS)).astype(np.int8)
+    mixer = cm.Mixer(odds, rng.uniform(0, 0.5, (cm.GATES, cm.PREDICTORS)), cm._plain_map() + rng.normal(0, 1, cm.GATES * cm.LEVELS))
+    words = [b"a", b"of", b"the", b"\xc3\xa9tude", b"x" * 40, cm.END_TOKEN, b"\x00\xff\x00zq", b"thered"]
+    joints = [cm.joint(before, word) for before in (b"", b"a", b"red") for word in words]
+    stretches = words + joints
+    expected = []
+    for one in stretches:
+        joined = b" " in one
+        text = one if joined else b" " + one + (b"" if one == cm.END_TOKEN else b" ")
+        start = text.index(b" ") + 1
+        expected.append(plainly_spelled(mixer, text, start, start if joined else start + cm.HEAD))
+    # A slice, as batches of a table are.
+    told = pa.array([b"before", *stretches, None], pa.binary()).slice(1, len(stretches))
+    assert mixer.spelled(told) == pytest.approx(expected, abs=1e-4)
+    assert mixer.spelled(stretches).tolist() == mixer.spelled(told).tolist()
+    begun = dict(zip(stretches, expected, strict=True))
+    assert mixer.begun(pa.array(words, pa.binary())) == pytest.approx([begun[cm.joint(b"", word)] for word in words], abs=1e-4)
+    batch = pa.RecordBatch.from_pydict({"word": told, "c": pa.array(range(len(stretches)), pa.int64())})
+    parts = list(cm.batches_of(iter([batch]), 5))
+    assert all(isinstance(part, pa.Array) for part, _ in parts)
+    assert sum((part.to_pylist() for part, _ in parts), []) == stretches

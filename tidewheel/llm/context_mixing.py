@@ -36,7 +36,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
-from itertools import groupby, islice
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.workers import importable
-from tidewheel.session import discard, written
+from tidewheel.session import discard, free_shuffles, written
 
 # Parameters of the model.
 SLOT_BITS = 20  # slots of each predictor's table, as a power of two
@@ -64,6 +64,8 @@ MEMORY = 64  # tokens that the gate between the models looks back
 FLOOR = 0.02  # share of the gate that is spread over all models
 SMOOTH = 0.1  # added to the count of every word
 
+FEW = 4_096  # stretches that are spelled at a time, so that their arrays stay in the cache
+
 # Bounds of a block, whichever is met first.
 BLOCK_WORDS = 250_000
 BLOCK_TOKENS = 3_000_000
@@ -98,9 +100,12 @@ def _tree() -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
 
 
 PATHS, BITS, DEPTHS = _tree()
-DEPTH, SHORTEST = int(DEPTHS.max()), int(DEPTHS.min())
+DEPTH = int(DEPTHS.max())
+PLACES = (DEPTH - DEPTHS).astype(np.uint8)  # order of bytes by falling depth
+BEFORE = np.array([(1 << 8 * k) - 1 for k in range(FAR + 1)], np.uint64)  # the lowest k bytes
 
-BLOCK = """block long, words array<binary>, counts array<array<long>>, ids binary, lengths array<int>,
+# Words are joined by spaces, which they never hold; counts are by word and language. Binary columns are compressed.
+BLOCK = """block long, words binary, bytes long, counts binary, ids binary, lengths array<int>,
     doc_ids array<long>, held_out array<boolean>"""
 
 
@@ -120,15 +125,16 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             learned = [ids for ids, held, own in told if own == language and not held]
             if learned:
                 counts[language] = np.bincount(np.concatenate(learned), minlength=len(numbers))
-        flat = pa.array(np.ascontiguousarray(counts.T).reshape(-1))
-        by_word = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, LANGUAGES, dtype=np.int32), flat)
-        ids = np.concatenate(texts).astype("<i4").tobytes()
+        words = b" ".join(numbers)
+        # Equal places of all numbers side by side take less room.
+        ids = np.ascontiguousarray(np.concatenate(texts).astype("<i4").view(np.uint8).reshape(-1, 4).T)
         return pa.RecordBatch.from_pydict(
             {
                 "block": pa.array([(task << 32) + made], pa.int64()),
-                "words": pa.array([list(numbers)], pa.list_(pa.binary())),
-                "counts": pa.ListArray.from_arrays(np.array([0, len(numbers)], dtype=np.int32), by_word),
-                "ids": pa.array([_packed(ids)], pa.binary()),
+                "words": pa.array([_packed(words)], pa.binary()),
+                "bytes": pa.array([len(words)], pa.int64()),
+                "counts": pa.array([_packed(counts.astype("<i8").tobytes())], pa.binary()),
+                "ids": pa.array([_packed(ids.tobytes())], pa.binary()),
                 "lengths": pa.array([[len(ids) for ids in texts]], pa.list_(pa.int32())),
                 "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
                 "held_out": pa.array([helds], pa.list_(pa.bool_())),
@@ -174,59 +180,90 @@ def joint(before: bytes, word: bytes) -> bytes:
     return before[-HEAD:] + b" " + head(word)
 
 
-def spell(stretches: list[bytes]) -> Spelling:
+def spell(stretches: list[bytes] | pa.Array) -> Spelling:
     """Joints, whose heads are coded, and words, whose bytes after the head are.
 
     Together they code a text: no context of ORDERS bytes reaches from behind the head into the word before.
     """
-    is_joint = np.fromiter((b" " in one for one in stretches), bool, len(stretches))
-    spaced = [one if b" " in one else b" " + one + (b"" if one == END_TOKEN else b" ") for one in stretches]
-    codes = np.frombuffer(b"".join(spaced), dtype=np.uint8)
-    lengths = np.fromiter(map(len, spaced), np.int64, len(spaced))
-    border = np.fromiter((one.index(b" ") + 1 for one in spaced), np.int64, len(spaced))
-    starts = np.cumsum(lengths) - lengths
-    stretch = np.repeat(np.arange(len(spaced)), lengths)
-    at = np.arange(len(codes)) - starts[stretch]
+    told = _strings(stretches)
+    at_space = pc.find_substring(told, " ")
+    is_joint = pc.greater_equal(at_space, 0)
+    closed = pc.binary_join_element_wise(b"", told, pc.if_else(pc.equal(told, END_TOKEN), b"", b" "), b" ")
+    spaced = pc.if_else(is_joint, told, pc.binary_slice(closed, 0, -1))
+    ends, codes = _flat(spaced)
+    border = at_space.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    is_joint = border > 0
+    border[~is_joint] = 1
+    lengths, starts = np.diff(ends), ends[:-1]
+    # Of the bytes before the first one that is coded, only those in its contexts are read.
+    first = starts + border + np.where(is_joint, 0, HEAD)
+    n = np.maximum(starts + lengths - first, 0)
+    stretch = np.repeat(np.arange(len(n)), n)
+    index = np.arange(len(stretch)) + (first - np.cumsum(n) + n)[stretch]
+    at = index - starts[stretch]
     place = at - border[stretch]
-    coded = place >= np.where(is_joint, 0, HEAD)[stretch]
     # The bytes before each one, the nearest in the lowest bits.
-    wide = codes.astype(np.uint64)
-    history = np.zeros(len(codes), np.uint64)
-    for k in range(1, FAR + 1):
-        history[k:] |= np.where(at[k:] >= k, wide[:-k] << np.uint64(8 * (k - 1)), np.uint64(0))
+    padded = np.concatenate([np.zeros(8, np.uint8), codes])
+    history = np.ndarray((len(codes),), ">u8", padded, strides=(1,))[index].astype(np.uint64) & BEFORE[np.minimum(at, FAR)]
     # The bytes of the word so far, as a sum that does not depend on what stands before.
     powers = np.cumprod(np.full(int(lengths.max(initial=1)), MULTIPLIERS[2], np.uint64))
-    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum((wide + np.uint64(1)) * powers[np.maximum(place, 0)])])
-    so_far = (before[:-1] - before[(starts + border)[stretch]])[coded]
-    history, place = history[coded], place[coded]
+    inside = np.arange(len(codes)) - np.repeat(starts + border, lengths)
+    before = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers[np.maximum(inside, 0)], out=before[1:])
+    so_far = before[index] - before[starts + border][stretch]
     multiplier = MULTIPLIERS[1]
-    contexts = [
-        ((history & np.uint64((1 << 8 * k) - 1)) + np.uint64(k << 56)) * multiplier for k in (*range(1, ORDERS + 1), FAR)
-    ]
+    contexts = [((history & BEFORE[k]) + np.uint64(k << 56)) * multiplier for k in (*range(1, ORDERS + 1), FAR)]
     contexts.append((so_far + np.uint64(PREDICTORS)) * multiplier)
-    return Spelling(codes[coded], stretch[coded], np.minimum(place, 3), contexts)
+    return Spelling(codes[index], stretch, np.minimum(place, 3), contexts)
+
+
+def _strings(some: list[bytes] | pa.Array) -> pa.Array:
+    return some if isinstance(some, pa.Array) else pa.array(some, pa.binary())
+
+
+def _heads(words: pa.Array) -> pa.Array:
+    """``head`` of each word."""
+    begun = pc.binary_slice(words, 0, HEAD)
+    closed = pc.binary_slice(pc.binary_join_element_wise(begun, b"", b" "), 0, HEAD)
+    return pc.if_else(pc.equal(begun, END_TOKEN), END_TOKEN, closed)
+
+
+def _flat(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each string begins in the bytes of all, and the end; and these bytes."""
+    _, offsets, data = strings.buffers()
+    kind = np.int64 if pa.types.is_large_binary(strings.type) else np.int32
+    ends = np.frombuffer(offsets, kind)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
+    codes = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.empty(0, np.uint8)
+    return ends - ends[0], codes
 
 
 def bits(spelling: Spelling) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
     """For each step down the tree of bytes: stretch, bit, gate, and the slot in each predictor's table."""
-    codes, stretch, gate, contexts = spelling.codes, spelling.stretch, spelling.gate, spelling.contexts
+    # The bytes that lie deepest first, so that those which go on are the first ones at every step.
+    order = np.argsort(PLACES[spelling.codes], kind="stable")
+    codes, stretch, gate = (own[order] for own in (spelling.codes, spelling.stretch, spelling.gate))
+    contexts = [context[order] for context in spelling.contexts]
     shift = np.uint64(64 - SLOT_BITS)
+    deeper = len(codes) - np.cumsum(np.bincount(DEPTHS[codes], minlength=DEPTH + 1))
     for t in range(DEPTH):
-        if t >= SHORTEST:
-            below = DEPTHS[codes] > t
-            codes, stretch, gate = codes[below], stretch[below], gate[below]
-            contexts = [context[below] for context in contexts]
-        if not len(codes):
+        n = int(deeper[t])
+        if not n:
             return
-        node = NODES[PATHS[t][codes]]
-        slots = [(((context ^ node) * MULTIPLIERS[0]) >> shift).view(np.int64) for context in contexts]
-        yield stretch, BITS[t][codes], gate + min(t, 7) * 4, slots
+        own = codes[:n]
+        node = NODES[PATHS[t]][own]
+        slots = []
+        for context in contexts:
+            slot = context[:n] ^ node
+            slot *= MULTIPLIERS[0]
+            slot >>= shift
+            slots.append(slot.view(np.int64))
+        yield stretch[:n], BITS[t][own], gate[:n] + min(t, 7) * 4, slots
 
 
 class Running:
     """The texts of a block, as the joints that their words form in their order."""
 
-    def __init__(self, words: list[bytes], ids: bytes, lengths: list[int]):
+    def __init__(self, words: list[bytes] | pa.Array, ids: bytes | np.ndarray, lengths: list[int]):
         sizes = np.asarray(lengths, np.int64) + 1
         ends = np.cumsum(sizes) - 1
         self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
@@ -234,37 +271,73 @@ class Running:
         self.words = np.full(int(sizes.sum()), len(words), np.int32)
         inside = np.ones(len(self.words), bool)
         inside[ends] = False
-        self.words[inside] = _unpacked(ids, 4 * int((sizes - 1).sum()), "<i4")
-        heads, tails = {}, {b"": 0}
-        head_of = np.array([heads.setdefault(head(word), len(heads)) for word in [*words, END_TOKEN]])
-        tail_of = np.array([tails.setdefault(word[-HEAD:], len(tails)) for word in words] + [0])
+        self.words[inside] = ids if isinstance(ids, np.ndarray) else _unpacked(ids, 4 * int((sizes - 1).sum()), "<i4")
+        told = _strings(words)
+        heads = pa.concat_arrays([_heads(told), pa.array([END_TOKEN], told.type)]).dictionary_encode()
+        tails = pa.concat_arrays([pc.binary_slice(told, -HEAD, None), pa.array([b""], told.type)]).dictionary_encode()
         before = np.roll(self.words, 1)
         before[ends - sizes + 1] = len(words)
-        self.heads, self.tails = list(heads), list(tails)
-        self.keys = tail_of[before] * len(heads) + head_of[self.words]
+        self.heads, self.tails = heads.dictionary, tails.dictionary
+        head_of, tail_of = (own.indices.to_numpy().astype(np.int64) for own in (heads, tails))
+        self.keys = tail_of[before] * len(self.heads) + head_of[self.words]
 
-    def joints(self, keys: np.ndarray) -> list[bytes]:
+    def stretches(self, keys: np.ndarray) -> pa.Array:
         tails, heads = np.divmod(keys, len(self.heads))
-        return [self.tails[t] + b" " + self.heads[h] for t, h in zip(tails.tolist(), heads.tolist(), strict=True)]
+        return pc.binary_join_element_wise(self.tails.take(pa.array(tails)), self.heads.take(pa.array(heads)), b" ")
+
+    def joints(self, keys: np.ndarray) -> list[bytes]:
+        return self.stretches(keys).to_pylist()
+
+
+def _split(batch: pa.RecordBatch, number: int) -> pa.Array:
+    """The words of a block."""
+    packed, size = (batch.column(name)[number].as_py() for name in ("words", "bytes"))
+    return pa.array(pa.decompress(packed, size, codec="zstd", asbytes=True).split(), pa.binary())
+
+
+def _numbers(packed: bytes, lengths: list[int] | np.ndarray) -> np.ndarray:
+    """The numbers of the words of a block's texts."""
+    planes = _unpacked(packed, 4 * int(np.sum(lengths, dtype=np.int64)), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
+
+
+def _placed_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word of each block, and its place there."""
+    for batch in batches:
+        for number in range(batch.num_rows):
+            words = _split(batch, number)
+            of = np.full(len(words), batch.column("block")[number].as_py())
+            yield pa.RecordBatch.from_pydict({"of": of, "place": np.arange(len(words), dtype=np.int32), "word": words})
+
+
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word of each block, and how often it is in the training texts there by language."""
+    for batch in batches:
+        for number in range(batch.num_rows):
+            words = _split(batch, number)
+            counts = _unpacked(batch.column("counts")[number].as_py(), 8 * LANGUAGES * len(words), "<i8").reshape(LANGUAGES, -1)
+            yield pa.RecordBatch.from_pydict({"word": words} | {f"n{n}": counts[n] for n in range(LANGUAGES)})
 
 
 def _count_joints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each joint is in the training texts of a block."""
     for batch in batches:
         for number in range(batch.num_rows):
-            row = batch.slice(number, 1).to_pylist()[0]
-            running = Running(row["words"], row["ids"], row["lengths"])
-            learned = ~np.asarray(row["held_out"], bool)[running.text]
-            keys, n = np.unique(running.keys[learned], return_counts=True)
-            yield pa.RecordBatch.from_pydict({"word": pa.array(running.joints(keys), pa.binary()), "n": pa.array(n, pa.int64())})
+            lengths = batch.column("lengths")[number].values.to_numpy()
+            running = Running(_split(batch, number), _numbers(batch.column("ids")[number].as_py(), lengths), lengths)
+            learned = ~batch.column("held_out")[number].values.to_numpy(zero_copy_only=False)[running.text]
+            keys, n = pa.array(running.keys[learned]).value_counts().flatten()
+            # In their order they take less room.
+            order = pc.array_sort_indices(keys)
+            yield pa.RecordBatch.from_pydict({"word": running.stretches(keys.take(order).to_numpy()), "n": n.take(order)})
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], size: int = 50_000) -> Iterator[tuple[list[bytes], np.ndarray]]:
+def batches_of(batches: Iterator[pa.RecordBatch], size: int = FEW) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Words and their training counts, a few at a time."""
     for batch in batches:
         for start in range(0, batch.num_rows, size):
             part = batch.slice(start, size)
-            yield part.column("word").to_pylist(), part.column("c").to_numpy(zero_copy_only=False).astype(np.float64)
+            yield part.column("word"), part.column("c").to_numpy(zero_copy_only=False).astype(np.float64)
 
 
 CHUNK = 1 << 16
@@ -288,7 +361,7 @@ def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(raw: bytes) -> bytes:
-    return pa.compress(raw, codec="zstd", asbytes=True)
+    return pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
 
 def _unpacked(packed: bytes, size: int, kind: type) -> np.ndarray:
@@ -311,7 +384,7 @@ def squash(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-odds))
 
 
-# Log odds by a signed byte of tenths: index -127 to 127.
+# Log odds by the unsigned byte that holds a signed one of tenths.
 TENTHS = np.roll(np.arange(-128, 128, dtype=np.float32) / 10, -128)
 
 
@@ -322,16 +395,28 @@ class Mixer:
         self.odds, self.weights, self.refined = odds, weights, refined
 
     def inputs(self, slots: list[np.ndarray]) -> list[np.ndarray]:
-        return [TENTHS[self.odds[k][slot]] for k, slot in enumerate(slots)]
+        return [TENTHS.take(self.odds[k].view(np.uint8).take(slot)) for k, slot in enumerate(slots)]
+
+    def weighted(self) -> np.ndarray:
+        """What each predictor adds to the sum, by gate and log odds in tenths as an unsigned byte."""
+        return self.weights.T.astype(np.float32)[:, :, None] * TENTHS
+
+    def summed(self, gate: np.ndarray, slots: list[np.ndarray], weighted: np.ndarray) -> np.ndarray:
+        """The same as ``mixed`` of the inputs, by one look into a table for each predictor."""
+        row = gate << 8
+        total = np.zeros(len(gate), np.float32)
+        for k, slot in enumerate(slots):
+            total += weighted[k].take(row + self.odds[k].view(np.uint8).take(slot))
+        return np.clip(total, -8, 8, out=total)
 
     def mixed(self, gate: np.ndarray, inputs: list[np.ndarray]) -> np.ndarray:
         weights = self.weights.T.astype(np.float32)
-        total = weights[0][gate] * inputs[0]
+        total = weights[0].take(gate) * inputs[0]
         for k in range(1, PREDICTORS):
-            total += weights[k][gate] * inputs[k]
-        return np.clip(total, -8, 8)
+            total += weights[k].take(gate) * inputs[k]
+        return np.clip(total, -8, 8, out=total)
 
-    def learn(self, words: list[bytes], c: np.ndarray) -> None:
+    def learn(self, words: list[bytes] | pa.Array, c: np.ndarray) -> None:
         """One online step for each bit position of a block of words."""
         # Frequent words count more, but not so much that one of them makes the step alone.
         root = np.sqrt(c).astype(np.float32)
@@ -344,47 +429,49 @@ class Mixer:
                 step = np.bincount(gate, error * inputs[k], GATES)
                 self.weights[:, k] += RATE * step / np.maximum(total, 1) * (total > 0)
 
-    def outcomes(self, words: list[bytes], c: np.ndarray) -> np.ndarray:
+    def outcomes(self, words: list[bytes] | pa.Array, c: np.ndarray) -> np.ndarray:
         """How often each bit came at each gate and level of log odds."""
-        out = np.zeros(GATES * LEVELS * 2)
+        out, weighted = np.zeros(GATES * LEVELS * 2), self.weighted().reshape(PREDICTORS, -1)
         for stretch, bit, gate, slots in bits(spell(words)):
             mass = c[stretch]
-            level = np.rint((self.mixed(gate, self.inputs(slots)) + 8) * 2).astype(np.int64)
+            level = np.rint((self.summed(gate, slots, weighted) + 8) * 2).astype(np.int64)
             out += np.bincount((gate * LEVELS + level) * 2 + bit, mass, len(out))
         return out
 
-    def score(self, words: list[bytes]) -> np.ndarray:
+    def score(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """log10 probability of each word at the start of a text."""
         return self.spelled(words) + self.begun(words)
 
-    def begun(self, words: list[bytes]) -> np.ndarray:
+    def begun(self, words: list[bytes] | pa.Array) -> np.ndarray:
         """The part of that which is the head's."""
-        joints = [joint(b"", word) for word in words]
-        distinct = list(dict.fromkeys(joints))
-        found = dict(zip(distinct, self.spelled(distinct).tolist(), strict=True))
-        return np.fromiter(map(found.__getitem__, joints), np.float64, len(words))
+        joints = pc.binary_join_element_wise(b"", _heads(_strings(words)), b" ").dictionary_encode()
+        return self.spelled(joints.dictionary).take(joints.indices.to_numpy())
 
-    def spelled(self, stretches: list[bytes]) -> np.ndarray:
+    def spelled(self, stretches: list[bytes] | pa.Array) -> np.ndarray:
         """log10 probability of what each stretch codes."""
+        told = stretches if isinstance(stretches, pa.Array) else pa.array(stretches, pa.binary())
+        weighted = self.weighted().reshape(PREDICTORS, -1)
+        parts = [self._spelled(told.slice(start, FEW), weighted) for start in range(0, len(told), FEW)]
+        return np.concatenate([np.empty(0), *parts]) / math.log(10)
+
+    def _spelled(self, stretches: pa.Array, weighted: np.ndarray) -> np.ndarray:
         out = np.zeros(len(stretches))
         for stretch, bit, gate, slots in bits(spell(stretches)):
-            odds = self.mixed(gate, self.inputs(slots))
+            odds = self.summed(gate, slots, weighted)
             at = (odds + 8) * 2
             low = np.minimum(at.astype(np.int64), LEVELS - 2)
             part = at - low
             base = gate * LEVELS + low
-            refined = self.refined[base] * (1 - part) + self.refined[base + 1] * part
+            refined = self.refined.take(base) * (1 - part) + self.refined.take(base + 1) * part
             # The map and the mixer have a say each.
             odds = (refined + odds) / 2
-            out -= np.bincount(stretch, np.logaddexp(0, np.where(bit == 1, -odds, odds)), len(stretches))
-        return out / math.log(10)
+            out -= np.bincount(stretch, np.log(1 + np.exp(np.where(bit == 1, -odds, odds))), len(stretches))
+        return out
 
     def read(self, running: Running) -> np.ndarray:
         """log10 probability of the head of each word of the texts after the word before it."""
-        keys, place = np.unique(running.keys, return_inverse=True)
-        some = range(0, len(keys), 50_000)
-        parts = [self.spelled(running.joints(keys[start : start + 50_000])) for start in some]
-        return np.concatenate([np.empty(0), *parts])[place]
+        told = pa.array(running.keys).dictionary_encode()
+        return self.spelled(running.stretches(told.dictionary.to_numpy())).take(told.indices.to_numpy())
 
 
 def _start_weights() -> np.ndarray:
@@ -405,18 +492,35 @@ def _tables(stretches: DataFrame) -> np.ndarray:
     return odds.reshape(PREDICTORS, 1 << SLOT_BITS)
 
 
-def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple[list[bytes], np.ndarray]]]]:
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple[pa.Array, np.ndarray]]]]:
     """Each learner with its words and their counts, STEP_WORDS at a time whatever the batches."""
 
-    def rows():
+    def runs():
         for batch in batches:
-            yield from zip(*(batch.column(name).to_pylist() for name in ("learner", "word", "c")), strict=True)
+            learner = batch.column("learner").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(learner)) + 1).tolist(), len(learner)]
+            for start, stop in pairwise(cuts):
+                if stop > start:
+                    yield int(learner[start]), batch.slice(start, stop - start)
 
-    def steps(own):
-        while some := list(islice(own, STEP_WORDS)):
-            yield [word for _, word, _ in some], np.array([c for _, _, c in some], np.float64)
+    def together(parts):
+        table = pa.Table.from_batches(parts).combine_chunks()
+        return table.column("word").chunk(0), table.column("c").to_numpy().astype(np.float64)
 
-    for learner, own in groupby(rows(), key=lambda row: row[0]):
+    def steps(own):
+        parts, missing = [], STEP_WORDS
+        for _, run in own:
+            while run.num_rows:
+                parts.append(run.slice(0, missing))
+                run = run.slice(missing)
+                missing -= parts[-1].num_rows
+                if not missing:
+                    yield together(parts)
+                    parts, missing = [], STEP_WORDS
+        if parts:
+            yield together(parts)
+
+    for learner, own in groupby(runs(), key=lambda run: run[0]):
         yield learner, steps(own)
 
 
@@ -489,26 +593,29 @@ def score(docs: DataFrame) -> DataFrame:
     blocks = written(keyed.mapInArrow(_cut_blocks, BLOCK), "blocks", compression="zstd")
     learned = F.size(F.filter("held_out", lambda held: ~held)).cast("long")
     trained = blocks.agg(F.coalesce(F.sum(learned), F.lit(0))).first()[0]
-    used = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts")
-    by_language = [F.sum(F.col("counts")[n]).alias(f"n{n}") for n in range(LANGUAGES)]
-    words = used.groupBy(F.col("words").alias("word")).agg(*by_language)
+    by_language = [f"n{n}" for n in range(LANGUAGES)]
+    counted = ", ".join(["word binary", *(f"{n} long" for n in by_language)])
+    used = blocks.select("words", "bytes", "counts").mapInArrow(_counted_words, counted)
+    words = used.groupBy("word").agg(*(F.sum(n).alias(n) for n in by_language))
     each = [F.col(f"n{n}") for n in range(LANGUAGES)]
     words = words.select("word", sum(each[1:], each[0]).alias("c"), F.array(*each).alias("each"))
     end = spark.range(1, numPartitions=1).select(
         F.lit(END_TOKEN).alias("word"), F.lit(trained).alias("c"), F.array_repeat(F.lit(0).cast("long"), LANGUAGES).alias("each")
     )
     vocabulary = written(words.unionByName(end), "vocabulary", compression="zstd")
+    free_shuffles(spark)
     sums = [F.coalesce(F.sum(F.col("each")[n]), F.lit(0)) for n in range(LANGUAGES)]
     total, distinct, *sizes = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *sums).first()
 
     context = spark.sparkContext
     # One task per core, whose counts are put together before they are dealt.
-    few = blocks.select("words", "ids", "lengths", "held_out").coalesce(context.defaultParallelism)
+    few = blocks.select("words", "bytes", "ids", "lengths", "held_out").coalesce(context.defaultParallelism)
     joints = few.mapInArrow(_count_joints, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
     stretches = written(vocabulary.select("word", "c").unionByName(joints), "stretches", compression="zstd")
     tables = context.broadcast(_tables(stretches))
     weights, refined = _learn(stretches, tables)
     discard(stretches)
+    free_shuffles(spark)
 
     smoothing = SMOOTH * (distinct + 1)
     # The end mark has the same share in every language.
@@ -530,10 +637,10 @@ def score(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 50_000):
                 part = batch.slice(start, 50_000)
-                words = part.column("word").to_pylist()
+                words = part.column("word")
                 behind = mixer.spelled(words)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("word"), part.column("c"), models_of(part, mixer.begun(words) + behind, behind)],
+                    [words, part.column("c"), models_of(part, mixer.begun(words) + behind, behind)],
                     ["word", "c", "models"],
                 )
 
@@ -542,7 +649,8 @@ def score(docs: DataFrame) -> DataFrame:
     end_models = scored.filter(F.col("word") == F.lit(END_TOKEN)).first()["models"]
 
     looked_up = (
-        blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
+        blocks.select("block", "words", "bytes")
+        .mapInArrow(_placed_words, "of long, place int, word binary")
         .join(scored, "word")
         .select("of", "place", "c", "models")
     )
@@ -551,25 +659,26 @@ def score(docs: DataFrame) -> DataFrame:
         row = block.slice(0, 1).to_pylist()[0]
         place = found.column("place").to_numpy()
         at_end = len(place)
-        words = pa.decompress(row["words"], row["bytes"], codec="zstd", asbytes=True).split()
-        running = Running(words, row["ids"], row["lengths"])
+        words = _split(block, 0)
+        running = Running(words, _numbers(row["ids"], row["lengths"]), row["lengths"])
         heads = Mixer(tables.value, weights, refined).read(running).astype(np.float32)
-        size = np.array([len(word) + 1 for word in words] + [1])
+        size = np.append(pc.binary_length(words).to_numpy() + 1, 1)
         c = np.empty(at_end + 1)
         c[place], c[at_end] = found.column("c").to_numpy(), trained
         fixed = found.column("models").cast(pa.binary(2 * (LANGUAGES + 1))).combine_chunks()
         halves = np.frombuffer(fixed.buffers()[1], np.float16)[: at_end * (LANGUAGES + 1)] if at_end else np.empty(0)
-        models = np.empty((LANGUAGES + 2, at_end + 1), np.float32)
-        models[0] = np.log10((c + SMOOTH) / (total + smoothing))
-        models[1:, place] = halves.reshape(-1, LANGUAGES + 1).T
-        models[1:, at_end] = np.frombuffer(end_models, np.float16)
+        # A word's models side by side, as they are read together.
+        models = np.empty((at_end + 1, LANGUAGES + 2), np.float32)
+        models[:, 0] = np.log10((c + SMOOTH) / (total + smoothing))
+        models[place, 1:] = halves.reshape(-1, LANGUAGES + 1)
+        models[at_end, 1:] = np.frombuffer(end_models, np.float16)
         plain = np.log10((c + SMOOTH) / (total + smoothing))
         at = 0
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score", "bits_per_byte")}
         for length in row["lengths"]:
             here = slice(at, at + length + 1)
             tokens, at = running.words[here], here.stop
-            told = models[:, tokens]
+            told = models.take(tokens, axis=0).T.copy()
             told[1] += heads[here]
             both = gated(told)
             out["n_tokens"].append(length + 1)
@@ -580,15 +689,7 @@ def score(docs: DataFrame) -> DataFrame:
         out = {"doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held_out"], pa.bool_())} | out
         return pa.table(out)
 
-    def packed(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                raw = b" ".join(batch.column("words")[row].as_py())
-                columns = {name: batch.column(name).slice(row, 1) for name in ("block", "ids", "lengths", "doc_ids", "held_out")}
-                yield pa.RecordBatch.from_pydict(columns | {"words": pa.array([_packed(raw)], pa.binary()), "bytes": pa.array([len(raw)], pa.int64())})
-
-    kept = "block long, ids binary, lengths array<int>, doc_ids array<long>, held_out array<boolean>, words binary, bytes long"
-    texts_only = blocks.select("block", "words", "ids", "lengths", "doc_ids", "held_out").mapInArrow(packed, kept)
+    texts_only = blocks.select("block", "words", "bytes", "ids", "lengths", "doc_ids", "held_out")
     per_block = texts_only.groupBy("block").cogroup(looked_up.groupBy("of"))
     return per_block.applyInArrow(texts, RESULT).withColumn("train_tokens", F.lit(total).cast("long"))
 
@@ -601,8 +702,11 @@ def gated(models: np.ndarray) -> float:
     """
     earned = np.zeros((models.shape[0], models.shape[1] + 1))
     np.cumsum(models, axis=1, dtype=np.float64, out=earned[:, 1:])
-    now = np.arange(models.shape[1])
-    recent = earned[:, now] - earned[:, np.maximum(now - MEMORY, 0)]
-    shares = 10.0 ** (recent - recent.max(axis=0))
-    shares = (1 - FLOOR) * shares / shares.sum(axis=0) + FLOOR / len(models)
-    return float(np.log10((shares * 10.0 ** models.astype(np.float64)).sum(axis=0)).sum())
+    recent = earned[:, :-1].copy()
+    recent[:, MEMORY:] -= earned[:, : max(models.shape[1] - MEMORY, 0)]
+    recent -= recent.max(axis=0)
+    shares = np.exp(recent * math.log(10))
+    shares *= (1 - FLOOR) / shares.sum(axis=0)
+    shares += FLOOR / len(models)
+    shares *= np.exp(models.astype(np.float64) * math.log(10))
+    return float(np.log10(shares.sum(axis=0)).sum())

@@ -74,6 +74,11 @@ def discard(*tables: DataFrame) -> None:
             _delete(table.sparkSession, path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished work, which it does once the driver's heap is collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def recorded() -> Iterator[list[str]]:
     """The paths of all tables written meanwhile."""
